@@ -61,3 +61,12 @@ def row_hash(columns: Sequence[str], seed: int | None = None) -> Column:
 def rounded(c: Column, digits: int = 6) -> Column:
     """Round and turn -0.0 into 0.0, for results that are compared by value."""
     return F.round(c, digits) + F.lit(0.0)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give iterative fits at least one partition per core.
+
+    Large tables already have more input splits than that and are returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -115,7 +115,8 @@ def summary_metrics(df: DataFrame, y_true: str, y_pred: str, parts: Sequence[str
 
 
 def ranked_scores(
-    df: DataFrame, y_true: str, score: str, parts: Sequence[str] = (), scores_per_bucket: int = SCORES_PER_BUCKET
+    df: DataFrame, y_true: str, score: str, parts: Sequence[str] = (), scores_per_bucket: int = SCORES_PER_BUCKET,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """One row per distinct score, highest first, with running counts.
 
@@ -124,14 +125,18 @@ def ranked_scores(
 
     With few distinct scores one window per part does it. With many, scores are bucketed by
     approximate quantiles, running sums are taken inside each bucket, and the totals of
-    the higher buckets (a table of at most MAX_BUCKETS rows per part) are added.
+    the higher buckets (a table of at most MAX_BUCKETS rows per part) are added. A known
+    ``n_rows`` within one bucket saves the pass that estimates the distinct scores.
     """
     positive = (col(y_true) == 1).cast("bigint")
     base = df.select(*parts, col(score).cast("double").alias("score"), positive.alias("pos"))
     grouped = base.groupBy(*parts, "score").agg(
         F.sum("pos").alias("pos"), (F.count(F.lit(1)) - F.sum("pos")).alias("neg")
     )
-    distinct = base.agg(F.approx_count_distinct(F.struct(*parts, "score")).alias("d")).first()["d"]
+    if n_rows is not None and n_rows <= scores_per_bucket:
+        distinct = n_rows
+    else:
+        distinct = base.agg(F.approx_count_distinct(F.struct(*parts, "score")).alias("d")).first()["d"]
     upto = (Window.unboundedPreceding, 0)
     if distinct <= scores_per_bucket:
         order = Window.partitionBy(*parts).orderBy(F.desc("score"))
@@ -237,36 +242,39 @@ def check_metrics(names: Sequence[str], task: str) -> None:
 
 
 def score_parts(
-    scored: DataFrame, names: Sequence[str], task: str, part: str, n_classes: int = 2
-) -> dict[str, dict[str, float]]:
-    """Metric values per part from columns label, prediction and probability (an array)."""
+    scored: DataFrame, names: Sequence[str], task: str, parts: Sequence[str], n_classes: int = 2,
+    n_rows: int | None = None,
+) -> dict[tuple, dict[str, float]]:
+    """Metric values per combination of parts, from label, prediction and probability (an array)."""
     check_metrics(names, task)
-    out: dict[str, dict[str, float]] = {}
+    parts = list(parts)
+    out: dict[tuple, dict[str, float]] = {}
 
-    def put(rows, columns: dict[str, tuple[str, float]]) -> None:
-        for r in rows:
+    def put(table: DataFrame, columns: dict[str, tuple[str, float]]) -> None:
+        for r in table.collect():  # one row per part
             for name, (column, sign) in columns.items():
                 value = r[column]
-                out.setdefault(r[part], {})[name] = float("nan") if value is None else sign * value
+                place = out.setdefault(tuple(r[p] for p in parts), {})
+                place[name] = float("nan") if value is None else sign * value
 
     if task == "regression":
-        rows = regression_metrics(scored, "label", "prediction", [part]).collect()
-        put(rows, {m: REGRESSION[m] for m in names})
+        put(regression_metrics(scored, "label", "prediction", parts), {m: REGRESSION[m] for m in names})
         return out
     counting = [m for m in names if m in COUNTING]
     if counting:
-        put(summary_metrics(scored, "label", "prediction", [part]).collect(), {m: (m, 1.0) for m in counting})
+        put(summary_metrics(scored, "label", "prediction", parts), {m: (m, 1.0) for m in counting})
     ranking = [m for m in names if m in RANKING]
     multiclass = n_classes > 2
     if ranking and not multiclass:
-        positive = scored.select(part, "label", F.col("probability")[1].alias("score"))
-        put(ranking_metrics(positive, "label", "score", [part]).collect(), {m: (m, 1.0) for m in ranking})
+        positive = scored.select(*parts, "label", F.col("probability")[1].alias("score"))
+        put(ranking_metrics(positive, "label", "score", parts, n_rows=n_rows), {m: (m, 1.0) for m in ranking})
     if "roc_auc_ovr_weighted" in names or (multiclass and "roc_auc" in names):
-        rows = roc_auc_ovr_weighted(scored, "label", F.col("probability"), [part]).collect()
-        put(rows, {m: ("roc_auc", 1.0) for m in names if m in ("roc_auc", "roc_auc_ovr_weighted")})
+        table = roc_auc_ovr_weighted(scored, "label", F.col("probability"), parts,
+                                     n_rows=n_rows and n_rows * n_classes)
+        put(table, {m: ("roc_auc", 1.0) for m in names if m in ("roc_auc", "roc_auc_ovr_weighted")})
     if multiclass and "average_precision" in names:
-        long = one_vs_rest(scored, "label", F.col("probability"), [part])
-        per_class = ranking_metrics(long, "hit", "score", [part, "class"])
-        rows = per_class.groupBy(part).agg(F.avg("average_precision").alias("average_precision")).collect()
-        put(rows, {"average_precision": ("average_precision", 1.0)})
+        long = one_vs_rest(scored, "label", F.col("probability"), parts)
+        per_class = ranking_metrics(long, "hit", "score", [*parts, "class"])
+        put(per_class.groupBy(*parts).agg(F.avg("average_precision").alias("average_precision")),
+            {"average_precision": ("average_precision", 1.0)})
     return out

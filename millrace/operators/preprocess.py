@@ -9,8 +9,9 @@ the learned literals, a ``StringIndexerModel``, a ``OneHotEncoderModel`` and a
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, PipelineModel, Transformer
@@ -54,29 +55,85 @@ class NumericFit:
         return self.fill is None
 
 
-def _most_frequent(df: DataFrame, columns: Sequence[str], numeric: bool) -> dict:
-    """Most frequent value per column, the smallest on ties."""
-    if not columns:
-        return {}
-    out = {}
-    entries = [
-        F.struct(F.lit(c).alias("column"), (number(df, c) if numeric else col(c).cast("string")).alias("value"))
-        for c in columns
-    ]
+def _most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """Most frequent number per column, the smallest on ties."""
+    entries = [F.struct(F.lit(c).alias("column"), number(df, c).alias("value")) for c in columns]
     counts = (
         df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e.value").isNotNull())
         .groupBy("e.column", "e.value").agg(F.count(F.lit(1)).alias("n"))
     )
-    if numeric:
-        best = F.max(F.struct(F.col("n"), (-F.col("value")).alias("v")))
-        for r in counts.groupBy("column").agg(best.alias("b")).collect():
-            out[r["column"]] = 0.0 - r["b"]["v"]
-        return out
-    top = counts.groupBy("column").agg(F.max("n").alias("n"))
-    tied = counts.join(F.broadcast(top), ["column", "n"])  # one row per column on the small side
-    for r in tied.groupBy("column").agg(F.min("value").alias("v")).collect():
-        out[r["column"]] = r["v"]
-    return out
+    best = F.max(F.struct(F.col("n"), (-F.col("value")).alias("v"))).alias("b")
+    return {r["column"]: 0.0 - r["b"]["v"] for r in counts.groupBy("column").agg(best).collect()}
+
+
+@dataclass(frozen=True)
+class Moments:
+    """Non-null rows of a column in a set of rows; two sets of rows merge."""
+
+    rows: int
+    n: int
+    mean: float
+    var: float
+    low: float | None
+    high: float | None
+
+    @classmethod
+    def of(cls, row, i: int) -> "Moments":
+        return cls(row["rows"], row[f"n{i}"], row[f"mean{i}"] or 0.0, row[f"var{i}"] or 0.0, row[f"min{i}"], row[f"max{i}"])
+
+    def merge(self, other: "Moments") -> "Moments":
+        n = self.n + other.n
+        if n == 0:
+            return replace(self, rows=self.rows + other.rows)
+        mean = (self.n * self.mean + other.n * other.mean) / n
+        spread = sum(p.n * (p.var + (p.mean - mean) ** 2) for p in (self, other))
+        lows = [x for x in (self.low, other.low) if x is not None]
+        highs = [x for x in (self.high, other.high) if x is not None]
+        return Moments(self.rows + other.rows, n, mean, spread / n, min(lows), max(highs))
+
+    def filled(self, value: float) -> "Moments":
+        """The same rows with the nulls replaced by a value."""
+        missing = self.rows - self.n
+        return self.merge(Moments(0, missing, value, 0.0, value, value)) if missing else self
+
+
+def _moments(df: DataFrame, columns: Sequence[str]) -> list:
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(columns):
+        x = number(df, c)
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.var_pop(x).alias(f"var{i}"),
+                 F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+    return aggs
+
+
+def _numeric_fit(column: str, m: Moments, fill: float | None, scaling: str) -> NumericFit:
+    if fill is None or m.rows == 0:
+        return NumericFit(column, None, 0.0, 1.0)
+    m = m.filled(fill)
+    if scaling == "standard":
+        return NumericFit(column, fill, m.mean, math.sqrt(m.var) if m.high > m.low and m.var > 0 else 1.0)
+    if scaling == "minmax":
+        return NumericFit(column, fill, m.low, (m.high - m.low) if m.high > m.low else 1.0)
+    return NumericFit(column, fill, 0.0, 1.0)
+
+
+def _fills(df: DataFrame, moments: dict[str, Moments], strategy: str, constant: float) -> dict[str, float | None]:
+    columns = list(moments)
+    if strategy == "median":
+        found = exact_quantiles(df, columns, [0.5], counts={c: m.n for c, m in moments.items()})
+        return {c: v[0] for c, v in found.items()}
+    if strategy == "mean":
+        return {c: m.mean if m.n else None for c, m in moments.items()}
+    if strategy == "most_frequent":
+        return _most_frequent(df, columns)
+    return {c: float(constant) for c in columns}
+
+
+def _check_numeric(strategy: str, scaling: str) -> None:
+    if strategy not in NUMERIC_STRATEGIES:
+        raise ValueError(f"unknown numeric strategy: {strategy}")
+    if scaling not in SCALINGS:
+        raise ValueError(f"unknown scaling: {scaling}")
 
 
 def learn_numeric(
@@ -87,80 +144,68 @@ def learn_numeric(
     Moments after filling follow from the moments of the non-null rows, so the filled
     column is never scanned again.
     """
-    if strategy not in NUMERIC_STRATEGIES:
-        raise ValueError(f"unknown numeric strategy: {strategy}")
-    if scaling not in SCALINGS:
-        raise ValueError(f"unknown scaling: {scaling}")
+    _check_numeric(strategy, scaling)
     if not columns:
         return []
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    for i, c in enumerate(columns):
-        x = number(df, c)
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.var_pop(x).alias(f"var{i}"),
-                 F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
-    stats = df.agg(*aggs).first()
-    if strategy == "median":
-        fills = {c: v[0] for c, v in exact_quantiles(df, columns, [0.5]).items()}
-    elif strategy == "mean":
-        fills = {c: stats[f"mean{i}"] for i, c in enumerate(columns)}
-    elif strategy == "most_frequent":
-        fills = _most_frequent(df, columns, numeric=True)
-    else:
-        fills = {c: float(constant) for c in columns}
-
-    out = []
-    for i, c in enumerate(columns):
-        n, rows, fill = stats[f"n{i}"], stats["rows"], fills.get(c)
-        if fill is None or rows == 0:
-            out.append(NumericFit(c, None, 0.0, 1.0))
-            continue
-        if n == 0:
-            mean, var, low, high = fill, 0.0, fill, fill
-        else:
-            m = rows - n
-            mean = (n * stats[f"mean{i}"] + m * fill) / rows
-            spread = n * stats[f"var{i}"] + n * (stats[f"mean{i}"] - mean) ** 2 + m * (fill - mean) ** 2
-            var = spread / rows
-            low = min(stats[f"min{i}"], fill) if m else stats[f"min{i}"]
-            high = max(stats[f"max{i}"], fill) if m else stats[f"max{i}"]
-        if scaling == "standard":
-            centre, scale = mean, (math.sqrt(var) if high > low and var > 0 else 1.0)
-        elif scaling == "minmax":
-            centre, scale = low, (high - low if high > low else 1.0)
-        else:
-            centre, scale = 0.0, 1.0
-        out.append(NumericFit(c, fill, centre, scale))
-    return out
+    row = df.agg(*_moments(df, columns)).first()
+    moments = {c: Moments.of(row, i) for i, c in enumerate(columns)}
+    fills = _fills(df, moments, strategy, constant)
+    return [_numeric_fit(c, m, fills.get(c), scaling) for c, m in moments.items()]
 
 
-def learn_categories(
-    df: DataFrame, columns: Sequence[str], strategy: str = "most_frequent"
-) -> dict[str, tuple[str | None, list[str]]]:
-    """column -> (fill, sorted categories seen after filling). Empty columns are left out."""
-    if strategy not in CATEGORICAL_STRATEGIES:
-        raise ValueError(f"unknown categorical strategy: {strategy}")
+def learn_numeric_by_fold(
+    df: DataFrame, columns: Sequence[str], strategy: str, scaling: str, folds: Sequence[int]
+) -> dict[int, list[NumericFit]]:
+    """``learn_numeric`` on "all folds but f" for every f, in the passes that one fit takes.
+
+    Moments are grouped by fold and merged. For the fills each fold contributes a copy of
+    the columns that is null on its own rows.
+    """
+    _check_numeric(strategy, scaling)
+    if not columns:
+        return {f: [] for f in folds}
+    rows = df.groupBy("fold").agg(*_moments(df, columns)).collect()
+    names = {(f, c): f"{f}:{c}" for f in folds for c in columns}
+    moments = {
+        a: reduce(Moments.merge, [Moments.of(r, columns.index(c)) for r in rows if r["fold"] != f])
+        for (f, c), a in names.items()
+    }
+    wide = df.select(*[F.when(F.col("fold") != f, number(df, c)).alias(a) for (f, c), a in names.items()])
+    fills = _fills(wide, moments, strategy, 0.0)
+    return {f: [_numeric_fit(c, moments[names[f, c]], fills.get(names[f, c]), scaling) for c in columns] for f in folds}
+
+
+def category_counts(df: DataFrame, columns: Sequence[str], parts: Sequence[str] = ()) -> list[tuple]:
+    """(column, value, *parts, n) for every category; refused when too wide for one-hot encoding."""
     if not columns:
-        return {}
+        return []
     entries = [F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns]
     counts = (
-        df.select(F.explode(F.array(*entries)).alias("e"))
-        .groupBy("e.column", "e.value").agg(F.count(F.lit(1)).alias("n"))
-        .persist()
+        df.select(*parts, F.explode(F.array(*entries)).alias("e"))
+        .groupBy("e.column", "e.value", *parts).agg(F.count(F.lit(1)).alias("n"))
     )
-    try:
-        width = counts.count()
-        if width > MAX_CATEGORIES:
-            raise ValueError(f"{width} categories: too many for one-hot encoding")
-        rows = counts.collect()
-    finally:
-        counts.unpersist()
+    # one row more than allowed is enough to refuse, so the driver never holds an unbounded table
+    rows = counts.limit(MAX_CATEGORIES + 1).collect()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories: too many for one-hot encoding")
+    return [tuple(r) for r in rows]
+
+
+def choose_categories(
+    counts: Iterable[tuple[str, str | None, int]], columns: Sequence[str], strategy: str = "most_frequent"
+) -> dict[str, tuple[str | None, list[str]]]:
+    """column -> (fill, sorted categories after filling). Empty columns are left out."""
+    if strategy not in CATEGORICAL_STRATEGIES:
+        raise ValueError(f"unknown categorical strategy: {strategy}")
+    per_column: dict[str, dict[str | None, int]] = {c: {} for c in columns}
+    for c, value, n in counts:
+        per_column[c][value] = per_column[c].get(value, 0) + n
     out = {}
-    for c in columns:
-        seen = {r["value"]: r["n"] for r in rows if r["column"] == c and r["value"] is not None}
-        has_null = any(r["column"] == c and r["value"] is None for r in rows)
+    for c, all_counts in per_column.items():
+        seen = {v: n for v, n in all_counts.items() if v is not None and n}
         if strategy == "constant":
             fill = MISSING_CATEGORY
-            categories = set(seen) | ({fill} if has_null else set())
+            categories = set(seen) | ({fill} if all_counts.get(None) else set())
         elif seen:
             fill = min(seen, key=lambda v: (-seen[v], v))
             categories = set(seen)
@@ -171,6 +216,29 @@ def learn_categories(
     return out
 
 
+def learn_categories(
+    df: DataFrame, columns: Sequence[str], strategy: str = "most_frequent"
+) -> dict[str, tuple[str | None, list[str]]]:
+    return choose_categories(category_counts(df, columns), columns, strategy)
+
+
+def fit_by_fold(df: DataFrame, spec, folds: Sequence[int]) -> dict[int, PipelineModel]:
+    """One encoder per held-out fold, learned on the other folds.
+
+    Numbers and categories of all folds are learned together; only a reduction, which
+    needs the encoded rows, is fitted fold by fold.
+    """
+    estimator = preprocessor(spec)
+    numeric = learn_numeric_by_fold(df, list(spec.numeric), spec.numeric_strategy, spec.scaling, folds)
+    counts = category_counts(df, spec.categorical, ["fold"])
+    out = {}
+    for f in folds:
+        rest = [(c, v, n) for c, v, fold, n in counts if fold != f]
+        cats = choose_categories(rest, spec.categorical, spec.categorical_strategy)
+        out[f] = estimator.assemble(df.where(F.col("fold") != f), numeric[f], cats)
+    return out
+
+
 def sql_number(x: float) -> str:
     return f"CAST({x!r} AS DOUBLE)" if math.isfinite(x) else f"CAST('{x}' AS DOUBLE)"
 
@@ -224,17 +292,22 @@ class Preprocessor(Estimator):
         numeric, categorical = self.getOrDefault("numeric"), self.getOrDefault("categorical")
         if not numeric and not categorical:
             raise ValueError("no features given")
-        fits = [f for f in learn_numeric(df, numeric, self.getOrDefault("numericStrategy"),
-                                         self.getOrDefault("scaling")) if not f.empty]
+        fits = learn_numeric(df, numeric, self.getOrDefault("numericStrategy"), self.getOrDefault("scaling"))
         cats = learn_categories(df, categorical, self.getOrDefault("categoricalStrategy"))
+        return self.assemble(df, fits, cats)
+
+    def assemble(self, df: DataFrame, fits: Sequence[NumericFit], cats: dict) -> PipelineModel:
+        """The model for learned fills, scales and categories; columns without any value are dropped."""
+        fits = [f for f in fits if not f.empty]
         if not fits and not cats:
             raise ValueError("every feature is empty in the training rows")
-        reduce = self.getOrDefault("reduce")
+        reducing = self.getOrDefault("reduce")
         out = self.getOrDefault("outputCol")
-        assembled = "_assembled" if reduce else out
+        assembled = "_assembled" if reducing else out
         stages = encoder_stages(df, fits, cats, assembled)
-        if reduce:
+        if reducing:
             encoded = PipelineModel(stages).transform(df)
+            numeric, categorical = self.getOrDefault("numeric"), self.getOrDefault("categorical")
             if categorical:
                 k = max(1, min(SVD_MAX_COMPONENTS, len(numeric) + len(categorical) - 1))
                 stages += fit_svd(encoded, assembled, out, k)
@@ -242,7 +315,7 @@ class Preprocessor(Estimator):
                 stages += fit_pca(encoded, assembled, out, self.getOrDefault("varianceRatio"))
         temporary = [_scaled_name(f.column) for f in fits] + [_filled_name(c) for c in cats]
         temporary += [f"_idx_{c}" for c in cats] + [f"_hot_{c}" for c in cats]
-        temporary += ["_assembled", "_centred", "_components"] if reduce else []
+        temporary += ["_assembled", "_centred", "_components"] if reducing else []
         stages.append(SQLTransformer(statement=_except_statement(temporary, PipelineModel(stages), df)))
         return PipelineModel(stages)
 

@@ -60,7 +60,8 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
                  F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
     stats = df.agg(*aggs).first()
-    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
+    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75),
+                                counts={c: stats[f"n{i}"] for i, c in enumerate(columns)})
     rows = [
         (c, stats[f"n{i}"], stats[f"mean{i}"], stats[f"std{i}"], stats[f"min{i}"],
          *quartiles[c], stats[f"max{i}"])
@@ -110,8 +111,8 @@ def prediction_confidence(df: DataFrame, probabilities: Column) -> DataFrame:
     """mean, median, min and max of the largest class probability per row."""
     top = df.select(F.array_max(probabilities).alias("confidence"))
     stats = top.agg(F.avg("confidence").alias("mean"), F.min("confidence").alias("min"),
-                    F.max("confidence").alias("max")).first()
-    median = exact_quantiles(top, ["confidence"], [0.5])["confidence"][0]
+                    F.max("confidence").alias("max"), F.count("confidence").alias("n")).first()
+    median = exact_quantiles(top, ["confidence"], [0.5], counts={"confidence": stats["n"]})["confidence"][0]
     return df.sparkSession.createDataFrame(
         [(stats["mean"], median, stats["min"], stats["max"])],
         "mean double, median double, min double, max double",

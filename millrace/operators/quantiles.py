@@ -8,7 +8,7 @@ and inside it, and the bracket is narrowed until few distinct values are left in
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -93,20 +93,27 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     distinct_limit: int = DISTINCT_LIMIT,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles per column, nulls and NaN skipped."""
+    """Linear-interpolated quantiles per column, nulls and NaN skipped.
+
+    ``counts`` gives the non-null rows per column where the caller already has them.
+    """
     if not columns:
         return {}
     alias = {c: f"c{i}" for i, c in enumerate(columns)}
     values = df.select(*[number(df, c).alias(alias[c]) for c in columns])
-    sizes = values.agg(
-        *[F.count(a).alias(f"n_{a}") for a in alias.values()],
-        *[F.approx_count_distinct(a).alias(f"d_{a}") for a in alias.values()],
-    ).first()
-    targets = [_Target(a, p, sizes[f"n_{a}"], distinct=sizes[f"d_{a}"])
-               for a in alias.values() for p in probs if sizes[f"n_{a}"]]
-    while wide := [t for t in targets if t.distinct > distinct_limit and t.low != t.high or
-                   t.distinct > distinct_limit and t.low is None]:
+    if counts is None:
+        sizes = values.agg(*[F.count(a).alias(a) for a in alias.values()]).first().asDict()
+    else:
+        sizes = {a: counts[c] for c, a in alias.items()}
+    # a column with few rows has few distinct values; only the others are estimated
+    long = [a for a in alias.values() if sizes[a] > distinct_limit]
+    distinct = dict(sizes)
+    if long:
+        distinct |= values.agg(*[F.approx_count_distinct(a).alias(a) for a in long]).first().asDict()
+    targets = [_Target(a, p, sizes[a], distinct=distinct[a]) for a in alias.values() for p in probs if sizes[a]]
+    while wide := [t for t in targets if t.distinct > distinct_limit and (t.low is None or t.low != t.high)]:
         _narrow(values, wide)
     found = _order_statistics(values, targets)
     out: dict[str, list[float | None]] = {}
