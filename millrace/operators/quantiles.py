@@ -134,34 +134,34 @@ def _order_statistics(values: DataFrame, targets: list[_Target]) -> dict[tuple[s
     """Values at the wanted ranks, from (value, count) tables of the open brackets."""
     if not targets:
         return {}
-    brackets = sorted({(t.column, t.low, t.high, t.below) for t in targets}, key=repr)
+    ranks: dict[tuple, set[int]] = {}
+    for t in targets:
+        ranks.setdefault((t.column, t.low, t.high, t.below), set()).update(t.ranks)
+    brackets = list(ranks)
     entries = []
-    for i, (a, low, high, below) in enumerate(brackets):
-        probe = _Target(a, 0.0, 1, low, high)
-        entries.append(F.when(probe.within(F.col(a)),
-                              F.struct(F.lit(i).alias("bracket"), F.col(a).alias("value"))))
+    for a, low, high, _ in brackets:
+        within = _Target(a, 0.0, 1, low, high).within(F.col(a))
+        entries.append(F.col(a) if low is None else F.when(within, F.col(a)))
     counted = (
-        values.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.bracket", "e.value")
+        values.select(F.posexplode(F.array(*entries)).alias("bracket", "value"))
+        .where(F.col("value").isNotNull())
+        .groupBy("bracket", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # at most DISTINCT_LIMIT rows per bracket
-    running = Window.partitionBy("bracket").orderBy("value")
-    upto = F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, 0))
-    wanted = F.lit(False)
-    for i, (a, low, high, below) in enumerate(brackets):
-        for t in targets:
-            if (t.column, t.low, t.high, t.below) == (a, low, high, below):
-                for r in t.ranks:
-                    holds = (F.col("upto") > r - below) & (F.col("upto") - F.col("n") <= r - below)
-                    wanted = wanted | ((F.col("bracket") == i) & holds)
-    rows = counted.withColumn("upto", upto).where(wanted).collect()
+    # at most DISTINCT_LIMIT rows per bracket; the other side has one row per bracket
+    wanted = values.sparkSession.createDataFrame(
+        [(i, sorted(r - b[3] for r in ranks[b])) for i, b in enumerate(brackets)], "bracket int, ranks array<bigint>"
+    )
+    running = Window.partitionBy("bracket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    hits = F.filter("ranks", lambda r: (F.col("upto") > r) & (F.col("upto") - F.col("n") <= r))
+    rows = (
+        counted.withColumn("upto", F.sum("n").over(running))
+        .join(F.broadcast(wanted), "bracket")
+        .select("bracket", "value", F.explode(hits).alias("rank"))
+        .collect()
+    )
     out = {}
     for row in rows:
-        a, low, high, below = brackets[row["bracket"]]
-        for t in targets:
-            if (t.column, t.low, t.high, t.below) == (a, low, high, below):
-                for r in t.ranks:
-                    if row["upto"] - row["n"] <= r - below < row["upto"]:
-                        out[a, r] = row["value"]
+        a, _, _, below = brackets[row["bracket"]]
+        out[a, row["rank"] + below] = row["value"]
     return out

@@ -40,7 +40,7 @@ def write_csv(df: DataFrame, path: str, separator: str = ",") -> None:
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.MapType, T.ArrayType, T.StructType)):
             flat = flat.withColumn(field.name, F.to_json(F.col(field.name)))
-    flat.write.option("header", True).option("sep", separator).csv(path)
+    flat.write.option("header", True).option("sep", separator).option("escape", '"').csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
