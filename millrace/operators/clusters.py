@@ -296,7 +296,8 @@ def lloyd_step(df: DataFrame, features: Sequence[str], centres: Sequence[Sequenc
 
 
 def one_start(df: DataFrame, k: int, seed: int, max_iter: int, vector: str = "features") -> KMeansModel:
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=vector, predictionCol="cluster").fit(df)
+    """One seeded fit; scaled features are dense, so distances are computed block by block."""
+    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=vector, predictionCol="cluster", solver="block").fit(df)
 
 
 def lowest_cost(models: Sequence[KMeansModel]) -> KMeansModel:
@@ -305,9 +306,11 @@ def lowest_cost(models: Sequence[KMeansModel]) -> KMeansModel:
 
 
 def fit_kmeans(df: DataFrame, k: int, n_init: int = 10, max_iter: int = 300, seed: int = 42,
-               vector: str = "features") -> KMeansModel:
-    """The lowest-cost fit of ``n_init`` seeded starts."""
-    return lowest_cost([one_start(df, k, seed + i, max_iter, vector) for i in range(n_init)])
+               vector: str = "features", parallelism: int = 4) -> KMeansModel:
+    """The lowest-cost fit of ``n_init`` seeded starts, several at a time."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        starts = [pool.submit(one_start, df, k, seed + i, max_iter, vector) for i in range(n_init)]
+        return lowest_cost([s.result() for s in starts])
 
 
 def kmeans_encoder(df: DataFrame, numeric: Sequence[str]) -> tuple[list[NumericFit], PipelineModel]:

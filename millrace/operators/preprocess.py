@@ -76,10 +76,12 @@ class Moments:
     var: float
     low: float | None
     high: float | None
+    distinct: int = 0  # estimated, never less than the estimate of any part
 
     @classmethod
     def of(cls, row, i: int) -> "Moments":
-        return cls(row["rows"], row[f"n{i}"], row[f"mean{i}"] or 0.0, row[f"var{i}"] or 0.0, row[f"min{i}"], row[f"max{i}"])
+        return cls(row["rows"], row[f"n{i}"], row[f"mean{i}"] or 0.0, row[f"var{i}"] or 0.0, row[f"min{i}"], row[f"max{i}"],
+                   row[f"d{i}"])
 
     def merge(self, other: "Moments") -> "Moments":
         n = self.n + other.n
@@ -89,7 +91,8 @@ class Moments:
         spread = sum(p.n * (p.var + (p.mean - mean) ** 2) for p in (self, other))
         lows = [x for x in (self.low, other.low) if x is not None]
         highs = [x for x in (self.high, other.high) if x is not None]
-        return Moments(self.rows + other.rows, n, mean, spread / n, min(lows), max(highs))
+        return Moments(self.rows + other.rows, n, mean, spread / n, min(lows), max(highs),
+                       self.distinct + other.distinct)
 
     def filled(self, value: float) -> "Moments":
         """The same rows with the nulls replaced by a value."""
@@ -102,7 +105,7 @@ def _moments(df: DataFrame, columns: Sequence[str]) -> list:
     for i, c in enumerate(columns):
         x = number(df, c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.var_pop(x).alias(f"var{i}"),
-                 F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+                 F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"), F.approx_count_distinct(x).alias(f"d{i}")]
     return aggs
 
 
@@ -120,7 +123,7 @@ def _numeric_fit(column: str, m: Moments, fill: float | None, scaling: str) -> N
 def _fills(df: DataFrame, moments: dict[str, Moments], strategy: str, constant: float) -> dict[str, float | None]:
     columns = list(moments)
     if strategy == "median":
-        found = exact_quantiles(df, columns, [0.5], counts={c: m.n for c, m in moments.items()})
+        found = exact_quantiles(df, columns, [0.5], known={c: (m.n, m.distinct) for c, m in moments.items()})
         return {c: v[0] for c, v in found.items()}
     if strategy == "mean":
         return {c: m.mean if m.n else None for c, m in moments.items()}

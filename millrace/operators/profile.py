@@ -58,10 +58,10 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     for i, c in enumerate(columns):
         x = number(df, c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
-                 F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+                 F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"), F.approx_count_distinct(x).alias(f"d{i}")]
     stats = df.agg(*aggs).first()
     quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75),
-                                counts={c: stats[f"n{i}"] for i, c in enumerate(columns)})
+                                known={c: (stats[f"n{i}"], stats[f"d{i}"]) for i, c in enumerate(columns)})
     rows = [
         (c, stats[f"n{i}"], stats[f"mean{i}"], stats[f"std{i}"], stats[f"min{i}"],
          *quartiles[c], stats[f"max{i}"])
@@ -97,7 +97,7 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
     totals = counts.agg(F.sum("n").alias("n_rows"), F.count("value").alias("distinct")).first()
     return counts.where(F.col("value").isNotNull()).select(
         "value", "n", (F.col("n") * 100 / F.lit(totals["n_rows"])).alias("percent"),
-        F.lit(dict(df.dtypes)[target]).alias("type"), F.lit(totals["distinct"]).alias("distinct"),
+        F.lit(dict(df.dtypes)[target]).alias("type"), F.lit(totals["distinct"]).cast("bigint").alias("distinct"),
     )
 
 
@@ -111,8 +111,9 @@ def prediction_confidence(df: DataFrame, probabilities: Column) -> DataFrame:
     """mean, median, min and max of the largest class probability per row."""
     top = df.select(F.array_max(probabilities).alias("confidence"))
     stats = top.agg(F.avg("confidence").alias("mean"), F.min("confidence").alias("min"),
-                    F.max("confidence").alias("max"), F.count("confidence").alias("n")).first()
-    median = exact_quantiles(top, ["confidence"], [0.5], counts={"confidence": stats["n"]})["confidence"][0]
+                    F.max("confidence").alias("max"), F.count("confidence").alias("n"),
+                    F.approx_count_distinct("confidence").alias("d")).first()
+    median = exact_quantiles(top, ["confidence"], [0.5], known={"confidence": (stats["n"], stats["d"])})["confidence"][0]
     return df.sparkSession.createDataFrame(
         [(stats["mean"], median, stats["min"], stats["max"])],
         "mean double, median double, min double, max double",

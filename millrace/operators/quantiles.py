@@ -18,6 +18,7 @@ from millrace.functions.columns import number
 
 DISTINCT_LIMIT = 200_000
 SKETCH_ACCURACY = 2_000
+MAX_ROUNDS = 12
 
 
 @dataclass
@@ -33,6 +34,7 @@ class _Target:
     inside: int = 0
     distinct: int = 0
     slack: float = 1.5
+    rounds: int = 0
 
     def __post_init__(self) -> None:
         self.inside = self.n
@@ -56,19 +58,26 @@ class _Target:
 
 def _narrow(values: DataFrame, targets: list[_Target]) -> None:
     """One round: a sketch inside each bracket, then a counting pass that proves it."""
-    probes = []
-    for i, t in enumerate(targets):
+    sketches: dict[tuple, list[float]] = {}
+    place: list[tuple[tuple, int]] = []
+    for t in targets:
         step = t.slack / SKETCH_ACCURACY
         first, last = (r - t.below for r in t.ranks)
         span = max(t.inside - 1, 1)
-        lo, hi = max(first / span - step, 0.0), min(last / span + step, 1.0)
-        inside = F.when(t.within(F.col(t.column)), F.col(t.column))
-        probes.append(F.percentile_approx(inside, [lo, hi], SKETCH_ACCURACY).alias(f"b{i}"))
-    found = values.agg(*probes).first()
+        probes = sketches.setdefault((t.column, t.low, t.high), [])
+        place.append(((t.column, t.low, t.high), len(probes)))
+        probes += [max(first / span - step, 0.0), min(last / span + step, 1.0)]
+    aggs = []
+    for i, ((a, low, high), probes) in enumerate(sketches.items()):
+        inside = F.when(_Target(a, 0.0, 1, low, high).within(F.col(a)), F.col(a))
+        aggs.append(F.percentile_approx(inside, probes, SKETCH_ACCURACY).alias(f"b{i}"))
+    row = values.agg(*aggs).first()
+    found = dict(zip(sketches, row))
+    bounds = [found[key][at : at + 2] for key, at in place]
     checks = []
     for i, t in enumerate(targets):
         x = F.col(t.column)
-        lo, hi = F.lit(found[f"b{i}"][0]), F.lit(found[f"b{i}"][1])
+        lo, hi = F.lit(bounds[i][0]), F.lit(bounds[i][1])
         inside = (x >= lo) & (x <= hi)
         checks += [
             F.count_if(x < lo).alias(f"below{i}"),
@@ -80,12 +89,16 @@ def _narrow(values: DataFrame, targets: list[_Target]) -> None:
         below, inside = seen[f"below{i}"], seen[f"inside{i}"]
         first, last = t.ranks
         if below <= first and last < below + inside and inside < t.inside:
-            t.low, t.high = found[f"b{i}"]
-            t.below, t.inside, t.distinct = below, inside, seen[f"distinct{i}"]
+            t.low, t.high = bounds[i]
+            t.below, t.inside, t.distinct = below, inside, 1 if t.low == t.high else seen[f"distinct{i}"]
         elif below <= first and last < below + inside:
-            t.distinct = 0  # the bracket cannot shrink further: few distinct values carry it
+            # the bracket did not shrink: few distinct values carry it, or the probes were too wide
+            t.distinct, t.slack = seen[f"distinct{i}"], t.slack / 4
         else:
             t.slack *= 4
+        t.rounds += 1
+        if t.rounds >= MAX_ROUNDS:
+            t.distinct = 0  # count what is left, however much it is
 
 
 def exact_quantiles(
@@ -93,27 +106,25 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     distinct_limit: int = DISTINCT_LIMIT,
-    counts: Mapping[str, int] | None = None,
+    known: Mapping[str, tuple[int, int]] | None = None,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles per column, nulls and NaN skipped.
 
-    ``counts`` gives the non-null rows per column where the caller already has them.
+    ``known`` gives the non-null rows and the estimated distinct values per column where
+    the caller already has them from another pass.
     """
     if not columns:
         return {}
     alias = {c: f"c{i}" for i, c in enumerate(columns)}
     values = df.select(*[number(df, c).alias(alias[c]) for c in columns])
-    if counts is None:
-        sizes = values.agg(*[F.count(a).alias(a) for a in alias.values()]).first().asDict()
-    else:
-        sizes = {a: counts[c] for c, a in alias.items()}
-    # a column with few rows has few distinct values; only the others are estimated
-    long = [a for a in alias.values() if sizes[a] > distinct_limit]
-    distinct = dict(sizes)
-    if long:
-        distinct |= values.agg(*[F.approx_count_distinct(a).alias(a) for a in long]).first().asDict()
-    targets = [_Target(a, p, sizes[a], distinct=distinct[a]) for a in alias.values() for p in probs if sizes[a]]
-    while wide := [t for t in targets if t.distinct > distinct_limit and (t.low is None or t.low != t.high)]:
+    if known is None:
+        row = values.agg(
+            *[F.count(a).alias(f"n_{a}") for a in alias.values()],
+            *[F.approx_count_distinct(a).alias(f"d_{a}") for a in alias.values()],
+        ).first()
+        known = {c: (row[f"n_{a}"], row[f"d_{a}"]) for c, a in alias.items()}
+    targets = [_Target(a, p, known[c][0], distinct=min(known[c])) for c, a in alias.items() for p in probs if known[c][0]]
+    while wide := [t for t in targets if t.distinct > distinct_limit]:
         _narrow(values, wide)
     found = _order_statistics(values, targets)
     out: dict[str, list[float | None]] = {}
@@ -132,8 +143,11 @@ def exact_quantiles(
 
 def _order_statistics(values: DataFrame, targets: list[_Target]) -> dict[tuple[str, int], float]:
     """Values at the wanted ranks, from (value, count) tables of the open brackets."""
+    # a bracket of one value needs no further look
+    out = {(t.column, r): t.low for t in targets if t.low is not None and t.low == t.high for r in t.ranks}
+    targets = [t for t in targets if t.low is None or t.low != t.high]
     if not targets:
-        return {}
+        return out
     ranks: dict[tuple, set[int]] = {}
     for t in targets:
         ranks.setdefault((t.column, t.low, t.high, t.below), set()).update(t.ranks)
@@ -160,7 +174,6 @@ def _order_statistics(values: DataFrame, targets: list[_Target]) -> dict[tuple[s
         .select("bracket", "value", F.explode(hits).alias("rank"))
         .collect()
     )
-    out = {}
     for row in rows:
         a, _, _, below = brackets[row["bracket"]]
         out[a, row["rank"] + below] = row["value"]
