@@ -70,3 +70,15 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def settled(df: DataFrame, limit: int = 50_000) -> DataFrame:
+    """A small result as a local table that joins by broadcast; a larger one unchanged.
+
+    At most ``limit`` + 1 rows reach the driver, so the broadcast is bounded by what was counted,
+    and the big side of the join is never shuffled while the small side is being computed.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in rows], df.schema))

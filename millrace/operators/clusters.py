@@ -8,10 +8,11 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import col, quoted, spread
+from millrace.functions.columns import col, quoted, settled, spread
 from millrace.operators.curves import bin_of
 from millrace.operators.preprocess import NumericFit, encoder_stages, learn_numeric
 from millrace.operators.silhouette import choose_method, euclidean_silhouettes, squared_silhouette
@@ -68,7 +69,7 @@ def davies_bouldin(
     d = len(features)
     rows = df.select(*parts, col(cluster).alias("cluster"),
                      *[col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
-    # the moment table has one row per cluster; Spark broadcasts it by its measured size
+    stats = settled(stats)  # one row per cluster
     gap = F.sqrt(_total([F.pow(F.col(f"x{i}") - F.col(f"m{i}"), 2) for i in range(d)]))
     scatter = rows.join(stats, [*parts, "cluster"]).groupBy(*parts, "cluster").agg(
         F.avg(gap).alias("s"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(d)]
@@ -248,8 +249,9 @@ def cluster_feature_histograms(
         *[F.min(x).alias(f"min{i}") for i, x in enumerate(xs)],
         *[F.max(x).alias(f"max{i}") for i, x in enumerate(xs)],
     )
-    spread = ranges.agg(*[F.var_samp(f"mean{i}").alias(f"s{i}") for i in range(len(xs))]).first()
-    chosen = sorted(range(len(xs)), key=lambda i: (-(spread[f"s{i}"] or 0.0), i))[:top]
+    ranges = settled(ranges)  # one row per cluster
+    between = ranges.agg(*[F.var_samp(f"mean{i}").alias(f"s{i}") for i in range(len(xs))]).first()
+    chosen = sorted(range(len(xs)), key=lambda i: (-(between[f"s{i}"] or 0.0), i))[:top]
     binned, edges = [], []
     for i in chosen:
         lo, hi = F.col(f"min{i}"), F.col(f"max{i}")
@@ -363,16 +365,17 @@ def evaluate_k_range(df: DataFrame, spec: Spec) -> KMeansRange:
     fits, encoder = kmeans_encoder(df, spec.numeric)
     run = KMeansRange(spec, fits, encoder)
     scaled = [f"_num_{f.column}" for f in fits]
-    ready = spread(encoder.transform(df).select(*[quoted(c) for c in scaled], "features")).persist()
+    ready = spread(encoder.transform(df).select("features")).persist()
     try:
         with ThreadPoolExecutor(spec.parallelism) as pool:
             starts = {k: [pool.submit(one_start, ready, k, spec.seed + i, spec.max_iter) for i in range(spec.n_init)]
                       for k in spec.k_range}
             run.models = {k: lowest_cost([s.result() for s in jobs]) for k, jobs in starts.items()}
-        assigned = ready
+        x = vector_to_array("features")
+        assigned = ready.select("features", *[x[i].alias(c) for i, c in enumerate(scaled)])
         for k, model in run.models.items():
             assigned = model.copy({model.predictionCol: f"c{k}"}).transform(assigned)
-        method = choose_method(ready, scaled, spec.silhouette)
+        method = choose_method(assigned, scaled, spec.silhouette)
         table = k_table(
             assigned, scaled, {k: f"c{k}" for k in run.models}, method, "features",
             {k: m.clusterCenters() for k, m in run.models.items()},

@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from millrace.functions.columns import col, quoted, row_hash
 
-PREFIX_STEP = 3
+STEPS = (3, 2, 1)  # characters a prefix may grow by in one pass
+LEVEL_ROWS = 100_000  # prefix counts wanted on the driver per pass
 FINISH_BELOW = 20_000  # rows or distinct keys left under the open prefixes before keys are listed
 CROWDED = 0.05
 EXPAND_CHUNK = 1_000_000
@@ -100,7 +101,10 @@ def locate_cuts(
         counted = rows.groupBy("g", F.substring("o", 1, length).alias("p")).count()
         return {(r["g"], r["p"]): r["count"] for r in counted.collect()}
 
-    length = min(PREFIX_STEP, width)
+    def step(parents: int) -> int:
+        return next((s for s in STEPS if parents * 16**s <= LEVEL_ROWS), STEPS[-1])
+
+    length = min(STEPS[0] if group is None else STEPS[1], width)
     level = histogram(length, set())
     sizes: dict[str, int] = {}
     for (g, _), n in level.items():
@@ -142,7 +146,7 @@ def locate_cuts(
         few_left = sum(parents.values()) <= FINISH_BELOW
         if crowded and not few_left:
             few_left = distinct_under(set(parents)) <= FINISH_BELOW
-        length = width if few_left else min(length + PREFIX_STEP, width)
+        length = width if few_left else min(length + step(len(parents)), width)
         level = histogram(length, set(parents))
     for cuts in done.values():
         cuts.sort(key=lambda c: c.rank)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import col, is_missing, number, numeric_columns, string_columns
 from millrace.operators.quantiles import exact_quantiles
 
+SHORT_VALUE = 64
+VALUE_HEAD = 32
+
 
 def unpivot_structs(entries: Sequence[Column]) -> Column:
     return F.explode(F.array(*entries))
@@ -71,20 +74,41 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def profile_top_values(df: DataFrame, top: int = 5, columns: Sequence[str] | None = None) -> DataFrame:
-    """The most frequent non-null values per text column, smaller value first on ties."""
+    """(column, value, n, rank): the most frequent non-null values per text column.
+
+    Equal counts are ordered by value. Long values are counted under a short key, their head and
+    digest, so whole texts are not shuffled; the texts of the few winners are fetched in a second scan.
+    """
     columns = list(columns or string_columns(df))
+    spark = df.sparkSession
     if not columns:
-        return df.sparkSession.createDataFrame([], "column string, value string, n bigint, rank int")
+        return spark.createDataFrame([], "column string, value string, n bigint, rank int")
+    value = F.col("e.value")
+    long = F.length(value) > SHORT_VALUE
+    key = F.when(long, F.concat(F.left(value, F.lit(VALUE_HEAD)), F.md5(value))).otherwise(value)
     entries = [F.struct(F.lit(c).alias("column"), col(c).alias("value")) for c in columns]
-    counts = (
-        df.select(unpivot_structs(entries).alias("e"))
-        .where(F.col("e.value").isNotNull())
-        .groupBy("e.column", "e.value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    cells = df.select(unpivot_structs(entries).alias("e")).where(value.isNotNull()).select(
+        "e.column", key.alias("key"), long.alias("long"), "e.value"
     )
-    # the rank filter lets Spark keep only the top rows of each task before the shuffle
-    best = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-    return counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    counts = cells.groupBy("column", "long", "key").agg(F.count(F.lit(1)).alias("n"))
+    # rank limits let Spark keep only the top rows of each task before the shuffle
+    by_head = Window.partitionBy("column").orderBy(F.desc("n"), F.left("key", F.lit(VALUE_HEAD)))
+    leaders = counts.withColumn("place", F.rank().over(by_head)).where(F.col("place") <= top).drop("place").persist()
+    try:
+        if leaders.where("long").isEmpty():
+            named = leaders.withColumn("value", F.col("key"))
+        else:
+            texts = cells.where("long").join(leaders, ["column", "long", "key"]).groupBy("column", "key").agg(
+                F.first("value").alias("value"), F.first("n").alias("n")
+            )
+            short = leaders.where("not long").select("column", "key", F.col("key").alias("value"), "n")
+            named = short.unionByName(texts)
+        best = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
+        ranked = named.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+        rows = ranked.select("column", "value", "n", "rank").collect()  # top rows per column
+    finally:
+        leaders.unpersist()
+    return spark.createDataFrame([tuple(r) for r in rows], "column string, value string, n bigint, rank int")
 
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:

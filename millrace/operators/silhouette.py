@@ -26,7 +26,8 @@ from millrace.functions.columns import col
 # the grouped function travels with its code, so executors need only numpy and pandas
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-POINTS_PER_BLOCK = 4_096
+# a task holds two blocks; larger blocks mean fewer copies of each point in the shuffle
+SMALLEST_BLOCK, LARGEST_BLOCK, BLOCKS_WANTED = 1_024, 16_384, 16
 CHUNK = 512
 AUTO_LIMIT = 100_000  # distinct points up to which "auto" takes the exact Euclidean form
 
@@ -79,7 +80,7 @@ def _points(df: DataFrame, features: Sequence[str], clusters: Sequence[str]) ->
 
 
 def euclidean_silhouettes(
-    df: DataFrame, features: Sequence[str], clusters: Sequence[str], points_per_block: int = POINTS_PER_BLOCK
+    df: DataFrame, features: Sequence[str], clusters: Sequence[str], points_per_block: int | None = None
 ) -> dict[str, float | None]:
     """Mean silhouette per assignment column; singletons count 0; one cluster gives None."""
     points = _points(df, features, clusters).persist()
@@ -90,7 +91,8 @@ def euclidean_silhouettes(
             rows = points.groupBy(f"c{i}").agg(F.sum("w").alias("n")).orderBy(f"c{i}").collect()
             sizes.append([(r[f"c{i}"], r["n"]) for r in rows])
         width = sum(len(s) for s in sizes)
-        blocks = max(1, -(-n_points // points_per_block))
+        size = points_per_block or min(LARGEST_BLOCK, max(SMALLEST_BLOCK, n_points // BLOCKS_WANTED))
+        blocks = max(1, -(-n_points // size))
         xs = [F.col(f"x{i}") for i in range(len(features))]
         cs = [F.col(f"c{i}") for i in range(len(clusters))]
         coded = []

@@ -100,25 +100,31 @@ def stratified_kfold(
     return membership(df, "fold", plan, key, seed, group=label)
 
 
-def label_mapping(df: DataFrame, target: str) -> DataFrame:
-    """(value, code): classes in sorted order, coded 0..C-1. C rows."""
-    values = df.where(col(target).isNotNull()).groupBy(col(target).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return values.select("value", (F.row_number().over(Window.orderBy("value")) - 1).alias("code"), "n")
+MAX_CLASSES = 10_000  # more distinct targets than this is not a classification
+INLINE_CLASSES = 64
 
 
 def class_codes(df: DataFrame, target: str) -> list:
     """The sorted classes; position is the code."""
-    return [r["value"] for r in label_mapping(df, target).orderBy("code").collect()]
+    values = df.where(col(target).isNotNull()).select(col(target).alias("value")).distinct()
+    rows = values.limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {target}")
+    return sorted(r["value"] for r in rows)
 
 
 def encode_label(df: DataFrame, target: str, classes: Sequence, out: str = "label") -> DataFrame:
     """Replace classes by codes; a class that was not learned is an error."""
-    known = F.lit(None).cast("double")
-    for code, value in reversed(list(enumerate(classes))):
-        known = F.when(col(target) == F.lit(value), F.lit(float(code))).otherwise(known)
     unseen = F.raise_error(F.concat(F.lit(f"unseen or null class in {target}: "),
-                                    F.coalesce(col(target).cast("string"), F.lit("null"))))
-    return df.withColumn(out, F.coalesce(known, unseen.cast("double")))
+                                    F.coalesce(col(target).cast("string"), F.lit("null")))).cast("double")
+    if len(classes) <= INLINE_CLASSES:
+        known = F.lit(None).cast("double")
+        for code, value in reversed(list(enumerate(classes))):
+            known = F.when(col(target) == F.lit(value), F.lit(float(code))).otherwise(known)
+        return df.withColumn(out, F.coalesce(known, unseen))
+    codes = df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(classes)], "_value string, _code double")
+    joined = df.join(F.broadcast(codes), col(target).cast("string") == F.col("_value"), "left")
+    return joined.withColumn(out, F.coalesce("_code", unseen)).drop("_value", "_code")
 
 
 def with_label(df: DataFrame, spec: Spec, classes: Sequence | None) -> DataFrame:

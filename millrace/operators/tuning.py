@@ -101,39 +101,43 @@ def cross_validate(
         for c in candidates:
             unique.setdefault(c.fingerprint(spec.task), c)
 
-        def fit(job: tuple[str, int]):
-            name, fold = job
+        outer = min(len(unique), spec.parallelism)
+        inner = max(1, spec.parallelism // outer)
+
+        def fit(candidate: Candidate, fold: int):
             start = time.monotonic()
             train = encoders[fold].transform(base.where(F.col("fold") != fold)).select("features", "label")
-            model = fit_model(train, unique[name].kind, unique[name].params, spec, stats[fold])
+            model = fit_model(train, candidate.kind, candidate.params, spec, stats[fold])
             return model, time.monotonic() - start
 
-        def score(models: dict[int, tuple]) -> dict[tuple, dict[str, float]]:
-            frames = []
-            for fold, (model, _) in models.items():
-                scored = model.transform(encoders[fold].transform(base))
-                part = F.when(F.col("fold") == fold, "test").otherwise("train")
-                columns = [F.lit(fold).alias("held_out"), part.alias("part"), "label", "prediction"]
-                if spec.is_classification:
-                    columns.append(vector_to_array("probability").alias("probability"))
-                frames.append(scored.select(*columns))
-            together = reduce(DataFrame.unionAll, frames).persist()
+        def scored(fold: int, model) -> DataFrame:
+            out = model.transform(encoders[fold].transform(base))
+            part = F.when(F.col("fold") == fold, "test").otherwise("train")
+            columns = [F.lit(fold).alias("held_out"), part.alias("part"), "label", "prediction"]
+            if spec.is_classification:
+                columns.append(vector_to_array("probability").alias("probability"))
+            return out.select(*columns)
+
+        def run(candidate: Candidate) -> tuple[dict[tuple, dict[str, float]], dict[int, float]]:
+            """Fit all folds, score them together, keep only the numbers."""
+            folds = sorted(stats)
+            with ThreadPoolExecutor(inner) as pool:
+                fits = dict(zip(folds, pool.map(lambda f: fit(candidate, f), folds)))
+            together = reduce(DataFrame.unionAll, [scored(f, m) for f, (m, _) in fits.items()]).persist()
             try:
-                return score_parts(together, metrics, spec.task, ["held_out", "part"], n_classes,
-                                   sum(sizes.values()) * len(sizes))
+                values = score_parts(together, metrics, spec.task, ["held_out", "part"], n_classes,
+                                     sum(sizes.values()) * len(sizes))
             finally:
                 together.unpersist()
+            return values, {f: seconds for f, (_, seconds) in fits.items()}
 
-        with ThreadPoolExecutor(spec.parallelism) as pool:
-            fits = {(name, fold): pool.submit(fit, (name, fold)) for name in unique for fold in sorted(stats)}
-            models = {name: {f: fits[name, f].result() for f in sorted(stats)} for name in unique}
-            values = dict(zip(models, pool.map(score, models.values())))
+        with ThreadPoolExecutor(outer) as pool:
+            results = dict(zip(unique, pool.map(run, unique.values())))
         rows = []
         for c in candidates:
-            name = c.fingerprint(spec.task)
-            for (fold, part), by_metric in values[name].items():
-                seconds = models[name][fold][1]
-                rows += [(c.name, fold, part, m, float(v), seconds) for m, v in by_metric.items()]
+            values, seconds = results[c.fingerprint(spec.task)]
+            for (fold, part), by_metric in values.items():
+                rows += [(c.name, fold, part, m, float(v), seconds[fold]) for m, v in by_metric.items()]
     finally:
         base.unpersist()
     return df.sparkSession.createDataFrame(rows, SCORE_SCHEMA)
