@@ -126,7 +126,7 @@ def ranked_scores(
     With few distinct scores one window per part does it. With many, scores are bucketed by
     approximate quantiles, running sums are taken inside each bucket, and the totals of
     the higher buckets (a table of at most MAX_BUCKETS rows per part) are added. A known
-    ``n_rows`` within one bucket saves the pass that estimates the distinct scores.
+    ``n_rows`` of the largest part saves the pass that estimates the distinct scores if it fits.
     """
     positive = (col(y_true) == 1).cast("bigint")
     base = df.select(*parts, col(score).cast("double").alias("score"), positive.alias("pos"))
@@ -136,7 +136,8 @@ def ranked_scores(
     if n_rows is not None and n_rows <= scores_per_bucket:
         distinct = n_rows
     else:
-        distinct = base.agg(F.approx_count_distinct(F.struct(*parts, "score")).alias("d")).first()["d"]
+        per_part = base.groupBy(*parts).agg(F.approx_count_distinct("score").alias("d"))
+        distinct = per_part.agg(F.max("d").alias("d")).first()["d"] or 0
     upto = (Window.unboundedPreceding, 0)
     if distinct <= scores_per_bucket:
         order = Window.partitionBy(*parts).orderBy(F.desc("score"))
@@ -270,11 +271,11 @@ def score_parts(
         put(ranking_metrics(positive, "label", "score", parts, n_rows=n_rows), {m: (m, 1.0) for m in ranking})
     if "roc_auc_ovr_weighted" in names or (multiclass and "roc_auc" in names):
         table = roc_auc_ovr_weighted(scored, "label", F.col("probability"), parts,
-                                     n_rows=n_rows and n_rows * n_classes)
+                                     n_rows=n_rows)
         put(table, {m: ("roc_auc", 1.0) for m in names if m in ("roc_auc", "roc_auc_ovr_weighted")})
     if multiclass and "average_precision" in names:
         long = one_vs_rest(scored, "label", F.col("probability"), parts)
-        per_class = ranking_metrics(long, "hit", "score", [*parts, "class"])
+        per_class = ranking_metrics(long, "hit", "score", [*parts, "class"], n_rows=n_rows)
         put(per_class.groupBy(*parts).agg(F.avg("average_precision").alias("average_precision")),
             {"average_precision": ("average_precision", 1.0)})
     return out

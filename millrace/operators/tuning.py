@@ -126,7 +126,7 @@ def cross_validate(
             together = reduce(DataFrame.unionAll, [scored(f, m) for f, (m, _) in fits.items()]).persist()
             try:
                 values = score_parts(together, metrics, spec.task, ["held_out", "part"], n_classes,
-                                     sum(sizes.values()) * len(sizes))
+                                     sum(sizes.values()))
             finally:
                 together.unpersist()
             return values, {f: seconds for f, (_, seconds) in fits.items()}

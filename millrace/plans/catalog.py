@@ -324,17 +324,15 @@ def pca_project_2d(spark, sf_dir):
 # --- models --------------------------------------------------------------------------------------
 
 
-def _line_data(spark, sf_dir):
-    """Encoded lines with label codes."""
+def _labelled_lines(spark, sf_dir):
     df = fx.lines(spark, sf_dir)
-    labelled = splits.encode_label(df, "cls", splits.class_codes(df, "cls"))
-    encoder = preprocess.preprocessor(fx.LINE_SPEC).fit(labelled)
-    return labelled, encoder
+    return splits.encode_label(df, "cls", splits.class_codes(df, "cls"))
 
 
 @query
 def logistic_regression(spark, sf_dir):
-    labelled, encoder = _line_data(spark, sf_dir)
+    labelled = _labelled_lines(spark, sf_dir)
+    encoder = preprocess.preprocessor(fx.LINE_SPEC).fit(labelled)
     kind, params = models.baseline(fx.LINE_SPEC)
     model = models.fit_model(encoder.transform(labelled), kind, params, fx.LINE_SPEC)
     rows = models.coefficients(model, preprocess.feature_names(encoder))
@@ -371,10 +369,10 @@ def save_load_model(spark, sf_dir):
     return tidy(score(sinks.load_model(path), df).select("p_partkey", "prediction"))
 
 
-def _stump(spark, sf_dir, label: str, spec) -> DataFrame:
+def _stump(spark, sf_dir, label: str, spec, kind: str = "decision_tree", **params) -> DataFrame:
     df = fx.table(spark, sf_dir, "lineitem").selectExpr("l_quantity", f"{label} as label")
     encoder = preprocess.Preprocessor(numeric=["l_quantity"], scaling="none").fit(df)
-    model = models.fit_model(encoder.transform(df), "decision_tree", {"max_depth": 1}, spec)
+    model = models.fit_model(encoder.transform(df), kind, {"max_depth": 1, **params}, spec)
     return PipelineModel([*encoder.stages, model]).transform(df)
 
 
@@ -393,12 +391,20 @@ def decision_tree_regressor(spark, sf_dir):
     return tidy(side.agg(F.count(F.lit(1)).alias("n"), F.min("l_quantity").alias("low"), F.max("l_quantity").alias("high")), 4)
 
 
+@query
+def random_forest_single_tree(spark, sf_dir):
+    """One tree on all rows and features is a decision tree."""
+    scored = _stump(spark, sf_dir, "l_extendedprice", fx.PART_SPEC, "random_forest", n_estimators=1, bootstrap=False)
+    side = scored.groupBy("prediction")
+    return tidy(side.agg(F.count(F.lit(1)).alias("n"), F.min("l_quantity").alias("low"), F.max("l_quantity").alias("high")), 4)
+
+
 FOREST = {"n_estimators": 10, "max_depth": 5}
 
 
 @query
 def random_forest_classifier(spark, sf_dir):
-    labelled, _ = _line_data(spark, sf_dir)
+    labelled = _labelled_lines(spark, sf_dir)
     model = tuning.refit(labelled, fx.LINE_SPEC, *models.forest(fx.LINE_SPEC, **FOREST))
     return score(model, labelled).groupBy("cls", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
@@ -414,14 +420,14 @@ def random_forest_regressor(spark, sf_dir):
 
 @query
 def feature_importance(spark, sf_dir):
-    labelled, _ = _line_data(spark, sf_dir)
+    labelled = _labelled_lines(spark, sf_dir)
     model = tuning.refit(labelled, fx.LINE_SPEC, *models.forest(fx.LINE_SPEC, **FOREST))
     return models.importance_table(spark, model.stages[-1], preprocess.feature_names(model), 10)
 
 
 @query
 def score_rows(spark, sf_dir):
-    labelled, _ = _line_data(spark, sf_dir)
+    labelled = _labelled_lines(spark, sf_dir)
     model = tuning.refit(labelled, fx.LINE_SPEC, *models.baseline(fx.LINE_SPEC))
     return score(model, labelled).select(*fx.LINE_KEY, F.col("prediction").cast("int").alias("prediction"),
                                          F.round(F.col("probability")[1], 3).alias("p_yes"))
@@ -447,16 +453,34 @@ def cv_summary(spark, sf_dir):
     return tidy(tuning.cv_summary(scores).select("candidate", "part", "metric", "mean", "std"))
 
 
+RIDGES = {f"ridge_{a}": {"alpha": float(a)} for a in (1, 100, 10000)}
+
+
+def _ridge_scores(spark, sf_dir):
+    candidates = [Candidate(name, "ridge", params) for name, params in RIDGES.items()]
+    return tuning.cross_validate(_folded_parts(spark, sf_dir), fx.PART_SPEC, candidates)
+
+
 @query
 def model_comparison(spark, sf_dir):
-    candidates = [Candidate(f"ridge_{a}", "ridge", {"alpha": float(a)}) for a in (1, 100, 10000)]
-    scores = tuning.cross_validate(_folded_parts(spark, sf_dir), fx.PART_SPEC, candidates)
-    return tidy(tuning.model_comparison(scores, "r2").drop("seconds"))
+    return tidy(tuning.model_comparison(_ridge_scores(spark, sf_dir), "r2").drop("seconds"))
+
+
+@query
+def search_ranking(spark, sf_dir):
+    table = tuning.search_table(_ridge_scores(spark, sf_dir).where("metric = 'r2'"), RIDGES)
+    ranked = tuning.rank_candidates(table)
+    return tidy(ranked.select("candidate", "mean_test", "std_test", "mean_train", "std_train", "rank"))
+
+
+@query
+def learning_curve(spark, sf_dir):
+    table = tuning.search_table(_ridge_scores(spark, sf_dir).where("metric = 'r2'"), RIDGES)
+    return tidy(curves.learning_curve(table, "alpha"))
 
 
 def _folded_lines(spark, sf_dir):
-    labelled, _ = _line_data(spark, sf_dir)
-    return tuning.with_folds(labelled, fx.LINE_SPEC)
+    return tuning.with_folds(_labelled_lines(spark, sf_dir), fx.LINE_SPEC)
 
 
 @query
@@ -471,12 +495,6 @@ def random_search(spark, sf_dir):
     return tuning.random_search(_folded_lines(spark, sf_dir), fx.LINE_SPEC).ranking.drop("seconds")
 
 
-@query
-def learning_curve(spark, sf_dir):
-    result = tuning.random_search(_folded_lines(spark, sf_dir), fx.LINE_SPEC)
-    return curves.learning_curve(result.scores, "max_depth")
-
-
 @query
 def grid_search(spark, sf_dir):
     best = {"min_samples_leaf": 2, "max_features": "sqrt"}
@@ -733,8 +751,8 @@ def job_train_multiclass(spark, sf_dir):
 
 @query
 def job_train_regression(spark, sf_dir):
-    spec = fx.PART_SPEC.but(numeric=("p_partkey", "p_size"), categorical=("p_brand",))
-    return jobs.train(fx.table(spark, sf_dir, "part"), spec).long
+    df = fx.table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    return tidy(jobs.train(df, fx.PART_SPEC).long, 4)
 
 
 @query

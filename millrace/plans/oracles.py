@@ -308,9 +308,13 @@ SQL["decision_tree_classifier"] = stump(f"cast({fx.LINE_COLUMNS['cls']} = 'yes'
 SQL["decision_tree_regressor"] = stump("l_extendedprice", r("avg(y)", 4)).format(name="prediction")
 
 
-def ridge_cv(alphas) -> str:
+SQL["random_forest_single_tree"] = SQL["decision_tree_regressor"]
+XY = "select p_partkey, cast(p_partkey as double) as x, p_retailprice as y from part"
+
+
+def ridge_cv(alphas, source: str = f"({XY})") -> str:
     """Per-fold ridge on one feature standardised with the statistics of the other folds."""
-    parts = plain_folds("(select p_partkey, cast(p_partkey as double) as x, p_retailprice as y from part)", PART_HASH)
+    parts = plain_folds(source, PART_HASH)
     return f"""base as ({parts}),
 alpha as (select unnest([{', '.join(f'cast({a} as double)' for a in alphas)}]) as alpha),
 h as (select unnest(range(5)) as held),
@@ -332,6 +336,16 @@ SQL["model_comparison"] = f"""with {ridge_cv([1, 100, 10000])} select 'ridge_' |
  {r("avg(case when metric = 'r2' then score end)")} as r2, {r("stddev_pop(case when metric = 'r2' then score end)")} as r2_std
  from sc where part = 'test' group by alpha"""
 
+SQL["search_ranking"] = f"""with {ridge_cv([1, 100, 10000])}, rk as (select alpha,
+ avg(score) filter (part = 'test') as mean_test, stddev_pop(score) filter (part = 'test') as std_test,
+ avg(score) filter (part = 'train') as mean_train, stddev_pop(score) filter (part = 'train') as std_train
+ from sc where metric = 'r2' group by alpha)
+select 'ridge_' || cast(alpha as int) as candidate, {r('mean_test')} as mean_test, {r('std_test')} as std_test,
+ {r('mean_train')} as mean_train, {r('std_train')} as std_train, cast(rank() over (order by mean_test desc) as int) as rank from rk"""
+SQL["learning_curve"] = f"""with {ridge_cv([1, 100, 10000])} select cast(alpha as varchar) as value,
+ {r("avg(score) filter (part = 'train')")} as train_score, {r("avg(score) filter (part = 'test')")} as test_score
+ from sc where metric = 'r2' group by alpha"""
+
 # --- evaluation ----------------------------------------------------------------------------------
 
 SQL["confusion_matrix"] = f"""with x as ({SCORED}), l as (select distinct y_true as v from x union select distinct y_pred from x)
@@ -405,3 +419,17 @@ select 'nulls', "column", 'fraction', {r('fraction')} from m where fraction > 0.
 select 'missing', "column", 'count', missing from m union all
 select 'missing', "column", 'percent', {r('fraction * 100')} from m union all
 select 'target', cls, 'percent', {r('count(*) * 100.0 / (select count(*) from x)')} from x group by cls"""
+
+# split, fold the training rows, cross-validate, refit on the training rows, score the test rows
+TRAIN = f"""parts as (select *, row_number() over (order by {PART_HASH}) <= count(*) over () - cast(ceil(0.2 * count(*) over ()) as bigint)
+ as is_train from ({XY}))"""
+SQL["job_train_regression"] = f"""with {TRAIN}, {ridge_cv([1], '(select p_partkey, x, y from parts where is_train)')},
+cv as (select metric, avg(score) as mean, stddev_pop(score) as std from sc where part = 'test' group by metric),
+st as (select avg(x) as mx, stddev_pop(x) as sx, avg(y) as my from parts where is_train),
+fit as (select sum((x - mx) / sx * (y - my)) / (count(*) + 1) as w, max(mx) as mx, max(sx) as sx, max(my) as my from parts, st where is_train),
+e as (select y, my + w * (x - mx) / sx as p from parts, fit where not is_train),
+v as (select avg((y - p)^2) as mse, avg(abs(y - p)) as mae, var_pop(y) as v, avg(abs((y - p) / y)) * 100 as mape from e)
+select 'cross_validation' as section, 'baseline' as item, metric || '_mean' as metric, {r('mean', 4)} as value from cv union all
+select 'cross_validation', 'baseline', metric || '_std', {r('std', 4)} from cv union all
+select 'metric', 'baseline', u.metric, round(u.value, 4) + 0.0 from v,
+ lateral (values ('mse', mse), ('rmse', sqrt(mse)), ('mae', mae), ('r2', 1 - mse / v), ('mape', mape)) u(metric, value)"""
