@@ -72,18 +72,19 @@ def davies_bouldin(
     stats = settled(stats)  # one row per cluster
     gap = F.sqrt(_total([F.pow(F.col(f"x{i}") - F.col(f"m{i}"), 2) for i in range(d)]))
     scatter = rows.join(stats, [*parts, "cluster"]).groupBy(*parts, "cluster").agg(
-        F.avg(gap).alias("s"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(d)]
+        F.avg(gap).alias("s"), F.array(*[F.first(f"m{i}") for i in range(d)]).alias("mean")
     )
-    one = scatter.withColumn("_all", F.lit(1))
-    other = one.select(*parts, "_all", F.col("cluster").alias("c2"), F.col("s").alias("s2"),
-                       *[F.col(f"m{i}").alias(f"q{i}") for i in range(d)])
-    apart = F.sqrt(_total([F.pow(F.col(f"m{i}") - F.col(f"q{i}"), 2) for i in range(d)]))
-    ratio = F.when(apart > 0, (F.col("s") + F.col("s2")) / apart).otherwise(0.0)
-    worst = (
-        one.join(other, [*parts, "_all"]).where(F.col("cluster") != F.col("c2"))
-        .groupBy(*parts, "cluster").agg(F.max(ratio).alias("worst"))
-    )
-    return worst.groupBy(*parts).agg(F.avg("worst").alias("davies_bouldin"))
+    # every cluster of a part beside the list of them all: k entries, no join
+    every = scatter.groupBy(*parts).agg(F.collect_list(F.struct("cluster", "s", "mean")).alias("all"))
+    one = every.select(*parts, "all", F.explode("all").alias("c"))
+
+    def ratio(o: Column) -> Column:
+        squares = F.zip_with(F.col("c")["mean"], o["mean"], lambda a, b: (a - b) * (a - b))
+        apart = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
+        return F.when((o["cluster"] != F.col("c")["cluster"]) & (apart > 0), (F.col("c")["s"] + o["s"]) / apart).otherwise(0.0)
+
+    worst = one.select(*parts, F.array_max(F.transform("all", ratio)).alias("worst"), F.size("all").alias("_n"))
+    return worst.groupBy(*parts).agg(F.avg(F.when(F.col("_n") > 1, F.col("worst"))).alias("davies_bouldin"))
 
 
 def size_map(cluster: Column, n: Column) -> Column:

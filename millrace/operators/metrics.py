@@ -129,7 +129,9 @@ def ranked_scores(
     ``n_rows`` of the largest part saves the pass that estimates the distinct scores if it fits.
     """
     positive = (col(y_true) == 1).cast("bigint")
-    base = df.select(*parts, col(score).cast("double").alias("score"), positive.alias("pos"))
+    given = F.coalesce(col(score).cast("double"), F.raise_error(F.lit(f"row without {score}")).cast("double"))
+    # no row fails this filter; stated here, it is the same in every branch below, which then share one shuffle
+    base = df.select(*parts, given.alias("score"), positive.alias("pos")).where(F.col("score").isNotNull())
     grouped = base.groupBy(*parts, "score").agg(
         F.sum("pos").alias("pos"), (F.count(F.lit(1)) - F.sum("pos")).alias("neg")
     )

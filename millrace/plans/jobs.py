@@ -179,6 +179,8 @@ def tune_prepared(data: Prepared, spec: Spec) -> JobResult:
     values |= tested.values
     spark = data.split.sparkSession
     rows = [("tuning", name, "best_score", s.best_score) for name, s in stages.items()]
+    rows += [("best_params", name, f"{k}={v}", float(v) if isinstance(v, (int, float)) else None)
+             for name, s in stages.items() for k, v in s.best_params.items()]
     if "improvement" in values:
         rows.append(("tuning", "grid", "improvement", values["improvement"]))
     tables = {"ranking": ranking, **tested.tables}
