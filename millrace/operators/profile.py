@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import col, is_missing, number, numeric_columns, string_columns
+from millrace.functions.columns import col, is_missing, number, numeric_columns, settled, string_columns
 from millrace.operators.quantiles import exact_quantiles
 
 SHORT_VALUE = 64
@@ -93,22 +93,15 @@ def profile_top_values(df: DataFrame, top: int = 5, columns: Sequence[str] | Non
     counts = cells.groupBy("column", "long", "key").agg(F.count(F.lit(1)).alias("n"))
     # rank limits let Spark keep only the top rows of each task before the shuffle
     by_head = Window.partitionBy("column").orderBy(F.desc("n"), F.left("key", F.lit(VALUE_HEAD)))
-    leaders = counts.withColumn("place", F.rank().over(by_head)).where(F.col("place") <= top).drop("place").persist()
-    try:
-        if leaders.where("long").isEmpty():
-            named = leaders.withColumn("value", F.col("key"))
-        else:
-            texts = cells.where("long").join(leaders, ["column", "long", "key"]).groupBy("column", "key").agg(
-                F.first("value").alias("value"), F.first("n").alias("n")
-            )
-            short = leaders.where("not long").select("column", "key", F.col("key").alias("value"), "n")
-            named = short.unionByName(texts)
-        best = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-        ranked = named.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
-        rows = ranked.select("column", "value", "n", "rank").collect()  # top rows per column
-    finally:
-        leaders.unpersist()
-    return spark.createDataFrame([tuple(r) for r in rows], "column string, value string, n bigint, rank int")
+    leaders = settled(counts.withColumn("place", F.rank().over(by_head)).where(F.col("place") <= top).drop("place"))
+    named = leaders.where("not long").select("column", F.col("key").alias("value"), "n")
+    if not leaders.where("long").isEmpty():
+        texts = cells.where("long").join(leaders, ["column", "long", "key"]).groupBy("column", "key").agg(
+            F.first("value").alias("value"), F.first("n").alias("n")
+        )
+        named = named.unionByName(texts.drop("key"))
+    best = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
+    return named.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
 
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:

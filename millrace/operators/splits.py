@@ -7,7 +7,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from millrace.functions.columns import col, quoted
@@ -122,16 +121,21 @@ def encode_label(df: DataFrame, target: str, classes: Sequence, out: str = "labe
         for code, value in reversed(list(enumerate(classes))):
             known = F.when(col(target) == F.lit(value), F.lit(float(code))).otherwise(known)
         return df.withColumn(out, F.coalesce(known, unseen))
-    codes = df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(classes)], "_value string, _code double")
+    codes = df.sparkSession.createDataFrame([(str(v), float(i)) for i, v in enumerate(classes)], "_value string, _code double")
     joined = df.join(F.broadcast(codes), col(target).cast("string") == F.col("_value"), "left")
     return joined.withColumn(out, F.coalesce("_code", unseen)).drop("_value", "_code")
 
 
+def plain_codes(classes: Sequence) -> bool:
+    """Whether the classes already are the codes 0..C-1."""
+    return all(not isinstance(v, str) and v == i for i, v in enumerate(classes))
+
+
 def with_label(df: DataFrame, spec: Spec, classes: Sequence | None) -> DataFrame:
-    """Add the numeric ``label``; the target must exist."""
+    """Add the numeric ``label``; the target must exist. Classes other than 0..C-1 become codes."""
     if spec.target not in df.columns:
         raise ValueError(f"target column {spec.target!r} not found")
-    if spec.is_classification and isinstance(df.schema[spec.target].dataType, T.StringType):
+    if spec.is_classification and classes is not None and not plain_codes(classes):
         return encode_label(df, spec.target, classes)
     return df.withColumn("label", col(spec.target).cast("double"))
 

@@ -331,11 +331,8 @@ def _labelled_lines(spark, sf_dir):
 
 @query
 def logistic_regression(spark, sf_dir):
-    labelled = _labelled_lines(spark, sf_dir)
-    encoder = preprocess.preprocessor(fx.LINE_SPEC).fit(labelled)
-    kind, params = models.baseline(fx.LINE_SPEC)
-    model = models.fit_model(encoder.transform(labelled), kind, params, fx.LINE_SPEC)
-    rows = models.coefficients(model, preprocess.feature_names(encoder))
+    model = tuning.refit(_labelled_lines(spark, sf_dir), fx.LINE_SPEC, *models.baseline(fx.LINE_SPEC))
+    rows = models.coefficients(model.stages[-1], preprocess.feature_names(model))
     return tidy(spark.createDataFrame(rows, "feature string, class int, value double"), 3)
 
 
@@ -344,9 +341,8 @@ def logistic_regression_multiclass(spark, sf_dir):
     df = fx.table(spark, sf_dir, "events")
     spec = fx.EVENT_SPEC
     labelled = splits.encode_label(df, "event_type", splits.class_codes(df, "event_type"))
-    encoder = preprocess.preprocessor(spec).fit(labelled)
-    model = models.fit_model(encoder.transform(labelled), *models.baseline(spec), spec)
-    rows = models.coefficients(model, preprocess.feature_names(encoder))
+    model = tuning.refit(labelled, spec, *models.baseline(spec))
+    rows = models.coefficients(model.stages[-1], preprocess.feature_names(model))
     return tidy(spark.createDataFrame(rows, "feature string, class int, value double"), 3)
 
 

@@ -67,8 +67,7 @@ def prepare(df: DataFrame, spec: Spec) -> Prepared:
     split = _persisted_split(df, spec)
     train = split.where("split = 'train'").drop("split")
     test = split.where("split = 'test'").drop("split")
-    text = dict(df.dtypes)[spec.target] == "string"
-    classes = class_codes(train, spec.target) if spec.is_classification and text else None
+    classes = class_codes(train, spec.target) if spec.is_classification else None
     return Prepared(split, with_label(train, spec, classes), with_label(test, spec, classes), classes)
 
 

@@ -6,6 +6,8 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import settled
+from millrace.operators import profile
 from millrace.sources import readers, sinks
 
 TEXT = """age;emp.var.rate;job;empty;code;flag
@@ -82,6 +84,20 @@ def test_runs_accumulate(spark, path, tmp_path):
     assert all(r["n_rows"] == 4 and isinstance(r["finished_at"], datetime.datetime) for r in rows)
 
 
+def test_top_values_of_long_texts(spark):
+    """Long texts share a head and a hot one holds a third of the rows; ties fall back to the whole text."""
+    head = "x" * 100
+    rows = [("hot " + head,)] * 30 + [(head + str(i),) for i in range(40)] + [("short",)] * 7 + [(None,)] * 3
+    got = profile.profile_top_values(spark.createDataFrame(rows, "t string"), 4).orderBy("rank").collect()
+    assert [(r["value"], r["n"]) for r in got] == [
+        ("hot " + head, 30), ("short", 7), (head + "0", 1), (head + "1", 1)]
+
+
+def test_small_results_settle_and_large_ones_stay(spark):
+    df = spark.range(10)
+    assert settled(df).count() == 10 and settled(df, limit=5) is df
+
+
 def test_scratch_paths_are_new(spark):
     assert sinks.scratch_path(spark, "a") != sinks.scratch_path(spark, "a")
     assert sinks.scratch_path(spark, "a").startswith(sinks.shared_dir(spark))

@@ -162,3 +162,28 @@ def test_balanced_weights_average_to_one(spark):
 def test_small_tables_keep_exact_fold_sizes(spark, n, folds):
     got = counts(splits.kfold(spark.range(n), ["id"], folds), "fold")
     assert [got.get((f,), 0) for f in range(folds)] == splits.fold_sizes(n, folds)
+
+
+def test_numeric_classes_are_coded_only_when_needed(spark):
+    spec = Spec(target="y")
+    df = spark.createDataFrame([(1,), (2,), (1,)], "y int")
+    classes = splits.class_codes(df, "y")
+    assert classes == [1, 2] and not splits.plain_codes(classes)
+    assert [r["label"] for r in splits.with_label(df, spec, classes).collect()] == [0.0, 1.0, 0.0]
+    ready = spark.createDataFrame([(0,), (1,)], "y int")
+    assert [r["label"] for r in splits.with_label(ready, spec, [0, 1]).collect()] == [0.0, 1.0]
+
+
+def test_many_classes_are_coded_by_a_join(spark):
+    df = spark.range(200).select((F.col("id") * 3).alias("y"))
+    classes = splits.class_codes(df, "y")
+    got = splits.encode_label(df, "y", classes)
+    assert got.columns == ["y", "label"] and got.where("label <> y / 3").count() == 0 and got.count() == 200
+    with pytest.raises(Exception, match="unseen or null class"):
+        splits.encode_label(spark.createDataFrame([(1,)], "y bigint"), "y", classes).collect()
+
+
+def test_too_many_classes_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(splits, "MAX_CLASSES", 5)
+    with pytest.raises(ValueError, match="classes"):
+        splits.class_codes(spark.range(10), "id")
