@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, language, licences, quality_rules
+from millrace.llm import decontaminate, language, licences, line_dedup, line_quality, ngram_join, phrases, pieces, quality_rules, toxicity
+from millrace.llm.sampling import labelled_sample
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,19 @@ def fold(of: int):
     return F.crc32(F.col("doc_id").cast("string")) % of
 
 
+@query
+def op1_repeated_phrases(spark, sf_dir):
+    found = phrases.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op2_line_field(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = line_quality.learn(labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", fold(5) != 0, line_quality.FIT_ROWS))
+    return line_quality.predict(docs, model, ["doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out")])
+
+
 @query
 def op3_licence_scan(spark, sf_dir):
     return licences.scan(table(spark, sf_dir, "documents"))
@@ -45,6 +59,19 @@ def op5_language(spark, sf_dir):
     return language.predict(docs, model, ["doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out")])
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", fold(4) != 2, toxicity.FIT_ROWS))
+    return toxicity.predict(docs, model, ["doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out")])
+
+
+@query
+def op7_merge_dropout(spark, sf_dir):
+    found = pieces.encode(table(spark, sf_dir, "documents"), ["doc_id"], pieces.load_vocabulary())
+    return found.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), "decoded_same")
+
+
 @query
 def op8_decontaminate(spark, sf_dir):
     found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -54,6 +81,16 @@ def op8_decontaminate(spark, sf_dir):
     )
 
 
+@query
+def op9_fuzzy_lines(spark, sf_dir):
+    return line_dedup.removals(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def _sql_text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
