@@ -50,12 +50,19 @@ def number(df: DataFrame, name: str) -> Column:
     return c
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """MD5 of all cells. Each goes in with its length, and null as '-', so that different rows never spell the same text."""
+    cells = []
+    for c in columns:
+        text = col(c).cast("string")
+        cells.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.md5(F.concat_ws("|", *cells))
+
+
 def row_hash(columns: Sequence[str], seed: int | None = None) -> Column:
     """32 hex digits that order rows pseudo-randomly but reproducibly."""
-    parts = [F.coalesce(col(c).cast("string"), F.lit("")) for c in columns]
-    if seed is not None:
-        parts.append(F.lit(str(seed)))
-    return F.md5(F.concat_ws("|", *parts))
+    digest = row_digest(columns)
+    return digest if seed is None else F.md5(F.concat_ws("|", digest, F.lit(str(seed))))
 
 
 def rounded(c: Column, digits: int = 6) -> Column:
@@ -63,13 +70,9 @@ def rounded(c: Column, digits: int = 6) -> Column:
     return F.round(c, digits) + F.lit(0.0)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give iterative fits at least one partition per core.
-
-    Large tables already have more input splits than that and are returned unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Deal rows out by their content to a fixed number of partitions, so that a fit depends neither on the machine nor on the input's files."""
+    return df.repartition(partitions, F.xxhash64(*[col(c) for c in df.columns]))
 
 
 def settled(df: DataFrame, limit: int = 50_000) -> DataFrame:

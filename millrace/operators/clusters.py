@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import col, quoted, settled, spread
 from millrace.operators.curves import bin_of
 from millrace.operators.preprocess import NumericFit, encoder_stages, learn_numeric
-from millrace.operators.silhouette import choose_method, euclidean_silhouettes, squared_silhouette
+from millrace.operators.silhouette import check_method, euclidean_silhouettes, squared_silhouette
 from millrace.spec import Spec
 
 SELECTIONS = {"silhouette": "max", "calinski_harabasz": "max", "davies_bouldin": "min"}
@@ -204,7 +204,7 @@ def k_curves(table: DataFrame) -> DataFrame:
 def cluster_sizes(df: DataFrame, cluster: str) -> DataFrame:
     """(cluster, n, percent)."""
     counts = df.groupBy(col(cluster).alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("percent", F.col("n") * 100 / F.sum("n").over(Window.partitionBy()))
+    return counts.withColumn("percent", F.col("n") * 100 / counts.agg(F.sum("n")).scalar())
 
 
 def cluster_profile(df: DataFrame, cluster: str, numeric: Sequence[str]) -> DataFrame:
@@ -217,7 +217,7 @@ def cluster_profile(df: DataFrame, cluster: str, numeric: Sequence[str]) -> Data
         *[F.min(x).alias(f"min{i}") for i, x in enumerate(xs)],
         *[F.max(x).alias(f"max{i}") for i, x in enumerate(xs)],
     )
-    shares = wide.withColumn("percent", F.col("size") * 100 / F.sum("size").over(Window.partitionBy()))
+    shares = wide.withColumn("percent", F.col("size") * 100 / df.agg(F.count(F.lit(1))).scalar())
     entries = [
         F.struct(F.lit(c).alias("feature"), F.col(f"mean{i}").alias("mean"), F.col(f"std{i}").alias("std"),
                  F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max"))
@@ -366,7 +366,7 @@ def evaluate_k_range(df: DataFrame, spec: Spec) -> KMeansRange:
     fits, encoder = kmeans_encoder(df, spec.numeric)
     run = KMeansRange(spec, fits, encoder)
     scaled = [f"_num_{f.column}" for f in fits]
-    ready = spread(encoder.transform(df).select("features")).persist()
+    ready = spread(encoder.transform(df).select("features"), spec.fit_partitions).persist()
     try:
         with ThreadPoolExecutor(spec.parallelism) as pool:
             starts = {k: [pool.submit(one_start, ready, k, spec.seed + i, spec.max_iter) for i in range(spec.n_init)]
@@ -376,7 +376,7 @@ def evaluate_k_range(df: DataFrame, spec: Spec) -> KMeansRange:
         assigned = ready.select("features", *[x[i].alias(c) for i, c in enumerate(scaled)])
         for k, model in run.models.items():
             assigned = model.copy({model.predictionCol: f"c{k}"}).transform(assigned)
-        method = choose_method(assigned, scaled, spec.silhouette)
+        method = check_method(spec.silhouette)
         table = k_table(
             assigned, scaled, {k: f"c{k}" for k in run.models}, method, "features",
             {k: m.clusterCenters() for k, m in run.models.items()},

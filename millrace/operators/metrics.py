@@ -152,7 +152,8 @@ def ranked_scores(
         )
 
     n = min(MAX_BUCKETS, max(2, -(-distinct // scores_per_bucket)))
-    at = base.agg(F.percentile_approx("score", [i / n for i in range(1, n)], 10_000).alias("q")).first()["q"]
+    # over the distinct scores, which is what the buckets hold: a score that most rows share bounds one bucket at most
+    at = grouped.agg(F.percentile_approx("score", [i / n for i in range(1, n)], 10_000).alias("q")).first()["q"]
     splits = [float("-inf"), *sorted(set(at)), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(grouped)
     inside = Window.partitionBy(*parts, "bucket").orderBy(F.desc("score"))
@@ -168,7 +169,7 @@ def ranked_scores(
         F.coalesce(F.sum("bucket_neg").over(before), F.lit(0)).alias("neg_before"),
         F.lead("head").over(higher).alias("next_head"),
     )
-    return bucketed.join(F.broadcast(offsets), [*parts, "bucket"]).select(
+    return bucketed.join(offsets, [*parts, "bucket"]).select(
         *parts, "score", "pos", "neg",
         (F.sum("pos").over(inside.rowsBetween(*upto)) + F.col("pos_before")).alias("tp"),
         (F.sum("neg").over(inside.rowsBetween(*upto)) + F.col("neg_before")).alias("fp"),
@@ -230,6 +231,7 @@ def regression_metrics(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_p
 RANKING = {"roc_auc", "average_precision"}
 COUNTING = {"accuracy", "balanced_accuracy", "f1", "precision", "recall", "f1_weighted", "f1_macro",
             "precision_weighted", "recall_weighted", "precision_macro", "recall_macro"}
+BINARY = {"f1", "precision", "recall"}
 REGRESSION = {
     "neg_root_mean_squared_error": ("rmse", -1.0), "neg_mean_squared_error": ("mse", -1.0),
     "neg_mean_absolute_error": ("mae", -1.0), "r2": ("r2", 1.0), "rmse": ("rmse", 1.0),
@@ -264,6 +266,8 @@ def score_parts(
         put(regression_metrics(scored, "label", "prediction", parts), {m: REGRESSION[m] for m in names})
         return out
     counting = [m for m in names if m in COUNTING]
+    if n_classes > 2 and (single := sorted(BINARY & set(names))):
+        raise ValueError(f"{single} are defined for two classes; use the macro or weighted forms for {n_classes}")
     if counting:
         put(summary_metrics(scored, "label", "prediction", parts), {m: (m, 1.0) for m in counting})
     ranking = [m for m in names if m in RANKING]

@@ -17,20 +17,26 @@ from millrace.operators.splits import balanced_weights, weight_column
 from millrace.spec import Spec
 
 MAX_DEPTH = 30  # the deepest tree Spark grows
-MAX_BINS = 64
 NORMAL_SOLVER_WIDTH = 4096  # widest input of the normal-equation solver
 
+# Split criteria and penalties by the names users have, and Spark's.
+CRITERIA = {"classification": {None: "gini", "gini": "gini", "entropy": "entropy", "log_loss": "entropy"},
+            "regression": {None: "variance", "squared_error": "variance"}}
+PENALTIES = {"l2": 0.0, "l1": 1.0, "elasticnet": None, None: 0.0}
+
 CLASSIFIERS = ("logistic_regression", "decision_tree", "random_forest")
 REGRESSORS = ("ridge", "decision_tree", "random_forest")
 
 # Parameter names and defaults of each model.
 PARAMETERS: dict[str, dict[str, Any]] = {
-    "logistic_regression": {"C": 1.0, "max_iter": 100, "tol": 1e-6, "fit_intercept": True, "class_weight": None},
+    "logistic_regression": {"C": 1.0, "max_iter": 100, "tol": 1e-6, "fit_intercept": True, "class_weight": None,
+                            "penalty": "l2", "l1_ratio": None},
     "ridge": {"alpha": 1.0, "fit_intercept": True},
     "decision_tree": {"max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1, "criterion": None,
-                      "class_weight": None},
+                      "class_weight": None, "min_impurity_decrease": 0.0},
     "random_forest": {"n_estimators": 100, "max_depth": None, "max_features": None, "min_samples_split": 2,
-                      "min_samples_leaf": 1, "bootstrap": True, "criterion": None, "class_weight": None},
+                      "min_samples_leaf": 1, "bootstrap": True, "criterion": None, "class_weight": None, "min_impurity_decrease": 0.0,
+                      "subsampling_rate": 1.0},
 }
 
 
@@ -80,7 +86,12 @@ def _resolve(kind: str, params: Mapping[str, Any], task: str) -> dict[str, Any]:
     unknown = set(params) - set(PARAMETERS[kind])
     if unknown:
         raise ValueError(f"unknown parameters of {kind}: {sorted(unknown)}")
-    return {**PARAMETERS[kind], **params}
+    out = {**PARAMETERS[kind], **params}
+    if "criterion" in out and out["criterion"] not in CRITERIA[task]:
+        raise ValueError(f"criterion {out['criterion']!r} has no counterpart among Spark's {task} trees")
+    if "penalty" in out and out["penalty"] not in PENALTIES:
+        raise ValueError(f"unknown penalty: {out['penalty']!r}")
+    return out
 
 
 def feature_subset(value: Any, task: str) -> str:
@@ -95,12 +106,15 @@ def feature_subset(value: Any, task: str) -> str:
 def tree_size(p: Mapping[str, Any]) -> dict[str, int]:
     """Depth and leaf size. A minimum split size has no counterpart in Spark: half of it is
     required of both children, which is slightly stricter."""
-    depth = MAX_DEPTH if p["max_depth"] is None else min(int(p["max_depth"]), MAX_DEPTH)
+    if p["max_depth"] is not None and int(p["max_depth"]) > MAX_DEPTH:
+        raise ValueError(f"max_depth {p['max_depth']} is deeper than the {MAX_DEPTH} levels that Spark grows")
+    depth = MAX_DEPTH if p["max_depth"] is None else int(p["max_depth"])
     leaf = max(int(p["min_samples_leaf"]), math.ceil(p["min_samples_split"] / 2))
     return {"maxDepth": depth, "minInstancesPerNode": leaf}
 
 
-def estimator(kind: str, params: Mapping[str, Any], task: str, stats: LabelStats, seed: int, width: int = 0):
+def estimator(kind: str, params: Mapping[str, Any], task: str, stats: LabelStats, seed: int, width: int = 0,
+              max_bins: int = 64, memory_mb: int = 256):
     """The configured Spark estimator; class weights are expected in column ``weight``."""
     p = _resolve(kind, params, task)
     weighted = {"weightCol": "weight"} if p.get("class_weight") is not None else {}
@@ -108,7 +122,10 @@ def estimator(kind: str, params: Mapping[str, Any], task: str, stats: LabelStats
         # balanced weights sum to n, so the penalty per unit of weight is 1 / (C n)
         total = stats.n if weighted == {} or p["class_weight"] == "balanced" else sum(
             n * p["class_weight"].get(v, 1.0) for v, n in stats.counts)
-        return LogisticRegression(regParam=1.0 / (p["C"] * total), elasticNetParam=0.0, standardization=False,
+        mix = PENALTIES[p["penalty"]]
+        mix = (p["l1_ratio"] or 0.0) if mix is None else mix
+        strength = 0.0 if p["penalty"] is None else 1.0 / (p["C"] * total)
+        return LogisticRegression(regParam=strength, elasticNetParam=mix, standardization=False,
                                   maxIter=p["max_iter"], tol=p["tol"], fitIntercept=p["fit_intercept"], **weighted)
     if kind == "ridge":
         # Spark divides the penalty by the label spread it measures: population for the
@@ -118,15 +135,17 @@ def estimator(kind: str, params: Mapping[str, Any], task: str, stats: LabelStats
         return LinearRegression(regParam=p["alpha"] * spread / max(stats.n, 1), elasticNetParam=0.0,
                                 standardization=False, fitIntercept=p["fit_intercept"],
                                 solver="normal" if normal else "l-bfgs", maxIter=1000)
-    size = {**tree_size(p), "maxBins": MAX_BINS, "seed": seed}
+    # deep trees need a pass for each group of nodes: cached node ids and room for more nodes keep the passes few and cheap
+    size = {**tree_size(p), "maxBins": max_bins, "seed": seed, "cacheNodeIds": True, "maxMemoryInMB": memory_mb,
+            "minInfoGain": float(p["min_impurity_decrease"]), "impurity": CRITERIA[task][p["criterion"]]}
     if kind == "decision_tree":
         if task == "classification":
-            return DecisionTreeClassifier(impurity=p["criterion"] or "gini", **size, **weighted)
+            return DecisionTreeClassifier(**size, **weighted)
         return DecisionTreeRegressor(**size)
     grow = {"numTrees": int(p["n_estimators"]), "bootstrap": bool(p["bootstrap"]),
-            "featureSubsetStrategy": feature_subset(p["max_features"], task)}
+            "featureSubsetStrategy": feature_subset(p["max_features"], task), "subsamplingRate": float(p["subsampling_rate"])}
     if task == "classification":
-        return RandomForestClassifier(impurity=p["criterion"] or "gini", **size, **grow, **weighted)
+        return RandomForestClassifier(**size, **grow, **weighted)
     return RandomForestRegressor(**size, **grow)
 
 
@@ -139,11 +158,21 @@ def add_weights(df: DataFrame, params: Mapping[str, Any], stats: LabelStats) ->
 
 
 def fit_model(
-    df: DataFrame, kind: str, params: Mapping[str, Any], spec: Spec, stats: LabelStats | None = None, width: int = 0
+    df: DataFrame, kind: str, params: Mapping[str, Any], spec: Spec, stats: LabelStats | None = None, width: int | None = None
 ) -> Model:
-    """Fit one model on columns features and label."""
+    """Fit one model on columns features and label; ``width`` of the vectors is looked up if not given."""
     stats = stats or label_stats(df, spec.task)
-    return estimator(kind, params, spec.task, stats, spec.seed, width).fit(add_weights(df, params, stats))
+    width = vector_width(df) if width is None else width
+    return estimator(kind, params, spec.task, stats, spec.seed, width, spec.max_bins, spec.tree_memory_mb).fit(add_weights(df, params, stats))
+
+
+def vector_width(df: DataFrame, vector: str = "features") -> int:
+    """From the column's metadata, else from one row."""
+    known = df.schema[vector].metadata.get("ml_attr", {}).get("num_attrs")
+    if known is not None:
+        return int(known)
+    row = df.select(vector).first()
+    return row[0].size if row else 0
 
 
 def importances(model: Model, names: list[str], top: int | None = None) -> list[tuple[str, float]]:

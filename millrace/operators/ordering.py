@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,9 +164,12 @@ def _passed(key: Column, cuts: list[Cut]) -> Column:
 def _expand_equal_rows(
     df: DataFrame, key: Column, cuts: dict[str, list[Cut]], group: str | None, out: str
 ) -> DataFrame:
-    """Number the copies of each fully equal row from its count, in parallel chunks."""
+    """Number all rows under one order key from the counts of the fully equal ones, in parallel chunks."""
     columns = df.columns
     counted = df.groupBy(*[col(c) for c in columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    # different rows under one key are as rare as equal digests; still, each starts where the one before ends
+    before = Window.partitionBy(_group_code(group), key).orderBy(F.xxhash64(*[col(c) for c in columns])).rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("_start", F.coalesce(F.sum("_copies").over(before), F.lit(0)))
     chunks = counted.select(
         "*",
         F.explode(
@@ -182,7 +185,7 @@ def _expand_equal_rows(
             total = F.lit(0)
             for c in group_cuts:
                 if c.key == h and c.splits_ties:
-                    total = total + (F.col("_copy") + F.lit(c.below) >= F.lit(c.rank)).cast("int")
+                    total = total + (F.col("_copy") + F.col("_start") + F.lit(c.below) >= F.lit(c.rank)).cast("int")
                 else:
                     total = total + (key > F.lit(c.key)).cast("int")
             member = F.when((_group_code(group) == F.lit(g)) & (key == F.lit(h)), total).otherwise(member)
@@ -228,7 +231,7 @@ def membership(
         )
         tagged = (
             base.withColumn("_g", _group_code(group))
-            .join(F.broadcast(table), "_g")
+            .join(table, "_g")
             .withColumn(out, F.size(F.filter("_cuts", lambda c: F.col("_o") > c)))
         )
     keep = [quoted(c) for c in df.columns] + [out]

@@ -30,14 +30,13 @@ from pyspark.ml.param.shared import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import FLOATS, col, number, quoted
+from millrace.functions.columns import FLOATS, col, number, numeric_columns, quoted
 from millrace.operators.quantiles import exact_quantiles
 
 NUMERIC_STRATEGIES = ("median", "mean", "most_frequent", "constant")
 CATEGORICAL_STRATEGIES = ("most_frequent", "constant")
 SCALINGS = ("standard", "minmax", "none")
 MISSING_CATEGORY = "missing_value"
-MAX_CATEGORIES = 1_000_000  # one-hot width that still fits a model; more is an error
 SVD_MAX_COMPONENTS = 50
 
 
@@ -178,8 +177,10 @@ def learn_numeric_by_fold(
     return {f: [_numeric_fit(c, moments[names[f, c]], fills.get(names[f, c]), scaling) for c in columns] for f in folds}
 
 
-def category_counts(df: DataFrame, columns: Sequence[str], parts: Sequence[str] = ()) -> list[tuple]:
-    """(column, value, *parts, n) for every category; refused when too wide for one-hot encoding."""
+def category_counts(df: DataFrame, columns: Sequence[str], parts: Sequence[str] = (), most: int = 1_000_000) -> list[tuple]:
+    """(column, value, *parts, n) for every category; an error if one column has more than ``most`` of them.
+
+    The bound is per column, whatever the other columns and the parts hold."""
     if not columns:
         return []
     entries = [F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns]
@@ -187,17 +188,23 @@ def category_counts(df: DataFrame, columns: Sequence[str], parts: Sequence[str]
         df.select(*parts, F.explode(F.array(*entries)).alias("e"))
         .groupBy("e.column", "e.value", *parts).agg(F.count(F.lit(1)).alias("n"))
     )
-    # one row more than allowed is enough to refuse, so the driver never holds an unbounded table
-    rows = counts.limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories: too many for one-hot encoding")
-    return [tuple(r) for r in rows]
+    counts = counts.persist()
+    try:
+        distinct = counts.select("column", "value").distinct() if parts else counts
+        for r in distinct.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect():
+            if r["n"] > most:
+                raise ValueError(f"more than {most} categories in {r['column']}: too many for one-hot encoding")
+        return [tuple(r) for r in counts.collect()]
+    finally:
+        counts.unpersist()
 
 
 def choose_categories(
-    counts: Iterable[tuple[str, str | None, int]], columns: Sequence[str], strategy: str = "most_frequent"
+    counts: Iterable[tuple[str, str | None, int]], columns: Sequence[str], strategy: str = "most_frequent",
+    numbers: Iterable[str] = (),
 ) -> dict[str, tuple[str | None, list[str]]]:
-    """column -> (fill, sorted categories after filling). Empty columns are left out."""
+    """column -> (fill, sorted categories after filling). Empty columns are left out; those of ``numbers`` sort as numbers."""
+    numbers = set(numbers)
     if strategy not in CATEGORICAL_STRATEGIES:
         raise ValueError(f"unknown categorical strategy: {strategy}")
     per_column: dict[str, dict[str | None, int]] = {c: {} for c in columns}
@@ -206,23 +213,30 @@ def choose_categories(
     out = {}
     for c, all_counts in per_column.items():
         seen = {v: n for v, n in all_counts.items() if v is not None and n}
+
+        def order(v: str, number: bool = c in numbers) -> tuple:
+            try:
+                return (0, float(v), v) if number else (1, 0.0, v)
+            except ValueError:  # the constant fill
+                return (1, 0.0, v)
+
         if strategy == "constant":
             fill = MISSING_CATEGORY
             categories = set(seen) | ({fill} if all_counts.get(None) else set())
         elif seen:
-            fill = min(seen, key=lambda v: (-seen[v], v))
+            fill = min(seen, key=lambda v: (-seen[v], order(v)))
             categories = set(seen)
         else:
             continue
         if categories:
-            out[c] = (fill, sorted(categories))
+            out[c] = (fill, sorted(categories, key=order))
     return out
 
 
 def learn_categories(
-    df: DataFrame, columns: Sequence[str], strategy: str = "most_frequent"
+    df: DataFrame, columns: Sequence[str], strategy: str = "most_frequent", most: int = 1_000_000
 ) -> dict[str, tuple[str | None, list[str]]]:
-    return choose_categories(category_counts(df, columns), columns, strategy)
+    return choose_categories(category_counts(df, columns, most=most), columns, strategy, numeric_columns(df))
 
 
 def fit_by_fold(df: DataFrame, spec, folds: Sequence[int]) -> dict[int, PipelineModel]:
@@ -233,11 +247,11 @@ def fit_by_fold(df: DataFrame, spec, folds: Sequence[int]) -> dict[int, Pipeline
     """
     estimator = preprocessor(spec)
     numeric = learn_numeric_by_fold(df, list(spec.numeric), spec.numeric_strategy, spec.scaling, folds)
-    counts = category_counts(df, spec.categorical, ["fold"])
+    counts = category_counts(df, spec.categorical, ["fold"], spec.max_categories)
     out = {}
     for f in folds:
         rest = [(c, v, n) for c, v, fold, n in counts if fold != f]
-        cats = choose_categories(rest, spec.categorical, spec.categorical_strategy)
+        cats = choose_categories(rest, spec.categorical, spec.categorical_strategy, numeric_columns(df))
         out[f] = estimator.assemble(df.where(F.col("fold") != f), numeric[f], cats)
     return out
 
@@ -276,16 +290,17 @@ class Preprocessor(Estimator):
     categoricalStrategy = Param(Params._dummy(), "categoricalStrategy", "fill for text", TypeConverters.toString)
     scaling = Param(Params._dummy(), "scaling", "standard, minmax or none", TypeConverters.toString)
     reduce = Param(Params._dummy(), "reduce", "reduce dimensions", TypeConverters.toBoolean)
+    maxCategories = Param(Params._dummy(), "maxCategories", "most categories of one column", TypeConverters.toInt)
     varianceRatio = Param(Params._dummy(), "varianceRatio", "variance to keep", TypeConverters.toFloat)
     outputCol = Param(Params._dummy(), "outputCol", "vector column", TypeConverters.toString)
 
     @keyword_only
     def __init__(self, *, numeric=(), categorical=(), numericStrategy="median", categoricalStrategy="most_frequent",
-                 scaling="standard", reduce=False, varianceRatio=0.95, outputCol="features"):
+                 scaling="standard", reduce=False, varianceRatio=0.95, outputCol="features", maxCategories=1_000_000):
         super().__init__()
         given = dict(self._input_kwargs)
         self._setDefault(numeric=[], categorical=[], numericStrategy="median", categoricalStrategy="most_frequent",
-                         scaling="standard", reduce=False, varianceRatio=0.95, outputCol="features")
+                         scaling="standard", reduce=False, varianceRatio=0.95, outputCol="features", maxCategories=1_000_000)
         for name in ("numeric", "categorical"):
             if name in given:
                 given[name] = list(given[name])
@@ -296,7 +311,7 @@ class Preprocessor(Estimator):
         if not numeric and not categorical:
             raise ValueError("no features given")
         fits = learn_numeric(df, numeric, self.getOrDefault("numericStrategy"), self.getOrDefault("scaling"))
-        cats = learn_categories(df, categorical, self.getOrDefault("categoricalStrategy"))
+        cats = learn_categories(df, categorical, self.getOrDefault("categoricalStrategy"), self.getOrDefault("maxCategories"))
         return self.assemble(df, fits, cats)
 
     def assemble(self, df: DataFrame, fits: Sequence[NumericFit], cats: dict) -> PipelineModel:
@@ -361,7 +376,7 @@ def preprocessor(spec, **changes) -> Preprocessor:
     """The estimator for a spec."""
     given = dict(numeric=list(spec.numeric), categorical=list(spec.categorical),
                  numericStrategy=spec.numeric_strategy, categoricalStrategy=spec.categorical_strategy,
-                 scaling=spec.scaling, reduce=spec.pca, varianceRatio=spec.variance_ratio)
+                 scaling=spec.scaling, reduce=spec.pca, varianceRatio=spec.variance_ratio, maxCategories=spec.max_categories)
     return Preprocessor(**{**given, **changes})
 
 

@@ -121,7 +121,7 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
 def share_by_class(df: DataFrame, prediction: str) -> DataFrame:
     """(prediction, n, percent) per predicted class; one row per class."""
     counts = df.groupBy(col(prediction).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("percent", F.col("n") * 100 / F.sum("n").over(Window.partitionBy()))
+    return counts.withColumn("percent", F.col("n") * 100 / counts.agg(F.sum("n")).scalar())
 
 
 def prediction_confidence(df: DataFrame, probabilities: Column) -> DataFrame:
@@ -135,7 +135,3 @@ def prediction_confidence(df: DataFrame, probabilities: Column) -> DataFrame:
         [(stats["mean"], median, stats["min"], stats["max"])],
         "mean double, median double, min double, max double",
     )
-
-
-def shape(df: DataFrame) -> tuple[int, int]:
-    return df.count(), len(df.columns)

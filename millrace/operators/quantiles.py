@@ -2,7 +2,8 @@
 
 Columns with few distinct values are reduced to (value, count) first. For the others a
 sketch gives a narrow bracket around the wanted ranks, one pass counts the rows below
-and inside it, and the bracket is narrowed until few distinct values are left in it.
+and inside it, and the bracket is narrowed until few distinct values are left in it. Where sketches stop helping, the bracket's range of
+values is halved pass by pass, so it always ends, and no task ever gets more than ``DISTINCT_LIMIT`` values.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from millrace.functions.columns import number
 
 DISTINCT_LIMIT = 200_000
 SKETCH_ACCURACY = 2_000
-MAX_ROUNDS = 12
+SKETCH_ROUNDS = 4  # brackets that a sketch did not settle by then are halved
 
 
 @dataclass
@@ -35,6 +36,7 @@ class _Target:
     distinct: int = 0
     slack: float = 1.5
     rounds: int = 0
+    pair: tuple[float, float] | None = None  # the two values themselves
 
     def __post_init__(self) -> None:
         self.inside = self.n
@@ -97,8 +99,33 @@ def _narrow(values: DataFrame, targets: list[_Target]) -> None:
         else:
             t.slack *= 4
         t.rounds += 1
-        if t.rounds >= MAX_ROUNDS:
-            t.distinct = 0  # count what is left, however much it is
+
+
+def _halve(values: DataFrame, targets: list[_Target]) -> None:
+    """One round by value: keep the half of each bracket that holds its ranks; if they lie on both sides, their two values are known."""
+    bare = [t for t in targets if t.low is None or t.high is None]
+    if bare:
+        ends = values.agg(*[f(t.column).alias(f"{n}{i}") for i, t in enumerate(bare) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+        for i, t in enumerate(bare):
+            t.low, t.high = ends[f"lo{i}"], ends[f"hi{i}"]
+    aggs, middles = [], []
+    for i, t in enumerate(targets):
+        x, middle = F.col(t.column), t.low / 2 + t.high / 2
+        middles.append(middle)
+        left, right = t.within(x) & (x <= F.lit(middle)), t.within(x) & (x > F.lit(middle))
+        aggs += [F.count_if(left).alias(f"n{i}"), F.max(F.when(left, x)).alias(f"l{i}"), F.min(F.when(right, x)).alias(f"r{i}"),
+                 F.approx_count_distinct(F.when(left, x)).alias(f"dl{i}"), F.approx_count_distinct(F.when(right, x)).alias(f"dr{i}")]
+    seen = values.agg(*aggs).first()
+    for i, t in enumerate(targets):
+        n, (first, last) = seen[f"n{i}"], t.ranks
+        if last < t.below + n:
+            t.high, t.inside, t.distinct = seen[f"l{i}"], n, seen[f"dl{i}"]
+        elif first >= t.below + n:
+            t.low, t.below, t.inside, t.distinct = seen[f"r{i}"], t.below + n, t.inside - n, seen[f"dr{i}"]
+        else:
+            t.pair, t.distinct = (seen[f"l{i}"], seen[f"r{i}"]), 0
+        if t.low == t.high:
+            t.distinct = 1
 
 
 def exact_quantiles(
@@ -125,7 +152,9 @@ def exact_quantiles(
         known = {c: (row[f"n_{a}"], row[f"d_{a}"]) for c, a in alias.items()}
     targets = [_Target(a, p, known[c][0], distinct=min(known[c])) for c, a in alias.items() for p in probs if known[c][0]]
     while wide := [t for t in targets if t.distinct > distinct_limit]:
-        _narrow(values, wide)
+        for narrow, some in ((_narrow, [t for t in wide if t.rounds < SKETCH_ROUNDS]), (_halve, [t for t in wide if t.rounds >= SKETCH_ROUNDS])):
+            if some:
+                narrow(values, some)
     found = _order_statistics(values, targets)
     out: dict[str, list[float | None]] = {}
     for c, a in alias.items():
@@ -145,7 +174,10 @@ def _order_statistics(values: DataFrame, targets: list[_Target]) -> dict[tuple[s
     """Values at the wanted ranks, from (value, count) tables of the open brackets."""
     # a bracket of one value needs no further look
     out = {(t.column, r): t.low for t in targets if t.low is not None and t.low == t.high for r in t.ranks}
-    targets = [t for t in targets if t.low is None or t.low != t.high]
+    for t in targets:
+        if t.pair is not None:
+            out.update(zip([(t.column, r) for r in t.ranks], t.pair))
+    targets = [t for t in targets if t.pair is None and (t.low is None or t.low != t.high)]
     if not targets:
         return out
     ranks: dict[tuple, set[int]] = {}

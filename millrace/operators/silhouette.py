@@ -5,8 +5,8 @@ collapsed to one weighted point, the points are hashed into blocks, and each pai
 task-sized group: it holds two blocks, computes their distances in chunks and emits
 one row of per-cluster distance sums per point. Distances are shared by all assignments, each
 pair of blocks is computed once for both directions, and no pair of points is ever a row.
-The work is quadratic in distinct points, so large tables use ``method="squared"``,
-which needs only cluster moments; the two are different statistics and are never mixed.
+The work is quadratic in distinct points, so it is done only where ``method="euclidean"`` is named. The
+default at every size is ``"squared"``, which needs only cluster moments; the two are different statistics and never mixed.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # a task holds two blocks; larger blocks mean fewer copies of each point in the shuffle
 SMALLEST_BLOCK, LARGEST_BLOCK, BLOCKS_WANTED = 1_024, 16_384, 16
 CHUNK = 512
-AUTO_LIMIT = 100_000  # distinct points up to which "auto" takes the exact Euclidean form
+METHODS = ("squared", "euclidean")
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -149,11 +149,7 @@ def squared_silhouette(df: DataFrame, vector: str, cluster: str) -> float:
     return scorer.evaluate(df)
 
 
-def choose_method(df: DataFrame, features: Sequence[str], method: str, limit: int = AUTO_LIMIT) -> str:
-    """Resolve "auto": exact while the distinct points are few, else squared."""
-    if method not in ("auto", "euclidean", "squared"):
+def check_method(method: str) -> str:
+    if method not in METHODS:
         raise ValueError(f"unknown silhouette method: {method}")
-    if method != "auto":
-        return method
-    distinct = df.agg(F.approx_count_distinct(F.struct(*[col(f) for f in features])).alias("d")).first()["d"]
-    return "euclidean" if distinct <= limit else "squared"
+    return method

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from millrace.functions.columns import col, quoted
 from millrace.operators.ordering import membership
@@ -79,13 +79,13 @@ def split_table(df: DataFrame, spec: Spec) -> DataFrame:
     return train_test_split(df, spec.key, spec.test_size, spec.seed, stratify, order_by)
 
 
-def kfold(df: DataFrame, key: Sequence[str] = (), folds: int = 5, seed: int = 42) -> DataFrame:
-    """Add ``fold``; the first ``n mod folds`` folds hold one row more."""
+def kfold(df: DataFrame, key: Sequence[str] = (), folds: int = 5, seed: int = 42, order_by: Sequence[str] = ()) -> DataFrame:
+    """Add ``fold``; the first ``n mod folds`` folds hold one row more. With ``order_by`` folds are contiguous in that order."""
 
     def plan(sizes: dict[str, int]) -> dict[str, list[int]]:
         return {g: _inner_bounds(fold_sizes(n, folds)) for g, n in sizes.items()}
 
-    return membership(df, "fold", plan, key, seed)
+    return membership(df, "fold", plan, key, seed, order_by=order_by)
 
 
 def stratified_kfold(
@@ -99,43 +99,29 @@ def stratified_kfold(
     return membership(df, "fold", plan, key, seed, group=label)
 
 
-MAX_CLASSES = 10_000  # more distinct targets than this is not a classification
-INLINE_CLASSES = 64
-
-
 def class_codes(df: DataFrame, target: str) -> list:
-    """The sorted classes; position is the code."""
+    """The sorted classes; position is the code. A model has coefficients or counts of each class on the driver anyway."""
     values = df.where(col(target).isNotNull()).select(col(target).alias("value")).distinct()
-    rows = values.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {target}")
-    return sorted(r["value"] for r in rows)
+    return sorted(r["value"] for r in values.collect())
 
 
 def encode_label(df: DataFrame, target: str, classes: Sequence, out: str = "label") -> DataFrame:
-    """Replace classes by codes; a class that was not learned is an error."""
+    """Replace classes by codes; a class that was not learned, or none, is an error.
+
+    The codes are a table joined on the typed value, however many classes there are."""
     unseen = F.raise_error(F.concat(F.lit(f"unseen or null class in {target}: "),
                                     F.coalesce(col(target).cast("string"), F.lit("null")))).cast("double")
-    if len(classes) <= INLINE_CLASSES:
-        known = F.lit(None).cast("double")
-        for code, value in reversed(list(enumerate(classes))):
-            known = F.when(col(target) == F.lit(value), F.lit(float(code))).otherwise(known)
-        return df.withColumn(out, F.coalesce(known, unseen))
-    codes = df.sparkSession.createDataFrame([(str(v), float(i)) for i, v in enumerate(classes)], "_value string, _code double")
-    joined = df.join(F.broadcast(codes), col(target).cast("string") == F.col("_value"), "left")
+    schema = T.StructType([T.StructField("_value", df.schema[target].dataType), T.StructField("_code", T.DoubleType())])
+    codes = df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(classes)], schema)
+    joined = df.join(codes, col(target) == F.col("_value"), "left")
     return joined.withColumn(out, F.coalesce("_code", unseen)).drop("_value", "_code")
 
 
-def plain_codes(classes: Sequence) -> bool:
-    """Whether the classes already are the codes 0..C-1."""
-    return all(not isinstance(v, str) and v == i for i, v in enumerate(classes))
-
-
 def with_label(df: DataFrame, spec: Spec, classes: Sequence | None) -> DataFrame:
-    """Add the numeric ``label``; the target must exist. Classes other than 0..C-1 become codes."""
+    """Add the numeric ``label``; the target must exist. Classes become their codes, and only learned classes may occur."""
     if spec.target not in df.columns:
         raise ValueError(f"target column {spec.target!r} not found")
-    if spec.is_classification and classes is not None and not plain_codes(classes):
+    if spec.is_classification and classes is not None:
         return encode_label(df, spec.target, classes)
     return df.withColumn("label", col(spec.target).cast("double"))
 
@@ -164,6 +150,5 @@ def weight_column(label: str, weights: dict) -> Column:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """(label, n, weight), one row per class."""
     counts = df.groupBy(col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy()
-    weight = F.sum("n").over(whole) / (F.count(F.lit(1)).over(whole) * F.col("n"))
-    return counts.withColumn("weight", weight)
+    mean = counts.agg(F.avg("n")).scalar()  # rows / classes
+    return counts.withColumn("weight", mean / F.col("n"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import quoted, spread
 from millrace.operators.metrics import check_metrics, score_parts
-from millrace.operators.models import LabelStats, _resolve, feature_subset, fit_model, forest, tree_size
+from millrace.operators.models import MAX_DEPTH, LabelStats, _resolve, feature_subset, fit_model, forest, tree_size
 from millrace.operators.preprocess import fit_by_fold, preprocessor
 from millrace.operators.splits import kfold, stratified_kfold
 from millrace.spec import Spec
@@ -51,7 +51,7 @@ def with_folds(df: DataFrame, spec: Spec) -> DataFrame:
     """Add ``fold``: class-balanced for classification, plain for regression."""
     if spec.is_classification:
         return stratified_kfold(df, "label", spec.key, spec.folds, spec.seed)
-    return kfold(df, spec.key, spec.folds, spec.seed)
+    return kfold(df, spec.key, spec.folds, spec.seed, () if spec.fold_shuffle else (spec.order_by or spec.key))
 
 
 def fold_stats(df: DataFrame, spec: Spec) -> tuple[dict[int, int], dict[int, LabelStats]]:
@@ -92,7 +92,7 @@ def cross_validate(
     metrics = list(metrics or spec.scoring)
     check_metrics(metrics, spec.task)
     used = dict.fromkeys([*spec.numeric, *spec.categorical, "label", "fold"])
-    base = spread(df.select(*[quoted(c) for c in used])).persist()
+    base = spread(df.select(*[quoted(c) for c in used]), spec.fit_partitions).persist()
     try:
         sizes, stats = fold_stats(base, spec)
         encoders = fit_by_fold(base, spec, sorted(sizes))
@@ -196,7 +196,8 @@ def refine_grid(best: Mapping[str, Any]) -> dict[str, list[Any]]:
             return [max(low, value - step), value, value + step]
         if name == "max_depth":
             step, low = REFINE_DEPTH
-            return REFINE_OPEN_DEPTHS if value is None else [max(low, value - step), value, value + step, None]
+            # deeper than Spark grows is the same as no limit, which is in the list
+            return REFINE_OPEN_DEPTHS if value is None else [d for d in (max(low, value - step), value, value + step, None) if d is None or d <= MAX_DEPTH]
         if name == "max_features" and isinstance(value, str):
             return REFINE_SUBSETS
         if name == "max_features" and value is not None:
@@ -278,7 +279,7 @@ def grid_search(df: DataFrame, spec: Spec, best: Mapping[str, Any]) -> SearchRes
 def refit(df: DataFrame, spec: Spec, kind: str, params: Mapping[str, Any]) -> PipelineModel:
     """Preprocessing and model fitted on all given rows, as one model."""
     encoder = preprocessor(spec).fit(df)
-    ready = spread(encoder.transform(df).select("features", "label")).persist()
+    ready = spread(encoder.transform(df).select("features", "label"), spec.fit_partitions).persist()
     try:
         model = fit_model(ready, kind, params, spec)
     finally:

@@ -44,14 +44,14 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
 def scan_delimited(spark, sf_dir):
     path = sinks.scratch_path(spark, "lines")
     df = fx.lines(spark, sf_dir).withColumn("flag", F.coalesce("flag", F.lit("NA")))
-    df.write.option("header", True).option("sep", ";").csv(path)
+    sinks.write_csv(df, path, ";")
     return readers.read_delimited(spark, path, ";")
 
 
 @query
 def dataset_fingerprint(spark, sf_dir):
     df = fx.table(spark, sf_dir, "lineitem")
-    mark = readers.row_fingerprint(df, [*fx.LINE_KEY, "l_returnflag", "l_linestatus"])
+    mark = readers.row_fingerprint(df)
     return mark.select("n_rows", F.col("checksum").cast("string").alias("checksum"))
 
 
@@ -62,7 +62,7 @@ def dataset_file_hash(spark, sf_dir):
 
 @query
 def run_metadata(spark, sf_dir):
-    df = fx.table(spark, sf_dir, "lineitem").select(*fx.LINE_KEY)
+    df = fx.table(spark, sf_dir, "lineitem")
     log = sinks.scratch_path(spark, "runs")
     sinks.append_run(sinks.run_record(spark, 42, "tabular", df), log)
     return sinks.read_runs(spark, log).select("seed", "project", "n_rows", "checksum")
@@ -601,7 +601,7 @@ def residual_histogram(spark, sf_dir):
 
 @query
 def cluster_feature_histograms(spark, sf_dir):
-    return tidy(clusters.cluster_feature_histograms(fx.assigned(spark, sf_dir), "cluster", ["qty", "price", "disc", "tax"], 2), 4)
+    return tidy(clusters.cluster_feature_histograms(fx.assigned(spark, sf_dir), "cluster", ["qty", "price", "disc", "tax"]), 4)
 
 
 @query
@@ -640,7 +640,7 @@ def kmeans_lloyd_step(spark, sf_dir):
 def kmeans_fit(spark, sf_dir):
     df = fx.lines(spark, sf_dir)
     fits, encoder = clusters.kmeans_encoder(df, fx.LINE_SPEC.numeric)
-    ready = spread(encoder.transform(df).select("features")).persist()
+    ready = spread(encoder.transform(df).select("features"), fx.LINE_SPEC.fit_partitions).persist()
     try:
         model = clusters.fit_kmeans(ready, 3, n_init=2, max_iter=50)
         rows = [(i, f.column, float(z)) for i, c in enumerate(model.clusterCenters()) for f, z in zip(fits, c)]
@@ -721,7 +721,7 @@ def cluster_profile(spark, sf_dir):
 
 @query
 def cluster_differences(spark, sf_dir):
-    return tidy(clusters.cluster_differences(_line_centroids(spark, sf_dir), 3), 8)
+    return tidy(clusters.cluster_differences(_line_centroids(spark, sf_dir)), 8)
 
 
 # --- jobs ----------------------------------------------------------------------------------------
@@ -736,37 +736,48 @@ def job_data_summary(spark, sf_dir):
 @query
 def job_train_supervised(spark, sf_dir):
     result = jobs.train(fx.lines(spark, sf_dir), fx.LINE_SPEC)
-    return result.long
+    return jobs.finished([result], result.long)
 
 
 @query
 def job_train_multiclass(spark, sf_dir):
     result = jobs.train(fx.table(spark, sf_dir, "events"), fx.EVENT_SPEC)
-    return result.long
+    return jobs.finished([result], result.long)
+
+
+@query
+def job_train_forest(spark, sf_dir):
+    result = jobs.train(fx.lines(spark, sf_dir), fx.LINE_SPEC.but(forest_params=FOREST), "random_forest")
+    return jobs.finished([result], result.long)
 
 
 @query
 def job_train_regression(spark, sf_dir):
     df = fx.table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    return tidy(jobs.train(df, fx.PART_SPEC).long, 4)
+    result = jobs.train(df, fx.PART_SPEC)
+    return tidy(jobs.finished([result], result.long), 4)
 
 
 @query
 def job_tune_supervised(spark, sf_dir):
-    return jobs.tune(fx.lines(spark, sf_dir), fx.LINE_SPEC).long
+    result = jobs.tune(fx.lines(spark, sf_dir), fx.LINE_SPEC)
+    return jobs.finished([result], result.long)
 
 
 @query
 def job_cluster(spark, sf_dir):
-    return jobs.cluster(fx.lines(spark, sf_dir), fx.LINE_SPEC).long
+    result = jobs.cluster(fx.lines(spark, sf_dir), fx.LINE_SPEC)
+    return jobs.finished([result], result.long)
 
 
 @query
 def cluster_job_profile(spark, sf_dir):
     """Cluster the line items, choose k, describe the clusters."""
-    return jobs.cluster(fx.lines(spark, sf_dir), fx.LINE_SPEC).tables["profile"]
+    result = jobs.cluster(fx.lines(spark, sf_dir), fx.LINE_SPEC)
+    return jobs.finished([result], result.tables["profile"])
 
 
 @query
 def job_full(spark, sf_dir):
-    return jobs.report_tables(jobs.full(fx.lines(spark, sf_dir), fx.LINE_SPEC))
+    results = jobs.full(fx.lines(spark, sf_dir), fx.LINE_SPEC)
+    return jobs.finished(results, jobs.report_tables(results))

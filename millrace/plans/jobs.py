@@ -17,7 +17,7 @@ from millrace.operators.preprocess import project_2d
 from millrace.operators.splits import class_codes, split_table, with_label
 from millrace.operators.tuning import Candidate, SearchResult
 from millrace.plans.evaluate import LONG, Evaluation, evaluate, union_long
-from millrace.sources.sinks import append_run, run_record, save_model
+from millrace.sources.sinks import append_run, run_record, save_model, write_centroids, write_csv, write_json
 from millrace.spec import Spec
 
 
@@ -33,10 +33,22 @@ class JobResult:
     clusters: clusters.KMeansRange | None = None
     evaluation: Evaluation | None = None
     long: DataFrame | None = None
+    cached: list[DataFrame] = field(default_factory=list)
 
     def close(self) -> None:
+        """Give back what the job keeps cached for its lazy tables."""
         if self.evaluation is not None:
             self.evaluation.close()
+        for df in self.cached:
+            df.unpersist()
+
+
+def finished(results: list[JobResult], table: DataFrame) -> DataFrame:
+    """A result table (metrics and counts, a few rows) taken out of its jobs, whose caches are given back."""
+    rows = table.collect()
+    for r in results:
+        r.close()
+    return table.sparkSession.createDataFrame([tuple(r) for r in rows], table.schema)
 
 
 def _persisted_split(df: DataFrame, spec: Spec) -> DataFrame:
@@ -74,8 +86,10 @@ def prepare(df: DataFrame, spec: Spec) -> Prepared:
 # --- summary -----------------------------------------------------------------------------------
 
 
-def data_summary(df: DataFrame, spec: Spec) -> JobResult:
-    """Schema and null checks (reported, never fatal) and the profile of every column."""
+def data_summary(df: DataFrame, spec: Spec, report_to: str | None = None) -> JobResult:
+    """Schema and null checks (reported, never fatal) and the profile of every column: types, missing values, numbers, top values.
+
+    ``report_to`` gets the whole report as JSON lines."""
     spark = df.sparkSession
     missing = profile.profile_missing(df)
     rows = missing.collect()  # one row per column
@@ -98,7 +112,17 @@ def data_summary(df: DataFrame, spec: Spec) -> JobResult:
         "numeric": profile.profile_numeric(df),
         "top_values": profile.profile_top_values(df),
     }
-    parts = [spark.createDataFrame(long, LONG)]
+    long += [("type", name, kind, 1.0) for name, kind in df.dtypes]
+    numbers = [c for c in tables["numeric"].columns if c != "column"]
+    entries = F.array(*[F.struct(F.lit(c).alias("m"), F.col(quoted(c)).cast("double").alias("v")) for c in numbers])
+    parts = [
+        spark.createDataFrame(long, LONG),
+        tables["numeric"].select("column", F.explode(entries).alias("e")).select(
+            F.lit("numeric").alias("section"), F.col("column").alias("item"), F.col("e.m").alias("metric"), F.col("e.v").alias("value")),
+        tables["top_values"].select(F.lit("top_values").alias("section"), F.col("column").alias("item"),
+                                    F.concat(F.col("rank").cast("string"), F.lit(":"), F.coalesce(F.col("value").cast("string"), F.lit("null"))).alias("metric"),
+                                    F.col("n").cast("double").alias("value")),
+    ]
     if spec.target in df.columns:
         target = profile.target_distribution(df, spec.target)
         tables["target"] = target
@@ -106,7 +130,10 @@ def data_summary(df: DataFrame, spec: Spec) -> JobResult:
                                    F.lit("percent").alias("metric"), F.col("percent").cast("double").alias("value")))
     values = {"rows": n_rows, "columns": len(df.columns), "schema_valid": profile.schema_is_valid(df, expected),
               "nulls_valid": not bad_nulls}
-    return JobResult("data_summary", tables, values, long=union_long(parts))
+    report = union_long(parts)
+    if report_to:
+        write_json(report, report_to)
+    return JobResult("data_summary", tables, values, long=report)
 
 
 # --- supervised --------------------------------------------------------------------------------
@@ -139,7 +166,14 @@ def train_prepared(data: Prepared, spec: Spec, model: str = "baseline") -> JobRe
                      long=union_long([_cv_long(summary), tested.long()]))
 
 
-def train(df: DataFrame, spec: Spec, model: str = "baseline", save_to: str | None = None, run_id: str = "latest") -> JobResult:
+def _log(result: JobResult, df: DataFrame, spec: Spec, log_path: str | None, dataset_path: str | None) -> None:
+    """Append the record of a run: what it found, and which data it ran on."""
+    if log_path:
+        append_run(run_record(df.sparkSession, spec.seed, spec.project, df, dataset_path, dataset_path is not None, result.values), log_path)
+
+
+def train(df: DataFrame, spec: Spec, model: str = "baseline", save_to: str | None = None, run_id: str | None = None,
+          log_path: str | None = None, dataset_path: str | None = None) -> JobResult:
     """Split, cross-validate, refit on all training rows, evaluate on the test rows."""
     data = prepare(df, spec)
     try:
@@ -148,6 +182,7 @@ def train(df: DataFrame, spec: Spec, model: str = "baseline", save_to: str | Non
         data.close()
     if save_to:
         result.values["model_path"] = save_model(result.model, save_to, model, run_id)
+    _log(result, df, spec, log_path, dataset_path)
     return result
 
 
@@ -174,6 +209,7 @@ def tune_prepared(data: Prepared, spec: Spec) -> JobResult:
     values = {f"{name}_best_score": s.best_score for name, s in stages.items()}
     if spec.grid_enabled:
         values["improvement"] = stages["grid"].best_score - stages["random"].best_score
+    values |= {f"{name}_best_params": s.best_params for name, s in stages.items()}
     values["best_params"] = best.best_params
     values |= tested.values
     spark = data.split.sparkSession
@@ -187,7 +223,8 @@ def tune_prepared(data: Prepared, spec: Spec) -> JobResult:
                      long=union_long([spark.createDataFrame(rows, LONG), tested.long()]))
 
 
-def tune(df: DataFrame, spec: Spec, save_to: str | None = None, run_id: str = "latest", log_path: str | None = None) -> JobResult:
+def tune(df: DataFrame, spec: Spec, save_to: str | None = None, run_id: str | None = None, log_path: str | None = None,
+         dataset_path: str | None = None) -> JobResult:
     """Random search, refined grid search, refit, test evaluation."""
     data = prepare(df, spec)
     try:
@@ -196,8 +233,7 @@ def tune(df: DataFrame, spec: Spec, save_to: str | None = None, run_id: str = "l
         data.close()
     if save_to:
         result.values["model_path"] = save_model(result.model, save_to, "random_forest_tuned", run_id)
-    if log_path:
-        append_run(run_record(df.sparkSession, spec.seed, spec.project, df, details=result.values), log_path)
+    _log(result, df, spec, log_path, dataset_path)
     return result
 
 
@@ -237,16 +273,27 @@ def cluster_train(train_rows: DataFrame, spec: Spec, method: str = "silhouette",
 
 
 def cluster(df: DataFrame, spec: Spec, method: str = "silhouette", save_to: str | None = None,
-            run_id: str = "latest", log_path: str | None = None) -> JobResult:
-    """Cluster the training rows of the split; a target, if named, must exist and is not used."""
+            run_id: str | None = None, log_path: str | None = None, results_to: str | None = None,
+            dataset_path: str | None = None) -> JobResult:
+    """Cluster the training rows of the split; a target, if named, must exist and is not used. ``results_to`` gets the k table, centroids
+    (a folder for each k), the analysis of the chosen clusters and the features that tell them apart."""
     if spec.target is not None and spec.target not in df.columns:
         raise ValueError(f"target column {spec.target!r} not found")
-    train_rows = split_table(df, spec).where("split = 'train'").drop("split")
-    result = cluster_train(train_rows, spec, method)
+    split = _persisted_split(df, spec)  # read by the fits and by every table that describes the clusters
+    result = cluster_train(split.where("split = 'train'").drop("split"), spec, method)
+    result.cached.append(split)
     if save_to:
         result.values["model_path"] = save_model(result.model, save_to, f"kmeans_k{result.values['best_k']}", run_id)
-    if log_path:
-        append_run(run_record(df.sparkSession, spec.seed, spec.project, df, details=result.values), log_path)
+    k = result.values["best_k"]
+    best = result.tables["k_table"].where(F.col("k") == k).first().asDict()
+    result.values |= {f"best_{m}": best[m] for m in clusters.K_METRICS}
+    if results_to:
+        folder = results_to.rstrip("/")
+        write_csv(result.tables["k_table"], f"{folder}/k_table")
+        write_centroids(result.tables["centroids"], f"{folder}/centroids")
+        write_json(result.tables["profile"], f"{folder}/cluster_analysis")
+        write_csv(result.tables["differences"], f"{folder}/differences")
+    _log(result, df, spec, log_path, dataset_path)
     return result
 
 

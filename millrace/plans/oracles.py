@@ -16,7 +16,15 @@ ASSIGNED = ("select l_quantity as qty, l_extendedprice as price, l_discount as d
 PARTS = "select cast(p_size as double) as f0, p_retailprice / 50 as f1, p_size, p_partkey from part"
 NUMBERS = ("qty", "price", "disc", "tax")
 KEY = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
-HASHED_KEY = "md5(concat(l_orderkey, '|', l_partkey, '|', l_suppkey, '|', l_linenumber, '|42'))"
+
+
+def row_digest(columns: str) -> str:
+    """MD5 of the cells, each with its length, null as '-'."""
+    cells = (f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')" for c in columns.split(", "))
+    return f"md5(concat_ws('|', {', '.join(cells)}))"
+
+
+HASHED_KEY = f"md5({row_digest(KEY)} || '|42')"
 
 
 def r(expr: str, digits: int = 6) -> str:
@@ -35,10 +43,12 @@ SQL["scan_delimited"] = f"""
 select l_orderkey, l_partkey, l_suppkey, cast(l_linenumber as bigint) as l_linenumber, qty, price, disc, tax,
        flag, status, cls from ({LINES})"""
 
-FINGERPRINT = """select count(*) as n_rows, cast(sum(cast('0x' || substr(md5(concat_ws('|', {cols})), 1, 8) as bigint))
+ALL_COLUMNS = f"{KEY}, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
+HALVES = [f"cast('0x' || substr({row_digest(ALL_COLUMNS)}, {at}, 8) as bigint)" for at in (1, 9)]
+FINGERPRINT = f"""select count(*) as n_rows, cast(sum(cast({HALVES[0]} as hugeint) * 4294967296 + {HALVES[1]})
  as varchar) as checksum from lineitem"""
-SQL["dataset_fingerprint"] = FINGERPRINT.format(cols=f"{KEY}, l_returnflag, l_linestatus")
-SQL["run_metadata"] = f"select 42 as seed, 'tabular' as project, * from ({FINGERPRINT.format(cols=KEY)})"
+SQL["dataset_fingerprint"] = FINGERPRINT
+SQL["run_metadata"] = f"select 42 as seed, 'tabular' as project, * from ({FINGERPRINT})"
 
 # --- k table of the fixed part assignments -------------------------------------------------------
 
@@ -111,7 +121,7 @@ SQL["sink_centroids"] = f"with {CENTROIDS} select 3 as k, cluster, feature, {r('
 SQL["inverse_scale"] = f"with {CENTROIDS} select cluster, feature, {r('value')} as value from cent"
 SQL["centroids"] = f"with {CENTROIDS} select cluster, feature, {r('z_value')} as z_value, {r('value')} as value from cent"
 SQL["cluster_differences"] = f"""with {CENTROIDS} select feature, {r('var_samp(z_value)', 8)} as variance_between_clusters,
- {r('avg(z_value)', 8)} as mean_centroid_value from cent group by feature order by var_samp(z_value) desc limit 3"""
+ {r('avg(z_value)', 8)} as mean_centroid_value from cent group by feature order by var_samp(z_value) desc limit 5"""
 
 
 def profile_sql(digits: int) -> str:
@@ -127,7 +137,7 @@ SQL["cluster_sizes"] = f"""select cluster, count(*) as n, {r('count(*) * 100.0 /
 SQL["cluster_feature_histograms"] = f"""with a as ({ASSIGNED}),
 long as ({union(f"select cluster, '{c}' as feature, {i} as pos, {c} as v from a" for i, c in enumerate(NUMBERS))}),
 st as (select feature, pos, cluster, avg(v) as m, min(v) as lo, max(v) as hi from long group by all),
-top as (select feature from st group by feature, pos order by var_samp(m) desc, pos limit 2),
+top as (select feature from st group by feature, pos order by var_samp(m) desc, pos limit 6),
 b as (select l.feature, l.cluster, least(cast(floor((v - lo) / ((hi - lo) / 20)) as int), 19) as bin, count(*) as n
  from long l join st on st.feature = l.feature and st.cluster = l.cluster where l.feature in (select feature from top) group by 1, 2, 3)
 select st.feature, st.cluster, cast(i.bin as int) as bin, {r('lo + i.bin * ((hi - lo) / 20)', 4)} as low,
@@ -203,7 +213,7 @@ SQL["train_test_split"] = f"""select {KEY}, case when row_number() over (order b
  count(*) over () - cast(ceil(0.2 * count(*) over ()) as bigint) then 'train' else 'test' end as split from lineitem"""
 SQL["train_test_split_ordered"] = """select event_id, value, case when row_number() over (order by event_id) <=
  count(*) over () - cast(ceil(0.2 * count(*) over ()) as bigint) then 'train' else 'test' end as split from events"""
-EVENT_HASH = "md5(concat(event_id, '|42'))"
+EVENT_HASH = f"md5({row_digest('event_id')} || '|42')"
 SQL["stratified_split"] = f"""with sizes as (select event_type, count(*) as m from events group by event_type),
 t as (select sum(m) as n, sum(m) - ceil(0.2 * sum(m)) as total from sizes),
 q as (select event_type, floor(total * m / n) as base, round(total * m / n - floor(total * m / n), 9) as rest, total from sizes, t),
@@ -220,7 +230,7 @@ def plain_folds(source: str, hashed: str) -> str:
  from (select *, row_number() over (order by {hashed}) - 1 as rk, count(*) over () as n from {source})"""
 
 
-PART_HASH = "md5(concat(p_partkey, '|42'))"
+PART_HASH = f"md5({row_digest('p_partkey')} || '|42')"
 SQL["kfold"] = f"select p_partkey, fold from ({plain_folds('part', PART_HASH)})"
 SQL["stratified_kfold"] = f"""with o as (select event_id, event_type, row_number() over (order by event_type, event_id) - 1 as pos from events),
 alloc as (select event_type, pos % 5 as fold, count(*) as c from o group by 1, 2),
@@ -408,6 +418,8 @@ from (select unnest(range(50)) as bin) i, s left join b on b.bin = i.bin"""
 
 # --- jobs ----------------------------------------------------------------------------------------
 
+LINE_TYPES = {**dict.fromkeys(fx.LINE_KEY, "bigint"), "l_linenumber": "int", **dict.fromkeys(NUMBERS, "double"),
+              **dict.fromkeys(("flag", "status", "cls"), "string")}
 SQL["job_data_summary"] = f"""with x as ({LINES}), m as ({MISSING})
 select 'shape' as section, 'rows' as item, 'count' as metric, cast(count(*) as double) as value from x union all
 select 'shape', 'columns', 'count', {len(LINE_NAMES)} union all
@@ -418,7 +430,14 @@ select 'schema', "column", 'extra', 1 from m where "column" not in ('qty', 'pric
 select 'nulls', "column", 'fraction', {r('fraction')} from m where fraction > 0.05 union all
 select 'missing', "column", 'count', missing from m union all
 select 'missing', "column", 'percent', {r('fraction * 100')} from m union all
-select 'target', cls, 'percent', {r('count(*) * 100.0 / (select count(*) from x)')} from x group by cls"""
+select 'target', cls, 'percent', {r('count(*) * 100.0 / (select count(*) from x)')} from x group by cls union all
+select 'type', name, kind, 1 from (values {', '.join(f"('{n}', '{k}')" for n, k in LINE_TYPES.items())}) v(name, kind) union all
+select 'numeric', "column", u.metric, u.value from ({SQL['profile_numeric']}),
+ lateral (values {', '.join(f"('{c}', cast({c} as double))" for c in ('"count"', 'mean', 'std', '"min"', 'q25', 'q50', 'q75', '"max"')).replace("'" + '"', "'").replace('"' + "'", "'")}) u(metric, value) union all
+select 'top_values', "column", rank || ':' || value, n from (
+ select *, row_number() over (partition by "column" order by n desc, value) as rank from (""" + union(
+    f"""select '{c}' as "column", {c} as value, count(*) as n from ({LINES}) where {c} is not null group by {c}"""
+    for c in ("flag", "status", "cls")) + ")) where rank <= 5"
 
 # split, fold the training rows, cross-validate, refit on the training rows, score the test rows
 TRAIN = f"""parts as (select *, row_number() over (order by {PART_HASH}) <= count(*) over () - cast(ceil(0.2 * count(*) over ()) as bigint)

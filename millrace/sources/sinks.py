@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import hashlib
+import shutil
 import tempfile
 import uuid
 from collections.abc import Mapping
+from datetime import UTC, datetime
+from functools import lru_cache
 from typing import Any
 
 from pyspark.ml import PipelineModel
@@ -25,9 +29,15 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-    local = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set(CHECKPOINT_KEY, local)
-    return local
+    return _local_dir()
+
+
+@lru_cache(maxsize=1)
+def _local_dir() -> str:
+    """One folder for local runs, gone when the process ends; the session's settings stay as they are."""
+    folder = tempfile.mkdtemp(prefix="millrace-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -41,7 +51,9 @@ def write_csv(df: DataFrame, path: str, separator: str = ",") -> None:
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.MapType, T.ArrayType, T.StructType)):
             flat = flat.withColumn(field.name, F.to_json(F.col(field.name)))
-    flat.write.option("header", True).option("sep", separator).option("escape", '"').csv(path)
+    # blanks at the ends of cells are part of them
+    keep = flat.write.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    keep.option("header", True).option("sep", separator).option("escape", '"').csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -63,9 +75,11 @@ def export_results(spark: SparkSession, results: DataFrame | Mapping[str, Any],
         write_csv(spark.createDataFrame([row], schema), path)
 
 
-def save_model(model: PipelineModel, folder: str, name: str, run_id: str) -> str:
+def save_model(model: PipelineModel, folder: str, name: str, run_id: str | None = None) -> str:
+    """Save under the name and the run, by default the time; an earlier model is never overwritten."""
+    run_id = run_id or datetime.now(UTC).strftime("%Y%m%d_%H%M%S_%f")
     path = f"{folder.rstrip('/')}/{name}_{run_id}"
-    model.write().overwrite().save(path)
+    model.write().save(path)
     return path
 
 
@@ -89,7 +103,7 @@ def run_record(
         n_rows, checksum = mark["n_rows"], str(mark["checksum"])
     if dataset_path is not None and hash_files:
         # the digest of a single file is its own; those of several are added up, in any order
-        word = F.conv(F.substring("sha256", 1, 8), 16, 10).cast("decimal(20,0)")
+        word = F.conv(F.substring("sha256", 1, 16), 16, 10).cast("decimal(20,0)")
         files = file_hashes(spark, dataset_path).agg(
             F.count(F.lit(1)).alias("n"), F.max("sha256").alias("one"), F.sum(word).alias("total")
         ).first()

@@ -59,9 +59,14 @@ class Spec:
     k_range: tuple[int, ...] = tuple(range(2, 11))
     n_init: int = 10
     max_iter: int = 300
-    silhouette: str = "auto"
+    silhouette: str = "squared"  # or "euclidean", which is quadratic in the distinct points
     seed: int = 42
     parallelism: int = 4
+    fit_partitions: int = 64  # what iterative fits read; raise it with the table, results depend on it alone
+    max_categories: int = 1_000_000  # of any one column; more is an error, as every category is one-hot encoded
+    max_bins: int = 64  # of trees and forests
+    tree_memory_mb: int = 256  # histograms that one pass over the rows may hold
+    fold_shuffle: bool = True  # False: regression folds are contiguous in key order
     project: str = "tabular"
 
     def __post_init__(self) -> None:
@@ -88,7 +93,7 @@ class Spec:
 
     @classmethod
     def from_config(cls, config: Mapping[str, Any], key: tuple[str, ...] = ()) -> "Spec":
-        """Build a spec from a nested configuration mapping (already parsed)."""
+        """Build a spec from a nested configuration mapping (already parsed). The keys are fixed values."""
 
         def get(path: str, default: Any = None) -> Any:
             node: Any = config
@@ -124,6 +129,7 @@ class Spec:
             pca=get("preprocessing.pca.enabled", False),
             variance_ratio=get("preprocessing.pca.variance_ratio", 0.95),
             folds=get("cross_validation.n_splits", 5),
+            fold_shuffle=get("cross_validation.shuffle", True),
             metrics=(primary, *get(f"metrics.{task}.secondary", ())),
             baseline=get("supervised_models.baseline.model_type"),
             baseline_params=get("supervised_models.baseline.params", {}),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import clusters
-from millrace.operators.silhouette import choose_method, euclidean_silhouettes
+from millrace.operators.silhouette import check_method, euclidean_silhouettes
 from millrace.spec import Spec
 
 # Published k-means quality table (32,950 rows, 10 scaled features).
@@ -127,13 +127,19 @@ def test_silhouette_with_copies_and_singletons(spark, block):
     assert got["one"] is None
 
 
-def test_method_is_explicit(spark):
-    df = spark.range(500).select(F.col("id").cast("double").alias("x"))
-    assert choose_method(df, ["x"], "auto", limit=1000) == "euclidean"
-    assert choose_method(df, ["x"], "auto", limit=100) == "squared"
-    assert choose_method(df, ["x"], "euclidean", limit=100) == "euclidean"
-    with pytest.raises(ValueError):
-        choose_method(df, ["x"], "cosine")
+@pytest.mark.parametrize("rows", [60, 120_000])
+def test_one_silhouette_at_every_size(spark, rows):
+    """The default statistic does not change with the table."""
+    df = spark.range(rows).select(F.col("id").alias("k"), (F.col("id") % 1009 + F.col("id") / rows).alias("x"))
+    run = clusters.evaluate_k_range(df, Spec(numeric=("x",), key=("k",), k_range=(2,), n_init=1, max_iter=5))
+    assert [r["silhouette_method"] for r in run.table.collect()] == ["squared"]
+
+
+def test_method_is_explicit():
+    assert Spec().silhouette == "squared" and check_method("euclidean") == "euclidean"
+    for name in ("auto", "cosine"):
+        with pytest.raises(ValueError):
+            check_method(name)
 
 
 def test_davies_bouldin_of_coinciding_means_is_zero(spark):

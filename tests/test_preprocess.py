@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import preprocess as pp
 from millrace.sources.readers import rename_dots
+from millrace.spec import Spec
 
 NAN = float("nan")
 
@@ -70,11 +71,20 @@ def test_awkward_names_and_values(spark):
     assert matrix(model, rename_dots(df))[:, 1].tolist() == [1, 0, 1, 1]
 
 
-def test_category_limit_is_an_error_not_a_cut(spark, monkeypatch):
-    monkeypatch.setattr(pp, "MAX_CATEGORIES", 3)
-    df = spark.range(10).select(F.col("id").cast("string").alias("x"))
-    with pytest.raises(ValueError, match="too many"):
-        pp.Preprocessor(categorical=["x"]).fit(df)
+def test_category_limit_is_per_column_whatever_the_folds(spark):
+    df = spark.range(20).select((F.col("id") % 5).cast("string").alias("x"), (F.col("id") % 4).cast("string").alias("y"), (F.col("id") % 4).cast("int").alias("fold"))
+    spec = Spec(categorical=("x", "y"), max_categories=5)
+    pp.preprocessor(spec).fit(df)
+    assert len(pp.fit_by_fold(df, spec, range(4))) == 4
+    for fit in (lambda s: pp.preprocessor(s).fit(df), lambda s: pp.fit_by_fold(df, s, range(4))):
+        with pytest.raises(ValueError, match="more than 4 categories in x"):
+            fit(spec.but(max_categories=4))
+
+
+def test_numeric_categories_sort_as_numbers(spark):
+    df = spark.createDataFrame([(2,), (3,), (10,), (10,), (2,), (None,)], "x int")
+    assert pp.learn_categories(df, ["x"])["x"] == ("2", ["2", "3", "10"])
+    assert pp.learn_categories(df, ["x"], "constant")["x"] == ("missing_value", ["2", "3", "10", "missing_value"])
 
 
 def test_columns_of_the_input_survive_and_temporaries_do_not(people):

@@ -44,3 +44,16 @@ def test_any_list(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     got = exact_quantiles(df, ["x"], PROBS, distinct_limit=5)["x"]
     np.testing.assert_allclose(got, np.quantile(values, PROBS), rtol=1e-9, atol=1e-9)
+
+
+def test_halving_ends_where_sketches_do_not_help(spark, monkeypatch):
+    """No sketch rounds at all: brackets are halved by value until few distinct values are left."""
+    from millrace.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "SKETCH_ROUNDS", 0)
+    df = spark.range(5_000).select((F.rand(3) ** 9).alias("x"), F.when(F.rand(4) < 0.5, -3.0).otherwise(F.rand(5)).alias("hot")).persist()
+    got = exact_quantiles(df, ["x", "hot"], PROBS, distinct_limit=20)
+    pdf = df.toPandas()
+    for c in ("x", "hot"):
+        np.testing.assert_allclose(got[c], np.quantile(pdf[c], PROBS), rtol=1e-12, atol=1e-300)
+    df.unpersist()

@@ -101,3 +101,62 @@ def test_small_results_settle_and_large_ones_stay(spark):
 def test_scratch_paths_are_new(spark):
     assert sinks.scratch_path(spark, "a") != sinks.scratch_path(spark, "a")
     assert sinks.scratch_path(spark, "a").startswith(sinks.shared_dir(spark))
+
+
+def write(tmp_path, text):
+    (tmp_path / "t.csv").write_text(text)
+    return str(tmp_path / "t.csv")
+
+
+def test_long_whole_numbers_keep_their_digits(spark, tmp_path):
+    df = readers.read_delimited(spark, write(tmp_path, "a,b\n1234567890123456789,1\n1234567890123456780,12345678901234567890\n"))
+    assert df.dtypes == [("a", "bigint"), ("b", "string")]
+    assert [r["a"] for r in df.orderBy("a").collect()] == [1234567890123456780, 1234567890123456789]
+
+
+def test_true_and_false_columns(spark, tmp_path):
+    df = readers.read_delimited(spark, write(tmp_path, "a,b\nTrue,true\nFalse,1\nNA,x\n"))
+    assert df.dtypes == [("a", "boolean"), ("b", "string")]
+    assert [r["a"] for r in df.collect()] == [True, False, None]
+
+
+def test_line_breaks_in_quoted_cells(spark, tmp_path):
+    df = readers.read_delimited(spark, write(tmp_path, 'a,b\n"one\ntwo",1\n"say ""hi""",2\n'))
+    assert [tuple(r) for r in df.collect()] == [("one\ntwo", 1), ('say "hi"', 2)]
+
+
+@pytest.mark.parametrize("schema", [None, "a int, b int"])
+def test_too_many_cells_are_an_error_and_too_few_are_null(spark, tmp_path, schema):
+    short = readers.read_delimited(spark, write(tmp_path, "a,b\n1,2\n3\n"), schema=schema)
+    assert [tuple(r) for r in short.collect()] == [(1, 2), (3, None)]
+    path = write(tmp_path, "a,b\n1,2\n3,4,5\n")
+    for columns in (["a", "b"], ["a"]):
+        with pytest.raises(Exception, match="more than 2 cells"):
+            readers.read_delimited(spark, path, schema=schema).select(*columns).collect()
+
+
+def test_a_cell_that_fails_the_schema_is_an_error(spark, tmp_path):
+    path = write(tmp_path, "a,b\n1,x\nNA,y\n")
+    assert [r["a"] for r in readers.read_delimited(spark, path, schema="a int, b string").collect()] == [1, None]
+    with pytest.raises(Exception, match="not int in b: x"):
+        readers.read_delimited(spark, path, schema="a int, b int").collect()
+
+
+def test_blanks_at_the_ends_of_cells_survive(spark, tmp_path):
+    sinks.write_csv(spark.createDataFrame([("  pad  ",)], "a string"), str(tmp_path / "p"))
+    assert readers.read_delimited(spark, str(tmp_path / "p")).first()["a"] == "  pad  "
+
+
+def test_fingerprints_tell_null_from_empty_and_cells_apart(spark):
+    mark = lambda rows: readers.row_fingerprint(spark.createDataFrame(rows, "a string, b string")).first()
+    assert len({mark(r)["checksum"] for r in ([(None, "x")], [("", "x")], [("x", None)], [("a|b", "c")], [("a", "b|c")])}) == 5
+
+
+def test_models_do_not_overwrite_each_other(spark, tmp_path):
+    from millrace.operators import preprocess
+
+    model = preprocess.Preprocessor(numeric=["id"]).fit(spark.range(5))
+    first, second = (sinks.save_model(model, str(tmp_path), "m") for _ in range(2))
+    assert first != second and sinks.load_model(first).stages and sinks.load_model(second).stages
+    with pytest.raises(Exception, match="exists"):
+        sinks.save_model(model, str(tmp_path), "m", first.rsplit("m_", 1)[1])

@@ -4,7 +4,7 @@ import math
 from collections import Counter
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -164,14 +164,17 @@ def test_small_tables_keep_exact_fold_sizes(spark, n, folds):
     assert [got.get((f,), 0) for f in range(folds)] == splits.fold_sizes(n, folds)
 
 
-def test_numeric_classes_are_coded_only_when_needed(spark):
+def test_numeric_classes_are_coded(spark):
     spec = Spec(target="y")
     df = spark.createDataFrame([(1,), (2,), (1,)], "y int")
     classes = splits.class_codes(df, "y")
-    assert classes == [1, 2] and not splits.plain_codes(classes)
+    assert classes == [1, 2]
     assert [r["label"] for r in splits.with_label(df, spec, classes).collect()] == [0.0, 1.0, 0.0]
     ready = spark.createDataFrame([(0,), (1,)], "y int")
     assert [r["label"] for r in splits.with_label(ready, spec, [0, 1]).collect()] == [0.0, 1.0]
+    for odd in (7, None):  # classes 0..C-1 are checked like any others
+        with pytest.raises(Exception, match="unseen or null class"):
+            splits.with_label(spark.createDataFrame([(0,), (odd,)], "y int"), spec, [0, 1]).collect()
 
 
 def test_many_classes_are_coded_by_a_join(spark):
@@ -183,7 +186,39 @@ def test_many_classes_are_coded_by_a_join(spark):
         splits.encode_label(spark.createDataFrame([(1,)], "y bigint"), "y", classes).collect()
 
 
-def test_too_many_classes_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(splits, "MAX_CLASSES", 5)
-    with pytest.raises(ValueError, match="classes"):
-        splits.class_codes(spark.range(10), "id")
+@pytest.mark.parametrize("n", [3, 64, 65, 12_000])
+def test_codes_do_not_depend_on_the_number_of_classes(spark, n):
+    df = spark.range(n).select((F.col("id") * 1e-6).alias("y"))
+    classes = splits.class_codes(df, "y")
+    got = splits.encode_label(df, "y", classes)
+    assert len(classes) == n and got.agg(F.countDistinct("label"), F.max("label")).first()[:] == (n, n - 1.0)
+
+
+def test_rows_that_spell_alike_keep_exact_sizes(spark):
+    """Null beside empty text, and separators inside cells, without a key."""
+    halves = spark.createDataFrame([(None,)] * 500 + [("",)] * 500, "x string")
+    assert counts(splits.train_test_split(halves), "split") == {("train",): 800, ("test",): 200}
+    bars = spark.createDataFrame([("x|y", "z")] * 500 + [("x", "y|z")] * 500, "a string, b string")
+    assert counts(splits.kfold(bars, folds=5), "fold") == {(f,): 200 for f in range(5)}
+    assert splits.kfold(bars, folds=5).groupBy("a", "b").count().count() == 2
+
+
+cells = st.one_of(st.none(), st.sampled_from(["", "-", "1:", "|", "a|b", "a"]))
+
+
+@settings(deadline=None, max_examples=8, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(cells, cells), min_size=4, max_size=60), st.integers(2, 4))
+def test_any_cells_keep_exact_sizes(spark, rows, folds):
+    df = spark.createDataFrame(rows, "a string, b string").coalesce(1)
+    n = len(rows)
+    assert counts(splits.train_test_split(df), "split").get(("train",), 0) == splits.train_rows(n, 0.2)
+    assert [counts(splits.kfold(df, folds=folds), "fold").get((f,), 0) for f in range(folds)] == splits.fold_sizes(n, folds)
+    by_class = counts(splits.stratified_kfold(df, "a", folds=folds), "fold")
+    assert max(by_class.values()) - min(by_class.get((f,), 0) for f in range(folds)) <= 1
+    halves = splits.train_test_split(df, stratify="a")
+    assert counts(halves, "split").get(("train",), 0) == splits.train_rows(n, 0.2) and halves.count() == n
+
+
+def test_contiguous_folds(spark):
+    got = splits.kfold(spark.range(10), ["id"], 3, order_by=["id"])
+    assert [r["fold"] for r in got.orderBy("id").collect()] == [0] * 4 + [1] * 3 + [2] * 3
