@@ -177,11 +177,11 @@ SQL["sink_validation_report"] = SQL["profile_missing"]
 SQL["validate_nulls"] = f'with x as ({LINES}) select "column", {r("fraction")} as fraction from ({MISSING}) where fraction > 0.05'
 
 
-def describe(columns, source: str) -> str:
-    return f"with x as ({source}) " + union(f"""select '{c}' as "column", count({c}) as count, {r(f'avg({c})', 4)} as mean,
- {r(f'stddev_samp({c})', 4)} as std, {r(f'cast(min({c}) as double)', 4)} as min, {r(f'quantile_cont(cast({c} as double), 0.25)', 4)} as q25,
- {r(f'quantile_cont(cast({c} as double), 0.5)', 4)} as q50, {r(f'quantile_cont(cast({c} as double), 0.75)', 4)} as q75,
- {r(f'cast(max({c}) as double)', 4)} as max from x""" for c in columns)
+def describe(columns, source: str, digits: int = 4) -> str:
+    return f"with x as ({source}) " + union(f"""select '{c}' as "column", count({c}) as count, {r(f'avg({c})', digits)} as mean,
+ {r(f'stddev_samp({c})', digits)} as std, {r(f'cast(min({c}) as double)', digits)} as min, {r(f'quantile_cont(cast({c} as double), 0.25)', digits)} as q25,
+ {r(f'quantile_cont(cast({c} as double), 0.5)', digits)} as q50, {r(f'quantile_cont(cast({c} as double), 0.75)', digits)} as q75,
+ {r(f'cast(max({c}) as double)', digits)} as max from x""" for c in columns)
 
 
 SQL["profile_numeric"] = describe([*fx.LINE_KEY, *NUMBERS], LINES)
@@ -432,7 +432,7 @@ select 'missing', "column", 'count', missing from m union all
 select 'missing', "column", 'percent', {r('fraction * 100')} from m union all
 select 'target', cls, 'percent', {r('count(*) * 100.0 / (select count(*) from x)')} from x group by cls union all
 select 'type', name, kind, 1 from (values {', '.join(f"('{n}', '{k}')" for n, k in LINE_TYPES.items())}) v(name, kind) union all
-select 'numeric', "column", u.metric, u.value from ({SQL['profile_numeric']}),
+select 'numeric', "column", u.metric, u.value from ({describe([*fx.LINE_KEY, *NUMBERS], LINES, 6)}),
  lateral (values {', '.join(f"('{c}', cast({c} as double))" for c in ('"count"', 'mean', 'std', '"min"', 'q25', 'q50', 'q75', '"max"')).replace("'" + '"', "'").replace('"' + "'", "'")}) u(metric, value) union all
 select 'top_values', "column", rank || ':' || value, n from (
  select *, row_number() over (partition by "column" order by n desc, value) as rank from (""" + union(
