@@ -730,7 +730,9 @@ def cluster_differences(spark, sf_dir):
 @query
 def job_data_summary(spark, sf_dir):
     spec = fx.LINE_SPEC.but(expected_columns=("qty", "price", "flag", "discount"))
-    return tidy(jobs.data_summary(fx.lines(spark, sf_dir), spec).long)
+    report = jobs.data_summary(fx.lines(spark, sf_dir), spec).long
+    numbers = F.col("section") == "numeric"
+    return report.withColumn("value", F.when(numbers, rounded(F.col("value"), 4)).otherwise(rounded(F.col("value"))))
 
 
 @query

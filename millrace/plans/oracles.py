@@ -432,7 +432,7 @@ select 'missing', "column", 'count', missing from m union all
 select 'missing', "column", 'percent', {r('fraction * 100')} from m union all
 select 'target', cls, 'percent', {r('count(*) * 100.0 / (select count(*) from x)')} from x group by cls union all
 select 'type', name, kind, 1 from (values {', '.join(f"('{n}', '{k}')" for n, k in LINE_TYPES.items())}) v(name, kind) union all
-select 'numeric', "column", u.metric, u.value from ({describe([*fx.LINE_KEY, *NUMBERS], LINES, 6)}),
+select 'numeric', "column", u.metric, u.value from ({describe([*fx.LINE_KEY, *NUMBERS], LINES)}),
  lateral (values {', '.join(f"('{c}', cast({c} as double))" for c in ('"count"', 'mean', 'std', '"min"', 'q25', 'q50', 'q75', '"max"')).replace("'" + '"', "'").replace('"' + "'", "'")}) u(metric, value) union all
 select 'top_values', "column", rank || ':' || value, n from (
  select *, row_number() over (partition by "column" order by n desc, value) as rank from (""" + union(
