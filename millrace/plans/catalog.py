@@ -429,6 +429,66 @@ def score_rows(spark, sf_dir):
                                          F.round(F.col("probability")[1], 3).alias("p_yes"))
 
 
+# Models with a known optimum, as a check beside the full-size ones: on one-hot cells a barely penalised logistic regression predicts the
+# class rates of each cell, a forest of equal stumps is one stump, and two clusters of one feature are split by one threshold.
+
+SATURATED = {"C": 1e9, "max_iter": 1000, "tol": 1e-12}
+
+
+def _cells(spark, sf_dir) -> tuple[DataFrame, object]:
+    df = fx.table(spark, sf_dir, "events").selectExpr("event_id", "event_type", "concat('u', user_id % 3) as cell")
+    spec = fx.EVENT_SPEC.but(numeric=(), categorical=("cell",))
+    return splits.encode_label(df, "event_type", splits.class_codes(df, "event_type")), spec
+
+
+def _rates(scored: DataFrame) -> DataFrame:
+    rates = scored.select("cell", F.posexplode("probability").alias("class", "p")).groupBy("cell", "class")
+    return tidy(rates.agg(F.count(F.lit(1)).alias("n"), F.avg("p").alias("rate")), 3)
+
+
+@query
+def logistic_multiclass_cells(spark, sf_dir):
+    labelled, spec = _cells(spark, sf_dir)
+    return _rates(score(tuning.refit(labelled, spec, "logistic_regression", SATURATED), labelled))
+
+
+@query
+def logistic_cells(spark, sf_dir):
+    df = fx.lines(spark, sf_dir).withColumn("cell", F.concat("status", F.coalesce("flag", F.lit("-"))))
+    spec = fx.LINE_SPEC.but(numeric=(), categorical=("cell",))
+    labelled = splits.encode_label(df, "cls", splits.class_codes(df, "cls"))
+    return _rates(score(tuning.refit(labelled, spec, "logistic_regression", SATURATED), labelled))
+
+
+def _stumps(spark, sf_dir) -> tuple[DataFrame, PipelineModel, object]:
+    df = fx.table(spark, sf_dir, "lineitem").selectExpr("l_quantity", "l_tax * 0 as nothing", "cast(l_quantity * 2000 > l_extendedprice as int) as y")
+    spec = fx.LINE_SPEC.but(target="y", numeric=("l_quantity", "nothing"), categorical=(), scaling="none")
+    params = {"n_estimators": 5, "bootstrap": False, "max_features": 1.0, "max_depth": 1, "class_weight": None}
+    labelled = splits.with_label(df, spec, [0, 1])
+    return labelled, tuning.refit(labelled, spec, *models.forest(spec, **params)), spec
+
+
+@query
+def random_forest_stumps(spark, sf_dir):
+    labelled, model, _ = _stumps(spark, sf_dir)
+    side = score(model, labelled).groupBy(F.col("probability")[1].alias("p_yes"))
+    return tidy(side.agg(F.count(F.lit(1)).alias("n"), F.min("l_quantity").alias("low"), F.max("l_quantity").alias("high")))
+
+
+@query
+def feature_importance_stumps(spark, sf_dir):
+    _, model, _ = _stumps(spark, sf_dir)
+    return tidy(models.importance_table(spark, model.stages[-1], preprocess.feature_names(model)))
+
+
+@query
+def kmeans_two_of_one_feature(spark, sf_dir):
+    df = fx.table(spark, sf_dir, "part").selectExpr("p_partkey", "cast(p_size * p_size as double) as x")
+    run = clusters.evaluate_k_range(df, fx.LINE_SPEC.but(numeric=("x",), k_range=(2,), n_init=10, max_iter=300))
+    assigned = run.assign(df, 2)
+    return tidy(assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).drop("cluster"))
+
+
 # --- cross-validation and search -----------------------------------------------------------------
 
 

@@ -452,3 +452,27 @@ select 'cross_validation' as section, 'baseline' as item, metric || '_mean' as m
 select 'cross_validation', 'baseline', metric || '_std', {r('std', 4)} from cv union all
 select 'metric', 'baseline', u.metric, round(u.value, 4) + 0.0 from v,
  lateral (values ('mse', mse), ('rmse', sqrt(mse)), ('mae', mae), ('r2', 1 - mse / v), ('mape', mape)) u(metric, value)"""
+
+# --- models with a known optimum ---------------------------------------------------------------
+
+SQL["logistic_multiclass_cells"] = f"""with e as (select concat('u', user_id % 3) as cell, event_type from events),
+c as (select event_type, row_number() over (order by event_type) - 1 as class from (select distinct event_type from e)),
+n as (select cell, count(*) as n from e group by cell)
+select n.cell, cast(c.class as int) as class, n.n, {r('count(e.event_type) / n.n', 3)} as rate
+from n cross join c left join e on e.cell = n.cell and e.event_type = c.event_type group by n.cell, c.class, n.n"""
+SQL["logistic_cells"] = f"""with e as (select status || coalesce(flag, '-') as cell, cls from ({LINES}))
+select cell, k.class, count(*) as n, {r("avg(case when (cls = 'yes') = (k.class = 1) then 1.0 else 0.0 end)", 3)} as rate
+from e, (values (0), (1)) k(class) group by cell, k.class"""
+SQL["random_forest_stumps"] = f"""with x as (select l_quantity as q, case when l_quantity * 2000 > l_extendedprice then 1 else 0 end as y from lineitem),
+t as (select distinct q as cut from x), lim as (select max(q) as top from x),
+g as (select cut, sum(case when q <= cut then 1 else 0 end) as nl, sum(case when q <= cut then y else 0 end) as yl, count(*) as n, sum(y) as ys
+ from x, t, lim where cut < top group by cut),
+best as (select cut from g order by nl * (2 * (yl / nl) * (1 - yl / nl)) + (n - nl) * (2 * ((ys - yl) / (n - nl)) * (1 - (ys - yl) / (n - nl))), cut limit 1)
+select {r('avg(y)')} as p_yes, count(*) as n, min(q) as low, max(q) as high from x, best group by q <= cut"""
+SQL["feature_importance_stumps"] = "select * from (values ('l_quantity', 1.0), ('nothing', 0.0)) v(feature, importance)"
+SQL["kmeans_two_of_one_feature"] = f"""with x as (select cast(p_size * p_size as double) as v from part),
+t as (select distinct v as cut from x), lim as (select max(v) as top from x),
+w as (select cut, sum(case when v <= cut then 0 else 1 end) * var_pop(case when v > cut then v end)
+ + sum(case when v <= cut then 1 else 0 end) * var_pop(case when v <= cut then v end) as sse from x, t, lim where cut < top group by cut),
+best as (select cut from w order by sse limit 1)
+select count(*) as n, min(v) as low, max(v) as high from x, best group by v <= cut"""
