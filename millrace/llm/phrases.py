@@ -255,4 +255,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
                 kept.append(b" ".join(words if not spans else compress(words, stays.tolist())).decode())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], [id_col, "n_words", "n_removed", "kept_text"])
 
-    return rows.join(gone, F.col("id") == F.col("_of"), "left").select("id", "text", "spans").mapInArrow(run, f"`{id_col}` bigint, n_words bigint, n_removed bigint, kept_text string")
+    schema = f"`{id_col}` bigint, n_words bigint, n_removed bigint, kept_text string"
+    # the same rows by the same key as in `cut`, so that Spark shuffles the texts once; null ids and texts have no part in it
+    known = real.join(gone, F.col("id") == F.col("_of"), "left").select("id", "text", "spans").mapInArrow(run, schema)
+    others = rows.where("id is null or text is null").withColumn("spans", F.lit(None).cast("array<struct<s:bigint,e:bigint>>"))
+    return known.unionByName(others.mapInArrow(run, schema))
