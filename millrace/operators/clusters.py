@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import col, quoted, settled, spread
 from millrace.operators.curves import bin_of
 from millrace.operators.preprocess import NumericFit, encoder_stages, learn_numeric
-from millrace.operators.silhouette import check_method, euclidean_silhouettes, squared_silhouette
+from millrace.operators.silhouette import check_method, euclidean_silhouettes, squared_silhouettes
 from millrace.spec import Spec
 
 SELECTIONS = {"silhouette": "max", "calinski_harabasz": "max", "davies_bouldin": "min"}
@@ -101,8 +101,8 @@ def ordered_map(name: str) -> Column:
 
 
 def k_table(
-    df: DataFrame, features: Sequence[str], assignments: dict[int, str], silhouette: str = "euclidean",
-    vector: str | None = None, centres: dict[int, list] | None = None,
+    df: DataFrame, features: Sequence[str], assignments: dict[int, str], silhouette: str = "squared",
+    centres: dict[int, list] | None = None,
 ) -> DataFrame:
     """One row per k: inertia, silhouette, Calinski-Harabasz, Davies-Bouldin and sizes.
 
@@ -114,8 +114,8 @@ def k_table(
         *[col(f) for f in features],
         F.explode(F.array(*[
             F.struct(F.lit(k).alias("k"), col(c).cast("int").alias("cluster")) for k, c in assignments.items()
-        ])).alias("a"),
-    ).select(*[quoted(f) for f in features], "a.k", "a.cluster")
+        ])).alias("_assigned"),
+    ).select(*[quoted(f) for f in features], "_assigned.k", "_assigned.cluster")
     d = len(features)
     computed = moments(long, features, "cluster", ["k"]).collect()  # sum of k rows
     schema = "k int, cluster int, n bigint, " + ", ".join(
@@ -136,8 +136,8 @@ def k_table(
         by_column = euclidean_silhouettes(df, features, list(assignments.values()))
         scores = [(k, by_column[c]) for k, c in assignments.items()]
     else:
-        several = {r["k"] for r in base.where("n_clusters > 1").select("k").collect()}
-        scores = [(k, squared_silhouette(df, vector, c) if k in several else None) for k, c in assignments.items()]
+        by_k = squared_silhouettes(long, [F.col(quoted(f)).cast("double") for f in features], computed, d)
+        scores = [(k, by_k.get(k)) for k in assignments]
     shape = spark.createDataFrame([(k, s, silhouette) for k, s in scores],
                                   "k int, silhouette double, silhouette_method string")
     return base.join(shape, "k").join(apart, "k", "left").join(sizes, "k").select(
@@ -378,7 +378,7 @@ def evaluate_k_range(df: DataFrame, spec: Spec) -> KMeansRange:
             assigned = model.copy({model.predictionCol: f"c{k}"}).transform(assigned)
         method = check_method(spec.silhouette)
         table = k_table(
-            assigned, scaled, {k: f"c{k}" for k in run.models}, method, "features",
+            assigned, scaled, {k: f"c{k}" for k in run.models}, method,
             {k: m.clusterCenters() for k, m in run.models.items()},
         )
         # k rows, detached from the cached input

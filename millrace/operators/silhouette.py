@@ -149,6 +149,32 @@ def squared_silhouette(df: DataFrame, vector: str, cluster: str) -> float:
     return scorer.evaluate(df)
 
 
+def squared_silhouettes(long: DataFrame, x: Sequence[Column], moments: Sequence, d: int) -> dict[int, float]:
+    """Mean silhouette on squared distances of every k, in one pass over (k, cluster, features).
+
+    The mean squared distance from a point to the points of a cluster is the squared distance to its mean plus its variance, so the
+    moments of the clusters (one row per k and cluster, already on the driver) are all that is needed. A k with one cluster is left out."""
+    lists: dict[int, list] = {}
+    for r in moments:
+        lists.setdefault(r["k"], []).append((r["cluster"], r["n"], float(sum(r[f"v{i}"] for i in range(d))), [float(r[f"m{i}"]) for i in range(d)]))
+    rows = [(k, every) for k, every in lists.items() if len(every) > 1]
+    if not rows:
+        return {}
+    table = long.sparkSession.createDataFrame(rows, "k int, every array<struct<c:int,n:bigint,v:double,m:array<double>>>")
+
+    def apart(s: Column) -> Column:
+        gaps = F.zip_with(F.array(*x), s["m"], lambda p, q: (p - q) * (p - q))
+        return F.struct(s["c"].alias("c"), s["n"].alias("n"), (F.aggregate(gaps, F.lit(0.0), lambda t, g: t + g) + s["v"]).alias("d"))
+
+    seen = long.join(table, "k").select("k", "cluster", F.transform("every", apart).alias("every"))
+    own = F.filter("every", lambda s: s["c"] == F.col("cluster"))[0]
+    others = F.transform(F.filter("every", lambda s: s["c"] != F.col("cluster")), lambda s: s["d"])
+    sides = seen.select("k", own["n"].alias("n"), (own["d"] * own["n"] / F.greatest(own["n"] - 1, F.lit(1))).alias("a"), F.array_min(others).alias("b"))
+    larger = F.greatest("a", "b")
+    value = F.when((F.col("n") == 1) | (larger == 0), 0.0).otherwise((F.col("b") - F.col("a")) / larger)
+    return {r["k"]: r["s"] for r in sides.groupBy("k").agg(F.avg(value).alias("s")).collect()}
+
+
 def check_method(method: str) -> str:
     if method not in METHODS:
         raise ValueError(f"unknown silhouette method: {method}")

@@ -209,3 +209,18 @@ def test_nearest_centre_and_first_on_ties(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (2.0,)], "x double")
     got = [r["cluster"] for r in clusters.assign_nearest(df, ["x"], [[0.0], [2.0]]).orderBy("x").collect()]
     assert got == [0, 0, 1]
+
+
+def test_squared_silhouettes_of_all_k_equal_the_evaluator(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    from millrace.operators.silhouette import squared_silhouette
+
+    rng = np.random.default_rng(5)
+    rows = [(float(a), float(b), int(abs(a) > 1), i % 3, 9 if i == 7 else 0, 0) for i, (a, b) in enumerate(rng.normal(size=(300, 2)))]
+    df = spark.createDataFrame(rows, "a double, b double, c2 int, c3 int, c4 int, c5 int")
+    table = {r["k"]: r["silhouette"] for r in clusters.k_table(df, ["a", "b"], {2: "c2", 3: "c3", 4: "c4", 5: "c5"}).collect()}
+    ready = VectorAssembler(inputCols=["a", "b"], outputCol="v").transform(df)
+    for k in (2, 3, 4):
+        assert table[k] == pytest.approx(squared_silhouette(ready, "v", f"c{k}"), abs=1e-9)
+    assert table[5] is None
