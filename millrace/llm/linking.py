@@ -1,8 +1,9 @@
 """Connected groups from shared keys, without ever listing all pairs of a group.
 
-Nodes that share a key may be linked; whether they are is up to a `verify` step that gets pairs. In two rounds every node is held against one leader
-among the nodes it shares most keys with. What gets linked is one component, and a component's own pairs need no further look. At last
-all pairs that share a key across components are verified, so the components are exactly those that all pairs would give.
+Nodes that share a key may be linked; whether they are is up to a `verify` step that gets pairs. In `ROUNDS` rounds every node is held against one leader. A
+key's leader is the node that shares most of its keys with others (of a group of near copies, the one that was changed least); ties are
+broken anew in each round. What gets linked is one component, and a component's own pairs need no further look. At last all pairs that share a key across
+components are verified, so the components are exactly those that all pairs would give.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared import discard, written
 
+ROUNDS = 2
 Verify = Callable[[DataFrame], DataFrame]
 
 
@@ -37,24 +39,31 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _leaders(keyed: DataFrame, fits: Callable[[str, str], Column], extra: list[str]) -> DataFrame:
+def _leaders(keyed: DataFrame, fits: Callable[[str, str], Column], extra: list[str], turn: int) -> DataFrame:
     """For each node one pair (a: leader, b: node): the leader, of another component, that it shares most keys with."""
-    who = F.struct("label", "node", *extra)
-    lead = keyed.groupBy("key").agg(F.min(who).alias("x"), F.max("label").alias("last")).where("x.label <> last").select("key", "x")
-    pairs = keyed.join(lead, "key").where("label <> x.label").withColumn("y", F.struct("label", "node", *extra)).where(fits("x", "y"))
+    fields = ["label", "node", *extra]
+    rank = F.struct((-F.col("weight")).alias("w"), F.xxhash64("label", F.lit(turn)).alias("h"), *fields)
+    lead = keyed.groupBy("key").agg(F.min(rank).alias("x"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key", "x")
+    pairs = keyed.join(lead, "key").where("label <> x.label").withColumn("y", F.struct(*fields)).where(fits("x", "y"))
     shared = pairs.groupBy(F.col("node").alias("b"), F.col("x.node").alias("a")).agg(F.count("*").alias("n"))
-    return shared.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("best")).select((-F.col("best.a")).alias("a"), "b")
+    return shared.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b")
 
 
 def _rest(keyed: DataFrame, fits: Callable[[str, str], Column], extra: list[str]) -> DataFrame:
-    """All pairs that share a key across components, once each."""
-    kinds = keyed.select("key", "label").distinct()
+    """All pairs that share a key across components, once each. Components meet before their nodes do, so that no pair inside one is made."""
+    kinds = keyed.groupBy("key", "label").agg(F.count("*").alias("n"))
     mixed = kinds.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    kinds = kinds.join(mixed, "key")
-    across = kinds.join(kinds.withColumnRenamed("label", "label2"), "key").where("label < label2")
-    x = across.join(keyed.select("key", "label", F.struct("node", *extra).alias("x")), ["key", "label"])
-    y = keyed.select("key", F.col("label").alias("label2"), F.struct("node", *extra).alias("y"))
-    return x.join(y, ["key", "label2"]).where(fits("x", "y")).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    x, y = F.struct("node", *extra).alias("x"), F.struct("node", *extra).alias("y")
+    rows = keyed.join(mixed, "key")
+    single = rows.join(kinds.where("n = 1").select("key", "label"), ["key", "label"])
+    crowd = rows.join(kinds.where("n > 1").select("key", "label"), ["key", "label"])
+    pairs = single.select("key", "label", x).join(single.select("key", F.col("label").alias("label2"), y), "key").where("label < label2").where(fits("x", "y")).select("x", "y")
+    pairs = pairs.unionByName(crowd.select("key", x).join(single.select("key", y), "key").where(fits("x", "y")).select("x", "y"))
+    across = kinds.where("n > 1").select("key", "label")
+    across = across.join(across.withColumnRenamed("label", "label2"), "key").where("label < label2")
+    both = across.join(crowd.select("key", "label", x), ["key", "label"]).join(crowd.select("key", F.col("label").alias("label2"), y), ["key", "label2"])
+    pairs = pairs.unionByName(both.where(fits("x", "y")).select("x", "y"))
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column], extra: list[str] | None = None) -> DataFrame:
@@ -65,9 +74,11 @@ def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column],
     spark = keyed.sparkSession
     edges = spark.createDataFrame([], "a bigint, b bigint")
     groups = spark.createDataFrame([], "node bigint, component bigint")
-    for find in (_leaders, _leaders, _rest):
+    weight = keyed.groupBy("node").agg(F.count("*").alias("weight"))
+    keyed = written(keyed.join(weight, "node"))
+    for turn in range(ROUNDS + 1):
         labelled = keyed.join(groups, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-        pairs = written(find(labelled, fits, extra))
+        pairs = written(_leaders(labelled, fits, extra, turn) if turn < ROUNDS else _rest(labelled, fits, extra))
         new = verify(pairs)
         edges = written(edges.unionByName(new.select("a", "b")))
         discard(pairs)
