@@ -1,8 +1,9 @@
 """Licence scan by canonical digests, in DataFrame functions only.
 
 A text is brought into canonical form: lines that begin with a copyright mark are dropped, letters lower-cased, everything but letters and
-digits becomes one blank, and equivalent spellings are made one. The SHA-256 of the whole canonical text is joined to the digests of known
-licence texts; canonical lines are joined in the same way to the digests of one-line notices.
+digits is taken out (so line breaks and blanks don't count), and equivalent spellings are made one. The SHA-256 of the whole canonical text is joined to the digests of
+known licence texts. Single lines are held against one-line notices in the same way (their copyright marks stay); lines too long to
+shrink to the longest notice are skipped, which loses none: spelling takes away less than `1 - SHRINK` of a line.
 
 Null texts and texts that are empty in canonical form have a null digest and match nothing. If known texts share a canonical form, the
 name that sorts first stands for it. Rows that share an id are one document as far as notices go; each keeps its own row.
@@ -13,14 +14,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Spellings that count as the same, after punctuation has gone. Applied in this order.
+from millrace.llm.shared import written
+
+#: Spellings that count as the same, without blanks. Applied in this order.
 SPELLINGS = (
-    ("licence", "license"), ("sub license", "sublicense"), ("non infringement", "noninfringement"), ("acknowledgement", "acknowledgment"),
-    ("analogue", "analog"), ("behaviour", "behavior"), ("cancelled", "canceled"), ("centre", "center"), ("colour", "color"), ("favour", "favor"),
-    ("fulfilment", "fulfillment"), ("honour", "honor"), ("organisation", "organization"), ("per cent", "percent"), ("programme", "program"),
-    ("recognised", "recognized"), ("whilst", "while"), ("copyright holders", "copyright holder"), ("copyright owners", "copyright holder"), ("copyright owner", "copyright holder"),
-    ("authors or ", "author or "),
+    ("licence", "license"), ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("behaviour", "behavior"), ("cancelled", "canceled"), ("centre", "center"), ("colour", "color"),
+    ("favour", "favor"), ("fulfilment", "fulfillment"), ("honour", "honor"), ("organisation", "organization"), ("programme", "program"), ("recognised", "recognized"), ("whilst", "while"),
+    ("copyrightholders", "copyrightholder"), ("copyrightowners", "copyrightholder"), ("copyrightowner", "copyrightholder"),
 )
+SHRINK = 0.7
 
 #: Known licence texts, as published by their authors, without their copyright lines.
 TEXTS = {
@@ -50,28 +52,27 @@ NOTICES = {
     "MIT": "Licensed under the MIT License.",
 }
 
-COPYRIGHT_LINE = r"(?i)(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
+COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 NOT_WORD = r"[^\p{L}\p{N}]+"
+NOT_WORD_OR_BREAK = r"[^\p{L}\p{N}\n]+"
 
 
-def canonical(text: Column, whole: bool = True) -> Column:
-    """Canonical form of a whole text, or of one line (whose copyright mark stays)."""
-    if whole:
-        text = F.regexp_replace(text, COPYRIGHT_LINE, "\n")
-    text = F.trim(F.regexp_replace(F.lower(text), NOT_WORD, " "))
+def spelt(text: Column) -> Column:
     for one, other in SPELLINGS:
         text = F.replace(text, F.lit(one), F.lit(other))
     return text
 
 
-def digest(text: Column) -> Column:
-    return F.when(text != "", F.sha2(text, 256))
+def canonical(text: Column) -> Column:
+    """Canonical form of a whole text."""
+    return spelt(F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "\n"), NOT_WORD, ""))
 
 
 def known(spark: SparkSession, texts: dict[str, str], whole: bool) -> DataFrame:
-    """(digest, name) of known texts, one row for each digest."""
+    """(known, size, name): digest of each known text, its length and its name."""
     df = spark.createDataFrame(sorted(texts.items()), "name string, text string")
-    return df.select(digest(canonical(F.col("text"), whole)).alias("known"), "name").dropna().groupBy("known").agg(F.min("name").alias("name"))
+    df = df.select("name", (canonical(F.col("text")) if whole else spelt(F.regexp_replace(F.lower("text"), NOT_WORD, ""))).alias("c"))
+    return df.where("c <> ''").groupBy(F.sha2("c", 256).alias("known")).agg(F.max(F.length("c")).alias("size"), F.min("name").alias("name"))
 
 
 def scan(docs: DataFrame, texts: dict[str, str] | None = None, notices: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -79,18 +80,20 @@ def scan(docs: DataFrame, texts: dict[str, str] | None = None, notices: dict[str
     spark = docs.sparkSession
     licences = known(spark, TEXTS if texts is None else texts, True)
     lines = known(spark, NOTICES if notices is None else notices, False)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    longest = lines.agg(F.max("size")).first()[0] or 0
+    low = docs.select(F.col(id_col).alias("_id"), F.lower(text_col).alias("low"))
+    parts = low.select("_id", canonical(F.col("low")).alias("c"), F.split(F.regexp_replace("low", NOT_WORD_OR_BREAK, ""), "\n").alias("lines"))
+    short = F.filter("lines", lambda x: (x != "") & (F.length(x) * SHRINK <= longest))
+    rows = written(parts.select("_id", F.when(F.col("c") != "", F.sha2("c", 256)).alias("canonical_sha256"), short.alias("lines")))
     marked = (
-        rows.select("_id", F.explode(F.split("_text", "\n")).alias("_line"))
-        .select("_id", digest(canonical(F.col("_line"), False)).alias("known"))
+        rows.select("_id", F.explode("lines").alias("line"))
+        .select("_id", F.sha2(spelt(F.col("line")), 256).alias("known"))
         .join(lines, "known")
         .groupBy("_id")
         .agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("notices"), F.count("*").alias("n_notice_lines"))
         .withColumnRenamed("_id", "_of")
     )
-    whole = rows.select("_id", digest(canonical(F.col("_text"))).alias("canonical_sha256")).join(
-        licences.select(F.col("known").alias("canonical_sha256"), F.col("name").alias("license")), "canonical_sha256", "left"
-    )
+    whole = rows.join(licences.select(F.col("known").alias("canonical_sha256"), F.col("name").alias("license")), "canonical_sha256", "left")
     return whole.join(marked, F.col("_id").eqNullSafe(F.col("_of")), "left").select(
         F.col("_id").alias(id_col), "canonical_sha256", "license", F.coalesce("notices", F.lit("")).alias("notices"), F.coalesce("n_notice_lines", F.lit(0)).cast("bigint").alias("n_notice_lines")
     )

@@ -96,9 +96,10 @@ def _sql_text(value: str) -> str:
 
 
 def _sql_canonical(text: str, whole: bool) -> str:
+    text = f"lower({text})"
     if whole:
         text = f"regexp_replace({text}, '{licences.COPYRIGHT_LINE}', chr(10), 'g')"
-    text = f"trim(regexp_replace(lower({text}), '{licences.NOT_WORD}', ' ', 'g'))"
+    text = f"regexp_replace({text}, '{licences.NOT_WORD}', '', 'g')"
     for one, other in licences.SPELLINGS:
         text = f"replace({text}, '{one}', '{other}')"
     return text
@@ -111,7 +112,7 @@ def _sql_known(texts: dict[str, str], whole: bool) -> str:
 
 SQL["op3_licence_scan"] = f"""
 with licence as ({_sql_known(licences.TEXTS, True)}), notice as ({_sql_known(licences.NOTICES, False)}),
-doc as (select doc_id, nullif({_sql_canonical("text", True)}, '') as c, text from documents),
+doc as (select doc_id, nullif({_sql_canonical("text", True)}, '') as c from documents),
 line as (select doc_id, {_sql_canonical("unnest(string_split(text, chr(10)))", False)} as c from documents),
 marked as (select doc_id, string_agg(distinct name, ',' order by name) as notices, count(*) as n from line join notice on known = sha256(c) where c <> '' group by doc_id)
 select doc.doc_id, sha256(doc.c) as canonical_sha256, licence.name as license, coalesce(marked.notices, '') as notices, coalesce(marked.n, 0) as n_notice_lines
