@@ -24,6 +24,7 @@ LEVEL_ROWS = 100_000  # prefix counts wanted on the driver per pass
 FINISH_BELOW = 20_000  # rows or distinct keys left under the open prefixes before keys are listed
 CROWDED = 0.05
 EXPAND_CHUNK = 1_000_000
+MANY_GROUPS = 1_000  # from here on ranks are counted in Spark, group by group; the result is the same
 NULL_GROUP = "\u0000"
 ALL_ROWS = ""
 
@@ -192,6 +193,22 @@ def _expand_equal_rows(
     return copies.withColumn(out, member).select(*[col(c) for c in columns], out)
 
 
+def _ranked(df: DataFrame, out: str, order: Column, group: str, table: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Membership for any number of groups: nothing about single groups reaches the driver.
+
+    Rows are counted by group and key prefix (4,096 of them), so a row's rank is the count of the prefixes before plus its place inside
+    its own, and even a group with a third of all rows is ranked in thousands of windows."""
+    rows = df.withColumn("_g", _group_code(group)).withColumn("_o", order).withColumn("_p", F.substring("_o", 1, 3))
+    counts = rows.groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_g", "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    cuts = table(counts.groupBy("_g").agg(F.sum("_n").alias("n"))).select("_g", "_cuts")
+    inside = Window.partitionBy("_g", "_p").orderBy("_o", row_hash(sorted(df.columns)))
+    ranked = rows.join(offsets, ["_g", "_p"]).withColumn("_rank", F.col("_before") + F.row_number().over(inside)).join(cuts, "_g")
+    member = F.size(F.filter("_cuts", lambda c: F.col("_rank") > c))
+    return ranked.withColumn(out, member).select(*[quoted(c) for c in df.columns], out)
+
+
 def membership(
     df: DataFrame,
     out: str,
@@ -200,16 +217,21 @@ def membership(
     seed: int = 42,
     group: str | None = None,
     order_by: Sequence[str] = (),
+    table: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add ``out``: the number of planned cuts before each row, in key order.
 
-    Rows are ordered by the hash of ``key`` and ``seed``, or by ``order_by`` when given.
+    Rows are ordered by the hash of ``key`` and ``seed``, or by ``order_by`` when given. ``table`` is the plan as a table, (_g, n) to (_g, _cuts), for
+    many groups.
     """
     key = list(key) or list(df.columns)
     if order_by:
         order, width = sortable_key(df, order_by)
     else:
         order, width = row_hash(key, seed), 32
+    if group is not None and table is not None and not order_by:
+        if df.agg(F.approx_count_distinct(_group_code(group))).first()[0] > MANY_GROUPS:
+            return _ranked(df, out, order, group, table)
     cuts = locate_cuts(df, order, width, plan, group)
     if any(c.splits_ties for cs in cuts.values() for c in cs):
         order = F.concat(order, row_hash(sorted(df.columns)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,7 +66,18 @@ def train_test_split(
         quotas = class_quotas(sizes, total) if sizes else {}
         return {g: [q] for g, q in quotas.items()}
 
-    tagged = membership(df, "_m", plan, key, seed, group=stratify, order_by=order_by)
+    def table(sizes: DataFrame) -> DataFrame:
+        """The quotas of `class_quotas`, in Spark."""
+        n = sizes.agg(F.sum("n")).first()[0] or 0
+        total = train_rows(n, test_size)
+        exact = F.lit(total) * F.col("n") / F.lit(n)
+        parts = sizes.withColumn("_base", F.floor(exact)).withColumn("_rest", F.round(exact - F.floor(exact), 9))
+        spare = total - (parts.agg(F.sum("_base")).first()[0] or 0)
+        larger = parts.orderBy(F.desc("_rest"), "_g").limit(spare).select("_g", F.lit(1).alias("_more"))
+        quota = F.col("_base") + F.coalesce("_more", F.lit(0))
+        return parts.join(larger, "_g", "left").select("_g", F.array(quota).alias("_cuts"))
+
+    tagged = membership(df, "_m", plan, key, seed, group=stratify, order_by=order_by, table=table)
     return tagged.withColumn("split", F.when(F.col("_m") == 0, "train").otherwise("test")).drop("_m")
 
 
@@ -96,7 +107,20 @@ def stratified_kfold(
     def plan(sizes: dict[str, int]) -> dict[str, list[int]]:
         return {g: _inner_bounds(s) for g, s in dealt_sizes(sizes, folds).items()}
 
-    return membership(df, "fold", plan, key, seed, group=label)
+    def table(sizes: DataFrame) -> DataFrame:
+        """The bounds of `dealt_sizes`, in Spark: where the class-sorted table reaches each class, and how dealing goes on from there."""
+        earlier = Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)  # one row per class
+        placed = sizes.withColumn("_start", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+
+        def upto(j: Column) -> Column:
+            """Rows of the class in the folds before fold j."""
+            each = F.transform(F.sequence(F.lit(0), j - 1), lambda i: F.floor((F.col("_start") + F.col("n") - i + folds - 1) / folds) - F.floor((F.col("_start") - i + folds - 1) / folds))
+            return F.aggregate(each, F.lit(0).cast("bigint"), lambda t, x: t + x)
+
+        bounds = F.transform(F.sequence(F.lit(1), F.lit(folds - 1)), upto) if folds > 1 else F.array().cast("array<bigint>")
+        return placed.select("_g", bounds.alias("_cuts"))
+
+    return membership(df, "fold", plan, key, seed, group=label, table=table)
 
 
 def class_codes(df: DataFrame, target: str) -> list:

@@ -222,3 +222,21 @@ def test_any_cells_keep_exact_sizes(spark, rows, folds):
 def test_contiguous_folds(spark):
     got = splits.kfold(spark.range(10), ["id"], 3, order_by=["id"])
     assert [r["fold"] for r in got.orderBy("id").collect()] == [0] * 4 + [1] * 3 + [2] * 3
+
+
+def test_many_groups_are_cut_like_few(spark, monkeypatch):
+    """The same rows in the same parts, whether groups are counted on the driver or in Spark."""
+    df = spark.range(2_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 37).cast("string")).alias("g"))
+    df = df.unionByName(spark.createDataFrame([(5_000, None), (5_001, None)], "id bigint, g string"))
+    make = (lambda: splits.train_test_split(df, ["id"], stratify="g"), lambda: splits.stratified_kfold(df, "g", ["id"], 4))
+    few = [sorted(map(str, m().collect())) for m in make]
+    monkeypatch.setattr(ordering, "MANY_GROUPS", 1)
+    assert [sorted(map(str, m().collect())) for m in make] == few
+
+
+def test_a_hundred_thousand_classes(spark):
+    df = spark.range(250_000).select("id", (F.col("id") % 100_000).alias("g"))
+    got = splits.train_test_split(df, ["id"], stratify="g")
+    assert got.where("split = 'train'").count() == splits.train_rows(250_000, 0.2)
+    folds = splits.stratified_kfold(df, "g", ["id"])
+    assert counts(folds, "fold") == {(f,): 50_000 for f in range(5)}
