@@ -129,3 +129,23 @@ def test_regression_job(table, spec):
     assert {"rmse", "mae", "r2", "mse"} <= set(result.values) and "residual_histogram" in result.tables
     assert result.tables["residuals"].count() == 40
     result.close()
+
+
+def test_summary_and_cluster_jobs_write_what_they_find(people, spark, tmp_path):
+    df = rename_dots(people)
+    summary = jobs.data_summary(df, Spec(target="y"), report_to=str(tmp_path / "report"))
+    report = spark.read.schema("section string, item string, metric string, value double").json(str(tmp_path / "report"))
+    assert report.count() == summary.long.count()
+    assert {"type", "numeric", "top_values", "missing", "target"} <= {r["section"] for r in report.select("section").distinct().collect()}
+
+    spec = Spec(numeric=("age", "emp_var_rate"), key=("id",), k_range=(2, 3), n_init=1, max_iter=5, parallelism=2)
+    result = jobs.cluster(df, spec, results_to=str(tmp_path / "out"), log_path=str(tmp_path / "runs"), save_to=str(tmp_path / "models"))
+    header = spark.read.option("header", True)
+    assert header.csv(str(tmp_path / "out" / "k_table")).count() == 2
+    assert header.csv(str(tmp_path / "out" / "centroids")).count() == 2 * result.values["best_k"]
+    analysis = spark.read.json(str(tmp_path / "out" / "cluster_analysis"))
+    assert analysis.count() == result.tables["profile"].count()
+    assert header.csv(str(tmp_path / "out" / "differences")).count() == 2
+    run = read_runs(spark, str(tmp_path / "runs")).first()
+    assert {"best_k", "best_silhouette", "best_inertia", "model_path"} <= set(run["details"]) and run["n_rows"] == 200
+    result.close()
