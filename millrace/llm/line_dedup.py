@@ -2,8 +2,9 @@
 
 A line (cut at \\n) is normalised to its words: A-Z lower-cased, runs of letters, digits and non-ASCII. Lines without a word always stay.
 1. One pass gives every line a 128-bit hash of its word sequence and a 64-bit SimHash of its words. Lines with equal hashes are one node.
-2. The SimHash is cut in five blocks. Two that differ in `BITS` bits at most agree in two blocks (pigeonhole), so each pair of blocks is a key; nodes that share a key
-   with no other node are done with. Pairs (see `linking`) must be within `BITS` bits.
+2. The SimHash is cut in five blocks. Two that differ in `BITS` bits at most agree in two blocks (pigeonhole), so each pair of blocks is a key. Joined on it, most SimHashes turn
+   out to have no other within `BITS` bits and are done with. Only for the nodes that are left are words fetched and pairs made (see `linking`), under the keys
+   that they really share with a close one.
 3. Pairs are verified on their words: at least `PERCENT` of the longer line's words stay if the one is edited into the other (insert, delete, replace).
 4. Of every connected group the occurrence with the smallest (id, line) stays, the others go.
 
@@ -147,12 +148,14 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     lines = hashed.where("id is not null").select("id", F.explode("lines").alias("l")).select("id", "l.*")
     place = F.struct("id", "line")
     kinds = written(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.min("sim").alias("sim")))
-    keyed = kinds.select(F.col("h1").alias("node"), F.explode(_keys("sim")).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    keyed = written(keyed.join(shared, "key").join(kinds.select(F.col("h1").alias("node"), "sim"), "node"))
-    nodes = keyed.select("node").distinct()
-    texts = written(_texts(docs, kinds.select(F.col("h1").alias("node"), "first.id", "first.line").join(nodes, "node", "left_semi"), id_col, text_col))
     near = lambda x, y: F.bit_count(F.col(f"{x}.sim").bitwiseXOR(F.col(f"{y}.sim"))) <= BITS
+    marks = kinds.groupBy("sim").agg(F.count("*").alias("n"))
+    keys = marks.select("sim", F.explode(_keys("sim")).alias("key"))
+    close = keys.alias("x").join(keys.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.sim") != F.col("y.sim")) & near("x", "y"), "left_semi").select("sim", "key")
+    close = written(close.unionByName(marks.where("n > 1").select("sim", _keys("sim")[0].alias("key"))).distinct())
+    keyed = written(kinds.select(F.col("h1").alias("node"), "sim").join(close, "sim"))
+    candidates = kinds.join(close.select("sim").distinct(), "sim", "left_semi").select(F.col("h1").alias("node"), "first.id", "first.line")
+    texts = written(_texts(docs, candidates, id_col, text_col))
     groups = linked(keyed, _verifier(texts, percent), near, ["sim"])
 
     kinds = kinds.join(groups.withColumnRenamed("node", "h1"), "h1", "left").withColumn("component", F.coalesce("component", "h1"))

@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         after = written(small.where("u <> v").distinct())
@@ -52,11 +52,9 @@ def _leaders(keyed: DataFrame, fits: Callable[[str, str], Column], extra: list[s
 def _rest(keyed: DataFrame, fits: Callable[[str, str], Column], extra: list[str]) -> DataFrame:
     """All pairs that share a key across components, once each. Components meet before their nodes do, so that no pair inside one is made."""
     kinds = keyed.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = kinds.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     x, y = F.struct("node", *extra).alias("x"), F.struct("node", *extra).alias("y")
-    rows = keyed.join(mixed, "key")
-    single = rows.join(kinds.where("n = 1").select("key", "label"), ["key", "label"])
-    crowd = rows.join(kinds.where("n > 1").select("key", "label"), ["key", "label"])
+    rows = keyed.join(kinds, ["key", "label"])
+    single, crowd = rows.where("n = 1"), rows.where("n > 1")
     pairs = single.select("key", "label", x).join(single.select("key", F.col("label").alias("label2"), y), "key").where("label < label2").where(fits("x", "y")).select("x", "y")
     pairs = pairs.unionByName(crowd.select("key", x).join(single.select("key", y), "key").where(fits("x", "y")).select("x", "y"))
     across = kinds.where("n > 1").select("key", "label")
