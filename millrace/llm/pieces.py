@@ -16,6 +16,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -193,6 +194,14 @@ class Segmenter:
         return out, to[offset]
 
 
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 def _doc_keys(texts: pa.Array) -> np.ndarray:
     data, off = raw(texts)
     out, full = np.zeros(len(off) - 1, np.uint64), off[1:] > off[:-1]
@@ -209,8 +218,8 @@ def encode_texts(segmenter: Segmenter, texts: pa.Array, seed: int = SEED, varian
             size, z = size + len(values[z] or ""), z + 1
         cut = [_CUT.findall(" " + t) if t else [] for t in values[a:z]]
         count = np.fromiter(map(len, cut), np.int64, z - a)
-        table: dict[str, int] = {}
-        which = np.fromiter((table.setdefault(w, len(table)) for words in cut for w in words), np.int64, count.sum())
+        table = _Numbers()
+        which = np.fromiter(map(table.__getitem__, chain.from_iterable(cut)), np.int64, count.sum())
         place = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
         dealt = mixed(np.repeat(starts[a:z], count) + place.astype(np.uint64)) % np.uint64(variants)
         distinct, back = np.unique(which * variants + dealt.astype(np.int64), return_inverse=True)
@@ -246,7 +255,7 @@ def encode(docs: DataFrame, keep: list[Column | str], vocabulary: Vocabulary, te
         for b in batches:
             texts = b.column(b.num_columns - 1)
             ids = encode_texts(segmenter, texts, seed, variants)
-            same = [None if t is None else decode_ids(shared.value, i) == t for t, i in zip(texts.to_pylist(), ids.to_pylist(), strict=True)]
+            same = [None if t is None else decode_ids(shared.value, i.values.to_numpy().tolist()) == t for t, i in zip(texts.to_pylist(), ids, strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], ids, pa.array(same, pa.bool_())], [*b.schema.names[:-1], "ids", "decoded_same"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "ids array<int>, decoded_same boolean"])
@@ -261,7 +270,7 @@ def decode(rows: DataFrame, keep: list[Column | str], vocabulary: Vocabulary, id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [None if i is None else decode_ids(shared.value, i) for i in b.column(b.num_columns - 1).to_pylist()]
+            texts = [decode_ids(shared.value, i.values.to_numpy().tolist()) if i.is_valid else None for i in b.column(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string())], [*b.schema.names[:-1], "text"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "text string"])
