@@ -94,7 +94,7 @@ def _needed(size: np.ndarray | int, percent: int):
 
 
 def _prefixes(docs: DataFrame, counters: np.ndarray, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
-    """(key, node, size, place, hot) of the prefix n-grams. Sets so small that they can only be equal to similar ones have none."""
+    """(key, node, size, place, hot) of the prefix n-grams. Sets so small that not even one n-gram more keeps them similar have none."""
     shared = docs.sparkSession.sparkContext.broadcast(np.minimum(counters, (1 << 20) - 1).astype(np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +104,7 @@ def _prefixes(docs: DataFrame, counters: np.ndarray, id_col: str, text_col: str,
             for row, keys in _sets(b.column(1), n):
                 size = len(keys)
                 take = size - int(_needed(size, percent)) + 1
-                if ids[row] is None or take < 2:
+                if ids[row] is None or (take < 2 and size * 100 // percent == size):
                     continue
                 count = table[(keys & np.uint64(SLOTS - 1)).astype(np.int64)]
                 rank = (count << np.uint64(44)) | (keys >> np.uint64(20))

@@ -102,6 +102,20 @@ def test_ngram_join(spark, odd, monkeypatch, hot, run):
     assert ids == sorted(i for i, _ in brute.odd_texts() if i is not None and expected[i][1] == i)
 
 
+def test_ngram_join_of_short_sets(spark):
+    """A set of 6 n-grams links to one of 7 that holds it, though its prefix is a single n-gram."""
+    nine = "a1 b2 c3 d4 e5 f6 g7 h8 i9"
+    texts = [(1, nine), (2, nine + " j10"), (3, "z0 " + nine), (4, "k1 l2 m3 n4 o5 p6 q7 r8"), (5, "k1 l2 m3 n4 o5 p6 q7 r8 s9"), (None, nine), (6, "")]
+    expected = brute.jaccard(texts)
+    assert expected[2] == (7, 1) and expected[3] == (7, 1) and expected[5] == (6, 5)
+    found = ngram_join.jaccard_groups(spark.createDataFrame(brute.rows(texts), brute.SCHEMA).repartition(3)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found if r.doc_id is not None} == expected
+    for percent in (50, 67, 80, 90):
+        for size in range(1, 40):
+            links = any(100 * size >= percent * more for more in range(size + 1, 3 * size + 2))
+            assert links == (size * 100 // percent > size)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (300, 200), (200, 250)]
     found = dict(linking.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
