@@ -1,13 +1,16 @@
 """Fuzzy line dedup: of each group of equal or nearly equal lines in all documents, the first occurrence stays.
 
 A line (cut at \\n) is normalised to its words: A-Z lower-cased, runs of letters, digits and non-ASCII. Lines without a word always stay.
-1. One pass gives every line a 128-bit hash of its word sequence and a 64-bit SimHash of its words. Lines with equal hashes are one node.
-2. The SimHash is cut in five blocks. Two that differ in `BITS` bits at most agree in two blocks (pigeonhole), so each pair of blocks is a key. Joined on it, most SimHashes turn
-   out to have no other within `BITS` bits and are done with. Only for the nodes that are left are words fetched and pairs made (see `linking`), under the keys
-   that they really share with a close one.
-3. Pairs are verified on their words: at least `PERCENT` of the longer line's words stay if the one is edited into the other (insert, delete, replace).
+1. One pass gives every line a 128-bit hash of its word sequence and two 64-bit parities of its words, and counts words in a table of counters. Lines with equal hashes are one node.
+2. Two lines link if at least `PERCENT` of the longer line's words stay when the one is edited into the other (insert, delete, replace). An edit breaks two pairs of neighbouring
+   words at most, so linked lines share one of the first few of their pairs in a common order, rare words first (prefix filter): no pair of lines that link is missed. Only these
+   are keys; those of one line only are dropped. Nodes meet under a key if their lengths and parities allow so few edits (an edit changes two bits at most).
+3. For the nodes that meet another one words are fetched, pairs made (see `linking`) and verified by their edit distance.
 4. Of every connected group the occurrence with the smallest (id, line) stays, the others go.
 
+With `bits` a link also needs SimHashes of words that differ in so many bits at most (found by pairs of five blocks, pigeonhole), which few short lines with an edit have: cheaper, but it
+misses most of them. The query `op9_fuzzy_lines` links without (`bits=None`); the pipeline still has `BITS`.
+
 Null and empty texts have no lines. Rows with a null id take no part and keep all their lines; rows that repeat an id with the same text lose the same lines. Nodes are named by half
 of the hash, so a fuzzy link could reach a wrong line with a chance of 2^-64 for each pair; equality always takes all 128 bits.
 """
@@ -19,16 +22,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.linking import linked
+from millrace.llm.ngram_join import HOT, PART, SLOTS, _counters
 from millrace.llm.shared import written
-from millrace.llm.words import LETTERS, LOWER, Words, chunks, mixed
+from millrace.llm.words import LETTERS, LOWER, Words, chunks, grams, mixed
 
 BITS, PERCENT = 3, 80
 BLOCKS = (0, 13, 26, 39, 52, 64)
-_LINES = "array<struct<line:int,h1:bigint,h2:bigint,sim:bigint>>"
+_LINES = "array<struct<line:int,size:int,h1:bigint,h2:bigint,p1:bigint,p2:bigint,sim:bigint>>"
 #: Sixteen-bit lanes of the four bits of a nibble; a sum of 65,535 of them can't overflow.
 _LANES = np.array([sum(((v >> j) & 1) << (16 * j) for j in range(4)) for v in range(16)], np.uint64)
 _MOST = 65_535
@@ -63,20 +67,108 @@ def _chunk_lines(data: np.ndarray, off: np.ndarray) -> tuple[Words, np.ndarray,
     return w, row[full], number[full], a[full], z[full]
 
 
-def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _ones(hashes: np.ndarray, a: np.ndarray, z: np.ndarray, salt: int) -> np.ndarray:
+    """Hash of the word sequence of each line; no line is empty."""
+    if not len(a):
+        return np.empty(0, np.int64)
+    place = np.arange(len(hashes)) - np.repeat(a, z - a)
+    return np.add.reduceat(mixed(hashes + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(salt)), a).view(np.int64)
+
+
+H1, H2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+
+
+def _hashed(docs: DataFrame, id_col: str, text_col: str, bits: int | None) -> DataFrame:
+    """Rows of two kinds: (id, lines) of documents, and (part, counts) of the word counters of a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = np.zeros(SLOTS, np.int64)
         for b in batches:
             for x, y, data, off in chunks(b.column(1)):
                 w, row, number, a, z = _chunk_lines(data, off)
                 hashes = w.hashes()
-                place = np.arange(len(hashes)) - np.repeat(a, z - a) if len(a) else np.empty(0, np.int64)
-                h = [np.add.reduceat(mixed(hashes + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(salt)), a).view(np.int64) if len(a) else a for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
-                sim = simhashes(hashes, a).view(np.int64) if len(a) else a
-                body = pa.StructArray.from_arrays([pa.array(number.astype(np.int32)), *(pa.array(v.astype(np.int64)) for v in (*h, sim))], ["line", "h1", "h2", "sim"])
+                counters += np.bincount((hashes & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+                # a word falls on one of 128 bits: the first 64 or the others
+                upper = (hashes >> np.uint64(40)) & np.uint64(1)
+                bit = np.uint64(1) << ((hashes >> np.uint64(41)) & np.uint64(63))
+                p = [np.bitwise_xor.reduceat(np.where(upper == k, bit, np.uint64(0)), a).view(np.int64) if len(a) else np.empty(0, np.int64) for k in (0, 1)]
+                sim = simhashes(hashes, a).view(np.int64) if bits is not None and len(a) else np.zeros(len(a), np.int64)
+                values = [number.astype(np.int32), (z - a).astype(np.int32), _ones(hashes, a, z, H1), _ones(hashes, a, z, H2), *p, sim]
+                body = pa.StructArray.from_arrays([pa.array(v) for v in values], ["line", "size", "h1", "h2", "p1", "p2", "sim"])
                 upto = np.searchsorted(row, np.arange(y - x + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(upto), body)], ["id", "lines"])
+                none = [None] * (y - x)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(upto), body), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names)
+        full = [k for k in range(SLOTS // PART) if counters[k * PART : (k + 1) * PART].any()]
+        none = [None] * len(full)
+        body = [counters[k * PART : (k + 1) * PART].astype(np.uint32).tobytes() for k in full]
+        yield pa.RecordBatch.from_arrays([pa.array(none, pa.int64()), pa.array(none, lines), pa.array(full, pa.int32()), pa.array(body, pa.binary())], names)
+
+    names = ["id", "lines", "part", "counts"]
+    lines = pa.list_(pa.struct([(k, pa.int32()) for k in ("line", "size")] + [(k, pa.int64()) for k in ("h1", "h2", "p1", "p2", "sim")]))
+    return docs.select(id_col, text_col).mapInArrow(run, f"id bigint, lines {_LINES}, part int, counts binary")
+
+
+def _taken(size: int, run: int, percent: int) -> int:
+    """How many of a line's runs of `run` words, in order, are keys; 0 if it can link to equal lines only."""
+    longer = range(size, min(size * 100 // percent, size + 100) + 1)
+    edits = [m * (100 - percent) // 100 for m in longer]
+    return max(size - m + run * d for m, d in zip(longer, edits, strict=True)) + 1 if any(edits) else 0
+
+
+def _keyed(docs: DataFrame, counters: np.ndarray, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(key, node, hot) of the first runs of words of each line, rare words first. A line that comes again in the same chunk has no more rows."""
+    # shared runs of two are certain if an edit breaks fewer than there are
+    run_ = 2 if percent >= 67 else 1
+    shared = docs.sparkSession.sparkContext.broadcast(counters.astype(np.float64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for b in batches:
+            known = np.flatnonzero(b.column(0).is_valid().to_numpy(zero_copy_only=False))
+            for x, _, data, off in chunks(b.column(1)):
+                w, row, _, a, z = _chunk_lines(data, off)
+                hashes = w.hashes()
+                node = _ones(hashes, a, z, H1)
+                sizes, which = np.unique(z - a, return_inverse=True)
+                take = np.array([_taken(int(n), run_, percent) for n in sizes], np.int64)[which] if len(a) else np.empty(0, np.int64)
+                once = np.zeros(len(a), bool)
+                usable = np.flatnonzero(np.isin(row + x, known) & (take > 0))
+                once[usable[np.unique(node[usable], return_index=True)[1]]] = True
+                a, z, take, node = a[once], z[once], take[once], node[once]
+                if not len(a):
+                    continue
+                number = z - a - (run_ - 1)
+                line = np.repeat(np.arange(len(a)), number)
+                begins = np.concatenate(([0], np.cumsum(number)[:-1]))
+                at = np.arange(len(line)) - begins[line] + a[line]
+                count = table[(hashes & np.uint64(SLOTS - 1)).astype(np.int64)]
+                likely, most, gram = count[at], count[at], hashes[at]
+                if run_ == 2:
+                    likely, most, gram = likely * count[at + 1], np.minimum(most, count[at + 1]), grams(hashes, 2)[at]
+                rank = ((8 * np.log2(likely + 1)).astype(np.uint64) << np.uint64(53)) | (gram >> np.uint64(11))
+                order = np.lexsort((rank, line))
+                gram, most = gram[order], most[order]
+                same = np.concatenate(([False], (gram[1:] == gram[:-1]) & (line[1:] == line[:-1])))
+                i = np.arange(len(line))
+                again = i - np.maximum.accumulate(np.where(same, 0, i))
+                first = i - begins[line] < take[line]
+                key = mixed(gram + again.astype(np.uint64) * np.uint64(H2))[first]
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node[line[first]]), pa.array(most[first] >= HOT)], ["key", "node", "hot"])
+
+    return docs.select(F.col(id_col).cast("bigint"), text_col).mapInArrow(run, "key bigint, node bigint, hot boolean")
+
+
+def _fits(percent: int):
+    """Whether lengths and parities allow few enough edits."""
+
+    def fits(x: str, y: str) -> Column:
+        xs, ys = F.col(f"{x}.size"), F.col(f"{y}.size")
+        apart = F.abs(xs - ys)
+        edits = F.floor(F.greatest(xs, ys) * (100 - percent) / 100)
+        changed = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in ("p1", "p2")), F.lit(0))
+        return (apart <= edits) & (changed <= 2 * edits - apart)
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id bigint, lines {_LINES}")
+    return fits
 
 
 def _keys(sim: str) -> Column:
@@ -142,21 +234,35 @@ def _verifier(texts: DataFrame, percent: int):
     return verify
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bits: int | None = BITS) -> DataFrame:
     """For each row of `docs`: id, n_lines (with a word), n_removed, removed_lines (numbers from 0, in order)."""
-    hashed = written(_hashed(docs, id_col, text_col))
+    first = written(_hashed(docs, id_col, text_col, bits))
+    hashed = first.where("part is null").select("id", "lines")
     lines = hashed.where("id is not null").select("id", F.explode("lines").alias("l")).select("id", "l.*")
     place = F.struct("id", "line")
-    kinds = written(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.min("sim").alias("sim")))
-    near = lambda x, y: F.bit_count(F.col(f"{x}.sim").bitwiseXOR(F.col(f"{y}.sim"))) <= BITS
-    marks = kinds.groupBy("sim").agg(F.count("*").alias("n"))
-    keys = marks.select("sim", F.explode(_keys("sim")).alias("key"))
-    close = keys.alias("x").join(keys.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.sim") != F.col("y.sim")) & near("x", "y"), "left_semi").select("sim", "key")
-    close = written(close.unionByName(marks.where("n > 1").select("sim", _keys("sim")[0].alias("key"))).distinct())
-    keyed = written(kinds.select(F.col("h1").alias("node"), "sim").join(close, "sim"))
-    candidates = kinds.join(close.select("sim").distinct(), "sim", "left_semi").select(F.col("h1").alias("node"), "first.id", "first.line")
+    extra = ["size", "p1", "p2"] if bits is None else ["sim"]
+    kinds = written(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *(F.min(x).alias(x) for x in extra)))
+    nodes = kinds.select(F.col("h1").alias("node"), *extra)
+    if bits is None:
+        fits = _fits(percent)
+        keyed = _keyed(docs, _counters(first.where("part is not null")), id_col, text_col, percent)
+        of_key = Window.partitionBy("key")
+        cold = keyed.where("not hot").withColumn("low", F.min("node").over(of_key)).withColumn("high", F.max("node").over(of_key)).where("low <> high")
+        keyed = written(cold.select("key", "node").unionByName(keyed.where("hot").select("key", "node")).distinct().join(nodes, "node"))
+        close = keyed.alias("x").join(keyed.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") != F.col("y.node")) & fits("x", "y"), "left_semi")
+        close = written(close.select("key", "node", *extra))
+    else:
+        if bits > BITS:
+            raise ValueError(f"pairs of blocks find {BITS} differing bits at most")
+        fits = lambda x, y: F.bit_count(F.col(f"{x}.sim").bitwiseXOR(F.col(f"{y}.sim"))) <= bits
+        sims = kinds.groupBy("sim").agg(F.count("*").alias("n"))
+        keys = sims.select("sim", F.explode(_keys("sim")).alias("key"))
+        near = keys.alias("x").join(keys.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.sim") != F.col("y.sim")) & fits("x", "y"), "left_semi").select("sim", "key")
+        near = written(near.unionByName(sims.where("n > 1").select("sim", _keys("sim")[0].alias("key"))).distinct())
+        close = written(nodes.join(near, "sim"))
+    candidates = kinds.join(close.select(F.col("node").alias("h1")).distinct(), "h1", "left_semi").select(F.col("h1").alias("node"), "first.id", "first.line")
     texts = written(_texts(docs, candidates, id_col, text_col))
-    groups = linked(keyed, _verifier(texts, percent), near, ["sim"])
+    groups = linked(close, _verifier(texts, percent), fits, extra)
 
     kinds = kinds.join(groups.withColumnRenamed("node", "h1"), "h1", "left").withColumn("component", F.coalesce("component", "h1"))
     in_groups = kinds.join(groups.select("component").distinct(), "component", "left_semi")
@@ -171,9 +277,9 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     )
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, percent: int = PERCENT) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, percent: int = PERCENT, bits: int | None = BITS) -> DataFrame:
     """Rows of `docs` without the lines that go; `length_col`, if given, is set to the characters that are left. All rows stay, other columns as they are."""
-    gone = removals(docs, id_col, text_col, percent).where("n_removed > 0").select(F.col(id_col).alias("_gone_from"), F.col("removed_lines").alias("_gone")).dropDuplicates(["_gone_from"])
+    gone = removals(docs, id_col, text_col, percent, bits).where("n_removed > 0").select(F.col(id_col).alias("_gone_from"), F.col("removed_lines").alias("_gone")).dropDuplicates(["_gone_from"])
     rows = docs.join(gone, F.col(id_col) == F.col("_gone_from"), "left")
     numbered = F.filter(F.transform(F.split(text_col, "\n", -1), lambda x, i: F.when(~F.array_contains("_gone", i), x)), lambda x: x.isNotNull())
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(numbered, "\n"))

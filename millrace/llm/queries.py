@@ -83,7 +83,7 @@ def op8_decontaminate(spark, sf_dir):
 
 @query
 def op9_fuzzy_lines(spark, sf_dir):
-    return line_dedup.removals(table(spark, sf_dir, "documents"))
+    return line_dedup.removals(table(spark, sf_dir, "documents"), bits=None)
 
 
 @query

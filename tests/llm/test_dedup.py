@@ -1,5 +1,7 @@
 """Phrase automata, fuzzy lines and the n-gram join, against brute force."""
 
+import random
+
 import brute
 import numpy as np
 import pytest
@@ -70,6 +72,22 @@ def test_fuzzy_lines(spark):
         assert r.text == "\n".join(stays) and r.n_chars == len(r.text)
 
 
+def test_every_line_within_the_edits_goes(spark):
+    """Against the edit distance alone, on lines of 4 to 50 words with up to a fifth of the words changed."""
+    r, texts = random.Random(4), []
+    for k, size in enumerate((4, 5, 6, 9, 10, 15, 20, 30, 50) * 6):
+        words = [f"w{r.randrange(300)}" for _ in range(size)]
+        other = list(words)
+        for _ in range(size // 5 + (k % 5 == 0)):
+            at, what = r.randrange(len(other)), r.randrange(3)
+            other[at : at + (what > 0)] = [f"new{r.randrange(10**6)}"] if what < 2 else []
+        texts += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other) + "\nthe the the the the\nthe the the the")]
+    expected = brute.fuzzy_lines(texts, lambda words: 0)
+    assert sum(0 in gone for gone in expected.values()) >= 40
+    docs = spark.createDataFrame(brute.rows(texts), brute.SCHEMA).repartition(3)
+    assert {r.doc_id: r.removed_lines for r in line_dedup.removals(docs, bits=None).collect()} == {i: expected.get(i, []) for i, _ in texts}
+
+
 def test_simhash_of_very_long_lines(monkeypatch):
     hashes = np.random.default_rng(1).integers(0, 1 << 63, 500, dtype=np.uint64)
     plain = line_dedup.simhashes(hashes, np.array([0, 3, 400]))
