@@ -1,6 +1,6 @@
 """Licence scan by canonical digests, in DataFrame functions only.
 
-A text is brought into canonical form: lines that begin with a copyright mark are dropped, letters lower-cased, everything but letters and
+A text is brought into canonical form: lines that are a copyright mark are dropped (not sentences wrapped before "copyright notice" and the like), letters lower-cased, everything but letters and
 digits is taken out (so line breaks and blanks don't count), and equivalent spellings are made one. The SHA-256 of the whole canonical text is joined to the digests of
 known licence texts. Single lines are held against one-line notices in the same way (their copyright marks stay); lines too long to
 shrink to the longest notice are skipped, which loses none: spelling takes away less than `1 - SHRINK` of a line.
@@ -20,7 +20,7 @@ from millrace.llm.shared import written
 SPELLINGS = (
     ("licence", "license"), ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("behaviour", "behavior"), ("cancelled", "canceled"), ("centre", "center"), ("colour", "color"),
     ("favour", "favor"), ("fulfilment", "fulfillment"), ("honour", "honor"), ("organisation", "organization"), ("programme", "program"), ("recognised", "recognized"), ("whilst", "while"),
-    ("copyrightholders", "copyrightholder"), ("copyrightowners", "copyrightholder"), ("copyrightowner", "copyrightholder"),
+    ("copyrightholders", "copyrightholder"), ("copyrightowners", "copyrightholder"), ("copyrightowner", "copyrightholder"), ("authorsor", "authoror"),
 )
 SHRINK = 0.7
 
@@ -52,7 +52,28 @@ NOTICES = {
     "MIT": "Licensed under the MIT License.",
 }
 
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
+#: What follows "copyright" where a sentence of a licence was wrapped before it, and no holder.
+NO_HOLDER = (
+    "notice", "holder", "owner", "license", "licence", "law ", "law,", "law.", "laws ", "laws,", "laws.", "statement", "interest", "protection", "permission", "disclaimer", "claim", "act ", "infring",
+    "treaties", "registration", "and ", "and/", "or ", "in ", "on ", "to ", "is ", "as ", "for ", "of ", "under ", "line ", "text ", "file ", "right ", "rights ", "work ", "year ", "date ", "message ", "header ",
+)
+
+
+def _not_begun_by(words: tuple[str, ...]) -> str:
+    """Pattern of the beginnings of what begins with none of the words; without lookahead, which not every SQL has."""
+    firsts = sorted({w[0] for w in words})
+    others = "[^" + "".join(firsts) + r" \t:,\n]"
+    return f"({others}|" + "|".join(c.replace(".", "[.]") + _inside(tuple(w[1:] for w in words if w[0] == c)) for c in firsts if all(w[1:] for w in words if w[0] == c)) + ")"
+
+
+def _inside(words: tuple[str, ...]) -> str:
+    firsts = sorted({w[0] for w in words})
+    deeper = [c.replace(".", "[.]") + _inside(tuple(w[1:] for w in words if w[0] == c)) for c in firsts if all(w[1:] for w in words if w[0] == c)]
+    return "(" + "|".join(["[^" + "".join(firsts) + r"\n]", *deeper]) + ")"
+
+
+#: A line that is a copyright mark, maybe in a comment: "copyright" and a sign, a year or a holder; or a sign first. "(c)" alone is also a number of a list, so it takes a year.
+COPYRIGHT_LINE = r"(^|\n)[ \t]*[*#;%!/<>|-]*[ \t]*(copyright[ \t:,]*(\(c\)|©|[0-9])|copyright[ \t:,]+" + _not_begun_by(NO_HOLDER) + r"|\(c\)[ \t,]*(copyright|©|[0-9])|©)[^\n]*"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 NOT_WORD_OR_BREAK = r"[^\p{L}\p{N}\n]+"
 

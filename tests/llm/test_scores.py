@@ -1,5 +1,7 @@
 """Quality rules, language, licences, toxicity and line quality."""
 
+import textwrap
+
 import brute
 import duckdb
 import numpy as np
@@ -129,6 +131,26 @@ def test_licences(spark):
     assert licences.scan(spark.createDataFrame([], brute.SCHEMA)).count() == 0
 
 
+def test_licences_as_published(spark):
+    """Wrapped at any width, so that body lines begin with "copyright", plain or in comments, with marks of every form above."""
+    marks = ("Copyright (c) 2020 Some One", "Copyright 2020, 2021 Some One", "copyright: Some One <one@example.org>", "Copyright Noel Once\nCopyright \u00a9 Other", "(c) 2020 Some One", "\u00a9 Some One")
+    texts = []
+    for k, (name, text) in enumerate(licences.TEXTS.items()):
+        for j, mark in enumerate(marks):
+            for width in (20, 45, 60, 72, 79):
+                body = mark + "\n\n" + "\n\n".join(textwrap.fill(p, width) for p in text.split("\n"))
+                leader = ("", "# ", "// ", " * ", "; ")[(j + k + width) % 5]
+                texts.append((name, "\n".join(leader + x for x in body.split("\n"))))
+    assert any("\ncopyright notice" in t.lower() for _, t in texts) and any("\n# copyright holders" in t.lower() or "\ncopyright holders" in t.lower() for _, t in texts)
+    texts.append(("MIT", licences.TEXTS["MIT"].replace("AUTHORS OR", "AUTHOR OR")))
+    found = licences.scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id bigint, text string")).collect()
+    assert [r.license for r in sorted(found, key=lambda r: r.doc_id)] == [name for name, _ in texts]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", [(i, t) for i, (_, t) in enumerate(texts)])
+    assert sorted(con.execute(queries.SQL["op3_licence_scan"]).fetchall()) == sorted(map(tuple, found))
+
+
 def test_licence_scan_runs_no_python(spark):
     plan = licences.scan(queries.table(spark, "/root/testdata/sf0.001", "documents"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
