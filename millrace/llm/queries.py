@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, language, licences, line_dedup, line_quality, ngram_join, phrases, pieces, quality_rules, toxicity
+from millrace.llm import decontaminate, language, licences, line_dedup, line_quality, ngram_join, phrases, pieces, quality_rules, toxicity, whitening
 from millrace.llm.sampling import labelled_sample
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,11 @@ def op10_ngram_join(spark, sf_dir):
     return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def _sql_text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -148,11 +153,13 @@ SQL["op4_repetition_rules"] = rf"""
 with d as (select doc_id, coalesce(text, '') as text, {WORDS.format(text='text')} as w from documents),
 word as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from d),
 rep as (select doc_id, count(distinct p + j) as n_repeat_words from (select doc_id, p, unnest(range(3)) as j from (select *, count(*) over (partition by doc_id, k) as n from ({_sql_runs(3)})) where n > 1) group by doc_id),
-line as (select doc_id, l, i, length(regexp_replace(l, '[ 	-]', '', 'g')) as chars from (select doc_id, unnest(string_split(text, chr(10))) as l, unnest(range(len(string_split(text, chr(10))))) as i from d)),
+line as (select doc_id, l, i, length(regexp_replace(l, '[ 	-
+]', '', 'g')) as chars from (select doc_id, unnest(string_split(text, chr(10))) as l, unnest(range(len(string_split(text, chr(10))))) as i from d)),
 lines as (select doc_id, count(*) as n_lines, sum(chars) as line_chars, count(*) filter (r > 1) as n_dup_lines, coalesce(sum(chars) filter (r > 1), 0) as dup_line_chars
  from (select *, row_number() over (partition by doc_id, l order by i) as r from line where chars > 0) group by doc_id),
 {_COVERED}, {_CHARS},
-counts as (select d.doc_id, len(w) as n_words, length(regexp_replace(text, '[ 	-]', '', 'g')) as word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+counts as (select d.doc_id, len(w) as n_words, length(regexp_replace(text, '[ 	-
+]', '', 'g')) as word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
  coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(n_lines, 0) as n_lines, cast(coalesce(line_chars, 0) as bigint) as line_chars, cast(coalesce(dup_line_chars, 0) as bigint) as dup_line_chars,
  {', '.join(f'cast(coalesce(dup_chars_{n}, 0) as bigint) as dup_chars_{n}' for n in _LENGTHS)}
  from d left join rep using (doc_id) left join lines using (doc_id) {_JOINED})
