@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, language, licences, line_dedup, line_quality, ngram_join, phrases, pieces, quality_rules, toxicity, whitening
+from millrace.llm import ball_tree, decontaminate, language, licences, line_dedup, line_quality, ngram_join, phrases, pieces, quality_rules, toxicity, whitening
 from millrace.llm.sampling import labelled_sample
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,11 @@ def op10_ngram_join(spark, sf_dir):
     return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_ball_tree(spark, sf_dir):
+    return ball_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op13_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -191,3 +196,15 @@ reach(a, b) as (select a, b from link union select r.a, l.b from reach r join li
 select d.doc_id, coalesce(max(n.n), 0) as n_shingles, least(d.doc_id, coalesce(min(reach.b), d.doc_id)) as component_id
 from d left join n using (doc_id) left join reach on reach.a = d.doc_id group by d.doc_id
 """
+
+SQL["op12_ball_tree"] = f"""
+with d as (select doc_id, {ITEM_WORDS} as w from documents),
+s as (select count(*) filter (len(w) > 0) as docs, cast(sum(len(w)) as bigint) as total from d),
+tf as (select doc_id, n, term, count(*) as tf from (select doc_id, len(w) as n, unnest(w) as term from d) group by all),
+df as (select term, cast(floor(1000 * ln(cast(2 * docs + 2 as double) / cast(2 * df + 1 as double))) as bigint) as w from (select term, count(*) as df from tf group by term), s),
+item as (select distinct item_id, unnest({ITEM_WORDS}) as term from benchmark),
+score as (select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)))) as bigint) as score
+ from item join df using (term) join tf using (term), s group by item_id, doc_id),
+ranked as (select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score from score where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= {ball_tree.TOP}
+"""
