@@ -4,18 +4,22 @@ Nodes that share a key may be linked; whether they are is up to a `verify` step
 key's leader is the node that shares most of its keys with others (of a group of near copies, the one that was changed least); ties are
 broken anew in each round. What gets linked is one component, and a component's own pairs need no further look. At last all pairs that share a key across
 components are verified, so the components are exactly those that all pairs would give.
+
+A key under which more than `CROWD` pairs a node would be left is split first: its nodes meet only under that key together with another of their `marks`. The caller vouches that
+nodes which link and share a key share a mark besides it, so that nothing is lost; nodes that share but the one key are never paired.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import discard, written
 
-ROUNDS = 2
+ROUNDS, CROWD = 2, 64
 Verify = Callable[[DataFrame], DataFrame]
 
 
@@ -64,21 +68,65 @@ def _rest(keyed: DataFrame, fits: Callable[[str, str], Column], extra: list[str]
     return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column], extra: list[str] | None = None) -> DataFrame:
-    """(node, component) of the nodes that have a link. `keyed`: (key, node, *extra), read several times, so a written table.
+def _pairs_left(rows: DataFrame) -> DataFrame:
+    """(key, crowded) of keys that more than one label has: whether its pairs across labels are more than `CROWD` a node."""
+    kinds = rows.groupBy("key", "label").agg(F.count("*").cast("double").alias("n"))
+    left = kinds.groupBy("key").agg(F.count("*").alias("labels"), F.sum("n").alias("nodes"), F.sum(F.col("n") * F.col("n")).alias("inside"))
+    return left.where("labels > 1").select("key", ((F.col("nodes") * F.col("nodes") - F.col("inside")) / 2 > CROWD * F.col("nodes")).alias("crowded"))
+
+
+def _split(rows: DataFrame, marks: DataFrame, extra: list[str]) -> DataFrame:
+    """Rows of crowded keys under each pair of the key and another mark of the node."""
+    both = rows.join(marks.select("node", "mark"), "node").where("mark <> key")
+    return both.select(F.xxhash64("key", "mark").alias("key"), "node", *extra, "label")
+
+
+def _hop(edges: DataFrame) -> DataFrame:
+    """(node, component) after a round in which every node has one leader at most: the leader's leader, or the leader. Not all of a component need agree."""
+    up = edges.select(F.col("b").alias("node"), F.col("a").alias("up"))
+    far = edges.select(F.col("b").alias("up"), F.col("a").alias("far"))
+    return up.join(far, "up", "left").select("node", F.when(F.col("far") == F.col("node"), F.least("node", "up")).otherwise(F.coalesce("far", "up")).alias("component"))
 
-    `verify` turns pairs (a, b) into those that are linked; `fits` may rule out pairs by the `extra` columns of both sides."""
+
+def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column], extra: list[str] | None = None, marks: DataFrame | None = None) -> DataFrame:
+    """(node, component) of the nodes that have a link. `keyed`: (key, node, *extra).
+
+    `verify` turns pairs (a, b) into those that are linked; `fits` may rule out pairs by the `extra` columns of both sides. `marks`: (node, mark), the keys of each
+    node and what else may split crowded keys; without it they are paired as they are."""
     extra = extra or []
-    spark = keyed.sparkSession
-    edges = spark.createDataFrame([], "a bigint, b bigint")
-    groups = spark.createDataFrame([], "node bigint, component bigint")
     weight = keyed.groupBy("node").agg(F.count("*").alias("weight"))
     keyed = written(keyed.join(weight, "node"))
-    for turn in range(ROUNDS + 1):
-        labelled = keyed.join(groups, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-        pairs = written(_leaders(labelled, fits, extra, turn) if turn < ROUNDS else _rest(labelled, fits, extra))
-        new = verify(pairs)
-        edges = written(edges.unionByName(new.select("a", "b")))
+
+    def labelled(groups: DataFrame | None) -> DataFrame:
+        if groups is None:
+            return keyed.withColumn("label", F.col("node"))
+        return keyed.join(groups, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs)
+        new = written(verify(pairs).select("a", "b"))
         discard(pairs)
-        groups = components(edges)
-    return groups
+        return new
+
+    groups, found = None, []
+    for turn in range(ROUNDS):
+        found.append(verified(_leaders(labelled(groups), fits, extra, turn)))
+        groups = _hop(found[0]) if turn == 0 and ROUNDS > 1 else components(reduce(DataFrame.unionByName, found))
+    rows = written(labelled(groups).drop("weight"))
+    discard(keyed)
+    tables = [rows]
+    pairs = _rest(rows, fits, extra)
+    if marks is not None:
+        left = written(_pairs_left(rows))
+        tables.append(left)
+        crowded = left.where("crowded")
+        if not crowded.isEmpty():
+            finer = written(_split(rows.join(crowded, "key", "left_semi"), marks, extra))
+            tables.append(finer)
+            pairs = _rest(rows.join(left.where("not crowded"), "key", "left_semi"), fits, extra).unionByName(_rest(finer, fits, extra)).distinct()
+    new = verified(pairs)
+    for table in tables:
+        discard(table)
+    if new.isEmpty():
+        return groups
+    return components(reduce(DataFrame.unionByName, [*found, new]))

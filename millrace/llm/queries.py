@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ball_tree, decontaminate, language, licences, line_dedup, line_quality, ngram_join, phrases, pieces, quality_rules, toxicity, whitening
+from millrace.llm import ball_tree, decontaminate, language, licences, line_dedup, line_quality, minhash, ngram_join, phrases, pieces, quality_rules, toxicity, whitening
 from millrace.llm.sampling import labelled_sample
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,11 @@ def op10_ngram_join(spark, sf_dir):
     return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_minhash(spark, sf_dir):
+    return minhash.near_copies(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_ball_tree(spark, sf_dir):
     return ball_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -186,15 +191,28 @@ select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_item
 from d left join n using (doc_id) left join f using (doc_id)
 """
 
-SQL["op10_ngram_join"] = f"""
-with recursive d as (select doc_id, {WORDS.format(text=LOWER.format(text='text'))} as w from documents),
-s as (select distinct doc_id, k from ({_sql_runs(ngram_join.N)}) union select doc_id, array_to_string(w, ' ') || ' .' from d where len(w) between 1 and {ngram_join.N - 1}),
+
+
+def _sql_groups(n: int, percent: int) -> str:
+    """Sets of n-word shingles, their links and what can be reached, up to a table `found` of (doc_id, n_shingles, component_id)."""
+    return f"""with recursive d as (select doc_id, {WORDS.format(text=LOWER.format(text='text'))} as w from documents),
+s as (select distinct doc_id, k from ({_sql_runs(n)}) union select doc_id, array_to_string(w, ' ') || ' .' from d where len(w) between 1 and {n - 1}),
 n as (select doc_id, count(*) as n from s group by doc_id),
 link as (select x.doc_id as a, y.doc_id as b from s x join s y on x.k = y.k and x.doc_id <> y.doc_id join n na on na.doc_id = x.doc_id join n nb on nb.doc_id = y.doc_id
- group by x.doc_id, y.doc_id, na.n, nb.n having 100 * count(*) >= {ngram_join.PERCENT} * (na.n + nb.n - count(*))),
-reach(a, b) as (select a, b from link union select r.a, l.b from reach r join link l on l.a = r.b)
-select d.doc_id, coalesce(max(n.n), 0) as n_shingles, least(d.doc_id, coalesce(min(reach.b), d.doc_id)) as component_id
-from d left join n using (doc_id) left join reach on reach.a = d.doc_id group by d.doc_id
+ group by x.doc_id, y.doc_id, na.n, nb.n having 100 * count(*) >= {percent} * (na.n + nb.n - count(*))),
+reach(a, b) as (select a, b from link union select r.a, l.b from reach r join link l on l.a = r.b),
+found as (select d.doc_id, coalesce(max(n.n), 0) as n_shingles, least(d.doc_id, coalesce(min(reach.b), d.doc_id)) as component_id
+ from d left join n using (doc_id) left join reach on reach.a = d.doc_id group by d.doc_id)"""
+
+
+SQL["op10_ngram_join"] = f"""
+{_sql_groups(ngram_join.N, ngram_join.PERCENT)}
+select doc_id, n_shingles, component_id from found
+"""
+
+SQL["op11_minhash"] = f"""
+{_sql_groups(minhash.N, minhash.PERCENT)}
+select doc_id, n_shingles, component_id, doc_id = component_id as kept from found
 """
 
 SQL["op12_ball_tree"] = f"""
