@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col, quoted, settled, spread
 from millrace.operators.curves import bin_of
+from millrace.operators.lloyd import Centres, fit_range
 from millrace.operators.preprocess import NumericFit, encoder_stages, learn_numeric
 from millrace.operators.silhouette import check_method, euclidean_silhouettes, squared_silhouettes
 from millrace.spec import Spec
@@ -298,24 +296,6 @@ def lloyd_step(df: DataFrame, features: Sequence[str], centres: Sequence[Sequenc
     return moments(assigned, features, "_cluster").drop(*[f"v{i}" for i in range(len(features))])
 
 
-def one_start(df: DataFrame, k: int, seed: int, max_iter: int, vector: str = "features") -> KMeansModel:
-    """One seeded fit; scaled features are dense, so distances are computed block by block."""
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=vector, predictionCol="cluster", solver="block").fit(df)
-
-
-def lowest_cost(models: Sequence[KMeansModel]) -> KMeansModel:
-    """The first model with the lowest training cost."""
-    return min(models, key=lambda m: m.summary.trainingCost)
-
-
-def fit_kmeans(df: DataFrame, k: int, n_init: int = 10, max_iter: int = 300, seed: int = 42,
-               vector: str = "features", parallelism: int = 4) -> KMeansModel:
-    """The lowest-cost fit of ``n_init`` seeded starts, several at a time."""
-    with ThreadPoolExecutor(parallelism) as pool:
-        starts = [pool.submit(one_start, df, k, seed + i, max_iter, vector) for i in range(n_init)]
-        return lowest_cost([s.result() for s in starts])
-
-
 def kmeans_encoder(df: DataFrame, numeric: Sequence[str]) -> tuple[list[NumericFit], PipelineModel]:
     """Median fill and standard scaling of the numeric features, whatever else the spec says."""
     if not numeric:
@@ -331,7 +311,7 @@ class KMeansRange:
     spec: Spec
     fits: list[NumericFit]
     encoder: PipelineModel
-    models: dict[int, KMeansModel] = field(default_factory=dict)
+    models: dict[int, Centres] = field(default_factory=dict)
     table: DataFrame | None = None
 
     @property
@@ -342,7 +322,7 @@ class KMeansRange:
         """Encoder and k-means as one model, for scoring and saving."""
         if k not in self.models:
             raise ValueError(f"k={k} was not fitted")
-        return PipelineModel([*self.encoder.stages, self.models[k]])
+        return PipelineModel([*self.encoder.stages, self.models[k].stage()])
 
     def assign(self, df: DataFrame, k: int) -> DataFrame:
         """The input columns and ``cluster``."""
@@ -366,16 +346,12 @@ def evaluate_k_range(df: DataFrame, spec: Spec) -> KMeansRange:
     fits, encoder = kmeans_encoder(df, spec.numeric)
     run = KMeansRange(spec, fits, encoder)
     scaled = [f"_num_{f.column}" for f in fits]
-    ready = spread(encoder.transform(df).select("features"), spec.fit_partitions).persist()
+    ready = spread(encoder.transform(df).select(*[quoted(c) for c in scaled]), spec.fit_partitions).persist()
     try:
-        with ThreadPoolExecutor(spec.parallelism) as pool:
-            starts = {k: [pool.submit(one_start, ready, k, spec.seed + i, spec.max_iter) for i in range(spec.n_init)]
-                      for k in spec.k_range}
-            run.models = {k: lowest_cost([s.result() for s in jobs]) for k, jobs in starts.items()}
-        x = vector_to_array("features")
-        assigned = ready.select("features", *[x[i].alias(c) for i, c in enumerate(scaled)])
+        run.models = fit_range(ready, scaled, spec.k_range, spec.n_init, spec.max_iter, spec.seed)
+        assigned = ready
         for k, model in run.models.items():
-            assigned = model.copy({model.predictionCol: f"c{k}"}).transform(assigned)
+            assigned = model.stage(f"c{k}").transform(assigned)
         method = check_method(spec.silhouette)
         table = k_table(
             assigned, scaled, {k: f"c{k}" for k in run.models}, method,

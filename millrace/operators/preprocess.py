@@ -239,23 +239,24 @@ def learn_categories(
     return choose_categories(category_counts(df, columns, most=most), columns, strategy, numeric_columns(df))
 
 
-def fit_by_fold(df: DataFrame, spec, folds: Sequence[int]) -> dict[int, PipelineModel]:
-    """One encoder per held-out fold, learned on the other folds.
-
-    Numbers and categories of all folds are learned together; only a reduction, which
-    needs the encoded rows, is fitted fold by fold.
-    """
-    estimator = preprocessor(spec)
+def learn_by_fold(df: DataFrame, spec, folds: Sequence[int]) -> dict[int, tuple[list[NumericFit], dict]]:
+    """Fills, scales and categories for each held-out fold, learned on the other folds, all of them together."""
     numeric = learn_numeric_by_fold(df, list(spec.numeric), spec.numeric_strategy, spec.scaling, folds)
     counts = category_counts(df, spec.categorical, ["fold"], spec.max_categories)
     out = {}
     for f in folds:
         rest = [(c, v, n) for c, v, fold, n in counts if fold != f]
         cats = choose_categories(rest, spec.categorical, spec.categorical_strategy, numeric_columns(df))
-        out[f] = estimator.assemble(df.where(F.col("fold") != f), numeric[f], cats)
+        out[f] = (numeric[f], cats)
     return out
 
 
+def fit_by_fold(df: DataFrame, spec, learned: dict[int, tuple[list[NumericFit], dict]]) -> dict[int, PipelineModel]:
+    """One encoder per held-out fold; only a reduction, which needs the encoded rows, is fitted fold by fold."""
+    estimator = preprocessor(spec)
+    return {f: estimator.assemble(df.where(F.col("fold") != f), fits, cats) for f, (fits, cats) in learned.items()}
+
+
 def sql_number(x: float) -> str:
     return f"CAST({x!r} AS DOUBLE)" if math.isfinite(x) else f"CAST('{x}' AS DOUBLE)"
 

@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import quoted, spread
-from millrace.operators.metrics import check_metrics, score_parts
+from millrace.operators import gram
+from millrace.operators.metrics import REGRESSION, check_metrics, score_parts
 from millrace.operators.models import MAX_DEPTH, LabelStats, _resolve, feature_subset, fit_model, forest, tree_size
-from millrace.operators.preprocess import fit_by_fold, preprocessor
+from millrace.operators.preprocess import fit_by_fold, learn_by_fold, preprocessor
 from millrace.operators.splits import kfold, stratified_kfold
 from millrace.spec import Spec
 
@@ -88,6 +89,7 @@ def cross_validate(
     ``df`` has columns label and fold. Preprocessing is learned inside each fold but in
     shared passes, and is common to all candidates. Only the raw rows are cached, once; the encoded
     rows are cheap expressions over them. All folds of a candidate are scored by one set of jobs.
+    Ridges come from the folds' products, one pass for all of them, unless the rows are too wide for that or there is no penalty (see ``gram``).
     """
     metrics = list(metrics or spec.scoring)
     check_metrics(metrics, spec.task)
@@ -95,13 +97,17 @@ def cross_validate(
     base = spread(df.select(*[quoted(c) for c in used]), spec.fit_partitions).persist()
     try:
         sizes, stats = fold_stats(base, spec)
-        encoders = fit_by_fold(base, spec, sorted(sizes))
+        learned = learn_by_fold(base, spec, sorted(sizes))
         n_classes = max(len(s.counts) for s in stats.values())
         unique: dict[str, Candidate] = {}
         for c in candidates:
             unique.setdefault(c.fingerprint(spec.task), c)
+        ridges = {mark: p for mark, c in unique.items() if c.kind == "ridge" and gram.fits(spec, p := _resolve(c.kind, c.params, spec.task), learned)}
+        results = gram.ridge_scores(base, learned, ridges, {m: REGRESSION[m] for m in metrics}) if ridges else {}
+        others = {mark: c for mark, c in unique.items() if mark not in ridges}
+        encoders = fit_by_fold(base, spec, learned) if others else {}
 
-        outer = min(len(unique), spec.parallelism)
+        outer = max(1, min(len(others), spec.parallelism))
         inner = max(1, spec.parallelism // outer)
 
         def fit(candidate: Candidate, fold: int):
@@ -132,7 +138,7 @@ def cross_validate(
             return values, {f: seconds for f, (_, seconds) in fits.items()}
 
         with ThreadPoolExecutor(outer) as pool:
-            results = dict(zip(unique, pool.map(run, unique.values())))
+            results.update(zip(others, pool.map(run, others.values())))
         rows = []
         for c in candidates:
             values, seconds = results[c.fingerprint(spec.task)]
@@ -279,7 +285,9 @@ def grid_search(df: DataFrame, spec: Spec, best: Mapping[str, Any]) -> SearchRes
 def refit(df: DataFrame, spec: Spec, kind: str, params: Mapping[str, Any]) -> PipelineModel:
     """Preprocessing and model fitted on all given rows, as one model."""
     encoder = preprocessor(spec).fit(df)
-    ready = spread(encoder.transform(df).select("features", "label"), spec.fit_partitions).persist()
+    used = dict.fromkeys([*spec.numeric, *spec.categorical, "label"])
+    dealt = spread(df.select(*[quoted(c) for c in used]), spec.fit_partitions)
+    ready = encoder.transform(dealt).select("features", "label").persist()
     try:
         model = fit_model(ready, kind, params, spec)
     finally:

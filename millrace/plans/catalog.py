@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import rounded, spread
+from millrace.functions.columns import rounded
 from millrace.operators import clusters, curves, metrics, models, preprocess, profile, splits, tuning
 from millrace.operators.silhouette import euclidean_silhouettes, squared_silhouette
 from millrace.operators.tuning import Candidate
@@ -699,13 +699,8 @@ def kmeans_lloyd_step(spark, sf_dir):
 @query
 def kmeans_fit(spark, sf_dir):
     df = fx.lines(spark, sf_dir)
-    fits, encoder = clusters.kmeans_encoder(df, fx.LINE_SPEC.numeric)
-    ready = spread(encoder.transform(df).select("features"), fx.LINE_SPEC.fit_partitions).persist()
-    try:
-        model = clusters.fit_kmeans(ready, 3, n_init=2, max_iter=50)
-        rows = [(i, f.column, float(z)) for i, c in enumerate(model.clusterCenters()) for f, z in zip(fits, c)]
-    finally:
-        ready.unpersist()
+    run = clusters.evaluate_k_range(df, fx.LINE_SPEC.but(k_range=(3,)))
+    rows = [(i, f.column, float(z)) for i, c in enumerate(run.models[3].clusterCenters()) for f, z in zip(run.fits, c)]
     return tidy(spark.createDataFrame(rows, "cluster int, feature string, z_value double"), 3)
 
 

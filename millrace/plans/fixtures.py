@@ -79,7 +79,7 @@ def part_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LINE_SPEC = Spec(
     target="cls", task="classification", numeric=("qty", "price", "disc", "tax"), categorical=("flag", "status"),
-    key=LINE_KEY, stratify=True, k_range=(2, 3, 4), n_init=2, max_iter=50,
+    key=LINE_KEY, stratify=True,
     forest_params={}, search_iterations=2,
     search_space={"n_estimators": [5, 10], "max_depth": [3, 5], "min_samples_leaf": [1, 4]},
     grid_enabled=False, parallelism=8,

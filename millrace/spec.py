@@ -62,7 +62,7 @@ class Spec:
     silhouette: str = "squared"  # or "euclidean", which is quadratic in the distinct points
     seed: int = 42
     parallelism: int = 4
-    fit_partitions: int = 16  # what iterative fits read; raise it with the table, results depend on it alone
+    fit_partitions: int | None = None  # what iterative fits read; None: as many as follow from the number of rows
     max_categories: int = 1_000_000  # of any one column; more is an error, as every category is one-hot encoded
     max_bins: int = 64  # of trees and forests
     tree_memory_mb: int = 256  # histograms that one pass over the rows may hold

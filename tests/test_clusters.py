@@ -224,3 +224,81 @@ def test_squared_silhouettes_of_all_k_equal_the_evaluator(spark):
     for k in (2, 3, 4):
         assert table[k] == pytest.approx(squared_silhouette(ready, "v", f"c{k}"), abs=1e-9)
     assert table[5] is None
+
+
+# --- all k and starts at once ------------------------------------------------------------------
+
+
+def cloud(spark, rows=400, seed=3):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(rows, 3)) + rng.integers(0, 4, size=(rows, 1))
+    return x, spark.createDataFrame([tuple(map(float, p)) for p in x], "a double, b double, c double")
+
+
+def test_shared_iterations_equal_sparks_from_equal_starts(spark):
+    from pyspark.mllib.clustering import KMeans as OldKMeans
+    from pyspark.mllib.clustering import KMeansModel as OldModel
+
+    from millrace.operators import lloyd
+
+    x, df = cloud(spark)
+    packed = lloyd.blocks(df.repartition(3), ["a", "b", "c"])
+    first = [x[i * 20 : i * 20 + k] for i, k in enumerate((2, 3, 5, 8, 8))]
+    points = spark.sparkContext.parallelize(x.tolist(), 3)
+    for max_iter in (1, 4, 300):
+        for (centres, cost, took), start in zip(lloyd.iterate(packed, 3, first, max_iter, 0.0), first):
+            model = OldKMeans.train(points, len(start), maxIterations=max_iter, epsilon=1e-12, initialModel=OldModel([list(c) for c in start]))
+            np.testing.assert_allclose(centres, np.array([np.array(c) for c in model.clusterCenters]), atol=1e-9)
+            assert cost == pytest.approx(((x[:, None] - centres) ** 2).sum(2).min(1).sum())
+            assert took <= max_iter
+
+
+def test_starts_do_not_depend_on_partitions(spark, monkeypatch):
+    from millrace.operators import lloyd
+
+    x, df = cloud(spark)
+    one = lloyd.starts(lloyd.blocks(df.repartition(1), ["a", "b", "c"]), 3, 4, 6, 42)
+    monkeypatch.setattr(lloyd, "BLOCK", 17)
+    two = lloyd.starts(lloyd.blocks(df.union(df).repartition(5), ["a", "b", "c"]), 3, 4, 6, 42)
+    assert [c.tolist() for c in one] == [c.tolist() for c in two]
+    assert all(len(np.unique(c, axis=0)) == 6 for c in one) and len({c.tobytes() for c in one}) == 4
+    known = {tuple(p) for p in x.tolist()}
+    assert all(tuple(p) in known for c in one for p in c.tolist())
+
+
+def test_far_points_are_drawn_more_often(spark):
+    """The second centre falls on a point with a chance in proportion to its squared distance."""
+    from millrace.operators import lloyd
+
+    df = spark.createDataFrame([(0.0,), (1.0,), (3.0,)], "a double")
+    drawn = [tuple(c[:2, 0]) for c in lloyd.starts(lloyd.blocks(df, ["a"]), 1, 600, 2, 1)]
+    after_zero = [b for a, b in drawn if a == 0.0]
+    assert 150 < len(after_zero) < 250
+    assert 0.82 < sum(b == 3.0 for b in after_zero) / len(after_zero) < 0.97  # 9 of 10
+
+
+@pytest.mark.parametrize("direct", [0, 64])
+def test_range_of_k_with_few_points(spark, monkeypatch, direct):
+    from millrace.functions import partials
+    from millrace.operators import lloyd
+
+    monkeypatch.setattr(partials, "DIRECT", direct)
+    df = spark.createDataFrame([(0.0,), (0.0,), (5.0,), (9.0,)] * 5, "a double").repartition(4)
+    found = lloyd.fit_range(df, ["a"], (2, 3, 4), n_init=5)
+    assert sorted(c[0] for c in found[2].centres) == [0.0, 7.0] and found[2].cost == pytest.approx(40.0)
+    assert sorted(c[0] for c in found[3].centres) == sorted(c[0] for c in found[4].centres) == [0.0, 5.0, 9.0]
+    with pytest.raises(ValueError, match="rows"):
+        lloyd.fit_range(df.limit(0), ["a"], (2,))
+
+
+def test_rows_are_dealt_by_content_and_copy(spark):
+    from millrace.functions.columns import fit_partitions, spread
+
+    df = spark.range(30_000).select(F.when(F.col("id") < 10_000, 7).otherwise(F.col("id")).alias("x"), F.lit("t").alias("t"))
+    dealt = spread(df)
+    assert dealt.rdd.getNumPartitions() == fit_partitions(30_000) == 11
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 30_000 and max(sizes) < 2 * 30_000 / 11 + 2_000
+    assert dealt.exceptAll(df).count() == df.exceptAll(dealt).count() == 0
+    parts = lambda d: sorted(map(tuple, d.rdd.glom().map(lambda rows: [r["x"] for r in rows]).collect()))
+    assert parts(spread(df.repartition(7))) == parts(dealt)

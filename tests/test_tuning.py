@@ -117,3 +117,38 @@ def test_regression_folds_and_multiclass(spark, people):
     many = tuning.cross_validate(labelled, multi, [Candidate("l", "logistic_regression")],
                                  ["roc_auc", "average_precision", "balanced_accuracy"])
     assert many.count() == 3 * 2 * 3 and many.where("isnan(score)").count() == 0
+
+
+# --- ridges from the products of the folds --------------------------------------------------------
+
+
+REGRESSION = Spec(target="pdays", task="regression", numeric=("age", "emp_var_rate"), categorical=("job", "month"), key=("id",), folds=4)
+RIDGES = [Candidate(f"ridge_{a}_{b}", "ridge", {"alpha": a, "fit_intercept": b}) for a in (0.01, 1.0, 300.0) for b in (True, False)]
+ERRORS = ["neg_root_mean_squared_error", "r2", "neg_mean_absolute_error", "mse"]
+
+
+@pytest.fixture(scope="module")
+def numbers(people):
+    return tuning.with_folds(splits.with_label(rename_dots(people), REGRESSION, None), REGRESSION).persist()
+
+
+def by_part(scores):
+    return {(r["candidate"], r["fold"], r["part"], r["metric"]): r["score"] for r in scores.collect()}
+
+
+@pytest.mark.parametrize("changes", [{}, {"numeric_strategy": "constant", "categorical_strategy": "constant"}, {"scaling": "minmax"}, {"categorical": ()}])
+def test_ridges_from_products_equal_single_fits(numbers, monkeypatch, changes):
+    """All folds, penalties and metrics from one scan, equal to a fit for each."""
+    spec = REGRESSION.but(**changes)
+    got = by_part(tuning.cross_validate(numbers, spec, RIDGES, ERRORS))
+    monkeypatch.setattr(tuning.gram, "WIDTH", 0)  # too wide: today's way
+    one_by_one = by_part(tuning.cross_validate(numbers, spec, RIDGES, ERRORS))
+    assert got.keys() == one_by_one.keys() and len(got) == 6 * 4 * 2 * 4
+    for k, v in one_by_one.items():
+        assert got[k] == pytest.approx(v, abs=1e-9, rel=1e-9), k
+
+
+def test_products_need_no_fit_and_few_jobs(spark, numbers, monkeypatch):
+    monkeypatch.setattr(tuning, "fit_model", lambda *a, **k: pytest.fail("a single fit"))
+    monkeypatch.setattr(tuning, "score_parts", lambda *a, **k: pytest.fail("a single scoring"))
+    assert len(by_part(tuning.cross_validate(numbers, REGRESSION, RIDGES, ERRORS))) == 192
