@@ -5,7 +5,7 @@ key's leader is the node that shares most of its keys with others (of a group of
 broken anew in each round. What gets linked is one component, and a component's own pairs need no further look. At last all pairs that share a key across
 components are verified, so the components are exactly those that all pairs would give.
 
-A key under which more than `CROWD` pairs a node would be left is split first: its nodes meet only under that key together with another of their `marks`. The caller vouches that
+A key under which more than `CROWD` pairs a node would be left (or `crowd`, where `fits` is cheap and sharp) is split first: its nodes meet only under that key together with another of their `marks`. The caller vouches that
 nodes which link and share a key share a mark besides it, so that nothing is lost; nodes that share but the one key are never paired.
 """
 
@@ -68,11 +68,11 @@ def _rest(keyed: DataFrame, fits: Callable[[str, str], Column], extra: list[str]
     return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def _pairs_left(rows: DataFrame) -> DataFrame:
-    """(key, crowded) of keys that more than one label has: whether its pairs across labels are more than `CROWD` a node."""
+def _pairs_left(rows: DataFrame, crowd: int) -> DataFrame:
+    """(key, crowded) of keys that more than one label has: whether its pairs across labels are more than `crowd` a node."""
     kinds = rows.groupBy("key", "label").agg(F.count("*").cast("double").alias("n"))
     left = kinds.groupBy("key").agg(F.count("*").alias("labels"), F.sum("n").alias("nodes"), F.sum(F.col("n") * F.col("n")).alias("inside"))
-    return left.where("labels > 1").select("key", ((F.col("nodes") * F.col("nodes") - F.col("inside")) / 2 > CROWD * F.col("nodes")).alias("crowded"))
+    return left.where("labels > 1").select("key", ((F.col("nodes") * F.col("nodes") - F.col("inside")) / 2 > crowd * F.col("nodes")).alias("crowded"))
 
 
 def _split(rows: DataFrame, marks: DataFrame, extra: list[str]) -> DataFrame:
@@ -88,7 +88,7 @@ def _hop(edges: DataFrame) -> DataFrame:
     return up.join(far, "up", "left").select("node", F.when(F.col("far") == F.col("node"), F.least("node", "up")).otherwise(F.coalesce("far", "up")).alias("component"))
 
 
-def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column], extra: list[str] | None = None, marks: DataFrame | None = None) -> DataFrame:
+def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column], extra: list[str] | None = None, marks: DataFrame | None = None, crowd: int | None = None) -> DataFrame:
     """(node, component) of the nodes that have a link. `keyed`: (key, node, *extra).
 
     `verify` turns pairs (a, b) into those that are linked; `fits` may rule out pairs by the `extra` columns of both sides. `marks`: (node, mark), the keys of each
@@ -117,7 +117,7 @@ def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column],
     tables = [rows]
     pairs = _rest(rows, fits, extra)
     if marks is not None:
-        left = written(_pairs_left(rows))
+        left = written(_pairs_left(rows, CROWD if crowd is None else crowd))
         tables.append(left)
         crowded = left.where("crowded")
         if not crowded.isEmpty():

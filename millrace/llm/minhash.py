@@ -3,14 +3,15 @@
 A table's key has to consist of several minhashes to be selective, and there have to be many tables to miss little; each with minhashes of its own would take tables x width of them. Here two
 small collections of `HALF` half keys, each of `WIDTH` minhashes, are all that is computed. Every pair of one half key from either collection is a table key:
 HALF x HALF tables of 2 x WIDTH minhashes from 2 x HALF x WIDTH, about twice the square root of what independent tables would take. Two sets of similarity s share a key unless none of
-their half keys agree in one of the collections: they are found with a chance of (1 - (1 - s^WIDTH)^HALF)^2, 99.98 % at the least similarity of 80 %, more than 99.9999 % at 85 %.
+their half keys agree in one of the collections: they are found with a chance of (1 - (1 - s^WIDTH)^HALF)^2, 99.98 % at the least similarity of 80 %, more than 99.999 % at 85 %.
 
-1. One pass takes each document's set of distinct n-grams (hashed to 64 bits): its size, a 128-bit digest, sizes of its parts by hash, and the half keys. Equal sets
-   are one class from here on.
-2. A half key that only one class has can't be part of a shared table key. So classes meet under their half keys first, and only those that are shared in either collection are combined.
-   A document has 2 x HALF rows there and HALF x HALF table keys at most, however many others share them.
-3. Pairs come from shared table keys (see `linking`; a crowded key is split by the other half keys), pass a filter by length and one by the sizes of the parts, and are verified once on
-   the n-grams of the whole texts. The connected groups are the result.
+1. One pass takes each document's set of distinct n-grams (hashed to 64 bits): its size, a 128-bit digest, `BITS` parities (of how many n-grams fall on each of so many places), and
+   the half keys. Equal sets are one class from here on.
+2. A half key that only one class has can't be part of a shared table key. So classes meet under their half keys first, and only those that are shared in both collections go on,
+   with the half keys that are shared: 2 x HALF rows a document at most, however many others share them.
+3. Classes meet under first halves and agree in a table key if they have a second half in common. A first half that is crowded is split into its table keys, the pairs of it and
+   each second half, before classes meet (see `linking`). As an n-gram that only one of two sets has changes one parity, sets whose parities differ in too many places can't be similar enough;
+   that and the sizes rule out nearly all pairs that don't link, exactly. The rest is verified once on the n-grams of the whole texts. The connected groups are the result.
 
 Words: A-Z lower-cased, runs of anything but \\x20 and \\x09-\\x0D. A text with fewer than `n` words is one n-gram; null and empty texts have none and link with nothing. Rows are
 documents: rows that repeat an id with the same text are alike, with another text they are documents of their own. Null ids get their set size, no links and a null component, and
@@ -32,7 +33,9 @@ from millrace.llm.shared import discard, written
 from millrace.llm.words import LOWER, Words, chunks, grams, mixed
 
 N, PERCENT = 2, 80
-HALF, WIDTH = 14, 3
+HALF, WIDTH, BITS = 14, 3, 512
+#: Pairs a node that a first half may leave to the parities.
+CROWD = 4_096
 _SALTS = mixed(np.arange(1, 2 * HALF * WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -48,7 +51,7 @@ def half_keys(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _first_pass(docs: DataFrame, n: int) -> DataFrame:
-    """(id, row, size, d1, d2, parts, halves) from (id, row, text)."""
+    """(id, row, size, d1, d2, parts, bits, halves) from (id, row, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -59,15 +62,17 @@ def _first_pass(docs: DataFrame, n: int) -> DataFrame:
                 sets = [whole[s : e - n + 1] if e - s >= n else grams(hashes[s:e], int(e - s)) for s, e in zip(w.first[full].tolist(), w.first[full + 1].tolist(), strict=True)]
                 halves = np.zeros((y - x, 2 * HALF), np.int64)
                 size, marks, parts = np.zeros(y - x, np.int64), np.zeros((y - x, 2), np.int64), np.zeros((y - x, PARTS), np.int32)
+                bits = np.zeros((y - x, BITS // 64), np.int64)
                 if sets:
                     halves[full] = half_keys(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))).view(np.int64)
                 for i, own in zip(full.tolist(), sets, strict=True):
                     own = np.unique(own)
                     size[i], marks[i], parts[i] = len(own), _digest(own), np.bincount((own >> np.uint64(61)).astype(np.int64), minlength=PARTS)
-                lists = [pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), v.shape[1]).cast(pa.list_(pa.array(v.ravel()[:0]).type)) for v in (parts, halves)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x), b.column(1).slice(x, y - x), pa.array(size), pa.array(marks[:, 0].copy()), pa.array(marks[:, 1].copy()), *lists], ["id", "row", "size", "d1", "d2", "parts", "halves"])
+                    bits[i] = np.packbits(np.bincount((own & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).view(np.int64)
+                lists = [pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), v.shape[1]).cast(pa.list_(pa.array(v.ravel()[:0]).type)) for v in (parts, bits, halves)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x), b.column(1).slice(x, y - x), pa.array(size), pa.array(marks[:, 0].copy()), pa.array(marks[:, 1].copy()), *lists], ["id", "row", "size", "d1", "d2", "parts", "bits", "halves"])
 
-    return docs.mapInArrow(run, "id bigint, row bigint, size bigint, d1 bigint, d2 bigint, parts array<int>, halves array<bigint>")
+    return docs.mapInArrow(run, "id bigint, row bigint, size bigint, d1 bigint, d2 bigint, parts array<int>, bits array<bigint>, halves array<bigint>")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -83,13 +88,18 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = F.struct("d1", "d2", "size")
     best = F.min(F.struct("id", "row")).alias("first")
     # a class is named by half of its digest
-    classes = written(sets.where("id is not null and size > 0").groupBy("d1", "d2", "size").agg(best, F.first("parts").alias("parts"), F.first("halves").alias("halves")).withColumn("node", F.col("d1")))
+    classes = written(sets.where("id is not null and size > 0").groupBy("d1", "d2", "size").agg(best, F.first("parts").alias("parts"), F.first("bits").alias("bits"), F.first("halves").alias("halves")).withColumn("node", F.col("d1")))
 
     halves = written(_shared(classes.select("node", F.explode("halves").alias("key"))))
     # a class's half keys are 2 * HALF at most, so a group is small
-    sides = classes.select("node", "size", F.slice("halves", 1, HALF).alias("left"), F.slice("halves", HALF + 1, HALF).alias("right")).join(halves.groupBy("node").agg(F.collect_set("key").alias("kept")), "node")
-    combined = F.flatten(F.transform(F.array_intersect("left", "kept"), lambda x: F.transform(F.array_intersect("right", "kept"), lambda y: F.xxhash64(x, y))))
-    keyed = written(_shared(sides.select("node", "size", F.explode(combined).alias("key"))))
+    kept = halves.groupBy("node").agg(F.collect_set("key").alias("kept"))
+    places = [f"p{i}" for i in range(BITS // 64)]
+    sides = classes.join(kept, "node").select(
+        "node", "size", *[F.col("bits")[i].alias(p) for i, p in enumerate(places)],
+        F.array_intersect(F.slice("halves", 1, HALF), "kept").alias("left"), F.array_intersect(F.slice("halves", HALF + 1, HALF), "kept").alias("right"),
+    )
+    sides = written(sides.where((F.size("left") > 0) & (F.size("right") > 0)))
+    keyed = written(sides.select("node", "size", *places, "right", F.explode("left").alias("key")))
 
     of_nodes = written(classes.join(keyed.select("node").distinct(), "node", "left_semi").select("node", "size", "parts", "first"))
     wanted = of_nodes.select("node", F.col("first.row").alias("row"), F.col("first.id").alias("id"))
@@ -97,10 +107,14 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def fits(x: str, y: str):
         xs, ys = F.col(f"{x}.size"), F.col(f"{y}.size")
-        return (100 * F.least(xs, ys)) >= percent * F.greatest(xs, ys)
-
-    groups = linked(keyed, _verifier(candidates, of_nodes.drop("first"), n, percent), fits, ["size"], halves.withColumnRenamed("key", "mark"))
-    for table in (keyed, candidates, of_nodes, halves):
+        apart = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in places), F.lit(0))
+        # d n-grams that only one of the sets has leave an overlap of (x + y - d) / 2
+        near = (100 * F.least(xs, ys) >= percent * F.greatest(xs, ys)) & (apart * (100 + percent) <= (100 - percent) * (xs + ys))
+        return near & F.arrays_overlap(F.col(f"{x}.right"), F.col(f"{y}.right"))
+
+    marks = sides.select("node", F.explode("right").alias("mark"))
+    groups = linked(keyed, _verifier(candidates, of_nodes.drop("first"), n, percent), fits, ["size", *places, "right"], marks, CROWD)
+    for table in (keyed, candidates, of_nodes, halves, sides):
         discard(table)
     of_classes = classes.select(same.alias("set"), "node", "first").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = of_classes.groupBy("component").agg(F.min("first.id").alias("component_id"))
