@@ -51,7 +51,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("SentencePiece encoding and decoding", pieces_stage),
 ]
 
-#: SimHash, suffix arrays and the merge agenda are not SQL; the stages are tested against brute force instead.
+#: Edit distances of lines, suffix arrays and the merge agenda are not SQL; the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 

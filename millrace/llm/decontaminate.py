@@ -151,6 +151,17 @@ def match_texts(test: TestSet, texts: pa.Array) -> tuple[np.ndarray, list, list,
     return np.concatenate(n_words), spans, items, np.concatenate(longest)
 
 
+def _union(x: list[dict], y: list[dict]) -> list[dict]:
+    """Spans of two lists, those that touch or overlap made one."""
+    out: list[dict] = []
+    for span in sorted(x + y, key=lambda s: (s["start"], s["end"])):
+        if out and span["start"] <= out[-1]["end"]:
+            out[-1] = {"start": out[-1]["start"], "end": max(out[-1]["end"], span["end"])}
+        else:
+            out.append(span)
+    return out
+
+
 def test_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> Iterator[TestSet]:
     """The test set in blocks, each read by itself; there is at least one."""
     items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"), F.col(text_col).alias("text")).dropna()
@@ -164,32 +175,24 @@ def test_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """For each row of `docs`: id, n_words, `hits` (merged spans of words inside windows), `items` (sorted), `longest` match in words.
 
-    With more than one block of test items, a document's rows are put together by its id, so ids have to be unique then."""
+    Each block of test items goes over the same rows and adds to what earlier blocks found, so rows stay rows whatever their ids and however many blocks there are."""
     kind = docs.schema[id_col].dataType.simpleString()
-    rows, found = docs.select(id_col, text_col), []
-    for test in test_blocks(benchmark, window=window, block_bytes=block_bytes):
+    names, rows = [id_col, "_text", "n_words", "hits", "items", "longest"], docs.select(F.col(id_col), F.col(text_col).alias("_text"))
+    for k, test in enumerate(test_blocks(benchmark, window=window, block_bytes=block_bytes)):
         shared = docs.sparkSession.sparkContext.broadcast(test)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, later=k > 0) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 n_words, spans, items, longest = match_texts(shared.value, b.column(1))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(n_words), pa.array(spans, pa.list_(pa.struct({"start": pa.int64(), "end": pa.int64()}))), pa.array(items, pa.list_(pa.string())), pa.array(longest)],
-                    [id_col, "n_words", "hits", "items", "longest"],
-                )
-
-        found.append(rows.mapInArrow(run, f"`{id_col}` {kind}, {MATCH_SCHEMA}"))
-    if len(found) == 1:
-        return found[0]
-    both = found[0]
-    for x in found[1:]:
-        both = both.unionAll(x)
-    return both.groupBy(id_col).agg(
-        F.max("n_words").alias("n_words"),
-        F.flatten(F.collect_list("hits")).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.max("longest").alias("longest"),
-    )
+                if later:
+                    spans = [_union(x, y) for x, y in zip(b.column(3).to_pylist(), spans, strict=True)]
+                    items = [sorted({*x, *y}) for x, y in zip(b.column(4).to_pylist(), items, strict=True)]
+                    longest = np.maximum(longest, b.column(5).to_numpy())
+                found = [pa.array(n_words), pa.array(spans, pa.list_(pa.struct({"start": pa.int64(), "end": pa.int64()}))), pa.array(items, pa.list_(pa.string())), pa.array(longest)]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *found], names)
+
+        rows = rows.mapInArrow(run, f"`{id_col}` {kind}, _text string, {MATCH_SCHEMA}")
+    return rows.drop("_text")
 
 
 def hit_words(hits: str = "hits"):

@@ -1,57 +1,42 @@
 """Fuzzy line dedup: of each group of equal or nearly equal lines in all documents, the first occurrence stays.
 
-A line (cut at \\n) is normalised to its words: A-Z lower-cased, runs of letters, digits and non-ASCII. Lines without a word always stay.
-1. One pass gives every line a 128-bit hash of its word sequence and two 64-bit parities of its words, and counts words in a table of counters. Lines with equal hashes are one node.
-2. Two lines link if at least `PERCENT` of the longer line's words stay when the one is edited into the other (insert, delete, replace). An edit breaks two pairs of neighbouring
-   words at most, so linked lines share one of the first few of their pairs in a common order, rare words first (prefix filter): no pair of lines that link is missed. Only these
-   are keys; those of one line only are dropped. Nodes meet under a key if their lengths and parities allow so few edits (an edit changes two bits at most).
-3. For the nodes that meet another one words are fetched, pairs made (see `linking`) and verified by their edit distance.
+A line (cut at \\n) is normalised to its words: A-Z lower-cased, runs of letters, digits and non-ASCII. Lines without a word always stay. Two lines link if at least `PERCENT` of the longer
+line's words stay when the one is edited into the other (insert, delete, replace). No pair of lines that link is missed, at any length.
+
+SimHash and pigeonhole blocks, the usual way, can't find such pairs: with a fifth of the words replaced 13 of 64 bits differ whatever the line's length, and with one word of ten 9 do, so blocks
+that are intact in most pairs are too short to tell lines apart (measured recall in the README). Instead, lines meet under rare words:
+1. One pass gives every line a 128-bit hash of its word sequence and counts words in a table of counters. Lines with equal hashes are one node.
+2. Linked lines of a and b words have all but a fifth of the longer one's words in common, so they share one of their first a / 5 + 1 (b / 5 + 1) words in a common order, rare words
+   first. Only these are keys. They are shuffled in packed columns, dealt to buckets by hash, with the line's length and the parities of its words (of how many
+   fall on each of 64 places). A task sorts its buckets and keeps a line under a key if another one is there whose length and parities allow so few edits (an edit changes two
+   parities at most). Keys with more than `CROWD` lines are kept as they are.
+3. For the nodes that are left words are fetched, pairs made (see `linking`; a crowded key is split by the other first words) and verified by their edit distance.
 4. Of every connected group the occurrence with the smallest (id, line) stays, the others go.
 
-With `bits` a link also needs SimHashes of words that differ in so many bits at most (found by pairs of five blocks, pigeonhole), which few short lines with an edit have: cheaper, but it
-misses most of them. The query `op9_fuzzy_lines` links without (`bits=None`); the pipeline still has `BITS`.
-
-Null and empty texts have no lines. Rows with a null id take no part and keep all their lines; rows that repeat an id with the same text lose the same lines. Nodes are named by half
-of the hash, so a fuzzy link could reach a wrong line with a chance of 2^-64 for each pair; equality always takes all 128 bits.
+Null and empty texts have no lines. Rows with a null id take no part and keep all their lines. Rows that repeat an id with the same text lose the same lines; with another text they are documents of
+their own, in the order of a hash of their texts. Nodes are named by half of the hash, so a fuzzy link could reach a wrong line with a chance of 2^-64 for each pair; equality always takes all
+128 bits. Other columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.linking import linked
-from millrace.llm.ngram_join import HOT, PART, SLOTS, _counters
-from millrace.llm.shared import written
-from millrace.llm.words import LETTERS, LOWER, Words, chunks, grams, mixed
-
-BITS, PERCENT = 3, 80
-BLOCKS = (0, 13, 26, 39, 52, 64)
-_LINES = "array<struct<line:int,size:int,h1:bigint,h2:bigint,p1:bigint,p2:bigint,sim:bigint>>"
-#: Sixteen-bit lanes of the four bits of a nibble; a sum of 65,535 of them can't overflow.
-_LANES = np.array([sum(((v >> j) & 1) << (16 * j) for j in range(4)) for v in range(16)], np.uint64)
-_MOST = 65_535
-
-
-def simhashes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Majority of each bit over the words of each line; `first`: where lines begin, none of them empty."""
-    size = np.diff(np.append(first, len(hashes)))
-    out, half = np.zeros(len(first), np.uint64), size // 2
-    for k in range(16):
-        lanes = _LANES[(hashes >> np.uint64(4 * k)) & np.uint64(15)]
-        total = np.add.reduceat(lanes, first) if len(first) else lanes
-        for j in range(4):
-            on = ((total >> np.uint64(16 * j)) & np.uint64(0xFFFF)).astype(np.int64) > half
-            out |= on.astype(np.uint64) << np.uint64(4 * k + j)
-    for i in np.flatnonzero(size > _MOST).tolist():
-        own = hashes[first[i] : first[i] + size[i]]
-        out[i] = sum(int((own >> np.uint64(b) & np.uint64(1)).sum() > half[i]) << b for b in range(64))
-    return out
+from millrace.llm.ngram_join import PART, SLOTS, _counters
+from millrace.llm.shared import discard, identified, written
+from millrace.llm.words import LETTERS, LOWER, Words, chunks, mixed
+
+PERCENT = 80
+#: Lines of a key whose lengths and parities are compared at once; buckets of a shuffle partition; rows that a task packs, or holds before it drops repeated ones.
+CROWD, BUCKETS, PACK = 2_048, 4, 1 << 18
+_LINES = "array<struct<line:int,h1:bigint,h2:bigint>>"
+H1, H2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
 def _chunk_lines(data: np.ndarray, off: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -75,87 +60,154 @@ def _ones(hashes: np.ndarray, a: np.ndarray, z: np.ndarray, salt: int) -> np.nda
     return np.add.reduceat(mixed(hashes + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(salt)), a).view(np.int64)
 
 
-H1, H2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
-
-
-def _hashed(docs: DataFrame, id_col: str, text_col: str, bits: int | None) -> DataFrame:
-    """Rows of two kinds: (id, lines) of documents, and (part, counts) of the word counters of a task."""
+def _hashed(docs: DataFrame) -> DataFrame:
+    """Rows of two kinds: (id, row, lines) of documents (id, row, text), and (part, counts) of the word counters of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(SLOTS, np.int64)
         for b in batches:
-            for x, y, data, off in chunks(b.column(1)):
+            for x, y, data, off in chunks(b.column(2)):
                 w, row, number, a, z = _chunk_lines(data, off)
                 hashes = w.hashes()
                 counters += np.bincount((hashes & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
-                # a word falls on one of 128 bits: the first 64 or the others
-                upper = (hashes >> np.uint64(40)) & np.uint64(1)
-                bit = np.uint64(1) << ((hashes >> np.uint64(41)) & np.uint64(63))
-                p = [np.bitwise_xor.reduceat(np.where(upper == k, bit, np.uint64(0)), a).view(np.int64) if len(a) else np.empty(0, np.int64) for k in (0, 1)]
-                sim = simhashes(hashes, a).view(np.int64) if bits is not None and len(a) else np.zeros(len(a), np.int64)
-                values = [number.astype(np.int32), (z - a).astype(np.int32), _ones(hashes, a, z, H1), _ones(hashes, a, z, H2), *p, sim]
-                body = pa.StructArray.from_arrays([pa.array(v) for v in values], ["line", "size", "h1", "h2", "p1", "p2", "sim"])
+                body = pa.StructArray.from_arrays([pa.array(v) for v in (number.astype(np.int32), _ones(hashes, a, z, H1), _ones(hashes, a, z, H2))], ["line", "h1", "h2"])
                 upto = np.searchsorted(row, np.arange(y - x + 1)).astype(np.int32)
                 none = [None] * (y - x)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(upto), body), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x), b.column(1).slice(x, y - x), pa.ListArray.from_arrays(pa.array(upto), body), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names)
         full = [k for k in range(SLOTS // PART) if counters[k * PART : (k + 1) * PART].any()]
         none = [None] * len(full)
         body = [counters[k * PART : (k + 1) * PART].astype(np.uint32).tobytes() for k in full]
-        yield pa.RecordBatch.from_arrays([pa.array(none, pa.int64()), pa.array(none, lines), pa.array(full, pa.int32()), pa.array(body, pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, lines), pa.array(full, pa.int32()), pa.array(body, pa.binary())], names)
+
+    names = ["id", "row", "lines", "part", "counts"]
+    lines = pa.list_(pa.struct([("line", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())]))
+    return docs.mapInArrow(run, f"id bigint, row bigint, lines {_LINES}, part int, counts binary")
+
 
-    names = ["id", "lines", "part", "counts"]
-    lines = pa.list_(pa.struct([(k, pa.int32()) for k in ("line", "size")] + [(k, pa.int64()) for k in ("h1", "h2", "p1", "p2", "sim")]))
-    return docs.select(id_col, text_col).mapInArrow(run, f"id bigint, lines {_LINES}, part int, counts binary")
+def _edits(most, percent: int):
+    """Edits that two lines may be apart, the longer one of `most` words."""
+    return most * (100 - percent) // 100
 
 
-def _taken(size: int, run: int, percent: int) -> int:
-    """How many of a line's runs of `run` words, in order, are keys; 0 if it can link to equal lines only."""
-    longer = range(size, min(size * 100 // percent, size + 100) + 1)
-    edits = [m * (100 - percent) // 100 for m in longer]
-    return max(size - m + run * d for m, d in zip(longer, edits, strict=True)) + 1 if any(edits) else 0
+def _taken(size: int, percent: int) -> int:
+    """How many of a line's words, in order, are keys; 0 if it can link to equal lines only."""
+    longer = range(size, size * 100 // percent + 1)
+    return size + percent * size // -100 + 1 if any(m - size <= _edits(m, percent) > 0 for m in longer) else 0
 
 
-def _keyed(docs: DataFrame, counters: np.ndarray, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """(key, node, hot) of the first runs of words of each line, rare words first. A line that comes again in the same chunk has no more rows."""
-    # shared runs of two are certain if an edit breaks fewer than there are
-    run_ = 2 if percent >= 67 else 1
-    shared = docs.sparkSession.sparkContext.broadcast(counters.astype(np.float64))
+def _first_words(hashes: np.ndarray, a: np.ndarray, z: np.ndarray, take: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of the first `take` words of each line, rare ones first; a word's second occurrence in a line is another word."""
+    size = z - a
+    line = np.repeat(np.arange(len(a)), size)
+    begins = np.concatenate(([0], np.cumsum(size)[:-1])) if len(a) else size
+    own = hashes[np.arange(len(line)) - begins[line] + a[line]]
+    rank = (table[(own & np.uint64(SLOTS - 1)).astype(np.int64)] << np.uint64(44)) | (own >> np.uint64(20))
+    # lines are few and rank is 64 bits, so sort by rank first, then, stably, by line
+    by_rank = np.argsort(rank, kind="stable")
+    order = by_rank[np.argsort(line[by_rank], kind="stable")]
+    own, i = own[order], np.arange(len(line))
+    same = np.concatenate(([False], (own[1:] == own[:-1]) & (line[1:] == line[:-1])))[: len(line)]
+    again = i - np.maximum.accumulate(np.where(same, 0, i)) if len(line) else i
+    first = i - begins[line] < take[line]
+    return line[first], mixed(own + again.astype(np.uint64) * np.uint64(H2))[first]
+
+
+def _packed(docs: DataFrame, shared, buckets: int, percent: int) -> DataFrame:
+    """(bucket, keys, nodes, sizes, parities): packed columns of the first words of lines. A line that comes again in the same chunk has no more rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, held, rows = shared.value, [], 0
         for b in batches:
             known = np.flatnonzero(b.column(0).is_valid().to_numpy(zero_copy_only=False))
-            for x, _, data, off in chunks(b.column(1)):
+            for x, _, data, off in chunks(b.column(2)):
                 w, row, _, a, z = _chunk_lines(data, off)
+                if not len(a):
+                    continue
                 hashes = w.hashes()
                 node = _ones(hashes, a, z, H1)
+                parity = np.bitwise_xor.reduceat(np.uint64(1) << ((hashes >> np.uint64(41)) & np.uint64(63)), a)
                 sizes, which = np.unique(z - a, return_inverse=True)
-                take = np.array([_taken(int(n), run_, percent) for n in sizes], np.int64)[which] if len(a) else np.empty(0, np.int64)
-                once = np.zeros(len(a), bool)
+                take = np.array([_taken(int(n), percent) for n in sizes], np.int64)[which]
                 usable = np.flatnonzero(np.isin(row + x, known) & (take > 0))
-                once[usable[np.unique(node[usable], return_index=True)[1]]] = True
-                a, z, take, node = a[once], z[once], take[once], node[once]
-                if not len(a):
-                    continue
-                number = z - a - (run_ - 1)
-                line = np.repeat(np.arange(len(a)), number)
-                begins = np.concatenate(([0], np.cumsum(number)[:-1]))
-                at = np.arange(len(line)) - begins[line] + a[line]
-                count = table[(hashes & np.uint64(SLOTS - 1)).astype(np.int64)]
-                likely, most, gram = count[at], count[at], hashes[at]
-                if run_ == 2:
-                    likely, most, gram = likely * count[at + 1], np.minimum(most, count[at + 1]), grams(hashes, 2)[at]
-                rank = ((8 * np.log2(likely + 1)).astype(np.uint64) << np.uint64(53)) | (gram >> np.uint64(11))
-                order = np.lexsort((rank, line))
-                gram, most = gram[order], most[order]
-                same = np.concatenate(([False], (gram[1:] == gram[:-1]) & (line[1:] == line[:-1])))
-                i = np.arange(len(line))
-                again = i - np.maximum.accumulate(np.where(same, 0, i))
-                first = i - begins[line] < take[line]
-                key = mixed(gram + again.astype(np.uint64) * np.uint64(H2))[first]
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node[line[first]]), pa.array(most[first] >= HOT)], ["key", "node", "hot"])
-
-    return docs.select(F.col(id_col).cast("bigint"), text_col).mapInArrow(run, "key bigint, node bigint, hot boolean")
+                once = usable[np.unique(node[usable], return_index=True)[1]]
+                line, key = _first_words(hashes, a[once], z[once], take[once], table)
+                held.append((key, node[once][line], (z - a)[once][line].astype(np.uint32), parity[once][line]))
+                rows += len(key)
+                if rows >= PACK:
+                    yield pack(held)
+                    held, rows = [], 0
+        if rows:
+            yield pack(held)
+
+    def pack(held: list) -> pa.RecordBatch:
+        key, *columns = (np.concatenate(c) for c in zip(*held, strict=True))
+        bucket = (key % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        which, first = np.unique(bucket[order], return_index=True)
+        cuts = np.append(first, len(key))
+        # the upper half of a key will do inside a bucket: two that agree by chance are told apart when their lines are compared
+        columns = [(key >> np.uint64(32)).astype(np.uint32), *columns]
+        blobs = [pa.array([c[a:z].tobytes() for a, z in zip(cuts, cuts[1:], strict=False)], pa.binary()) for c in (v[order] for v in columns)]
+        return pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), *blobs], ["bucket", "keys", "nodes", "sizes", "parities"])
+
+    return docs.mapInArrow(run, "bucket int, keys binary, nodes binary, sizes binary, parities binary")
+
+
+_KINDS = (np.uint32, np.int64, np.uint32, np.uint64)
+
+
+def with_partner(sizes: np.ndarray, parities: np.ndarray, percent: int) -> np.ndarray:
+    """For rows of lines that share a key, whether lengths and parities of another one of the row allow few enough edits."""
+    x, y = sizes[:, :, None].astype(np.int64), sizes[:, None, :].astype(np.int64)
+    apart = np.abs(x - y)
+    edits = _edits(np.maximum(x, y), percent)
+    fits = (apart <= edits) & (np.bitwise_count(parities[:, :, None] ^ parities[:, None, :]) <= 2 * edits - apart)
+    fits[:, np.arange(sizes.shape[1]), np.arange(sizes.shape[1])] = False
+    return fits.any(2)
+
+
+def _close(packed: DataFrame, percent: int) -> DataFrame:
+    """(key, node, size, parity) of lines that may link to another one under the key."""
+
+    def sifted(key: np.ndarray, node: np.ndarray, size: np.ndarray, parity: np.ndarray) -> tuple[np.ndarray, ...]:
+        """In the order of keys, each node of a key once."""
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))[: len(key)]
+        order = order[new]
+        return key[new], node[new], size[order], parity[order]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        rows, limit = 0, 8 * PACK
+        for b in batches:
+            for bucket, *blobs in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                key, *columns = (np.frombuffer(v, t) for v, t in zip(blobs, _KINDS, strict=True))
+                held.append((key.astype(np.uint64) | np.uint64(bucket << 32), *columns))
+                rows += len(key)
+            if rows > limit:  # a line of many documents comes again and again
+                held = [sifted(*(np.concatenate(c) for c in zip(*held, strict=True)))]
+                rows = len(held[0][0])
+                limit = max(limit, 2 * rows)
+        if not held:
+            return
+        key, node, size, parity = sifted(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        held.clear()
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        number = np.diff(np.append(first, len(key)))
+        keep = np.repeat(number > CROWD, number)
+        for n in np.unique(number[(number > 1) & (number <= CROWD)]).tolist():
+            begins = first[number == n]
+            step = max(1, PACK // (n * n))
+            for k in range(0, len(begins), step):
+                at = begins[k : k + step, None] + np.arange(n)
+                keep[at] = with_partner(size[at], parity[at], percent)
+        kept = np.flatnonzero(keep)
+        for a in range(0, len(kept), 10_000):
+            i = kept[a : a + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(key[i].view(np.int64)), pa.array(node[i]), pa.array(size[i].astype(np.int64)), pa.array(parity[i].view(np.int64))], ["key", "node", "size", "parity"])
+
+    return packed.mapInArrow(run, "key bigint, node bigint, size bigint, parity bigint")
 
 
 def _fits(percent: int):
@@ -165,19 +217,12 @@ def _fits(percent: int):
         xs, ys = F.col(f"{x}.size"), F.col(f"{y}.size")
         apart = F.abs(xs - ys)
         edits = F.floor(F.greatest(xs, ys) * (100 - percent) / 100)
-        changed = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in ("p1", "p2")), F.lit(0))
+        changed = F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
         return (apart <= edits) & (changed <= 2 * edits - apart)
 
     return fits
 
 
-def _keys(sim: str) -> Column:
-    """One key for each pair of blocks, unlike between pairs."""
-    block = [F.shiftrightunsigned(F.col(sim), BLOCKS[k]).bitwiseAND(F.lit((1 << (BLOCKS[k + 1] - BLOCKS[k])) - 1)) for k in range(len(BLOCKS) - 1)]
-    pairs = combinations(range(len(block)), 2)
-    return F.array(*(F.lit(i << 26).bitwiseOR(F.shiftleft(block[x], 13)).bitwiseOR(block[y]) for i, (x, y) in enumerate(pairs)))
-
-
 def edit_distance(x: list, y: list) -> int:
     """Levenshtein distance of two sequences, all of a column at once in the bits of a number."""
     where: dict = {}
@@ -197,10 +242,10 @@ def edit_distance(x: list, y: list) -> int:
     return distance
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, words) of the `wanted` (node, id, line)."""
-    lists = wanted.groupBy("id").agg(F.collect_list("line").alias("at"), F.collect_list("node").alias("nodes")).withColumnRenamed("id", "_id")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text")).dropna().join(lists, "_id").select("_text", "at", "nodes")
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, words) of the `wanted` (node, row, line) from documents (id, row, text)."""
+    lists = wanted.groupBy("row").agg(F.collect_list("line").alias("at"), F.collect_list("node").alias("nodes"))
+    rows = docs.dropna().join(lists, "row").select("text", "at", "nodes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -217,6 +262,20 @@ def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> Da
     return rows.mapInArrow(run, "node bigint, words string").dropDuplicates(["node"])
 
 
+def _marks(texts: DataFrame, shared, buckets: int, percent: int) -> DataFrame:
+    """(node, mark): one first word more than the keys, named like those. Linked lines that share a key share another one of these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x, y, data, off in chunks(b.column(1)):
+                w = Words(data, off, LETTERS)
+                line, key = _first_words(w.hashes(), w.first[:-1], w.first[1:], np.array([_taken(int(n), percent) + 1 for n in w.count], np.int64), shared.value)
+                named = (key % np.uint64(buckets)) << np.uint64(32) | key >> np.uint64(32)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x).take(pa.array(line)), pa.array(named.view(np.int64))], ["node", "mark"])
+
+    return texts.mapInArrow(run, "node bigint, mark bigint")
+
+
 def _verifier(texts: DataFrame, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -234,56 +293,61 @@ def _verifier(texts: DataFrame, percent: int):
     return verify
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bits: int | None = BITS) -> DataFrame:
-    """For each row of `docs`: id, n_lines (with a word), n_removed, removed_lines (numbers from 0, in order)."""
-    first = written(_hashed(docs, id_col, text_col, bits))
-    hashed = first.where("part is null").select("id", "lines")
-    lines = hashed.where("id is not null").select("id", F.explode("lines").alias("l")).select("id", "l.*")
-    place = F.struct("id", "line")
-    extra = ["size", "p1", "p2"] if bits is None else ["sim"]
-    kinds = written(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *(F.min(x).alias(x) for x in extra)))
-    nodes = kinds.select(F.col("h1").alias("node"), *extra)
-    if bits is None:
-        fits = _fits(percent)
-        keyed = _keyed(docs, _counters(first.where("part is not null")), id_col, text_col, percent)
-        of_key = Window.partitionBy("key")
-        cold = keyed.where("not hot").withColumn("low", F.min("node").over(of_key)).withColumn("high", F.max("node").over(of_key)).where("low <> high")
-        keyed = written(cold.select("key", "node").unionByName(keyed.where("hot").select("key", "node")).distinct().join(nodes, "node"))
-        close = keyed.alias("x").join(keyed.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") != F.col("y.node")) & fits("x", "y"), "left_semi")
-        close = written(close.select("key", "node", *extra))
-    else:
-        if bits > BITS:
-            raise ValueError(f"pairs of blocks find {BITS} differing bits at most")
-        fits = lambda x, y: F.bit_count(F.col(f"{x}.sim").bitwiseXOR(F.col(f"{y}.sim"))) <= bits
-        sims = kinds.groupBy("sim").agg(F.count("*").alias("n"))
-        keys = sims.select("sim", F.explode(_keys("sim")).alias("key"))
-        near = keys.alias("x").join(keys.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.sim") != F.col("y.sim")) & fits("x", "y"), "left_semi").select("sim", "key")
-        near = written(near.unionByName(sims.where("n > 1").select("sim", _keys("sim")[0].alias("key"))).distinct())
-        close = written(nodes.join(near, "sim"))
-    candidates = kinds.join(close.select(F.col("node").alias("h1")).distinct(), "h1", "left_semi").select(F.col("h1").alias("node"), "first.id", "first.line")
-    texts = written(_texts(docs, candidates, id_col, text_col))
-    groups = linked(close, _verifier(texts, percent), fits, extra)
+def _removed(docs: DataFrame, percent: int) -> DataFrame:
+    """(id, row, n_lines, removed_lines) of documents (id, row, text); removed_lines may be null."""
+    spark = docs.sparkSession
+    first = written(_hashed(docs))
+    hashed = first.where("part is null").select("id", "row", "lines")
+    counters = _counters(first.where("part is not null"))
+    shared = spark.sparkContext.broadcast(np.minimum(counters, (1 << 20) - 1).astype(np.uint64))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS * partitions
+    close = written(_close(_packed(docs, shared, buckets, percent).repartition(partitions, "bucket"), percent))
+
+    lines = hashed.where("id is not null").select("id", "row", F.explode("lines").alias("l")).select("id", "row", "l.*")
+    place = F.struct("id", "row", "line")
+    nodes = close.select(F.col("node").alias("h1"), F.lit(True).alias("close")).distinct()
+    kinds = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(nodes, "h1", "left")
+    kinds = written(kinds.where("n > 1 or close"))
+    texts = written(_texts(docs, kinds.where("close").select(F.col("h1").alias("node"), "first.row", "first.line")))
+    groups = linked(close, _verifier(texts, percent), _fits(percent), ["size", "parity"], _marks(texts, shared, buckets, percent))
+    shared.destroy()
+    for table in (close, texts):
+        discard(table)
 
     kinds = kinds.join(groups.withColumnRenamed("node", "h1"), "h1", "left").withColumn("component", F.coalesce("component", "h1"))
     in_groups = kinds.join(groups.select("component").distinct(), "component", "left_semi")
     firsts = in_groups.groupBy("component").agg(F.min("first").alias("stays"))
     often = kinds.where("n > 1").join(firsts, "component", "left_anti").select("h1", "h2", F.col("first").alias("stays"))
     often = often.unionByName(in_groups.join(firsts, "component").select("h1", "h2", "stays"))
-    gone = lines.join(often, ["h1", "h2"]).where(place != F.col("stays")).groupBy("id").agg(F.array_sort(F.collect_set("line")).alias("removed_lines"))
-    return (
-        hashed.select("id", F.size("lines").cast("bigint").alias("n_lines"))
-        .join(gone, "id", "left")
-        .select(F.col("id").alias(id_col), "n_lines", F.coalesce(F.size("removed_lines"), F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("removed_lines", F.array().cast("array<int>")).alias("removed_lines"))
-    )
+    gone = lines.join(often, ["h1", "h2"]).where(place != F.col("stays")).groupBy("row").agg(F.array_sort(F.collect_set("line")).alias("removed_lines"))
+    return hashed.select("id", "row", F.size("lines").cast("bigint").alias("n_lines")).join(gone, "row", "left")
+
+
+def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """For each row of `docs`: id, n_lines (with a word), n_removed, removed_lines (numbers from 0, in order)."""
+    removed = _removed(identified(docs, id_col, text_col), percent)
+    return removed.select(
+        F.col("id").alias(id_col), "n_lines", F.coalesce(F.size("removed_lines"), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce("removed_lines", F.array().cast("array<int>")).alias("removed_lines"),
+    )
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, percent: int = PERCENT, bits: int | None = BITS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, percent: int = PERCENT) -> DataFrame:
     """Rows of `docs` without the lines that go; `length_col`, if given, is set to the characters that are left. All rows stay, other columns as they are."""
-    gone = removals(docs, id_col, text_col, percent, bits).where("n_removed > 0").select(F.col(id_col).alias("_gone_from"), F.col("removed_lines").alias("_gone")).dropDuplicates(["_gone_from"])
-    rows = docs.join(gone, F.col(id_col) == F.col("_gone_from"), "left")
-    numbered = F.filter(F.transform(F.split(text_col, "\n", -1), lambda x, i: F.when(~F.array_contains("_gone", i), x)), lambda x: x.isNotNull())
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(numbered, "\n"))
-    out = rows.withColumn(text_col, text)
-    if length_col:
-        out = out.withColumn(length_col, F.when(F.col("_gone").isNull(), F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
-    return out.select(*docs.columns)
+    found = _removed(identified(docs, id_col, text_col), percent).where("removed_lines is not null").select("row", "removed_lines").dropDuplicates(["row"])
+    # the columns of the input in one struct, so that no name of theirs can clash
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("own")).withColumn("row", F.xxhash64(F.col("own")[id_col].cast("bigint"), F.col("own")[text_col]))
+    text, gone = F.col("own")[text_col], F.col("removed_lines")
+    numbered = F.filter(F.transform(F.split(text, "\n", -1), lambda x, i: F.when(~F.array_contains(gone, i), x)), lambda x: x.isNotNull())
+    joined = rows.join(found, "row", "left").withColumn("left", F.when(gone.isNull(), text).otherwise(F.array_join(numbered, "\n")))
+
+    def column(name: str) -> Column:
+        if name == text_col:
+            return F.col("left").alias(name)
+        own = F.col("own")[name]
+        if name == length_col:
+            return F.when(gone.isNull(), own).otherwise(F.length("left")).cast(docs.schema[name].dataType).alias(name)
+        return own.alias(name)
+
+    return joined.select(*[column(c) for c in docs.columns])

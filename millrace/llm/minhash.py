@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.linking import linked
 from millrace.llm.ngram_join import PARTS, _digest, _verifier
-from millrace.llm.shared import discard, written
+from millrace.llm.shared import discard, identified, written
 from millrace.llm.words import LOWER, Words, chunks, grams, mixed
 
 N, PERCENT = 2, 80
@@ -83,7 +83,7 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """For each row of `docs`: id, n_shingles, component_id (the smallest id that links lead to, its own included), kept (whether it is that id itself)."""
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).select("id", F.xxhash64("id", "text").alias("row"), "text")
+    texts = identified(docs, id_col, text_col)
     sets = written(_first_pass(texts, n))
     same = F.struct("d1", "d2", "size")
     best = F.min(F.struct("id", "row")).alias("first")

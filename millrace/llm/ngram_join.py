@@ -9,8 +9,10 @@
    and what the sizes of the parts differ by bounds the overlap from above. What is left is verified once, on the exact n-grams of the texts, next to a
    leader whose members are split into runs of `RUN`.
 
+   A crowded n-gram is split by the other n-grams of the prefix and the next one after it: similar sets share two of those, so no link is lost.
+
 Words: A-Z lower-cased, runs of anything but \\x20 and \\x09-\\x0D. A text with fewer than `n` words is one n-gram; null and empty texts have none and link with nothing.
-Rows that repeat an id with the same text are the same document; null ids get their set size, no links and a null component.
+Rows that repeat an id with the same text are the same document, with another text a document of its own; null ids get their set size, no links and a null component. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.linking import linked
-from millrace.llm.shared import written
+from millrace.llm.shared import discard, identified, written
 from millrace.llm.words import LOWER, Words, chunks, grams, mixed
 
 N, PERCENT = 4, 85
@@ -50,26 +52,26 @@ def _digest(keys: np.ndarray) -> tuple[int, int]:
         return tuple(int(mixed(keys ^ np.uint64(salt)).sum(dtype=np.uint64).view(np.int64)) for salt in (0x51ED270B, 0xA5A5F00D))
 
 
-def _first_pass(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """Rows of two kinds: (id, size, d1, d2, parts) of documents, and (part, counts) of the counters of a task."""
+def _first_pass(docs: DataFrame, n: int) -> DataFrame:
+    """Rows of two kinds: (id, row, size, d1, d2, parts) of documents (id, row, text), and (part, counts) of the counters of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(SLOTS, np.int64)
-        schema = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("parts", pa.list_(pa.int32())), ("part", pa.int32()), ("counts", pa.binary())])
+        schema = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("size", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("parts", pa.list_(pa.int32())), ("part", pa.int32()), ("counts", pa.binary())])
         for b in batches:
             out = []
-            for _, keys in _sets(b.column(1), n):
+            for _, keys in _sets(b.column(2), n):
                 np.add.at(counters, (keys & np.uint64(SLOTS - 1)).astype(np.int64), 1)
                 out.append((len(keys), *_digest(keys), np.bincount((keys >> np.uint64(61)).astype(np.int64), minlength=PARTS).tolist()))
             size, d1, d2, parts = zip(*out, strict=True) if out else ((), (), (), ())
             none = [None] * len(out)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(size, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(parts, pa.list_(pa.int32())), pa.array(none, pa.int32()), pa.array(none, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(size, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(parts, pa.list_(pa.int32())), pa.array(none, pa.int32()), pa.array(none, pa.binary())], schema=schema)
         full = [k for k in range(SLOTS // PART) if counters[k * PART : (k + 1) * PART].any()]
         none = [None] * len(full)
         body = [counters[k * PART : (k + 1) * PART].astype(np.uint32).tobytes() for k in full]
-        yield pa.RecordBatch.from_arrays([*(pa.array(none, t) for t in schema.types[:5]), pa.array(full, pa.int32()), pa.array(body, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([*(pa.array(none, t) for t in schema.types[:6]), pa.array(full, pa.int32()), pa.array(body, pa.binary())], schema=schema)
 
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id bigint, size bigint, d1 bigint, d2 bigint, parts array<int>, part int, counts binary")
+    return docs.mapInArrow(run, "id bigint, row bigint, size bigint, d1 bigint, d2 bigint, parts array<int>, part int, counts binary")
 
 
 def _counters(rows: DataFrame) -> np.ndarray:
@@ -93,32 +95,32 @@ def _needed(size: np.ndarray | int, percent: int):
     return -(-size * percent // 100)
 
 
-def _prefixes(docs: DataFrame, counters: np.ndarray, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
-    """(key, node, size, place, hot) of the prefix n-grams. Sets so small that not even one n-gram more keeps them similar have none."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.minimum(counters, (1 << 20) - 1).astype(np.uint64))
+def _prefixes(docs: DataFrame, shared, n: int, percent: int) -> DataFrame:
+    """(key, node, size, place, spare, hot) of the prefix n-grams, and of the next one (spare). Sets so small that not even one n-gram more keeps them similar have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for b in batches:
-            ids, keys_, nodes, sizes, places, hot = b.column(0).to_pylist(), [], [], [], [], []
-            for row, keys in _sets(b.column(1), n):
+            ids, rows, keys_, nodes, sizes, places, spare, hot = b.column(0).to_pylist(), b.column(1).to_pylist(), [], [], [], [], [], []
+            for row, keys in _sets(b.column(2), n):
                 size = len(keys)
                 take = size - int(_needed(size, percent)) + 1
                 if ids[row] is None or (take < 2 and size * 100 // percent == size):
                     continue
                 count = table[(keys & np.uint64(SLOTS - 1)).astype(np.int64)]
                 rank = (count << np.uint64(44)) | (keys >> np.uint64(20))
-                first = np.argsort(rank, kind="stable")[:take]
+                first = np.argsort(rank, kind="stable")[: take + 1]
                 keys_.append(keys[first].view(np.int64))
                 hot.append(count[first] >= HOT)
-                nodes.append(np.full(take, ids[row]))
-                sizes.append(np.full(take, size))
-                places.append(np.arange(take))
+                nodes.append(np.full(len(first), rows[row]))
+                sizes.append(np.full(len(first), size))
+                places.append(np.arange(len(first)))
+                spare.append(np.arange(len(first)) >= take)
             if keys_:
-                columns = [pa.array(np.concatenate(c)) for c in (keys_, nodes, sizes, places, hot)]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "size", "place", "hot"])
+                columns = [pa.array(np.concatenate(c)) for c in (keys_, nodes, sizes, places, spare, hot)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "size", "place", "spare", "hot"])
 
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "key bigint, node bigint, size bigint, place bigint, hot boolean")
+    return docs.mapInArrow(run, "key bigint, node bigint, size bigint, place bigint, spare boolean, hot boolean")
 
 
 def _verifier(candidates: DataFrame, sets: DataFrame, n: int, percent: int):
@@ -156,22 +158,34 @@ def _verifier(candidates: DataFrame, sets: DataFrame, n: int, percent: int):
     return verify
 
 
-def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
-    """For each row of `docs`: id, n_shingles, component_id (the smallest id that links lead to, its own included)."""
-    first = written(_first_pass(docs, id_col, text_col, n))
+def _small(percent: int) -> int:
+    """Sets of this size or less may link though one n-gram is all they share."""
+    return (100 // percent) * 100 // percent
+
+
+def _groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(id, row, n_shingles, component_id) of documents (id, row, text)."""
+    sc = docs.sparkSession.sparkContext
+    first = written(_first_pass(docs, n))
     sets = first.where("part is null").drop("part", "counts")
     same = F.struct("d1", "d2", "size")
     real = sets.where("id is not null and size > 0")
-    classes = real.groupBy("d1", "d2", "size").agg(F.min("id").alias("node"), F.first("parts").alias("parts"))
-    keyed = _prefixes(docs, _counters(first.where("part is not null")), id_col, text_col, n, percent)
-    cold = keyed.where("not hot").withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").drop("n")
-    shared_keys = cold.unionByName(keyed.where("hot")).drop("hot")
-    keyed = written(shared_keys.join(classes.select("node"), "node", "left_semi"))
+    # the smallest id of a class, and the row that stands for it
+    classes = written(real.groupBy("d1", "d2", "size").agg(F.min(F.struct("id", "row")).alias("least"), F.first("parts").alias("parts")).withColumn("node", F.col("least.row")))
+    shared = sc.broadcast(np.minimum(_counters(first.where("part is not null")), (1 << 20) - 1).astype(np.uint64))
+    prefixes = _prefixes(docs, shared, n, percent)
+    of_key = Window.partitionBy("key")
+    cold = prefixes.where("not hot").withColumn("n", F.count("*").over(of_key)).withColumn("real", F.count_if(~F.col("spare")).over(of_key))
+    together = cold.where("n > 1").withColumn("lone", F.col("real") < 2).drop("n", "real").unionByName(prefixes.where("hot").withColumn("lone", F.lit(False)))
+    together = written(together.drop("hot").join(classes.select("node"), "node", "left_semi"))
+    shared.destroy()
+    keyed = together.where("not spare and not lone").select("key", "node", "size", "place")
+    small = together.where(F.col("size") <= _small(percent)).select("node", F.lit(0).cast("bigint").alias("mark"))
+    marks = together.select("node", F.col("key").alias("mark")).unionByName(small)
     nodes = keyed.select("node").distinct()
-    candidates = written(
-        docs.select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).alias("text")).join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    )
-    of_nodes = written(classes.join(nodes, "node", "left_semi").select("node", "size", "parts"))
+    of_nodes = written(classes.join(nodes, "node", "left_semi").select("node", "least.id", "size", "parts"))
+    wanted = of_nodes.select("id", F.col("node").alias("row"))
+    candidates = written(docs.join(wanted, ["id", "row"]).groupBy(F.col("row").alias("node")).agg(F.first("text").alias("text")))
 
     def fits(x: str, y: str):
         xs, ys = F.col(f"{x}.size"), F.col(f"{y}.size")
@@ -179,17 +193,22 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         most = 1 + F.least(xs - F.col(f"{x}.place") - 1, ys - F.col(f"{y}.place") - 1)
         return length & (most * (100 + percent) >= percent * (xs + ys))
 
-    groups = linked(keyed, _verifier(candidates, of_nodes, n, percent), fits, ["size", "place"])
-    classes = classes.join(groups, "node", "left").select(same.alias("set"), F.coalesce("component", "node").alias("component_id"))
-    return (
-        sets.select("id", "size", same.alias("set"))
-        .join(classes, "set", "left")
-        .select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
-    )
+    groups = linked(keyed, _verifier(candidates, of_nodes.drop("id"), n, percent), fits, ["size", "place"], marks)
+    for table in (together, of_nodes, candidates):
+        discard(table)
+    labelled = classes.join(groups, "node", "left").select(same.alias("set"), F.coalesce("component", "node").alias("component"), "least.id")
+    lowest = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
+    labelled = labelled.join(lowest, "component").select("set", "component_id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
+    return sets.select("id", "row", "size", same.alias("set")).join(labelled, "set", "left").select("id", "row", F.col("size").alias("n_shingles"), component.alias("component_id"))
+
+
+def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
+    """For each row of `docs`: id, n_shingles, component_id (the smallest id that links lead to, its own included)."""
+    return _groups(identified(docs, id_col, text_col), n, percent).select(F.col("id").alias(id_col), "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
-    """Rows of `docs` but for documents that link to one with a smaller id, all columns as they are; rows that repeat an id go or stay together. Null ids stay."""
-    groups = jaccard_groups(docs, id_col, text_col, n, percent)
-    gone = groups.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    """Rows of `docs` but for documents that link to one with a smaller id, all columns as they are; rows that repeat an id and its text go or stay together. Null ids stay."""
+    gone = _groups(identified(docs, id_col, text_col), n, percent).where("component_id < id").select(F.col("row").alias("_row")).distinct()
+    return docs.join(gone, F.xxhash64(docs[id_col].cast("bigint"), docs[text_col]) == gone["_row"], "left_anti")

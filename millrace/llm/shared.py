@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN = "_millrace_shared_folder"
 
@@ -37,6 +38,11 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, row, text): a document is known by a hash of its id and text together, so that an id with two texts is two documents."""
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).select("id", F.xxhash64("id", "text").alias("row"), "text")
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table that `written` made, once nothing reads it any more."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
 ITEM_WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+").findall
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_words bigint, key string, node string, id string, words string, a int, label string, _text string"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_words bigint, key string, node string, id string, words string, a int, label string, _text string, row int, _row int, own int, removed_lines int, _gone int, _gone_from int, component_id int"
 
 
 def lower(text):
@@ -16,7 +16,7 @@ def lower(text):
 
 def rows(texts):
     """Rows of documents with extra columns whose names the operators use themselves."""
-    return [(i, t, "en", "s", len(t or ""), 7, "k", "n", "i", "w", 1, "l", "t") for i, t in texts]
+    return [(i, t, "en", "s", len(t or ""), 7, "k", "n", "i", "w", 1, "l", "t", 1, 2, 3, 4, 5, 6, 7) for i, t in texts]
 
 
 def prose(seed, words, vocabulary=400):
@@ -108,14 +108,19 @@ def shingles(text):
 
 
 def jaccard(docs):
-    sets = {i: shingles(t) for i, t in docs if i is not None}
-    groups, ids = Groups(sets), sorted(sets)
-    for k, i in enumerate(ids):
-        for j in ids[:k]:
-            both = len(sets[i] & sets[j])
-            if both and 100 * both >= 85 * len(sets[i] | sets[j]):
-                groups.link(i, j)
-    return {i: (len(s), groups.root(i)) for i, s in sets.items()}
+    """(set size, smallest linked id) of each (id, text)."""
+    rows = sorted({d for d in docs if d[0] is not None}, key=repr)
+    sets = [shingles(t) for _, t in rows]
+    groups = Groups(range(len(rows)))
+    for k in range(len(rows)):
+        for j in range(k):
+            both = len(sets[k] & sets[j])
+            if both and 100 * both >= 85 * len(sets[k] | sets[j]):
+                groups.link(k, j)
+    lowest = {}
+    for k, (i, _) in enumerate(rows):
+        lowest[groups.root(k)] = min(lowest.get(groups.root(k), i), i)
+    return {d: (len(sets[k]), lowest[groups.root(k)]) for k, d in enumerate(rows)}
 
 
 def distance(x, y):
@@ -128,28 +133,27 @@ def distance(x, y):
     return row[-1]
 
 
-def fuzzy_lines(docs, simhash, bits=3, percent=80):
-    """Lines that go, by document; `simhash` of a tuple of words."""
+def fuzzy_lines(docs, order, percent=80):
+    """Lines that go, by (id, text); `order` of documents with the same id."""
     places = defaultdict(list)
-    for i, text in sorted({(i, t) for i, t in docs if i is not None and t is not None}):
+    for i, text in {(i, t) for i, t in docs if i is not None and t is not None}:
         for k, line in enumerate(text.split("\n")):
             words = tuple(ITEM_WORDS(lower(line)))
             if words:
-                places[words].append((i, k))
+                places[words].append((i, order(i, text), k, text))
     lines = sorted(places)
-    marks = [simhash(w) for w in lines]
     groups = Groups(range(len(lines)))
     for i in range(len(lines)):
         for j in range(i):
-            if (marks[i] ^ marks[j]).bit_count() <= bits and groups.root(i) != groups.root(j):
+            if groups.root(i) != groups.root(j):
                 most = max(len(lines[i]), len(lines[j]))
-                if 100 * (most - distance(lines[i], lines[j])) >= percent * most:
+                if 100 * abs(len(lines[i]) - len(lines[j])) <= (100 - percent) * most and 100 * (most - distance(lines[i], lines[j])) >= percent * most:
                     groups.link(i, j)
     members, gone = defaultdict(list), defaultdict(list)
     for k, words in enumerate(lines):
         members[groups.root(k)] += places[words]
     for group in members.values():
-        for i, k in group:
-            if (i, k) != min(group):
-                gone[i].append(k)
-    return {i: sorted(v) for i, v in gone.items()}
+        for place in group:
+            if place != min(group):
+                gone[place[0], place[3]].append(place[2])
+    return {d: sorted(v) for d, v in gone.items()}

@@ -42,38 +42,44 @@ def test_earliest_finds_every_window():
     assert phrases.earliest(pieces, 3) == [[(5, 0), (2, 8)], [(2, 7), (2, 8)], [(9, 1), (9, 2), (9, 1)]]
 
 
-def simhash(words):
-    hashes = np.array([span_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())]))[0] for w in words], np.uint64)
-    return sum(int((hashes >> np.uint64(b) & np.uint64(1)).sum() > len(words) // 2) << b for b in range(64))
+def order(spark, texts):
+    """The order of documents with the same id."""
+    rows = spark.createDataFrame(list(set(texts)), "id bigint, text string").select("id", "text", F.xxhash64("id", "text").alias("row")).collect()
+    return {(r.id, r.text): r.row for r in rows}
 
 
-def test_fuzzy_lines(spark):
-    line = brute.prose(8, 200).replace("\n", " ")
-    texts = [(i, t) for i, t in short(brute.odd_texts()) if len(t or "") < 5_000]
-    texts += [(100 + i, brute.edited(line, i, 1) + "\nown line of " + str(i) + "\n\nshared LINE, same.") for i in range(12)] + [(99, "Shared line: same\n" + line)]
+def check_lines(spark, texts, **options):
     docs = spark.createDataFrame(brute.rows(texts), brute.SCHEMA).repartition(4)
-    expected = brute.fuzzy_lines(texts, simhash)
-    assert any(0 in expected.get(100 + i, []) for i in range(12)), "no edited line was close enough"
+    rows = order(spark, texts)
+    expected = brute.fuzzy_lines(texts, lambda i, t: rows[i, t])
+    gone = [(i, tuple(expected.get((i, t), ()))) for i, t in texts]
     found = line_dedup.removals(docs).collect()
-    assert len(found) == len(texts)
-    for r in found:
-        assert r.removed_lines == ([] if r.doc_id is None else expected.get(r.doc_id, [])), r.doc_id
-        assert r.n_removed == len(r.removed_lines)
+    assert sorted(((r.doc_id, tuple(r.removed_lines)) for r in found), key=repr) == sorted(gone, key=repr)
+    assert all(r.n_removed == len(r.removed_lines) for r in found)
     kept = line_dedup.dedup_lines(docs, length_col="n_chars")
     assert kept.columns == docs.columns
-    by_id = {i: t for i, t in texts if i is not None}
+    left = [(i, t if not g else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in g)) for (i, t), (_, g) in zip(texts, gone, strict=True)]
     rows = kept.collect()
-    assert len(rows) == len(texts)
-    for r in rows:
-        if r.doc_id is None or r.text is None:
-            assert r.text == (None if r.doc_id is not None else texts[0][1])
-            continue
-        stays = [x for k, x in enumerate(by_id[r.doc_id].split("\n")) if k not in expected.get(r.doc_id, [])]
-        assert r.text == "\n".join(stays) and r.n_chars == len(r.text)
+    assert sorted(((r.doc_id, r.text) for r in rows), key=repr) == sorted(left, key=repr)
+    assert all(r.n_chars == len(r.text or "") and tuple(r)[5:] == brute.rows([(1, "")])[0][5:] for r in rows)
+    return expected
+
+
+@pytest.mark.parametrize("crowd, pack", [(line_dedup.CROWD, line_dedup.PACK), (1, 50)])
+def test_fuzzy_lines(spark, monkeypatch, crowd, pack):
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    monkeypatch.setattr(line_dedup, "PACK", pack)
+    monkeypatch.setattr(linking, "CROWD", crowd)
+    line = brute.prose(8, 200).replace("\n", " ")
+    texts = [(i, t) for i, t in short(brute.odd_texts()) if len(t or "") < 5_000]
+    texts += [(100 + i, brute.edited(line, i, 1) + "\nown line of " + str(i) + "\n\nshared LINE, same.") for i in range(12)] + [(99, "Shared line: same\n" + line)]
+    texts += [(100, "shared line same\n" + brute.prose(9, 30)), (100, brute.edited(line, 50, 2))]
+    expected = check_lines(spark, texts)
+    assert sum(0 in v for (i, _), v in expected.items() if 100 <= i < 112) >= 12
 
 
 def test_every_line_within_the_edits_goes(spark):
-    """Against the edit distance alone, on lines of 4 to 50 words with up to a fifth of the words changed."""
+    """Lines of 4 to 50 words with up to a fifth of the words changed."""
     r, texts = random.Random(4), []
     for k, size in enumerate((4, 5, 6, 9, 10, 15, 20, 30, 50) * 6):
         words = [f"w{r.randrange(300)}" for _ in range(size)]
@@ -82,17 +88,22 @@ def test_every_line_within_the_edits_goes(spark):
             at, what = r.randrange(len(other)), r.randrange(3)
             other[at : at + (what > 0)] = [f"new{r.randrange(10**6)}"] if what < 2 else []
         texts += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other) + "\nthe the the the the\nthe the the the")]
-    expected = brute.fuzzy_lines(texts, lambda words: 0)
+    expected = check_lines(spark, texts)
     assert sum(0 in gone for gone in expected.values()) >= 40
-    docs = spark.createDataFrame(brute.rows(texts), brute.SCHEMA).repartition(3)
-    assert {r.doc_id: r.removed_lines for r in line_dedup.removals(docs, bits=None).collect()} == {i: expected.get(i, []) for i, _ in texts}
 
 
-def test_simhash_of_very_long_lines(monkeypatch):
-    hashes = np.random.default_rng(1).integers(0, 1 << 63, 500, dtype=np.uint64)
-    plain = line_dedup.simhashes(hashes, np.array([0, 3, 400]))
-    monkeypatch.setattr(line_dedup, "_MOST", 50)
-    assert (line_dedup.simhashes(hashes, np.array([0, 3, 400])) == plain).all()
+def test_partners_are_found_under_every_bound():
+    r = np.random.default_rng(6)
+    sizes, parities = r.integers(3, 9, (40, 7)).astype(np.uint32), r.integers(0, 64, (40, 7)).astype(np.uint64)
+    got = line_dedup.with_partner(sizes, parities, 80)
+    for k in range(40):
+        for i in range(7):
+            others = [j for j in range(7) if j != i]
+            edits = {j: max(int(sizes[k, i]), int(sizes[k, j])) * 20 // 100 for j in others}
+            apart = {j: abs(int(sizes[k, i]) - int(sizes[k, j])) for j in others}
+            changed = {j: (int(parities[k, i]) ^ int(parities[k, j])).bit_count() for j in others}
+            assert got[k, i] == any(apart[j] <= edits[j] and changed[j] <= 2 * edits[j] - apart[j] for j in others)
+    assert [line_dedup._taken(n, 80) for n in (1, 2, 3, 4, 5, 9, 10, 50)] == [0, 0, 0, 1, 2, 2, 3, 11]
 
 
 def test_edit_distance():
@@ -105,26 +116,32 @@ def test_edit_distance():
 @pytest.mark.parametrize("hot, run", [(ngram_join.HOT, ngram_join.RUN), (1, 2)])
 def test_ngram_join(spark, odd, monkeypatch, hot, run):
     monkeypatch.setattr(ngram_join, "HOT", hot)
+    monkeypatch.setattr(linking, "CROWD", linking.CROWD if run > 2 else 0)
     monkeypatch.setattr(ngram_join, "RUN", run)
-    expected = brute.jaccard(brute.odd_texts())
+    docs = brute.odd_texts()
+    expected = brute.jaccard(docs)
     found = ngram_join.jaccard_groups(odd).collect()
-    assert len(found) == len(brute.odd_texts())
-    for r in found:
-        if r.doc_id is None:
-            assert r.component_id is None and r.n_shingles > 0
-        else:
-            assert (r.n_shingles, r.component_id) == expected[r.doc_id], r.doc_id
+    rows = [(i, len(brute.shingles(t)), expected.get((i, t), (0, None))[1]) for i, t in docs]
+    assert sorted(map(tuple, found), key=repr) == sorted(rows, key=repr)
     kept = ngram_join.keep_one(odd)
     assert kept.columns == odd.columns
     ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
-    assert ids == sorted(i for i, _ in brute.odd_texts() if i is not None and expected[i][1] == i)
+    assert ids == sorted(i for i, t in docs if i is not None and expected[i, t][1] == i)
+
+
+def test_ngram_join_of_an_id_with_two_texts(spark):
+    one, two = brute.prose(21, 80), brute.prose(22, 80)
+    docs = [(1, one), (2, one), (2, two), (3, two), (3, two), (4, brute.prose(23, 40))]
+    table = spark.createDataFrame(brute.rows(docs), brute.SCHEMA).repartition(3)
+    assert sorted((r.doc_id, r.component_id) for r in ngram_join.jaccard_groups(table).collect()) == [(1, 1), (2, 1), (2, 2), (3, 2), (3, 2), (4, 4)]
+    assert sorted((r.doc_id, r.text) for r in ngram_join.keep_one(table).collect()) == sorted([(1, one), (2, two), (4, docs[-1][1])])
 
 
 def test_ngram_join_of_short_sets(spark):
     """A set of 6 n-grams links to one of 7 that holds it, though its prefix is a single n-gram."""
     nine = "a1 b2 c3 d4 e5 f6 g7 h8 i9"
     texts = [(1, nine), (2, nine + " j10"), (3, "z0 " + nine), (4, "k1 l2 m3 n4 o5 p6 q7 r8"), (5, "k1 l2 m3 n4 o5 p6 q7 r8 s9"), (None, nine), (6, "")]
-    expected = brute.jaccard(texts)
+    expected = {i: v for (i, _), v in brute.jaccard(texts).items()}
     assert expected[2] == (7, 1) and expected[3] == (7, 1) and expected[5] == (6, 5)
     found = ngram_join.jaccard_groups(spark.createDataFrame(brute.rows(texts), brute.SCHEMA).repartition(3)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found if r.doc_id is not None} == expected
@@ -155,6 +172,25 @@ def test_near_copies_do_not_become_all_pairs(spark):
     assert seen == [2_999, 0, 0]
 
 
+@pytest.mark.parametrize("crowd", [500, None])
+def test_a_crowd_that_does_not_link_is_split(spark, crowd):
+    """3,000 nodes under one key, none linked: with another mark each they meet only where they share one."""
+    ids = spark.range(3_000).select(F.col("id").alias("node"))
+    keyed = ids.select("node", F.lit(1).cast("bigint").alias("key"))
+    # every node has the key and two of 1,000 other marks
+    marks = ids.select("node", F.explode(F.array(F.lit(1).cast("bigint"), 10 + F.col("node") % 1_000, 2_000 + F.col("node") % 997)).alias("mark"))
+    seen = []
+
+    def verify(pairs):
+        seen.append(sorted((r.a, r.b) for r in pairs.collect()) if len(seen) == 2 else pairs.count())
+        return pairs.where("b = a + 1000 and a < 1000")
+
+    groups = linking.linked(keyed, verify, lambda x, y: F.lit(True), marks=marks, crowd=crowd)
+    together = {(a, b) for a in range(3_000) for m in (1_000, 997) for b in range(a + m, 3_000, m)}
+    assert set(seen[2]) <= together and len(seen[2]) > len(together) - 3_000
+    assert {(r.node, r.component) for r in groups.collect()} == {(n, n % 1_000) for n in range(2_000)}
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], brute.SCHEMA)
     assert phrases.dedup(empty).count() == 0

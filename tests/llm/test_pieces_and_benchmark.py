@@ -5,7 +5,6 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
-from test_dedup import simhash
 
 import corpus_pipeline
 from millrace.llm import decontaminate, line_dedup, ngram_join, pieces, quality_rules, queries
@@ -75,6 +74,15 @@ def test_decontamination(spark, block):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(i for i, e in expected.items() if not e[4])
 
 
+def test_rows_do_not_depend_on_blocks(spark):
+    """Repeated and null ids keep a row each, with the same spans, items and longest match for one block and for several."""
+    item = brute.prose(1, 60)
+    docs = spark.createDataFrame([(1, item), (1, item), (1, "one more"), (None, brute.prose(2, 15)), (None, None), (2, item + " " + brute.prose(77, 40))], "doc_id bigint, text string")
+    items = spark.createDataFrame(ITEMS, "item_id int, text string")
+    one, many = (sorted(decontaminate.matches(docs, items, block_bytes=b).collect(), key=repr) for b in (decontaminate.BLOCK_BYTES, 100))
+    assert one == many and len(one) == 6 and sum(bool(r.hits) for r in one) == 5
+
+
 def test_longest_match_and_empty_tables(spark):
     item = brute.prose(1, 60)
     docs = spark.createDataFrame([(1, "before " + " ".join(item.split()[5:38]) + " after"), (2, "before")], "doc_id bigint, text string")
@@ -105,7 +113,7 @@ def test_queries_against_brute_force(spark):
         assert (one[i].n_words, one[i].n_removed, one[i].kept_sha256) == phrases[i]
         assert (four[i].n_words, four[i].word_chars, four[i].n_symbols, four[i].n_dup_lines, four[i].n_repeat_words, four[i].base_failed) == brute.repetition(text)
         assert (eight[i].n_words, eight[i].n_hit, eight[i].n_items, eight[i].items_sha256, eight[i].contaminated) == hits[i]
-        assert (ten[i].n_shingles, ten[i].component_id) == groups[i]
+        assert (ten[i].n_shingles, ten[i].component_id) == groups[i, text]
 
 
 def test_pipeline(spark):
@@ -116,9 +124,9 @@ def test_pipeline(spark):
     texts = {r.doc_id: r.text for r in docs.collect()}
     kept = [r.doc_id for r in quality_rules.repetition_rules(docs).where("kept").collect()]
     texts = {i: texts[i] for i in kept}
-    gone = brute.fuzzy_lines(list(texts.items()), simhash)
-    texts = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get(i, ())) for i, t in texts.items()}
-    texts = {i: texts[i] for i, (_, c) in brute.jaccard(list(texts.items())).items() if c == i}
+    gone = brute.fuzzy_lines(list(texts.items()), lambda i, t: 0)
+    texts = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get((i, t), ())) for i, t in texts.items()}
+    texts = {i: texts[i] for (i, _), (_, c) in brute.jaccard(list(texts.items())).items() if c == i}
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
     texts = {i: t for (i, t), hit in zip(list(texts.items()), brute.contaminated(list(texts.items()), items), strict=True) if not hit[4]}
     rows = corpus_pipeline.run(spark, sf_dir).collect()
