@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.linking import linked
 from millrace.llm.ngram_join import PART, SLOTS, _counters
-from millrace.llm.shared import discard, identified, written
+from millrace.llm.shared import discard, identified, light, written
 from millrace.llm.words import LETTERS, LOWER, Words, chunks, mixed
 
 PERCENT = 80
@@ -244,8 +244,8 @@ def edit_distance(x: list, y: list) -> int:
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, words) of the `wanted` (node, row, line) from documents (id, row, text)."""
-    lists = wanted.groupBy("row").agg(F.collect_list("line").alias("at"), F.collect_list("node").alias("nodes"))
-    rows = docs.dropna().join(lists, "row").select("text", "at", "nodes")
+    lists = written(wanted.groupBy("row").agg(F.collect_list("line").alias("at"), F.collect_list("node").alias("nodes")))
+    rows = docs.dropna().join(light(lists, 1 + 2 * F.size("at")), "row").select("text", "at", "nodes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -336,6 +336,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, percent: int = PERCENT) -> DataFrame:
     """Rows of `docs` without the lines that go; `length_col`, if given, is set to the characters that are left. All rows stay, other columns as they are."""
     found = _removed(identified(docs, id_col, text_col), percent).where("removed_lines is not null").select("row", "removed_lines").dropDuplicates(["row"])
+    found = light(written(found), 1 + F.size("removed_lines"))
     # the columns of the input in one struct, so that no name of theirs can clash
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("own")).withColumn("row", F.xxhash64(F.col("own")[id_col].cast("bigint"), F.col("own")[text_col]))
     text, gone = F.col("own")[text_col], F.col("removed_lines")

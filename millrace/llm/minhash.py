@@ -9,9 +9,11 @@ their half keys agree in one of the collections: they are found with a chance of
    the half keys. Equal sets are one class from here on.
 2. A half key that only one class has can't be part of a shared table key. So classes meet under their half keys first, and only those that are shared in both collections go on,
    with the half keys that are shared: 2 x HALF rows a document at most, however many others share them.
-3. Classes meet under first halves and agree in a table key if they have a second half in common. A first half that is crowded is split into its table keys, the pairs of it and
-   each second half, before classes meet (see `linking`). As an n-gram that only one of two sets has changes one parity, sets whose parities differ in too many places can't be similar enough;
-   that and the sizes rule out nearly all pairs that don't link, exactly. The rest is verified once on the n-grams of the whole texts. The connected groups are the result.
+3. Classes meet under first halves and agree in a table key if they have a second half in common. As an n-gram that only one of two sets has changes one parity, sets whose parities differ in too
+   many places can't be similar enough; with the sizes that rules out nearly all pairs that don't link, exactly. Tasks sort first halves of up to `GROUP` classes and keep a class under a half if
+   sizes and parities allow a partner there; larger ones stay whole.
+4. Pairs come from the halves that are left (see `linking`); a crowded one is split into its table keys, the pairs of it and each second half. They are verified once on the n-grams of
+   the whole texts. The connected groups are the result.
 
 Words: A-Z lower-cased, runs of anything but \\x20 and \\x09-\\x0D. A text with fewer than `n` words is one n-gram; null and empty texts have none and link with nothing. Rows are
 documents: rows that repeat an id with the same text are alike, with another text they are documents of their own. Null ids get their set size, no links and a null component, and
@@ -29,13 +31,13 @@ from pyspark.sql import functions as F
 
 from millrace.llm.linking import linked
 from millrace.llm.ngram_join import PARTS, _digest, _verifier
-from millrace.llm.shared import discard, identified, written
+from millrace.llm.shared import discard, identified, light, written
 from millrace.llm.words import LOWER, Words, chunks, grams, mixed
 
 N, PERCENT = 2, 80
 HALF, WIDTH, BITS = 14, 3, 512
-#: Pairs a node that a first half may leave to the parities.
-CROWD = 4_096
+#: Classes of a half that one task compares; pairs of them at a time; classes that all others of a half are held against first.
+GROUP, PAIRS, SOME = 16_384, 1 << 20, 64
 _SALTS = mixed(np.arange(1, 2 * HALF * WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -81,6 +83,54 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(keys, "key", "left_semi")
 
 
+def with_partner(sizes: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarray:
+    """Of the sets of one group, whether sizes and parities (a row of words for each) allow another one to be similar enough."""
+    n, found = len(sizes), np.zeros(len(sizes), bool)
+
+    def held_against(rows: np.ndarray, others: np.ndarray) -> None:
+        for a in range(0, len(rows), max(1, PAIRS // max(1, len(others)))):
+            i = rows[a : a + max(1, PAIRS // max(1, len(others)))]
+            x, y = sizes[i, None], sizes[None, others]
+            apart = np.zeros((len(i), len(others)), np.int64)
+            for k in range(bits.shape[1]):
+                apart += np.bitwise_count(bits[i, None, k] ^ bits[None, others, k])
+            fits = (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (apart * (100 + percent) <= (100 - percent) * (x + y))
+            fits &= i[:, None] != others[None, :]
+            found[i] |= fits.any(1)
+            found[others] |= fits.any(0)
+
+    every = np.arange(n)
+    held_against(every, every[:: max(1, n // SOME)])
+    held_against(np.flatnonzero(~found), every)
+    return found
+
+
+def _sifted(keyed: DataFrame, places: list[str], percent: int) -> DataFrame:
+    """Rows of (key, node, size, *places, right) that may have a partner under their key. Keys of more than `GROUP` rows stay whole, and in no one's memory."""
+    many = keyed.groupBy("key").count().where(F.col("count") > GROUP).select("key")
+    names = keyed.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if len(b)]
+        if not held:
+            return
+        rows = pa.Table.from_batches(held)
+        order = np.argsort(rows.column("key").to_numpy(), kind="stable")
+        rows = rows.take(pa.array(order))
+        key, sizes = rows.column("key").to_numpy(), rows.column("size").to_numpy()
+        bits = np.column_stack([rows.column(p).to_numpy().view(np.uint64) for p in places])
+        first = np.append(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))), len(key))
+        keep = np.zeros(len(key), bool)
+        for a, z in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            if z - a > 1:
+                keep[a:z] = with_partner(sizes[a:z], bits[a:z], percent)
+        yield from rows.filter(pa.array(keep)).to_batches(max_chunksize=10_000)
+
+    few = keyed.join(many, "key", "left_anti").select(*names)
+    partitions = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return few.repartition(partitions, "key").mapInArrow(run, keyed.schema).unionByName(keyed.join(many, "key", "left_semi").select(*names))
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """For each row of `docs`: id, n_shingles, component_id (the smallest id that links lead to, its own included), kept (whether it is that id itself)."""
     texts = identified(docs, id_col, text_col)
@@ -99,11 +149,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.array_intersect(F.slice("halves", 1, HALF), "kept").alias("left"), F.array_intersect(F.slice("halves", HALF + 1, HALF), "kept").alias("right"),
     )
     sides = written(sides.where((F.size("left") > 0) & (F.size("right") > 0)))
-    keyed = written(sides.select("node", "size", *places, "right", F.explode("left").alias("key")))
+    keyed = written(sides.select(F.explode("left").alias("key"), "node", "size", *places, "right"))
+    halved, keyed = keyed, written(_sifted(keyed, places, percent))
+    discard(halved)
 
     of_nodes = written(classes.join(keyed.select("node").distinct(), "node", "left_semi").select("node", "size", "parts", "first"))
     wanted = of_nodes.select("node", F.col("first.row").alias("row"), F.col("first.id").alias("id"))
-    candidates = written(texts.join(wanted, ["id", "row"]).groupBy("node").agg(F.first("text").alias("text")))
+    candidates = written(texts.join(light(wanted, F.lit(3)), ["id", "row"]).groupBy("node").agg(F.first("text").alias("text")))
 
     def fits(x: str, y: str):
         xs, ys = F.col(f"{x}.size"), F.col(f"{y}.size")
@@ -113,7 +165,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return near & F.arrays_overlap(F.col(f"{x}.right"), F.col(f"{y}.right"))
 
     marks = sides.select("node", F.explode("right").alias("mark"))
-    groups = linked(keyed, _verifier(candidates, of_nodes.drop("first"), n, percent), fits, ["size", *places, "right"], marks, CROWD)
+    groups = linked(keyed, _verifier(candidates, of_nodes.drop("first"), n, percent), fits, ["size", *places, "right"], marks)
     for table in (keyed, candidates, of_nodes, halves, sides):
         discard(table)
     of_classes = classes.select(same.alias("set"), "node", "first").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.linking import linked
-from millrace.llm.shared import discard, identified, written
+from millrace.llm.shared import discard, identified, light, written
 from millrace.llm.words import LOWER, Words, chunks, grams, mixed
 
 N, PERCENT = 4, 85
@@ -185,7 +185,7 @@ def _groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
     nodes = keyed.select("node").distinct()
     of_nodes = written(classes.join(nodes, "node", "left_semi").select("node", "least.id", "size", "parts"))
     wanted = of_nodes.select("id", F.col("node").alias("row"))
-    candidates = written(docs.join(wanted, ["id", "row"]).groupBy(F.col("row").alias("node")).agg(F.first("text").alias("text")))
+    candidates = written(docs.join(light(wanted, F.lit(2)), ["id", "row"]).groupBy(F.col("row").alias("node")).agg(F.first("text").alias("text")))
 
     def fits(x: str, y: str):
         xs, ys = F.col(f"{x}.size"), F.col(f"{y}.size")
@@ -210,5 +210,5 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """Rows of `docs` but for documents that link to one with a smaller id, all columns as they are; rows that repeat an id and its text go or stay together. Null ids stay."""
-    gone = _groups(identified(docs, id_col, text_col), n, percent).where("component_id < id").select(F.col("row").alias("_row")).distinct()
-    return docs.join(gone, F.xxhash64(docs[id_col].cast("bigint"), docs[text_col]) == gone["_row"], "left_anti")
+    gone = written(_groups(identified(docs, id_col, text_col), n, percent).where("component_id < id").select(F.col("row").alias("_row")).distinct())
+    return docs.join(light(gone, F.lit(1)), F.xxhash64(docs[id_col].cast("bigint"), docs[text_col]) == gone["_row"], "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN = "_millrace_shared_folder"
@@ -43,6 +43,15 @@ def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).select("id", F.xxhash64("id", "text").alias("row"), "text")
 
 
+#: Cells that a table may have to be sent to every task whole: some megabytes.
+SMALL = 500_000
+
+
+def light(df: DataFrame, cells: Column) -> DataFrame:
+    """The table, marked for broadcast if its rows have no more than `SMALL` cells together; beyond that it is joined by a shuffle. Counted, so give it a written table."""
+    return F.broadcast(df) if (df.agg(F.sum(cells)).first()[0] or 0) <= SMALL else df
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table that `written` made, once nothing reads it any more."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:

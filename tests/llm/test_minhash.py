@@ -6,7 +6,7 @@ import brute
 import numpy as np
 import pytest
 
-from millrace.llm import minhash
+from millrace.llm import linking, minhash
 from millrace.llm.words import mixed
 
 
@@ -47,10 +47,11 @@ def test_ids_with_two_texts(spark):
     check(spark, [(1, base), (2, brute.edited(base, 1, 1)), (2, other), (3, other), (None, base), (None, None), (4, "one"), (5, "One"), (6, ""), (2, other)])
 
 
-@pytest.mark.parametrize("crowd", [0, minhash.CROWD])
-def test_crowded_keys(spark, monkeypatch, crowd):
+@pytest.mark.parametrize("crowd, group", [(0, 3), (linking.CROWD, minhash.GROUP)])
+def test_crowded_keys(spark, monkeypatch, crowd, group):
     """Groups of copies that share a good part of their words but don't link."""
-    monkeypatch.setattr(minhash, "CROWD", crowd)
+    monkeypatch.setattr(linking, "CROWD", crowd)
+    monkeypatch.setattr(minhash, "GROUP", group)
     shared = brute.prose(3, 120)
     docs = [(10 * k + i, shared + " " + brute.edited(brute.prose(50 + k, 60), i, 1)) for k in range(12) for i in range(4)]
     check(spark, docs)
@@ -71,6 +72,15 @@ def test_pairs_at_the_limit_are_found():
     assert abs(tables / 400 - (minhash.HALF * 0.8**minhash.WIDTH) ** 2) < 3
 
 
+def test_partners_under_a_half(monkeypatch):
+    r = np.random.default_rng(5)
+    monkeypatch.setattr(minhash, "PAIRS", 40)
+    monkeypatch.setattr(minhash, "SOME", 3)
+    sizes, bits = r.integers(8, 12, 50), r.integers(0, 8, (50, 2)).astype(np.uint64)
+    fits = lambda i, j: 100 * min(sizes[i], sizes[j]) >= 80 * max(sizes[i], sizes[j]) and 180 * sum(int(x ^ y).bit_count() for x, y in zip(bits[i].tolist(), bits[j].tolist(), strict=True)) <= 20 * (sizes[i] + sizes[j])
+    assert minhash.with_partner(sizes, bits, 80).tolist() == [any(fits(i, j) for j in range(50) if j != i) for i in range(50)]
+
+
 def test_half_keys_do_not_look_at_repeats():
     x = mixed(np.arange(50, dtype=np.uint64))
     again = np.concatenate((x, x[random.Random(1).choices(range(50), k=30)]))
