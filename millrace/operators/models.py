@@ -13,6 +13,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, Rando
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.pruning import require_split_size
 from millrace.operators.splits import balanced_weights, weight_column
 from millrace.spec import Spec
 
@@ -104,13 +105,11 @@ def feature_subset(value: Any, task: str) -> str:
 
 
 def tree_size(p: Mapping[str, Any]) -> dict[str, int]:
-    """Depth and leaf size. A minimum split size has no counterpart in Spark: half of it is
-    required of both children, which is slightly stricter."""
+    """Depth and leaf size; a least size of nodes that are split is seen to afterwards (see ``pruning``)."""
     if p["max_depth"] is not None and int(p["max_depth"]) > MAX_DEPTH:
         raise ValueError(f"max_depth {p['max_depth']} is deeper than the {MAX_DEPTH} levels that Spark grows")
     depth = MAX_DEPTH if p["max_depth"] is None else int(p["max_depth"])
-    leaf = max(int(p["min_samples_leaf"]), math.ceil(p["min_samples_split"] / 2))
-    return {"maxDepth": depth, "minInstancesPerNode": leaf}
+    return {"maxDepth": depth, "minInstancesPerNode": int(p["min_samples_leaf"])}
 
 
 def estimator(kind: str, params: Mapping[str, Any], task: str, stats: LabelStats, seed: int, width: int = 0,
@@ -163,7 +162,11 @@ def fit_model(
     """Fit one model on columns features and label; ``width`` of the vectors is looked up if not given."""
     stats = stats or label_stats(df, spec.task)
     width = vector_width(df) if width is None else width
-    return estimator(kind, params, spec.task, stats, spec.seed, width, spec.max_bins, spec.tree_memory_mb).fit(add_weights(df, params, stats))
+    model = estimator(kind, params, spec.task, stats, spec.seed, width, spec.max_bins, spec.tree_memory_mb).fit(add_weights(df, params, stats))
+    p = _resolve(kind, params, spec.task)
+    if "min_samples_split" in p:
+        return require_split_size(model, int(p["min_samples_split"]), int(p["min_samples_leaf"]), df.sparkSession)
+    return model
 
 
 def vector_width(df: DataFrame, vector: str = "features") -> int:

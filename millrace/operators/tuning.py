@@ -40,7 +40,7 @@ class Candidate:
         """Equal for candidates that Spark would fit identically."""
         p = _resolve(self.kind, self.params, task)
         if "max_depth" in p:
-            p.update(tree_size(p))
+            p.update(tree_size(p), split=max(int(p["min_samples_split"]), 2 * int(p["min_samples_leaf"])))
             for name in ("max_depth", "min_samples_split", "min_samples_leaf"):
                 del p[name]
         if "max_features" in p:

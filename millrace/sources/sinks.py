@@ -45,6 +45,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more, wherever it is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def write_csv(df: DataFrame, path: str, separator: str = ",") -> None:
     """Write as CSV with a header; maps, arrays and structs become JSON text."""
     flat = df

@@ -40,7 +40,7 @@ def test_equal_fits_share_a_fingerprint():
         return Candidate("c", "random_forest", p).fingerprint("classification")
 
     assert mark(max_depth=None) == mark(max_depth=30) != mark(max_depth=29)
-    assert mark(min_samples_split=4) == mark(min_samples_leaf=2) != mark()
+    assert mark(min_samples_split=4, min_samples_leaf=2) == mark(min_samples_leaf=2) != mark(min_samples_split=4) != mark()
     assert mark(max_features="sqrt") == mark()
 
 
