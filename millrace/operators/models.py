@@ -13,6 +13,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, Rando
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.preprocess import vector_width
 from millrace.operators.pruning import require_split_size
 from millrace.operators.splits import balanced_weights, weight_column
 from millrace.spec import Spec
@@ -169,15 +170,6 @@ def fit_model(
     return model
 
 
-def vector_width(df: DataFrame, vector: str = "features") -> int:
-    """From the column's metadata, else from one row."""
-    known = df.schema[vector].metadata.get("ml_attr", {}).get("num_attrs")
-    if known is not None:
-        return int(known)
-    row = df.select(vector).first()
-    return row[0].size if row else 0
-
-
 def importances(model: Model, names: list[str], top: int | None = None) -> list[tuple[str, float]]:
     """(feature, importance), largest first, for models that have them."""
     if not hasattr(model, "featureImportances"):

@@ -25,13 +25,16 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param.shared import Param, Params, TypeConverters
+from pyspark.mllib.linalg import Vectors as OldVectors
+from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import FLOATS, col, number, numeric_columns, quoted
-from millrace.operators.quantiles import exact_quantiles
+from millrace.operators.quantiles import exact_quantiles, quantiles_without_fold
 
 NUMERIC_STRATEGIES = ("median", "mean", "most_frequent", "constant")
 CATEGORICAL_STRATEGIES = ("most_frequent", "constant")
@@ -160,8 +163,8 @@ def learn_numeric_by_fold(
 ) -> dict[int, list[NumericFit]]:
     """``learn_numeric`` on "all folds but f" for every f, in the passes that one fit takes.
 
-    Moments are grouped by fold and merged. For the fills each fold contributes a copy of
-    the columns that is null on its own rows.
+    Moments are grouped by fold and merged. Medians come from counts by value and fold, shared by all folds; for the most frequent
+    values each fold contributes a copy of the columns that is null on its own rows.
     """
     _check_numeric(strategy, scaling)
     if not columns:
@@ -172,8 +175,13 @@ def learn_numeric_by_fold(
         a: reduce(Moments.merge, [Moments.of(r, columns.index(c)) for r in rows if r["fold"] != f])
         for (f, c), a in names.items()
     }
-    wide = df.select(*[F.when(F.col("fold") != f, number(df, c)).alias(a) for (f, c), a in names.items()])
-    fills = _fills(wide, moments, strategy, 0.0)
+    if strategy == "median":
+        of_fold = {c: {r["fold"]: r[f"n{i}"] for r in rows} for i, c in enumerate(columns)}
+        distinct = {c: min(sum(r[f"n{i}"] for r in rows), sum(r[f"d{i}"] for r in rows)) for i, c in enumerate(columns)}
+        fills = {names[a]: v for a, v in quantiles_without_fold(df, columns, 0.5, of_fold, distinct).items() if a in names}
+    else:
+        wide = df.select(*[F.when(F.col("fold") != f, number(df, c)).alias(a) for (f, c), a in names.items()])
+        fills = _fills(wide, moments, strategy, 0.0)
     return {f: [_numeric_fit(c, moments[names[f, c]], fills.get(names[f, c]), scaling) for c in columns] for f in folds}
 
 
@@ -251,9 +259,9 @@ def learn_by_fold(df: DataFrame, spec, folds: Sequence[int]) -> dict[int, tuple[
     return out
 
 
-def fit_by_fold(df: DataFrame, spec, learned: dict[int, tuple[list[NumericFit], dict]]) -> dict[int, PipelineModel]:
-    """One encoder per held-out fold; only a reduction, which needs the encoded rows, is fitted fold by fold."""
-    estimator = preprocessor(spec)
+def fit_by_fold(df: DataFrame, spec, folds: Sequence[int], learned: dict[int, tuple[list[NumericFit], dict]] | None = None) -> dict[int, PipelineModel]:
+    """One encoder per held-out fold, from what ``learn_by_fold`` gives; only a reduction, which needs the encoded rows, is fitted fold by fold."""
+    estimator, learned = preprocessor(spec), learned or learn_by_fold(df, spec, folds)
     return {f: estimator.assemble(df.where(F.col("fold") != f), fits, cats) for f, (fits, cats) in learned.items()}
 
 
@@ -433,16 +441,25 @@ def fit_pca(df: DataFrame, vector: str, out: str, keep: float) -> list[Transform
 def fit_svd(df: DataFrame, vector: str, out: str, k: int) -> list[Transformer]:
     """Truncated SVD without centring.
 
-    The rows together with their negatives have mean zero, and their covariance has the
-    right singular vectors of the rows as eigenvectors; Spark's PCA transform does not
-    centre, so the fitted PCA model is the projection on those vectors.
+    The right singular vectors come from Spark's distributed matrix over the rows as they are, sparse ones stay sparse. A fitted PCA model is the projection on them: it is fitted on
+    the vectors themselves, each with its negative and as long as its singular value, whose mean is zero and whose principal components they are; Spark's PCA transform does not centre.
     """
-    x = vector_to_array(vector)
-    width = df.select(F.size(x).alias("d")).first()["d"]
-    both = df.select(F.explode(F.array(x, F.transform(x, lambda v: -v))).alias("x"))
-    mirrored = both.select(array_to_vector("x").alias(vector))
-    model = PCA(k=min(k, width), inputCol=vector, outputCol=out).fit(mirrored)
-    return [model]
+    rows = RowMatrix(df.select(vector).rdd.map(lambda r: OldVectors.fromML(r[0])))
+    svd = rows.computeSVD(min(k, vector_width(df, vector)), computeU=False)
+    values, vectors = svd.s.toArray(), svd.V.toArray()
+    scaled = vectors * (values / values[0])
+    both = [(Vectors.dense(sign * scaled[:, i]),) for i in range(len(values)) for sign in (1.0, -1.0)]
+    local = df.sparkSession.createDataFrame(both, [vector])
+    return [PCA(k=len(values), inputCol=vector, outputCol=out).fit(local)]
+
+
+def vector_width(df: DataFrame, vector: str = "features") -> int:
+    """From the column's metadata, else from one row."""
+    known = df.schema[vector].metadata.get("ml_attr", {}).get("num_attrs")
+    if known is not None:
+        return int(known)
+    row = df.select(vector).first()
+    return row[0].size if row else 0
 
 
 def reduction_info(model: PipelineModel, df: DataFrame, vector: str = "features") -> DataFrame | None:

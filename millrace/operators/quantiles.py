@@ -210,3 +210,103 @@ def _order_statistics(values: DataFrame, targets: list[_Target]) -> dict[tuple[s
         a, _, _, below = brackets[row["bracket"]]
         out[a, row["rank"] + below] = row["value"]
     return out
+
+
+# --- leaving out one fold at a time ------------------------------------------------------------
+
+
+def _fold_brackets(values: DataFrame, columns: Sequence[str], prob: float, counts: Mapping[str, Mapping[int, int]]) -> dict[str, tuple[float, float, dict[int, int]] | None]:
+    """For each column a bracket that holds the wanted ranks of every "all folds but f" and few distinct values, with the rows below it by fold; None where none was found."""
+    out: dict[str, tuple[float, float, dict[int, int]] | None] = {}
+    left, slack = list(columns), 8.0 / SKETCH_ACCURACY
+    for _ in range(SKETCH_ROUNDS):
+        if not left:
+            break
+        row = values.agg(*[F.percentile_approx(c, [max(prob - slack, 0.0), min(prob + slack, 1.0)], SKETCH_ACCURACY) for c in left]).first()
+        bounds = dict(zip(left, row))
+        checks = []
+        for i, c in enumerate(left):
+            x, lo, hi = F.col(c), F.lit(bounds[c][0]), F.lit(bounds[c][1])
+            checks += [F.count_if(x < lo).alias(f"below{i}"), F.count_if((x >= lo) & (x <= hi)).alias(f"inside{i}"),
+                       F.approx_count_distinct(F.when((x >= lo) & (x <= hi), x)).alias(f"distinct{i}")]
+        rows = values.groupBy("fold").agg(*checks).collect()
+        still = []
+        for i, c in enumerate(left):
+            below, inside = ({r["fold"]: r[f"{k}{i}"] for r in rows} for k in ("below", "inside"))
+            ok = all(_ranks_inside(counts[c], below, inside, prob, f) for f in counts[c])
+            if ok and sum(r[f"distinct{i}"] for r in rows) <= 2 * DISTINCT_LIMIT:
+                out[c] = (*bounds[c], below)
+            elif not ok:
+                still.append(c)
+        left, slack = still, slack * 4
+    return {c: out.get(c) for c in columns}
+
+
+def _others(by_fold: Mapping[int, int], fold: int) -> int:
+    return sum(n for f, n in by_fold.items() if f != fold)
+
+
+def _ranks_inside(n: Mapping[int, int], below: Mapping[int, int], inside: Mapping[int, int], prob: float, fold: int) -> bool:
+    rest = _others(n, fold)
+    first, last = _Target("", prob, rest).ranks
+    return rest == 0 or (_others(below, fold) <= first and last < _others(below, fold) + _others(inside, fold))
+
+
+def quantiles_without_fold(
+    df: DataFrame, columns: Sequence[str], prob: float, counts: Mapping[str, Mapping[int, int]], distinct: Mapping[str, int]
+) -> dict[tuple[int, str], float | None]:
+    """The interpolated quantile of every column over "all folds but f", for every f.
+
+    ``df`` has a column fold; ``counts`` are the non-null rows of each column by fold, ``distinct`` estimates of its distinct values. Values are counted once for all
+    folds, as (column, value, fold), and only inside a bracket that serves them all; what belongs to "all but f" follows by subtraction.
+    """
+    alias = {c: f"c{i}" for i, c in enumerate(columns)}
+    values = df.select("fold", *[number(df, c).alias(a) for c, a in alias.items()])
+    wide = [c for c in columns if distinct[c] > DISTINCT_LIMIT]
+    brackets = _fold_brackets(values, [alias[c] for c in wide], prob, {alias[c]: counts[c] for c in wide}) if wide else {}
+    out: dict[tuple[int, str], float | None] = {}
+    folds = sorted({f for by_fold in counts.values() for f in by_fold})
+    for c in wide:
+        if brackets[alias[c]] is None:  # no bracket of few values serves all folds: a search for each
+            copies = df.select(*[F.when(F.col("fold") != f, number(df, c)).alias(str(f)) for f in folds])
+            found = exact_quantiles(copies, [str(f) for f in folds], [prob], known={str(f): (_others(counts[c], f), distinct[c]) for f in folds})
+            out.update({(f, c): found[str(f)][0] for f in folds})
+    shared = [c for c in columns if (folds[0] if folds else None, c) not in out]
+    entries, below = [], {}
+    for c in shared:
+        low, high, under = brackets.get(alias[c]) or (None, None, {})
+        x = F.col(alias[c])
+        below[c] = under
+        entries.append(x if low is None else F.when((x >= F.lit(low)) & (x <= F.lit(high)), x))
+    if not shared:
+        return out
+    counted = (
+        values.select("fold", F.posexplode(F.array(*entries)).alias("place", "value")).where(F.col("value").isNotNull())
+        .groupBy("place", "value").agg(*[F.count_if(F.col("fold") == f).alias(f"n{f}") for f in folds])
+    )
+    # a few times DISTINCT_LIMIT rows a column at most
+    running = Window.partitionBy("place").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    total = counted.select("place", "value", *[f"n{f}" for f in folds], *[F.sum(f"n{f}").over(running).alias(f"u{f}") for f in folds])
+    wanted, hits = [], []
+    for i, c in enumerate(shared):
+        for f in folds:
+            rest = _others(counts[c], f)
+            out[f, c] = None
+            if rest:
+                for rank in set(_Target(c, prob, rest).ranks):
+                    wanted.append((c, f, rank))
+                    own = F.lit(0)
+                    upto = F.lit(_others(below[c], f))
+                    for g in folds:
+                        if g != f:
+                            own, upto = own + F.col(f"n{g}"), upto + F.col(f"u{g}")
+                    hits.append(F.when((F.col("place") == i) & (upto > rank) & (upto - own <= rank), F.struct(F.lit(len(wanted) - 1).alias("k"), F.col("value"))))
+    rows = total.select(F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("h")).select("h.k", "h.value").collect() if hits else []
+    found = {wanted[r["k"]]: r["value"] for r in rows}
+    for c in shared:
+        for f in folds:
+            if rest := _others(counts[c], f):
+                t = _Target(c, prob, rest)
+                lo, hi = (found[c, f, r] for r in t.ranks)
+                out[f, c] = lo + (hi - lo) * (t.position - t.ranks[0])
+    return out

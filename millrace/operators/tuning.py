@@ -105,7 +105,7 @@ def cross_validate(
         ridges = {mark: p for mark, c in unique.items() if c.kind == "ridge" and gram.fits(spec, p := _resolve(c.kind, c.params, spec.task), learned)}
         results = gram.ridge_scores(base, learned, ridges, {m: REGRESSION[m] for m in metrics}) if ridges else {}
         others = {mark: c for mark, c in unique.items() if mark not in ridges}
-        encoders = fit_by_fold(base, spec, learned) if others else {}
+        encoders = fit_by_fold(base, spec, sorted(sizes), learned) if others else {}
 
         outer = max(1, min(len(others), spec.parallelism))
         inner = max(1, spec.parallelism // outer)
