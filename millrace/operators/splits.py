@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.columns import col, quoted
 from millrace.operators.ordering import membership
+from millrace.sources.sinks import scratch_path
 from millrace.spec import Spec
 
 
@@ -129,14 +130,33 @@ def class_codes(df: DataFrame, target: str) -> list:
     return sorted(r["value"] for r in values.collect())
 
 
-def encode_label(df: DataFrame, target: str, classes: Sequence, out: str = "label") -> DataFrame:
+def code_table(df: DataFrame, target: str) -> DataFrame:
+    """(value, code): every class with its place in the order of classes, from 0, numbered in Spark however many classes there are.
+
+    Distinct values are sorted into ranges and written; a range's first code is the number of values in the ranges before it, and inside a range they are counted. The
+    driver sees the sizes of the ranges."""
+    path = scratch_path(df.sparkSession, "classes")
+    values = df.where(col(target).isNotNull()).select(col(target).alias("value")).distinct()
+    values.repartitionByRange("value").withColumn("range", F.spark_partition_id()).write.parquet(path)
+    ranges = df.sparkSession.read.parquet(path)
+    sizes = sorted((r["range"], r["n"]) for r in ranges.groupBy("range").agg(F.count(F.lit(1)).alias("n")).collect())
+    starts = [(k, sum(n for _, n in sizes[:i])) for i, (k, _) in enumerate(sizes)]
+    first = df.sparkSession.createDataFrame(starts, "range int, start bigint")
+    place = F.row_number().over(Window.partitionBy("range").orderBy("value")) - 1
+    return ranges.withColumn("place", place).join(F.broadcast(first), "range").select("value", (F.col("start") + F.col("place")).cast("double").alias("code"))
+
+
+def encode_label(df: DataFrame, target: str, classes: Sequence | DataFrame, out: str = "label") -> DataFrame:
     """Replace classes by codes; a class that was not learned, or none, is an error.
 
-    The codes are a table joined on the typed value, however many classes there are."""
+    ``classes``: in the order of their codes, or a table of ``code_table``, which is joined on the typed value, however many classes there are."""
     unseen = F.raise_error(F.concat(F.lit(f"unseen or null class in {target}: "),
                                     F.coalesce(col(target).cast("string"), F.lit("null")))).cast("double")
-    schema = T.StructType([T.StructField("_value", df.schema[target].dataType), T.StructField("_code", T.DoubleType())])
-    codes = df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(classes)], schema)
+    if isinstance(classes, DataFrame):
+        codes = classes.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+    else:
+        schema = T.StructType([T.StructField("_value", df.schema[target].dataType), T.StructField("_code", T.DoubleType())])
+        codes = df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(classes)], schema)
     joined = df.join(codes, col(target) == F.col("_value"), "left")
     return joined.withColumn(out, F.coalesce("_code", unseen)).drop("_value", "_code")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -203,7 +204,7 @@ def stratified_kfold(spark, sf_dir):
 @query
 def label_encode(spark, sf_dir):
     df = fx.table(spark, sf_dir, "events").select("event_id", "event_type")
-    coded = splits.encode_label(df, "event_type", splits.class_codes(df, "event_type"))
+    coded = splits.encode_label(df, "event_type", splits.code_table(df, "event_type"))
     return coded.withColumn("label", F.col("label").cast("int"))
 
 
@@ -761,7 +762,10 @@ def select_best_k(spark, sf_dir):
 
 @query
 def elbow_k(spark, sf_dir):
-    return tidy(clusters.elbow_table(_part_k_table(spark, sf_dir)))
+    df, inertias = fx.part_assigned(spark, sf_dir), []
+    for k in fx.PART_CLUSTERS:  # nothing but the inertia is needed
+        inertias.append(clusters.spread_metrics(clusters.moments(df, ["f0", "f1"], f"c{k}"), 2).select(F.lit(k).alias("k"), "inertia"))
+    return tidy(clusters.elbow_table(reduce(DataFrame.unionAll, inertias)))
 
 
 @query

@@ -160,3 +160,31 @@ def test_models_do_not_overwrite_each_other(spark, tmp_path):
     assert first != second and sinks.load_model(first).stages and sinks.load_model(second).stages
     with pytest.raises(Exception, match="exists"):
         sinks.save_model(model, str(tmp_path), "m", first.rsplit("m_", 1)[1])
+
+
+def test_files_are_split_unless_a_quoted_cell_breaks(spark, tmp_path):
+    plain, broken = (tmp_path / n for n in ("plain", "broken"))
+    plain.mkdir()
+    broken.mkdir()
+    rows = "".join(f'{i},"say ""{i}"""\n' for i in range(40_000))
+    (plain / "x.csv").write_text("a,b\n" + rows)
+    (broken / "x.csv").write_text("a,b\n" + rows + '7,"one\ntwo"\n')
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        one, two = (readers.read_delimited(spark, str(p), schema="a int, b string") for p in (plain, broken))
+        assert one.rdd.getNumPartitions() > 4 and two.rdd.getNumPartitions() == 1
+        assert one.count() == 40_000 and two.count() == 40_001
+        assert two.where("b = 'one\ntwo'").count() == 1 and one.where("b = 'say \"7\"'").first()["a"] == 7
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+
+
+def test_files_are_hashed_by_piece(spark, tmp_path):
+    import hashlib
+
+    contents = {"one file": b"x" * 3_000_001, "b%20c": b"y", "d": bytes(range(256)) * 50}
+    for name, body in contents.items():
+        (tmp_path / name).write_bytes(body)
+    rows = readers.file_hashes(spark, str(tmp_path)).collect()
+    assert sorted((r["length"], r["sha256"]) for r in rows) == sorted((len(b), hashlib.sha256(b).hexdigest()) for b in contents.values())

@@ -194,6 +194,22 @@ def test_codes_do_not_depend_on_the_number_of_classes(spark, n):
     assert len(classes) == n and got.agg(F.countDistinct("label"), F.max("label")).first()[:] == (n, n - 1.0)
 
 
+@pytest.mark.parametrize("n, target", [(0, "y bigint"), (3, "y string"), (200_000, "y bigint")])
+def test_classes_are_numbered_in_spark(spark, monkeypatch, n, target):
+    """The same codes as from the sorted list, without a list; nulls have none."""
+    kind = target.split()[1]
+    df = spark.range(n).union(spark.range(n // 2)).select((F.col("id") * 7919 % 1_000_003 - 500_000).cast(kind).alias("y"))
+    codes = splits.code_table(df.union(spark.createDataFrame([(None,)], target)), "y")
+    got = splits.encode_label(df, "y", codes)
+    assert got.count() == n + n // 2 and codes.count() == n
+    values = [r["y"] for r in df.distinct().collect()]
+    expected = {v: float(i) for i, v in enumerate(sorted(values))}
+    assert {r["y"]: r["label"] for r in got.distinct().collect()} == expected
+    if n:
+        with pytest.raises(Exception, match="unseen or null class"):
+            splits.encode_label(spark.createDataFrame([(None,)], target), "y", codes).collect()
+
+
 def test_rows_that_spell_alike_keep_exact_sizes(spark):
     """Null beside empty text, and separators inside cells, without a key."""
     halves = spark.createDataFrame([(None,)] * 500 + [("",)] * 500, "x string")
