@@ -120,13 +120,13 @@ def _sql_canonical(text: str, whole: bool) -> str:
     return text
 
 
-def _sql_known(texts: dict[str, str], whole: bool) -> str:
-    rows = ", ".join(f"({_sql_text(k)}, {_sql_text(v)})" for k, v in sorted(texts.items()))
+def _sql_known(texts: list[tuple[str, str]], whole: bool) -> str:
+    rows = ", ".join(f"({_sql_text(k)}, {_sql_text(v)})" for k, v in sorted(texts))
     return f"select known, min(name) as name from (select name, sha256({_sql_canonical('t', whole)}) as known from (values {rows}) v(name, t)) group by known"
 
 
 SQL["op3_licence_scan"] = f"""
-with licence as ({_sql_known(licences.TEXTS, True)}), notice as ({_sql_known(licences.NOTICES, False)}),
+with licence as ({_sql_known(licences.whole_texts(), True)}), notice as ({_sql_known(list(licences.NOTICES.items()), False)}),
 doc as (select doc_id, nullif({_sql_canonical("text", True)}, '') as c from documents),
 line as (select doc_id, {_sql_canonical("unnest(string_split(text, chr(10)))", False)} as c from documents),
 marked as (select doc_id, string_agg(distinct name, ',' order by name) as notices, count(*) as n from line join notice on known = sha256(c) where c <> '' group by doc_id)

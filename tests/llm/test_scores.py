@@ -151,6 +151,15 @@ def test_licences_as_published(spark):
     assert sorted(con.execute(queries.SQL["op3_licence_scan"]).fetchall()) == sorted(map(tuple, found))
 
 
+def test_licences_with_titles(spark):
+    """Files that begin with a licence's name, in the usual wrapping and with a copyright line after it."""
+    texts = [(name, f"{title}\n\nCopyright (c) 2021 Some One\n\n" + "\n".join(textwrap.wrap(licences.TEXTS[name], 70))) for name, titles in licences.TITLES.items() for title in titles]
+    texts += [(None, "MIT License"), (None, "Some License\n" + licences.TEXTS["MIT"]), ("MIT", "The MIT License (MIT)\n" + licences.TEXTS["MIT"])]
+    found = licences.scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id bigint, text string")).collect()
+    assert [r.license for r in sorted(found, key=lambda r: r.doc_id)] == [name for name, _ in texts]
+    assert len(licences.TEXTS) >= 12
+
+
 def test_licence_scan_runs_no_python(spark):
     plan = licences.scan(queries.table(spark, "/root/testdata/sf0.001", "documents"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
