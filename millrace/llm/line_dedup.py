@@ -8,7 +8,7 @@ that are intact in most pairs are too short to tell lines apart (measured recall
 1. One pass gives every line a 128-bit hash of its word sequence and counts words in a table of counters. Lines with equal hashes are one node.
 2. Linked lines of a and b words have all but a fifth of the longer one's words in common, so they share one of their first a / 5 + 1 (b / 5 + 1) words in a common order, rare words
    first. Only these are keys. They are shuffled in packed columns, dealt to buckets by hash, with the line's length and the parities of its words (of how many
-   fall on each of 64 places). A task sorts its buckets and keeps a line under a key if another one is there whose length and parities allow so few edits (an edit changes two
+   fall on each of 128 places). A task sorts its buckets and keeps a line under a key if another one is there whose length and parities allow so few edits (an edit changes two
    parities at most). Keys with more than `CROWD` lines are kept as they are.
 3. For the nodes that are left words are fetched, pairs made (see `linking`; a crowded key is split by the other first words) and verified by their edit distance.
 4. Of every connected group the occurrence with the smallest (id, line) stays, the others go.
@@ -20,7 +20,7 @@ their own, in the order of a hash of their texts. Nodes are named by half of the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -113,7 +113,7 @@ def _first_words(hashes: np.ndarray, a: np.ndarray, z: np.ndarray, take: np.ndar
 
 
 def _packed(docs: DataFrame, shared, buckets: int, percent: int) -> DataFrame:
-    """(bucket, keys, nodes, sizes, parities): packed columns of the first words of lines. A line that comes again in the same chunk has no more rows."""
+    """(bucket, keys, nodes, sizes, p1, p2): packed columns of the first words of lines. A line that comes again in the same chunk has no more rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, held, rows = shared.value, [], 0
@@ -125,13 +125,16 @@ def _packed(docs: DataFrame, shared, buckets: int, percent: int) -> DataFrame:
                     continue
                 hashes = w.hashes()
                 node = _ones(hashes, a, z, H1)
-                parity = np.bitwise_xor.reduceat(np.uint64(1) << ((hashes >> np.uint64(41)) & np.uint64(63)), a)
+                # a word falls on one of 128 places: the first 64 or the others
+                upper, bit = (hashes >> np.uint64(40)) & np.uint64(1), np.uint64(1) << ((hashes >> np.uint64(41)) & np.uint64(63))
+                parities = [np.bitwise_xor.reduceat(np.where(upper == k, bit, np.uint64(0)), a) for k in (0, 1)]
                 sizes, which = np.unique(z - a, return_inverse=True)
                 take = np.array([_taken(int(n), percent) for n in sizes], np.int64)[which]
                 usable = np.flatnonzero(np.isin(row + x, known) & (take > 0))
                 once = usable[np.unique(node[usable], return_index=True)[1]]
                 line, key = _first_words(hashes, a[once], z[once], take[once], table)
-                held.append((key, node[once][line], (z - a)[once][line].astype(np.uint32), parity[once][line]))
+                # lines of 65,535 words and more count as that long, which only lets more of them through
+                held.append((key, node[once][line], np.minimum((z - a)[once][line], 65_535).astype(np.uint16), *(p[once][line] for p in parities)))
                 rows += len(key)
                 if rows >= PACK:
                     yield pack(held)
@@ -148,34 +151,35 @@ def _packed(docs: DataFrame, shared, buckets: int, percent: int) -> DataFrame:
         # the upper half of a key will do inside a bucket: two that agree by chance are told apart when their lines are compared
         columns = [(key >> np.uint64(32)).astype(np.uint32), *columns]
         blobs = [pa.array([c[a:z].tobytes() for a, z in zip(cuts, cuts[1:], strict=False)], pa.binary()) for c in (v[order] for v in columns)]
-        return pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), *blobs], ["bucket", "keys", "nodes", "sizes", "parities"])
+        return pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), *blobs], ["bucket", "keys", "nodes", "sizes", "p1", "p2"])
 
-    return docs.mapInArrow(run, "bucket int, keys binary, nodes binary, sizes binary, parities binary")
+    return docs.mapInArrow(run, "bucket int, keys binary, nodes binary, sizes binary, p1 binary, p2 binary")
 
 
-_KINDS = (np.uint32, np.int64, np.uint32, np.uint64)
+_KINDS = (np.uint32, np.int64, np.uint16, np.uint64, np.uint64)
 
 
-def with_partner(sizes: np.ndarray, parities: np.ndarray, percent: int) -> np.ndarray:
+def with_partner(sizes: np.ndarray, parities: Sequence[np.ndarray], percent: int) -> np.ndarray:
     """For rows of lines that share a key, whether lengths and parities of another one of the row allow few enough edits."""
     x, y = sizes[:, :, None].astype(np.int64), sizes[:, None, :].astype(np.int64)
     apart = np.abs(x - y)
     edits = _edits(np.maximum(x, y), percent)
-    fits = (apart <= edits) & (np.bitwise_count(parities[:, :, None] ^ parities[:, None, :]) <= 2 * edits - apart)
+    changed = sum(np.bitwise_count(p[:, :, None] ^ p[:, None, :]).astype(np.int64) for p in parities)
+    fits = (apart <= edits) & (changed <= 2 * edits - apart)
     fits[:, np.arange(sizes.shape[1]), np.arange(sizes.shape[1])] = False
     return fits.any(2)
 
 
 def _close(packed: DataFrame, percent: int) -> DataFrame:
-    """(key, node, size, parity) of lines that may link to another one under the key."""
+    """(key, node, size, p1, p2) of lines that may link to another one under the key."""
 
-    def sifted(key: np.ndarray, node: np.ndarray, size: np.ndarray, parity: np.ndarray) -> tuple[np.ndarray, ...]:
+    def sifted(key: np.ndarray, node: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
         """In the order of keys, each node of a key once."""
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))[: len(key)]
         order = order[new]
-        return key[new], node[new], size[order], parity[order]
+        return key[new], node[new], *(c[order] for c in columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -191,7 +195,7 @@ def _close(packed: DataFrame, percent: int) -> DataFrame:
                 limit = max(limit, 2 * rows)
         if not held:
             return
-        key, node, size, parity = sifted(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        key, node, size, *parities = sifted(*(np.concatenate(c) for c in zip(*held, strict=True)))
         held.clear()
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         number = np.diff(np.append(first, len(key)))
@@ -201,13 +205,13 @@ def _close(packed: DataFrame, percent: int) -> DataFrame:
             step = max(1, PACK // (n * n))
             for k in range(0, len(begins), step):
                 at = begins[k : k + step, None] + np.arange(n)
-                keep[at] = with_partner(size[at], parity[at], percent)
+                keep[at] = with_partner(size[at], [p[at] for p in parities], percent)
         kept = np.flatnonzero(keep)
         for a in range(0, len(kept), 10_000):
             i = kept[a : a + 10_000]
-            yield pa.RecordBatch.from_arrays([pa.array(key[i].view(np.int64)), pa.array(node[i]), pa.array(size[i].astype(np.int64)), pa.array(parity[i].view(np.int64))], ["key", "node", "size", "parity"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[i].view(np.int64)), pa.array(node[i]), pa.array(size[i].astype(np.int64)), *(pa.array(p[i].view(np.int64)) for p in parities)], ["key", "node", "size", "p1", "p2"])
 
-    return packed.mapInArrow(run, "key bigint, node bigint, size bigint, parity bigint")
+    return packed.mapInArrow(run, "key bigint, node bigint, size bigint, p1 bigint, p2 bigint")
 
 
 def _fits(percent: int):
@@ -217,7 +221,7 @@ def _fits(percent: int):
         xs, ys = F.col(f"{x}.size"), F.col(f"{y}.size")
         apart = F.abs(xs - ys)
         edits = F.floor(F.greatest(xs, ys) * (100 - percent) / 100)
-        changed = F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
+        changed = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in ("p1", "p2")), F.lit(0))
         return (apart <= edits) & (changed <= 2 * edits - apart)
 
     return fits
@@ -310,7 +314,7 @@ def _removed(docs: DataFrame, percent: int) -> DataFrame:
     kinds = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(nodes, "h1", "left")
     kinds = written(kinds.where("n > 1 or close"))
     texts = written(_texts(docs, kinds.where("close").select(F.col("h1").alias("node"), "first.row", "first.line")))
-    groups = linked(close, _verifier(texts, percent), _fits(percent), ["size", "parity"], _marks(texts, shared, buckets, percent))
+    groups = linked(close, _verifier(texts, percent), _fits(percent), ["size", "p1", "p2"], _marks(texts, shared, buckets, percent))
     shared.destroy()
     for table in (close, texts):
         discard(table)

@@ -24,22 +24,21 @@ Verify = Callable[[DataFrame], DataFrame]
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of all nodes of `edges` (a, b): the smallest node that can be reached. Alternates large and small stars until nothing changes."""
+    """(node, component) of all nodes of `edges` (a, b): the smallest node that can be reached. Alternates large and small stars until every component is one star."""
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    mark = None
     while True:
+        # in a star forest no node has two centres, and no centre has one
+        ends = now.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e"))
+        if ends.groupBy("e.node").agg(F.sum("e.up").alias("up"), F.max("e.down").alias("down")).where("up + down > 1 and up > 0").isEmpty():
+            break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         after = written(small.where("u <> v").distinct())
-        sign = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         discard(now)
         now = after
-        if sign == mark:
-            break
-        mark = sign
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
@@ -53,8 +52,11 @@ def _leaders(keyed: DataFrame, fits: Callable[[str, str], Column], extra: list[s
     return shared.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b")
 
 
-def _rest(keyed: DataFrame, fits: Callable[[str, str], Column], extra: list[str]) -> DataFrame:
+def _rest(keyed: DataFrame, fits: Callable[[str, str], Column], extra: list[str], once: Callable[[str, str], Column] | None = None) -> DataFrame:
     """All pairs that share a key across components, once each. Components meet before their nodes do, so that no pair inside one is made."""
+    if once is not None:
+        together = fits
+        fits = lambda x, y: together(x, y) & once(x, y)
     kinds = keyed.groupBy("key", "label").agg(F.count("*").alias("n"))
     x, y = F.struct("node", *extra).alias("x"), F.struct("node", *extra).alias("y")
     rows = keyed.join(kinds, ["key", "label"])
@@ -88,11 +90,13 @@ def _hop(edges: DataFrame) -> DataFrame:
     return up.join(far, "up", "left").select("node", F.when(F.col("far") == F.col("node"), F.least("node", "up")).otherwise(F.coalesce("far", "up")).alias("component"))
 
 
-def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column], extra: list[str] | None = None, marks: DataFrame | None = None, crowd: int | None = None) -> DataFrame:
+def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column], extra: list[str] | None = None, marks: DataFrame | None = None, crowd: int | None = None,
+           once: Callable[[str, str], Column] | None = None) -> DataFrame:
     """(node, component) of the nodes that have a link. `keyed`: (key, node, *extra).
 
     `verify` turns pairs (a, b) into those that are linked; `fits` may rule out pairs by the `extra` columns of both sides. `marks`: (node, mark), the keys of each
-    node and what else may split crowded keys; without it they are paired as they are."""
+    node and what else may split crowded keys; without it they are paired as they are. `once` may tell whether column `key` is the first that both sides share, so that a
+    pair is made under one of its keys only."""
     extra = extra or []
     weight = keyed.groupBy("node").agg(F.count("*").alias("weight"))
     keyed = written(keyed.join(weight, "node"))
@@ -104,6 +108,8 @@ def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column],
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = written(pairs)
+        if pairs.isEmpty():
+            return pairs
         new = written(verify(pairs).select("a", "b"))
         discard(pairs)
         return new
@@ -115,7 +121,7 @@ def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column],
     rows = written(labelled(groups).drop("weight"))
     discard(keyed)
     tables = [rows]
-    pairs = _rest(rows, fits, extra)
+    pairs = _rest(rows, fits, extra, once)
     if marks is not None:
         left = written(_pairs_left(rows, CROWD if crowd is None else crowd))
         tables.append(left)
@@ -123,7 +129,7 @@ def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column],
         if not crowded.isEmpty():
             finer = written(_split(rows.join(crowded, "key", "left_semi"), marks, extra))
             tables.append(finer)
-            pairs = _rest(rows.join(left.where("not crowded"), "key", "left_semi"), fits, extra).unionByName(_rest(finer, fits, extra)).distinct()
+            pairs = _rest(rows.join(left.where("not crowded"), "key", "left_semi"), fits, extra, once).unionByName(_rest(finer, fits, extra)).distinct()
     new = verified(pairs)
     for table in tables:
         discard(table)

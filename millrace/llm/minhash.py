@@ -36,6 +36,8 @@ from millrace.llm.words import LOWER, Words, chunks, grams, mixed
 
 N, PERCENT = 2, 80
 HALF, WIDTH, BITS = 14, 3, 512
+#: Pairs a class that a half may leave to the parities before it is split.
+CROWD = 4_096
 #: Classes of a half that one task compares; pairs of them at a time; classes that all others of a half are held against first.
 GROUP, PAIRS, SOME = 16_384, 1 << 20, 64
 _SALTS = mixed(np.arange(1, 2 * HALF * WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -106,9 +108,9 @@ def with_partner(sizes: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarra
 
 
 def _sifted(keyed: DataFrame, places: list[str], percent: int) -> DataFrame:
-    """Rows of (key, node, size, *places, right) that may have a partner under their key. Keys of more than `GROUP` rows stay whole, and in no one's memory."""
-    many = keyed.groupBy("key").count().where(F.col("count") > GROUP).select("key")
-    names = keyed.columns
+    """Rows of (key, node, size, *places, left, right) that may have a partner under their key. Keys of more than `GROUP` rows stay whole, and in no one's memory."""
+    many = written(keyed.groupBy("key").count().where(F.col("count") > GROUP).select("key"))
+    names, partitions = keyed.columns, int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if len(b)]
@@ -126,8 +128,9 @@ def _sifted(keyed: DataFrame, places: list[str], percent: int) -> DataFrame:
                 keep[a:z] = with_partner(sizes[a:z], bits[a:z], percent)
         yield from rows.filter(pa.array(keep)).to_batches(max_chunksize=10_000)
 
+    if many.isEmpty():
+        return keyed.repartition(partitions, "key").mapInArrow(run, keyed.schema)
     few = keyed.join(many, "key", "left_anti").select(*names)
-    partitions = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return few.repartition(partitions, "key").mapInArrow(run, keyed.schema).unionByName(keyed.join(many, "key", "left_semi").select(*names))
 
 
@@ -149,7 +152,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.array_intersect(F.slice("halves", 1, HALF), "kept").alias("left"), F.array_intersect(F.slice("halves", HALF + 1, HALF), "kept").alias("right"),
     )
     sides = written(sides.where((F.size("left") > 0) & (F.size("right") > 0)))
-    keyed = written(sides.select(F.explode("left").alias("key"), "node", "size", *places, "right"))
+    keyed = written(sides.select(F.explode("left").alias("key"), "node", "size", *places, "left", "right"))
     halved, keyed = keyed, written(_sifted(keyed, places, percent))
     discard(halved)
 
@@ -164,8 +167,11 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         near = (100 * F.least(xs, ys) >= percent * F.greatest(xs, ys)) & (apart * (100 + percent) <= (100 - percent) * (xs + ys))
         return near & F.arrays_overlap(F.col(f"{x}.right"), F.col(f"{y}.right"))
 
+    def once(x: str, y: str):
+        return F.element_at(F.array_intersect(F.col(f"{x}.left"), F.col(f"{y}.left")), 1) == F.col("key")
+
     marks = sides.select("node", F.explode("right").alias("mark"))
-    groups = linked(keyed, _verifier(candidates, of_nodes.drop("first"), n, percent), fits, ["size", *places, "right"], marks)
+    groups = linked(keyed, _verifier(candidates, of_nodes.drop("first"), n, percent), fits, ["size", *places, "left", "right"], marks, CROWD, once)
     for table in (keyed, candidates, of_nodes, halves, sides):
         discard(table)
     of_classes = classes.select(same.alias("set"), "node", "first").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -95,7 +95,7 @@ def test_every_line_within_the_edits_goes(spark):
 def test_partners_are_found_under_every_bound():
     r = np.random.default_rng(6)
     sizes, parities = r.integers(3, 9, (40, 7)).astype(np.uint32), r.integers(0, 64, (40, 7)).astype(np.uint64)
-    got = line_dedup.with_partner(sizes, parities, 80)
+    got = line_dedup.with_partner(sizes, [parities >> np.uint64(3), parities & np.uint64(7)], 80)
     for k in range(40):
         for i in range(7):
             others = [j for j in range(7) if j != i]
@@ -169,7 +169,7 @@ def test_near_copies_do_not_become_all_pairs(spark):
 
     groups = linking.linked(keyed, verify, lambda x, y: F.lit(True))
     assert groups.where("component <> 0").count() == 0 and groups.count() == 3_000
-    assert seen == [2_999, 0, 0]
+    assert seen == [2_999]  # rounds without pairs have nothing to verify
 
 
 @pytest.mark.parametrize("crowd", [500, None])

@@ -6,7 +6,7 @@ import brute
 import numpy as np
 import pytest
 
-from millrace.llm import linking, minhash
+from millrace.llm import minhash
 from millrace.llm.words import mixed
 
 
@@ -47,10 +47,10 @@ def test_ids_with_two_texts(spark):
     check(spark, [(1, base), (2, brute.edited(base, 1, 1)), (2, other), (3, other), (None, base), (None, None), (4, "one"), (5, "One"), (6, ""), (2, other)])
 
 
-@pytest.mark.parametrize("crowd, group", [(0, 3), (linking.CROWD, minhash.GROUP)])
+@pytest.mark.parametrize("crowd, group", [(0, 3), (minhash.CROWD, minhash.GROUP)])
 def test_crowded_keys(spark, monkeypatch, crowd, group):
     """Groups of copies that share a good part of their words but don't link."""
-    monkeypatch.setattr(linking, "CROWD", crowd)
+    monkeypatch.setattr(minhash, "CROWD", crowd)
     monkeypatch.setattr(minhash, "GROUP", group)
     shared = brute.prose(3, 120)
     docs = [(10 * k + i, shared + " " + brute.edited(brute.prose(50 + k, 60), i, 1)) for k in range(12) for i in range(4)]
