@@ -838,6 +838,24 @@ def cluster_job_profile(spark, sf_dir):
     return jobs.finished([result], result.tables["profile"])
 
 
+def _two_of_one_feature(spark, sf_dir):
+    """Clusters of one feature, whose best two are known."""
+    df = fx.table(spark, sf_dir, "part").selectExpr("p_partkey", "cast(p_size * p_size as double) as x")
+    return jobs.cluster(df, fx.LINE_SPEC.but(target=None, numeric=("x",), categorical=(), key=("p_partkey",), stratify=False, k_range=(2,)))
+
+
+@query
+def job_cluster_two(spark, sf_dir):
+    result = _two_of_one_feature(spark, sf_dir)
+    return tidy(jobs.finished([result], result.long.where("section <> 'cluster_sizes'")), 4)
+
+
+@query
+def cluster_job_profile_two(spark, sf_dir):
+    result = _two_of_one_feature(spark, sf_dir)
+    return tidy(jobs.finished([result], result.tables["profile"].drop("cluster")), 4)
+
+
 @query
 def job_full(spark, sf_dir):
     results = jobs.full(fx.lines(spark, sf_dir), fx.LINE_SPEC)

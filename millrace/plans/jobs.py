@@ -21,6 +21,16 @@ from millrace.sources.sinks import append_run, run_record, save_model, write_cen
 from millrace.spec import Spec
 
 
+class OnDemand(dict):
+    """Tables by name; one that is given as a function is made when it is first asked for."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        table = super().__getitem__(name)
+        if callable(table):
+            self[name] = table = table()
+        return table
+
+
 @dataclass
 class JobResult:
     """Tables and values of one job; ``long`` is its part of the report."""
@@ -250,18 +260,19 @@ def cluster_train(train_rows: DataFrame, spec: Spec, method: str = "silhouette",
     assigned = run.assign(train_rows, k)
     centroids = run.centroids(k)
     sizes = clusters.cluster_sizes(assigned, "cluster")
-    tables = {
+    # histograms and the projection read the rows before anyone looks at them, so they wait until asked for
+    tables = OnDemand({
         "k_table": run.table,
         "k_curves": clusters.k_curves(run.table),
         "centroids": centroids,
         "profile": clusters.cluster_profile(assigned, "cluster", features),
         "differences": clusters.cluster_differences(centroids, top),
         "sizes": sizes,
-        "histograms": clusters.cluster_feature_histograms(assigned, "cluster", features),
+        "histograms": lambda: clusters.cluster_feature_histograms(assigned, "cluster", features),
         "assigned": assigned,
-    }
+    })
     if len(features) >= 2:
-        tables["scatter"] = project_2d(assigned, features).select("pc1", "pc2", "cluster")
+        tables["scatter"] = lambda: project_2d(assigned, features).select("pc1", "pc2", "cluster")
     entries = F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).alias("v")) for m in clusters.K_METRICS])
     by_k = run.table.select(F.col("k").cast("string").alias("item"), F.explode(entries).alias("e")).select(
         F.lit("k_table").alias("section"), "item", F.col("e.m").alias("metric"), F.col("e.v").alias("value"))

@@ -476,3 +476,23 @@ w as (select cut, sum(case when v <= cut then 0 else 1 end) * var_pop(case when
  + sum(case when v <= cut then 1 else 0 end) * var_pop(case when v <= cut then v end) as sse from x, t, lim where cut < top group by cut),
 best as (select cut from w order by sse limit 1)
 select count(*) as n, min(v) as low, max(v) as high from x, best group by v <= cut"""
+
+# the training rows of a split by key, their best threshold, and what follows from it
+TWO = f"""s as (select cast(p_size * p_size as double) as v, row_number() over (order by md5({row_digest('p_partkey')} || '|42')) as i, count(*) over () as n from part),
+x as (select v from s where i <= n - cast(ceil(0.2 * n) as bigint)), t as (select distinct v as cut from x), lim as (select max(v) as top from x),
+w as (select cut, sum(case when v <= cut then 0 else 1 end) * var_pop(case when v > cut then v end)
+ + sum(case when v <= cut then 1 else 0 end) * var_pop(case when v <= cut then v end) as sse from x, t, lim where cut < top group by cut),
+best as (select cut from w order by sse limit 1), c as (select v, v <= cut as c from x, best),
+whole as (select avg(v) as mean, stddev_pop(v) as scale, count(*) as rows from x)"""
+SQL["cluster_job_profile_two"] = f"""with {TWO}
+select count(*) as size, {r('count(*) * 100.0 / max(rows)', 4)} as percent, 'x' as feature, {r('avg(v)', 4)} as mean, {r('stddev_samp(v)', 4)} as std, {r('min(v)', 4)} as min, {r('max(v)', 4)} as max
+from c, whole group by c"""
+SQL["job_cluster_two"] = f"""with {TWO},
+z as (select (v - mean) / scale as z, c, rows from c, whole), m as (select c, count(*) as n, avg(z) as m, var_pop(z) as var, avg(abs(z - k)) as apart
+ from (select z, c, avg(z) over (partition by c) as k from z) group by c),
+pair as (select p.n + q.n as rows, p.n * p.var + q.n * q.var as within, p.n * p.m * p.m + q.n * q.m * q.m as between, (p.apart + q.apart) / abs(p.m - q.m) as db from m p, m q where p.c and not q.c),
+own as (select z, (pow(z - p.m, 2) + p.var) * p.n / (p.n - 1) as a, pow(z - q.m, 2) + q.var as b from z join m p on p.c = z.c join m q on q.c <> z.c),
+shape as (select avg((b - a) / greatest(a, b)) as silhouette from own)
+select 'clustering' as section, 'silhouette' as item, 'best_k' as metric, 2.0 as value union all
+select 'k_table', '2', 'inertia', {r('within', 4)} from pair union all select 'k_table', '2', 'silhouette', {r('silhouette', 4)} from shape union all
+select 'k_table', '2', 'calinski_harabasz', {r('between / (within / (rows - 2))', 4)} from pair union all select 'k_table', '2', 'davies_bouldin', {r('db', 4)} from pair"""
