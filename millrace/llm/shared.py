@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -33,6 +34,9 @@ def _delete(spark: SparkSession, path: str, now: bool) -> None:
 def written(df: DataFrame) -> DataFrame:
     """The table, written once and read back: later jobs neither repeat what led to it nor need the executors that did. Deleted when the application ends."""
     path = f"{shared_folder(df.sparkSession)}/millrace-{uuid.uuid4().hex}"
+    # Spark deletes the shuffle files of earlier steps once their plans are garbage on the driver, which by itself may take until long after the disks are full
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     df.write.parquet(path)
     _delete(df.sparkSession, path, now=False)
     return df.sparkSession.read.schema(df.schema).parquet(path)
