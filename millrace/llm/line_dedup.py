@@ -3,7 +3,7 @@
 A line (cut at \\n) is normalised to its words: A-Z lower-cased, runs of letters, digits and non-ASCII. Lines without a word always stay. Two lines link if at least `PERCENT` of the longer
 line's words stay when the one is edited into the other (insert, delete, replace). No pair of lines that link is missed, at any length.
 
-SimHash and pigeonhole blocks, the usual way, can't find such pairs: with a fifth of the words replaced 13 of 64 bits differ whatever the line's length, and with one word of ten 9 do, so blocks
+SimHash and pigeonhole blocks, the usual way, can't find such pairs: with a fifth of the words replaced 12 to 13 of 64 bits differ on average whatever the line's length, and with one word of ten 8 do, so blocks
 that are intact in most pairs are too short to tell lines apart (measured recall in the README). Instead, lines meet under rare words:
 1. One pass gives every line a 128-bit hash of its word sequence and counts words in a table of counters. Lines with equal hashes are one node.
 2. Linked lines of a and b words have all but a fifth of the longer one's words in common, so they share one of their first a / 5 + 1 (b / 5 + 1) words in a common order, rare words
