@@ -256,3 +256,20 @@ def test_a_hundred_thousand_classes(spark):
     assert got.where("split = 'train'").count() == splits.train_rows(250_000, 0.2)
     folds = splits.stratified_kfold(df, "g", ["id"])
     assert counts(folds, "fold") == {(f,): 50_000 for f in range(5)}
+
+
+def test_labelled_rows_stay_where_they_are(spark):
+    """Two classes leave the rows in as many tasks as before, whether the codes are a list or a table."""
+    df = spark.range(800).selectExpr("id", "case when id % 3 = 0 then 'b' else 'a' end as y").repartition(8, "id")
+    for classes in (splits.class_codes(df, "y"), splits.code_table(df, "y")):
+        got = splits.encode_label(df, "y", classes).withColumn("task", F.spark_partition_id())
+        assert got.select("task").distinct().count() == 8
+        assert {(r["y"], r["label"]) for r in got.select("y", "label").distinct().collect()} == {("a", 0.0), ("b", 1.0)}
+
+
+def test_more_classes_than_are_sent(spark, monkeypatch):
+    monkeypatch.setattr(splits, "SENT_CLASSES", 2)
+    df = spark.range(30).selectExpr("id % 3 as y")
+    for classes in (splits.class_codes(df, "y"), splits.code_table(df, "y")):
+        got = splits.encode_label(df, "y", classes)
+        assert sorted((r["y"], r["label"]) for r in got.distinct().collect()) == [(0, 0.0), (1, 1.0), (2, 2.0)]
