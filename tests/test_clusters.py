@@ -235,6 +235,18 @@ def cloud(spark, rows=400, seed=3):
     return x, spark.createDataFrame([tuple(map(float, p)) for p in x], "a double, b double, c double")
 
 
+def test_squared_silhouettes_leave_rows_where_they_are(spark):
+    """Two k leave the rows in as many tasks as before."""
+    from millrace.operators.silhouette import _squared_values
+
+    rows = spark.range(800).repartition(8, "id").selectExpr("cast(id as double) as x", "int(id % 2 + 2) as k", "int(id % 2) as cluster")
+    table = spark.createDataFrame([(k, [(c, 200, 4.0, [400.0 + c]) for c in (0, 1)]) for k in (2, 3)], "k int, every array<struct<c:int,n:bigint,v:double,m:array<double>>>")
+    got = _squared_values(rows, [F.col("x")], table).withColumn("task", F.spark_partition_id())
+    assert got.select("task").distinct().count() == 8
+    assert got.where("value is not null").count() == 800
+
+
+
 def test_shared_iterations_equal_sparks_from_equal_starts(spark):
     from pyspark.mllib.clustering import KMeans as OldKMeans
     from pyspark.mllib.clustering import KMeansModel as OldModel
