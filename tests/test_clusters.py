@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import clusters
+from millrace.operators import clusters, lloyd
 from millrace.operators.silhouette import check_method, euclidean_silhouettes
 from millrace.spec import Spec
 
@@ -236,14 +236,45 @@ def cloud(spark, rows=400, seed=3):
 
 
 def test_squared_silhouettes_leave_rows_where_they_are(spark):
-    """Two k leave the rows in as many tasks as before."""
-    from millrace.operators.silhouette import _squared_values
-
-    rows = spark.range(800).repartition(8, "id").selectExpr("cast(id as double) as x", "int(id % 2 + 2) as k", "int(id % 2) as cluster")
-    table = spark.createDataFrame([(k, [(c, 200, 4.0, [400.0 + c]) for c in (0, 1)]) for k in (2, 3)], "k int, every array<struct<c:int,n:bigint,v:double,m:array<double>>>")
-    got = _squared_values(rows, [F.col("x")], table).withColumn("task", F.spark_partition_id())
-    assert got.select("task").distinct().count() == 8
-    assert got.where("value is not null").count() == 800
+    """No k gathers its rows in a task, so nothing is shuffled; a row without features counts only as a cluster of its own."""
+    from millrace.operators.silhouette import squared_silhouettes
+
+    rows = [(float(i), i % 2, 2 if i == 0 else i % 2) for i in range(60)] + [(None, 1, 1)]
+    df = spark.createDataFrame(rows, "x double, a int, b int").repartition(8, "x").persist()
+    stats = [{"k": k, **r.asDict()} for k, c in ((2, "a"), (3, "b")) for r in clusters.moments(df, ["x"], c).collect()]
+    spark.sparkContext.setJobGroup("silhouettes", "")
+    got = squared_silhouettes(df, ["x"], {2: "a", 3: "b"}, stats)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("silhouettes")]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds if tracker.getStageInfo(s)) == 8
+    x = np.arange(60.0)
+    for k, label in ((2, x % 2), (3, np.where(x == 0, 2, x % 2))):
+        scores = []
+        for v, c in zip(x, label):
+            n = {r["cluster"]: r["n"] for r in stats if r["k"] == k}
+            far = {r["cluster"]: (v - r["m0"]) ** 2 + r["v0"] for r in stats if r["k"] == k}
+            a, b = far[c] * n[c] / max(n[c] - 1, 1), min(d for o, d in far.items() if o != c)
+            scores.append(0.0 if n[c] == 1 else (b - a) / max(a, b))
+        assert got[k] == pytest.approx(np.mean(scores), abs=1e-12)
+
+
+def test_nearest_of_each_is_what_the_models_give(spark):
+    df = spark.range(500).selectExpr("cast(id % 23 as double) as x", "cast(id % 7 as double) as y")
+    fits = {k: lloyd.Centres(("x", "y"), tuple((3.0 * i, 2.0 * (i % 3)) for i in range(k)), 0.0, 0, 0) for k in (2, 5)}
+    got = lloyd.nearest_of_each(df, ["x", "y"], {f"c{k}": m.centres for k, m in fits.items()})
+    wanted = df
+    for k, m in fits.items():
+        wanted = m.stage(f"c{k}").transform(wanted)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_ties_between_centres_go_to_the_first(spark):
+    packed = lloyd.blocks(spark.createDataFrame([(0.0,), (1.0,), (2.0,)], "x double"), ["x"])
+    sums = lloyd._sums(packed, 1, [np.array([[2.0], [0.0]]), np.array([[1.0], [1.0], [5.0]])], 1, costs=True)
+    assert sums[0].tolist() == [[2.0, 1.0, 3.0], [1.0, 0.0, 0.0]]
+    assert sums[1].tolist() == [[3.0, 2.0, 3.0], [0.0, 0.0, 0.0], [0.0, 0.0, 0.0]]
+
 
 
 
