@@ -20,14 +20,14 @@ their own, in the order of a hash of their texts. Nodes are named by half of the
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.linking import linked
+from millrace.llm.linking import Meeting, linked
 from millrace.llm.ngram_join import PART, SLOTS, _counters
 from millrace.llm.shared import discard, identified, light, written
 from millrace.llm.words import LETTERS, LOWER, Words, chunks, mixed
@@ -35,7 +35,10 @@ from millrace.llm.words import LETTERS, LOWER, Words, chunks, mixed
 PERCENT = 80
 #: Lines of a key whose lengths and parities are compared at once; buckets of a shuffle partition; rows that a task packs, or holds before it drops repeated ones.
 CROWD, BUCKETS, PACK = 2_048, 4, 1 << 18
-_LINES = "array<struct<line:int,h1:bigint,h2:bigint>>"
+#: Columns with the parities of a line's words, 64 places each.
+PARITIES = ("p1", "p2", "p3", "p4")
+_LINE = [("line", "int"), ("h1", "bigint"), ("h2", "bigint"), ("size", "int"), *((p, "bigint") for p in PARITIES)]
+_LINES = f"array<struct<{','.join(f'{n}:{t}' for n, t in _LINE)}>>"
 H1, H2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
@@ -60,6 +63,14 @@ def _ones(hashes: np.ndarray, a: np.ndarray, z: np.ndarray, salt: int) -> np.nda
     return np.add.reduceat(mixed(hashes + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(salt)), a).view(np.int64)
 
 
+def _parities(hashes: np.ndarray, a: np.ndarray) -> list[np.ndarray]:
+    """Of how many words of each line, modulo 2, fall on each place; 64 places to a number."""
+    if not len(a):
+        return [np.empty(0, np.int64) for _ in PARITIES]
+    part, bit = (hashes >> np.uint64(40)) % np.uint64(len(PARITIES)), np.uint64(1) << ((hashes >> np.uint64(48)) & np.uint64(63))
+    return [np.bitwise_xor.reduceat(np.where(part == k, bit, np.uint64(0)), a).view(np.int64) for k in range(len(PARITIES))]
+
+
 def _hashed(docs: DataFrame) -> DataFrame:
     """Rows of two kinds: (id, row, lines) of documents (id, row, text), and (part, counts) of the word counters of a task."""
 
@@ -70,7 +81,8 @@ def _hashed(docs: DataFrame) -> DataFrame:
                 w, row, number, a, z = _chunk_lines(data, off)
                 hashes = w.hashes()
                 counters += np.bincount((hashes & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
-                body = pa.StructArray.from_arrays([pa.array(v) for v in (number.astype(np.int32), _ones(hashes, a, z, H1), _ones(hashes, a, z, H2))], ["line", "h1", "h2"])
+                columns = (number.astype(np.int32), _ones(hashes, a, z, H1), _ones(hashes, a, z, H2), (z - a).astype(np.int32), *_parities(hashes, a))
+                body = pa.StructArray.from_arrays([pa.array(v) for v in columns], [n for n, _ in _LINE])
                 upto = np.searchsorted(row, np.arange(y - x + 1)).astype(np.int32)
                 none = [None] * (y - x)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x), b.column(1).slice(x, y - x), pa.ListArray.from_arrays(pa.array(upto), body), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names)
@@ -80,7 +92,7 @@ def _hashed(docs: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, lines), pa.array(full, pa.int32()), pa.array(body, pa.binary())], names)
 
     names = ["id", "row", "lines", "part", "counts"]
-    lines = pa.list_(pa.struct([("line", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())]))
+    lines = pa.list_(pa.struct([(n, pa.int32() if t == "int" else pa.int64()) for n, t in _LINE]))
     return docs.mapInArrow(run, f"id bigint, row bigint, lines {_LINES}, part int, counts binary")
 
 
@@ -89,22 +101,33 @@ def _edits(most, percent: int):
     return most * (100 - percent) // 100
 
 
-def _taken(size: int, percent: int) -> int:
-    """How many of a line's words, in order, are keys; 0 if it can link to equal lines only."""
-    longer = range(size, size * 100 // percent + 1)
-    return size + percent * size // -100 + 1 if any(m - size <= _edits(m, percent) > 0 for m in longer) else 0
+def _width(percent: int) -> int:
+    """Neighbouring words to a key: two, unless so many edits are allowed that lines that link need not share two pairs of words."""
+    return 2 if percent > 75 else 1
+
+
+def _taken(size: int, percent: int, width: int = 1) -> int:
+    """How many runs of `width` words of a line, in order, are keys; 0 if it can link to equal lines only.
+
+    An edit changes `width` runs at most, so lines that link have all but `width` times the edits of the longer one's runs in common."""
+    edits = ((m, _edits(m, percent)) for m in range(size, size * 100 // percent + 1))
+    return max((size - m + 1 + width * e for m, e in edits if m - size <= e > 0), default=0)
 
 
-def _first_words(hashes: np.ndarray, a: np.ndarray, z: np.ndarray, take: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key) of the first `take` words of each line, rare ones first; a word's second occurrence in a line is another word."""
-    size = z - a
+def _first_runs(hashes: np.ndarray, a: np.ndarray, z: np.ndarray, take: np.ndarray, table: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of the first `take` runs of `width` words of each line, those of rare words first; a run's second occurrence in a line is another run."""
+    size = np.maximum(z - a - width + 1, 0)
     line = np.repeat(np.arange(len(a)), size)
     begins = np.concatenate(([0], np.cumsum(size)[:-1])) if len(a) else size
-    own = hashes[np.arange(len(line)) - begins[line] + a[line]]
-    rank = (table[(own & np.uint64(SLOTS - 1)).astype(np.int64)] << np.uint64(44)) | (own >> np.uint64(20))
+    at = np.arange(len(line)) - begins[line] + a[line]
+    common = table[(hashes & np.uint64(SLOTS - 1)).astype(np.int64)]
+    own, rank = hashes[at], common[at]
+    for i in range(1, width):
+        own, rank = mixed(own * np.uint64(H1) + hashes[at + i]), rank + common[at + i]
+    rank = rank << np.uint64(54) | own >> np.uint64(10)
     # lines are few and rank is 64 bits, so sort by rank first, then, stably, by line
-    by_rank = np.argsort(rank, kind="stable")
-    order = by_rank[np.argsort(line[by_rank], kind="stable")]
+    by_rank = np.argsort(rank)
+    order = by_rank[np.argsort(line[by_rank].astype(np.uint16 if len(a) <= 1 << 16 else np.int64), kind="stable")]
     own, i = own[order], np.arange(len(line))
     same = np.concatenate(([False], (own[1:] == own[:-1]) & (line[1:] == line[:-1])))[: len(line)]
     again = i - np.maximum.accumulate(np.where(same, 0, i)) if len(line) else i
@@ -112,8 +135,20 @@ def _first_words(hashes: np.ndarray, a: np.ndarray, z: np.ndarray, take: np.ndar
     return line[first], mixed(own + again.astype(np.uint64) * np.uint64(H2))[first]
 
 
+def _commonness(counters: np.ndarray) -> np.ndarray:
+    """Sixteenths of the binary logarithm of each counter, so that the sum of two needs 10 bits."""
+    return np.round(16 * np.log2(1 + np.minimum(counters, (1 << 20) - 1))).astype(np.uint64)
+
+
+def _take(sizes: np.ndarray, percent: int, more: int = 0) -> np.ndarray:
+    """How many keys a line of each size has, and so many `more` where there are any."""
+    sizes, which = np.unique(sizes, return_inverse=True)
+    keys = np.array([_taken(int(n), percent, _width(percent)) for n in sizes], np.int64)
+    return np.where(keys > 0, keys + more, 0)[which]
+
+
 def _packed(docs: DataFrame, shared, buckets: int, percent: int) -> DataFrame:
-    """(bucket, keys, nodes, sizes, p1, p2): packed columns of the first words of lines. A line that comes again in the same chunk has no more rows."""
+    """(bucket, keys, nodes, sizes): packed columns of the first runs of words of lines. A line that comes again in the same chunk has no more rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, held, rows = shared.value, [], 0
@@ -124,17 +159,12 @@ def _packed(docs: DataFrame, shared, buckets: int, percent: int) -> DataFrame:
                 if not len(a):
                     continue
                 hashes = w.hashes()
-                node = _ones(hashes, a, z, H1)
-                # a word falls on one of 128 places: the first 64 or the others
-                upper, bit = (hashes >> np.uint64(40)) & np.uint64(1), np.uint64(1) << ((hashes >> np.uint64(41)) & np.uint64(63))
-                parities = [np.bitwise_xor.reduceat(np.where(upper == k, bit, np.uint64(0)), a) for k in (0, 1)]
-                sizes, which = np.unique(z - a, return_inverse=True)
-                take = np.array([_taken(int(n), percent) for n in sizes], np.int64)[which]
+                node, take = _ones(hashes, a, z, H1), _take(z - a, percent)
                 usable = np.flatnonzero(np.isin(row + x, known) & (take > 0))
                 once = usable[np.unique(node[usable], return_index=True)[1]]
-                line, key = _first_words(hashes, a[once], z[once], take[once], table)
+                line, key = _first_runs(hashes, a[once], z[once], take[once], table, _width(percent))
                 # lines of 65,535 words and more count as that long, which only lets more of them through
-                held.append((key, node[once][line], np.minimum((z - a)[once][line], 65_535).astype(np.uint16), *(p[once][line] for p in parities)))
+                held.append((key, node[once][line], np.minimum((z - a)[once][line], 65_535).astype(np.uint16)))
                 rows += len(key)
                 if rows >= PACK:
                     yield pack(held)
@@ -151,35 +181,28 @@ def _packed(docs: DataFrame, shared, buckets: int, percent: int) -> DataFrame:
         # the upper half of a key will do inside a bucket: two that agree by chance are told apart when their lines are compared
         columns = [(key >> np.uint64(32)).astype(np.uint32), *columns]
         blobs = [pa.array([c[a:z].tobytes() for a, z in zip(cuts, cuts[1:], strict=False)], pa.binary()) for c in (v[order] for v in columns)]
-        return pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), *blobs], ["bucket", "keys", "nodes", "sizes", "p1", "p2"])
+        return pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), *blobs], ["bucket", "keys", "nodes", "sizes"])
 
-    return docs.mapInArrow(run, "bucket int, keys binary, nodes binary, sizes binary, p1 binary, p2 binary")
+    return docs.mapInArrow(run, "bucket int, keys binary, nodes binary, sizes binary")
 
 
-_KINDS = (np.uint32, np.int64, np.uint16, np.uint64, np.uint64)
+_KINDS = (np.uint32, np.int64, np.uint16)
 
 
-def with_partner(sizes: np.ndarray, parities: Sequence[np.ndarray], percent: int) -> np.ndarray:
-    """For rows of lines that share a key, whether lengths and parities of another one of the row allow few enough edits."""
-    x, y = sizes[:, :, None].astype(np.int64), sizes[:, None, :].astype(np.int64)
-    apart = np.abs(x - y)
-    edits = _edits(np.maximum(x, y), percent)
-    changed = sum(np.bitwise_count(p[:, :, None] ^ p[:, None, :]).astype(np.int64) for p in parities)
-    fits = (apart <= edits) & (changed <= 2 * edits - apart)
-    fits[:, np.arange(sizes.shape[1]), np.arange(sizes.shape[1])] = False
-    return fits.any(2)
+def _runs(key: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins, in sorted ones."""
+    return np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[: len(key)])
 
 
-def _close(packed: DataFrame, percent: int) -> DataFrame:
-    """(key, node, size, p1, p2) of lines that may link to another one under the key."""
+def _shared(packed: DataFrame, percent: int) -> DataFrame:
+    """(key, node) of lines under whose key another line's length allows so few edits."""
 
-    def sifted(key: np.ndarray, node: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
-        """In the order of keys, each node of a key once."""
-        order = np.lexsort((node, key))
+    def sifted(key: np.ndarray, node: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+        """In the order of keys and sizes, each node of a key once."""
+        order = np.lexsort((node, size, key))
         key, node = key[order], node[order]
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))[: len(key)]
-        order = order[new]
-        return key[new], node[new], *(c[order] for c in columns)
+        return key[new], node[new], size[order[new]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -195,9 +218,49 @@ def _close(packed: DataFrame, percent: int) -> DataFrame:
                 limit = max(limit, 2 * rows)
         if not held:
             return
-        key, node, size, *parities = sifted(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
         held.clear()
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        # most keys come once
+        order = np.argsort(columns[0])
+        first = _runs(columns[0][order])
+        number = np.diff(np.append(first, len(order)))
+        order = order[np.repeat(number > 1, number)]
+        key, node, size = sifted(*(c[order] for c in columns))
+        size = size.astype(np.int64)
+        # of the lines under a key the next longer one is the likeliest partner, or the next shorter one
+        near = (key[1:] == key[:-1]) & (size[1:] - size[:-1] <= _edits(size[1:], percent))
+        kept = np.flatnonzero(np.append(near, False) | np.append(False, near)) if len(key) else np.empty(0, np.int64)
+        for a in range(0, len(kept), 10_000):
+            i = kept[a : a + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(key[i].view(np.int64)), pa.array(node[i])], ["key", "node"])
+
+    return packed.mapInArrow(run, "key bigint, node bigint")
+
+
+def with_partner(sizes: np.ndarray, parities: Sequence[np.ndarray], percent: int) -> np.ndarray:
+    """For rows of lines that share a key, whether lengths and parities of another one of the row allow few enough edits."""
+    x, y = sizes[:, :, None].astype(np.int64), sizes[:, None, :].astype(np.int64)
+    apart = np.abs(x - y)
+    edits = _edits(np.maximum(x, y), percent)
+    changed = sum(np.bitwise_count(p[:, :, None] ^ p[:, None, :]).astype(np.int64) for p in parities)
+    fits = (apart <= edits) & (changed <= 2 * edits - apart)
+    fits[:, np.arange(sizes.shape[1]), np.arange(sizes.shape[1])] = False
+    return fits.any(2)
+
+
+def _close(rows: DataFrame, percent: int) -> DataFrame:
+    """(key, node) of those `rows` (key, node, size, parities), all of a key in one partition, that may link to another one under the key. Keys with more than `CROWD` lines are kept as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        table = pa.Table.from_batches(held).combine_chunks()
+        key, _, size, *parities = (c.to_numpy() for c in table.columns)
+        parities = [p.view(np.uint64) for p in parities]  # bits of a negative number are those of its absolute value
+        order = np.argsort(key)
+        key = key[order]
+        first = _runs(key)
         number = np.diff(np.append(first, len(key)))
         keep = np.repeat(number > CROWD, number)
         for n in np.unique(number[(number > 1) & (number <= CROWD)]).tolist():
@@ -205,13 +268,10 @@ def _close(packed: DataFrame, percent: int) -> DataFrame:
             step = max(1, PACK // (n * n))
             for k in range(0, len(begins), step):
                 at = begins[k : k + step, None] + np.arange(n)
-                keep[at] = with_partner(size[at], [p[at] for p in parities], percent)
-        kept = np.flatnonzero(keep)
-        for a in range(0, len(kept), 10_000):
-            i = kept[a : a + 10_000]
-            yield pa.RecordBatch.from_arrays([pa.array(key[i].view(np.int64)), pa.array(node[i]), pa.array(size[i].astype(np.int64)), *(pa.array(p[i].view(np.int64)) for p in parities)], ["key", "node", "size", "p1", "p2"])
+                keep[at] = with_partner(size[order[at]], [p[order[at]] for p in parities], percent)
+        yield from table.select(["key", "node"]).take(pa.array(order[keep])).to_batches(10_000)
 
-    return packed.mapInArrow(run, "key bigint, node bigint, size bigint, p1 bigint, p2 bigint")
+    return rows.mapInArrow(run, "key bigint, node bigint")
 
 
 def _fits(percent: int):
@@ -221,12 +281,104 @@ def _fits(percent: int):
         xs, ys = F.col(f"{x}.size"), F.col(f"{y}.size")
         apart = F.abs(xs - ys)
         edits = F.floor(F.greatest(xs, ys) * (100 - percent) / 100)
-        changed = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in ("p1", "p2")), F.lit(0))
+        changed = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in PARITIES), F.lit(0))
         return (apart <= edits) & (changed <= 2 * edits - apart)
 
     return fits
 
 
+def _meeting(percent: int, partitions: int) -> Meeting:
+    """Pairs of rows (key, node, size, parities, label) whose lengths and parities allow few enough edits."""
+
+    def pairs(rows: DataFrame, schema: str, under: Callable) -> DataFrame:
+        """Distinct pairs, with the number of their keys in the task, from what `under` finds in rows in the order of keys: (row, row) and so on."""
+        columns = [c for c in rows.columns if c not in ("key", "node")]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = list(batches)
+            if not held:
+                return
+            table = pa.Table.from_batches(held)
+            key, node, *rest = (c.to_numpy() for c in table.columns)
+            found = [np.empty((0, 3), np.int64)]
+            ready = 0
+            for x, y in under(key, node, dict(zip(columns, rest, strict=True))):
+                found.append(np.stack((node[x], node[y], np.ones(len(x), np.int64)), 1))
+                ready += len(x)
+                if ready > 4 * PACK:
+                    found = [counted(np.concatenate(found))]
+                    ready = len(found[0]) // 2
+            out = counted(np.concatenate(found))
+            for a in range(0, len(out), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out[a : a + 10_000].T[: schema.count(",") + 1]], schema.replace(" bigint", "").split(", "))
+
+        def counted(found: np.ndarray) -> np.ndarray:
+            found = found[np.lexsort((found[:, 1], found[:, 0]))]
+            first = np.flatnonzero(np.append(True, (found[1:, :2] != found[:-1, :2]).any(1))[: len(found)])
+            if len(first):
+                found = np.column_stack((found[first, :2], np.add.reduceat(found[:, 2], first)))
+            return found
+
+        return rows.select("key", "node", *columns).repartition(partitions, "key").mapInArrow(run, schema)
+
+    def near(x: np.ndarray, y: np.ndarray, size: np.ndarray, parities: list[np.ndarray]) -> np.ndarray:
+        apart = np.abs(size[x] - size[y])
+        changed = sum(np.bitwise_count(p[x] ^ p[y]).astype(np.int64) for p in parities)
+        edits = _edits(np.maximum(size[x], size[y]), percent)
+        return (apart <= edits) & (changed <= 2 * edits - apart)
+
+    def leaders(rows: DataFrame, turn: int) -> DataFrame:
+        def under(key: np.ndarray, node: np.ndarray, of: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            size, parities, label = of["size"].astype(np.int64), [of[p].view(np.uint64) for p in PARITIES], of["label"]
+            order = np.lexsort((node, mixed(label.view(np.uint64) + np.uint64(turn)), -of["weight"], key))
+            first = _runs(key[order])
+            number = np.diff(np.append(first, len(order)))
+            # at first each line is held against the first one of its key, then against the likeliest one of another component
+            one = np.repeat((turn == 0) | (number > CROWD), number)
+            lead = np.repeat(order[first], number)[one]
+            rest = order[one]
+            fit = (label[rest] != label[lead]) & near(rest, lead, size, parities)
+            yield lead[fit], rest[fit]
+            for n in np.unique(number[(number > 1) & (number <= CROWD)]).tolist() if turn else ():
+                begins = first[number == n]
+                step = max(1, PACK // (n * n))
+                for k in range(0, len(begins), step):
+                    at = order[begins[k : k + step, None] + np.arange(n)]
+                    at = at[(label[at] != label[at[:, :1]]).any(1)]
+                    x, y = at[:, :, None], at[:, None, :]
+                    apart = np.abs(size[x] - size[y])
+                    changed = sum(np.bitwise_count(p[x] ^ p[y]).astype(np.int64) for p in parities)
+                    edits = _edits(np.maximum(size[x], size[y]), percent)
+                    spare = np.where((apart <= edits) & (label[x] != label[y]), 2 * edits - apart - changed, -1)
+                    best = spare.argmax(2)
+                    fit = np.take_along_axis(spare, best[:, :, None], 2)[:, :, 0] >= 0
+                    yield np.take_along_axis(at, best, 1)[fit], at[fit]
+
+        return pairs(rows, "a bigint, b bigint, n bigint", under)
+
+    def across(rows: DataFrame) -> DataFrame:
+        def under(key: np.ndarray, node: np.ndarray, of: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            size, parities, label = of["size"].astype(np.int64), [of[p].view(np.uint64) for p in PARITIES], of["label"]
+            order = np.lexsort((node, key))
+            first = _runs(key[order])
+            number = np.diff(np.append(first, len(order)))
+            for n in np.unique(number[number > 1]).tolist():
+                begins = first[number == n]
+                step = max(1, PACK // (n * n))
+                i, j = np.triu_indices(n, 1)
+                for k in range(0, len(begins), step):
+                    at = order[begins[k : k + step, None] + np.arange(n)]
+                    x, y = at[:, i].ravel(), at[:, j].ravel()
+                    apart = label[x] != label[y]
+                    x, y = x[apart], y[apart]
+                    fit = near(x, y, size, parities)
+                    yield x[fit], y[fit]
+
+        return pairs(rows, "a bigint, b bigint", under)
+
+    return Meeting(leaders, across, CROWD)
+
+
 def edit_distance(x: list, y: list) -> int:
     """Levenshtein distance of two sequences, all of a column at once in the bits of a number."""
     where: dict = {}
@@ -267,13 +419,13 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _marks(texts: DataFrame, shared, buckets: int, percent: int) -> DataFrame:
-    """(node, mark): one first word more than the keys, named like those. Linked lines that share a key share another one of these."""
+    """(node, mark): one first run of words more than the keys, named like those. Linked lines that share a key share another one of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for x, y, data, off in chunks(b.column(1)):
                 w = Words(data, off, LETTERS)
-                line, key = _first_words(w.hashes(), w.first[:-1], w.first[1:], np.array([_taken(int(n), percent) + 1 for n in w.count], np.int64), shared.value)
+                line, key = _first_runs(w.hashes(), w.first[:-1], w.first[1:], _take(w.count, percent, 1), shared.value, _width(percent))
                 named = (key % np.uint64(buckets)) << np.uint64(32) | key >> np.uint64(32)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x).take(pa.array(line)), pa.array(named.view(np.int64))], ["node", "mark"])
 
@@ -303,22 +455,27 @@ def _removed(docs: DataFrame, percent: int) -> DataFrame:
     first = written(_hashed(docs))
     hashed = first.where("part is null").select("id", "row", "lines")
     counters = _counters(first.where("part is not null"))
-    shared = spark.sparkContext.broadcast(np.minimum(counters, (1 << 20) - 1).astype(np.uint64))
+    shared = spark.sparkContext.broadcast(_commonness(counters))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = BUCKETS * partitions
-    close = written(_close(_packed(docs, shared, buckets, percent).repartition(partitions, "bucket"), percent))
+    met = written(_shared(_packed(docs, shared, buckets, percent).repartition(partitions, "bucket"), percent))
 
     lines = hashed.where("id is not null").select("id", "row", F.explode("lines").alias("l")).select("id", "row", "l.*")
     place = F.struct("id", "row", "line")
-    nodes = close.select(F.col("node").alias("h1"), F.lit(True).alias("close")).distinct()
-    kinds = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(nodes, "h1", "left")
-    kinds = written(kinds.where("n > 1 or close"))
-    texts = written(_texts(docs, kinds.where("close").select(F.col("h1").alias("node"), "first.row", "first.line")))
-    groups = linked(close, _verifier(texts, percent), _fits(percent), ["size", "p1", "p2"], _marks(texts, shared, buckets, percent))
+    nodes = met.select(F.col("node").alias("h1"), F.lit(True).alias("met")).distinct()
+    kinds = lines.groupBy("h1", "h2").agg(F.min(F.struct("id", "row", "line", "size", *PARITIES)).alias("first"), F.count("*").alias("n")).join(nodes, "h1", "left")
+    kinds = written(kinds.where("n > 1 or met"))
+    sketches = kinds.where("met").select(F.col("h1").alias("node"), "first.size", *[f"first.{p}" for p in PARITIES]).dropDuplicates(["node"])
+    close = written(_close(met.join(sketches, "node").select("key", "node", "size", *PARITIES).repartition(partitions, "key"), percent))
+    discard(met)
+    wanted = kinds.join(close.select(F.col("node").alias("h1")).distinct(), "h1").select(F.col("h1").alias("node"), "first.row", "first.line")
+    texts = written(_texts(docs, wanted))
+    groups = linked(close, _verifier(texts, percent), _fits(percent), ["size", *PARITIES], _marks(texts, shared, buckets, percent), meeting=_meeting(percent, partitions), about=sketches)
     shared.destroy()
     for table in (close, texts):
         discard(table)
 
+    kinds = kinds.select("h1", "h2", "n", F.struct(*[F.col("first")[c].alias(c) for c in ("id", "row", "line")]).alias("first"))
     kinds = kinds.join(groups.withColumnRenamed("node", "h1"), "h1", "left").withColumn("component", F.coalesce("component", "h1"))
     in_groups = kinds.join(groups.select("component").distinct(), "component", "left_semi")
     firsts = in_groups.groupBy("component").agg(F.min("first").alias("stays"))

@@ -106,6 +106,44 @@ def test_partners_are_found_under_every_bound():
     assert [line_dedup._taken(n, 80) for n in (1, 2, 3, 4, 5, 9, 10, 50)] == [0, 0, 0, 1, 2, 2, 3, 11]
 
 
+def test_lines_that_share_words_but_no_pair_of_words_are_never_fetched(spark, monkeypatch):
+    """Lines under one rare word, 30 of them in each of 40 groups: only lines that share a pair of words meet."""
+    r, lines = random.Random(5), []
+    for k in range(40):
+        for i in range(30):
+            words = [f"u{k}x{i}x{j}" for j in range(19)]
+            words.insert(r.randrange(19), f"rare{k}")
+            lines.append(" ".join(words))
+    near = lines[0].split(" ")
+    near[9] = "other"
+    lines.append(" ".join(near))
+    docs = spark.createDataFrame(brute.rows(list(enumerate(lines))), brute.SCHEMA).repartition(3)
+    fetched, texts = [], line_dedup._texts
+    monkeypatch.setattr(line_dedup, "_texts", lambda d, wanted: fetched.append(wanted.count()) or texts(d, wanted))
+    gone = [r.doc_id for r in line_dedup.removals(docs).where("n_removed > 0").collect()]
+    assert gone == [len(lines) - 1] and fetched == [2]
+
+
+def test_keys_of_word_pairs_are_enough():
+    """Lines of e edits at most share two of the first pairs of words, whatever the order."""
+    for percent in range(76, 100):
+        for most in range(1, 200):
+            edits = most * (100 - percent) // 100
+            for size in range(most - edits, most + 1) if edits else ():
+                common = most - 1 - 2 * edits
+                assert common >= 2
+                assert all(line_dedup._taken(n, percent, 2) >= n - 1 - common + 1 for n in (size, most))
+    assert line_dedup._width(75) == 1 and [line_dedup._taken(n, 80, 2) for n in (3, 4, 5, 9, 10, 50)] == [0, 2, 3, 4, 5, 21]
+
+
+def test_every_bit_of_the_parities_counts(spark):
+    """Nodes whose parities differ in the top bit, that of the sign, meet like others."""
+    top = -(2**63)
+    rows = spark.createDataFrame([(1, 10, 20, 5, 5, 5, 5), (1, 11, 20, 5 + top, 5, 5, 5), (2, 12, 20, 0, 0, 0, 0), (2, 13, 20, -1, -1, 0, 0)],
+                                 "key bigint, node bigint, size int, p1 bigint, p2 bigint, p3 bigint, p4 bigint").repartition(2, "key")
+    assert sorted(r.node for r in line_dedup._close(rows, 80).collect()) == [10, 11]
+
+
 def test_edit_distance():
     r = np.random.default_rng(2)
     for _ in range(500):
