@@ -6,10 +6,10 @@ line's words stay when the one is edited into the other (insert, delete, replace
 SimHash and pigeonhole blocks, the usual way, can't find such pairs: with a fifth of the words replaced 12 to 13 of 64 bits differ on average whatever the line's length, and with one word of ten 8 do, so blocks
 that are intact in most pairs are too short to tell lines apart (measured recall in the README). Instead, lines meet under rare words:
 1. One pass gives every line a 128-bit hash of its word sequence and counts words in a table of counters. Lines with equal hashes are one node.
-2. Linked lines of a and b words have all but a fifth of the longer one's words in common, so they share one of their first a / 5 + 1 (b / 5 + 1) words in a common order, rare words
-   first. Only these are keys. They are shuffled in packed columns, dealt to buckets by hash, with the line's length and the parities of its words (of how many
-   fall on each of 128 places). A task sorts its buckets and keeps a line under a key if another one is there whose length and parities allow so few edits (an edit changes two
-   parities at most). Keys with more than `CROWD` lines are kept as they are.
+2. An edit changes two pairs of neighbouring words at most, so linked lines share one of their first pairs (about 2 / 5 of them, see `_taken`) in a common order, rare words
+   first. Only these are keys (single words where `percent` is 75 or less). They are shuffled in packed columns with the line's length, dealt to buckets by hash, and kept if another line under the key
+   is about as long. Then the parities of a line's words (of how many fall on each of 256 places) are joined to them, and a line stays under a key if another one is there whose length and
+   parities allow so few edits (an edit changes two parities at most). Keys with more than `CROWD` lines are kept as they are.
 3. For the nodes that are left words are fetched, pairs made (see `linking`; a crowded key is split by the other first words) and verified by their edit distance.
 4. Of every connected group the occurrence with the smallest (id, line) stays, the others go.
 
