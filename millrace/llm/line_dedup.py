@@ -10,7 +10,7 @@ that are intact in most pairs are too short to tell lines apart (measured recall
    first. Only these are keys (single words where `percent` is 75 or less). They are shuffled in packed columns with the line's length, dealt to buckets by hash, and kept if another line under the key
    is about as long. Then the parities of a line's words (of how many fall on each of 256 places) are joined to them, and a line stays under a key if another one is there whose length and
    parities allow so few edits (an edit changes two parities at most). Keys with more than `CROWD` lines are kept as they are.
-3. For the nodes that are left words are fetched, pairs made (see `linking`; a crowded key is split by the other first words) and verified by their edit distance.
+3. For the nodes that are left words are fetched, pairs made and verified by their edit distance (see `_linked`; a crowded key is split by the other first words). A pair inside a group that is known already is not made.
 4. Of every connected group the occurrence with the smallest (id, line) stays, the others go.
 
 Null and empty texts have no lines. Rows with a null id take no part and keep all their lines. Rows that repeat an id with the same text lose the same lines; with another text they are documents of
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.linking import Meeting, linked
+from millrace.llm.linking import _pairs_left, _split, components
 from millrace.llm.ngram_join import PART, SLOTS, _counters
 from millrace.llm.shared import discard, identified, light, written
 from millrace.llm.words import LETTERS, LOWER, Words, chunks, mixed
@@ -35,6 +35,8 @@ from millrace.llm.words import LETTERS, LOWER, Words, chunks, mixed
 PERCENT = 80
 #: Lines of a key whose lengths and parities are compared at once; buckets of a shuffle partition; rows that a task packs, or holds before it drops repeated ones.
 CROWD, BUCKETS, PACK = 2_048, 4, 1 << 18
+#: Lines of a key that others are held against first, and under how many of its keys a line gets one of them; rounds of likeliest partners after that, as long as one pair in `FEW` links.
+LEADS, LED, ROUNDS, FEW = 32, 4, 4, 16
 #: Columns with the parities of a line's words, 64 places each.
 PARITIES = ("p1", "p2", "p3", "p4")
 _LINE = [("line", "int"), ("h1", "bigint"), ("h2", "bigint"), ("size", "int"), *((p, "bigint") for p in PARITIES)]
@@ -237,146 +239,219 @@ def _shared(packed: DataFrame, percent: int) -> DataFrame:
     return packed.mapInArrow(run, "key bigint, node bigint")
 
 
-def with_partner(sizes: np.ndarray, parities: Sequence[np.ndarray], percent: int) -> np.ndarray:
-    """For rows of lines that share a key, whether lengths and parities of another one of the row allow few enough edits."""
-    x, y = sizes[:, :, None].astype(np.int64), sizes[:, None, :].astype(np.int64)
+def with_partner(sizes: np.ndarray, parities: Sequence[np.ndarray], percent: int, asked: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """For rows of lines that share a key, whether lengths and parities of another one of the row allow few enough edits; only for the columns `asked`, if given."""
+    x, y = sizes[:, asked, None].astype(np.int64), sizes[:, None, :].astype(np.int64)
     apart = np.abs(x - y)
     edits = _edits(np.maximum(x, y), percent)
-    changed = sum(np.bitwise_count(p[:, :, None] ^ p[:, None, :]).astype(np.int64) for p in parities)
+    changed = sum(np.bitwise_count(p[:, asked, None] ^ p[:, None, :]).astype(np.int64) for p in parities)
     fits = (apart <= edits) & (changed <= 2 * edits - apart)
-    fits[:, np.arange(sizes.shape[1]), np.arange(sizes.shape[1])] = False
+    itself = np.arange(sizes.shape[1])[asked]
+    fits[:, np.arange(len(itself)), itself] = False
     return fits.any(2)
 
 
+def _spare(x, y, size: np.ndarray, parities: Sequence[np.ndarray], percent: int) -> np.ndarray:
+    """How many more parities lines `x` and `y` could differ in and yet be near enough; below 0 for lines that can't be linked."""
+    xs, ys = size[x], size[y]
+    apart = np.abs(xs - ys)
+    edits = _edits(np.maximum(xs, ys), percent)
+    changed = sum(np.bitwise_count(p[x] ^ p[y]).astype(np.int32) for p in parities)
+    return np.where(apart <= edits, 2 * edits - apart - changed, -1)
+
+
+def _blocks(number: np.ndarray, first: np.ndarray, against: int) -> Iterator[tuple[np.ndarray, slice]]:
+    """Places of runs of equal length, a row to a run, and which of its columns to take now: about `PACK` pairs at once when each is held against `against` others of the run at most."""
+    for n in np.unique(number[number > 1]).tolist():
+        begins, wide = first[number == n], min(n, against)
+        step, columns = max(1, PACK // (n * wide)), max(1, PACK // wide)
+        for k in range(0, len(begins), step):
+            at = begins[k : k + step, None] + np.arange(n)
+            for c in range(0, n, columns):
+                yield at, slice(c, c + columns)
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> tuple | None:
+    """Columns of rows (key, node, size, parities) and maybe label."""
+    held = list(batches)
+    if not held:
+        return None
+    key, node, size, *rest = (c.to_numpy() for c in pa.Table.from_batches(held).columns)
+    # bits of a negative number are those of its absolute value
+    return key, node, size.astype(np.int32), [p.view(np.uint64) for p in rest[: len(PARITIES)]], *rest[len(PARITIES) :]
+
+
 def _close(rows: DataFrame, percent: int) -> DataFrame:
-    """(key, node) of those `rows` (key, node, size, parities), all of a key in one partition, that may link to another one under the key. Keys with more than `CROWD` lines are kept as they are."""
+    """(key, node, lead) of those `rows` (key, node, size, parities), all of a key in one partition, that may link to another one under the key.
+
+    Keys with more than `CROWD` lines are kept as they are. `lead`, under about `LED` keys of a line: the first line of the key, in an order that all keys share, that it may link to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if not held:
+        held = _held(batches)
+        if held is None:
             return
-        table = pa.Table.from_batches(held).combine_chunks()
-        key, _, size, *parities = (c.to_numpy() for c in table.columns)
-        parities = [p.view(np.uint64) for p in parities]  # bits of a negative number are those of its absolute value
-        order = np.argsort(key)
-        key = key[order]
+        key, node, size, parities = held
+        order = np.lexsort((mixed(node.view(np.uint64)), key))
+        key, node, size, parities = key[order], node[order], size[order], [p[order] for p in parities]
         first = _runs(key)
         number = np.diff(np.append(first, len(key)))
-        keep = np.repeat(number > CROWD, number)
-        for n in np.unique(number[(number > 1) & (number <= CROWD)]).tolist():
-            begins = first[number == n]
-            step = max(1, PACK // (n * n))
-            for k in range(0, len(begins), step):
-                at = begins[k : k + step, None] + np.arange(n)
-                keep[at] = with_partner(size[order[at]], [p[order[at]] for p in parities], percent)
-        yield from table.select(["key", "node"]).take(pa.array(order[keep])).to_batches(10_000)
-
-    return rows.mapInArrow(run, "key bigint, node bigint")
-
-
-def _fits(percent: int):
-    """Whether lengths and parities allow few enough edits."""
-
-    def fits(x: str, y: str) -> Column:
-        xs, ys = F.col(f"{x}.size"), F.col(f"{y}.size")
-        apart = F.abs(xs - ys)
-        edits = F.floor(F.greatest(xs, ys) * (100 - percent) / 100)
-        changed = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in PARITIES), F.lit(0))
-        return (apart <= edits) & (changed <= 2 * edits - apart)
-
-    return fits
-
-
-def _meeting(percent: int, partitions: int) -> Meeting:
-    """Pairs of rows (key, node, size, parities, label) whose lengths and parities allow few enough edits."""
-
-    def pairs(rows: DataFrame, schema: str, under: Callable) -> DataFrame:
-        """Distinct pairs, with the number of their keys in the task, from what `under` finds in rows in the order of keys: (row, row) and so on."""
-        columns = [c for c in rows.columns if c not in ("key", "node")]
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = list(batches)
-            if not held:
-                return
-            table = pa.Table.from_batches(held)
-            key, node, *rest = (c.to_numpy() for c in table.columns)
-            found = [np.empty((0, 3), np.int64)]
-            ready = 0
-            for x, y in under(key, node, dict(zip(columns, rest, strict=True))):
-                found.append(np.stack((node[x], node[y], np.ones(len(x), np.int64)), 1))
+        keep, lead = np.repeat(number > CROWD, number), np.full(len(key), -1)
+        for at, now in _blocks(number, first, LEADS):
+            x, y = at[:, now, None], at[:, None, :LEADS]
+            fit = (_spare(x, y, size, parities, percent) >= 0) & (x != y)
+            keep[at[:, now]] |= fit.any(2)
+            best = np.take_along_axis(at[:, :LEADS], fit.argmax(2), 1)
+            lead[at[:, now]] = np.where(fit.any(2) & (best < at[:, now]), best, -1)
+        for a, n in zip(first[number > LEADS].tolist(), number[number > LEADS].tolist(), strict=True):
+            left = np.flatnonzero(~keep[a : a + n])
+            step = max(1, PACK // n)
+            for k in range(0, len(left), step):
+                asked = left[k : k + step]
+                keep[a + asked] = with_partner(size[None, a : a + n], [p[None, a : a + n] for p in parities], percent, asked)[0]
+        led = (mixed(key.view(np.uint64)) >> np.uint64(11)) * 2.0**-53 * _take(size, percent) < LED
+        kept = np.flatnonzero(keep)
+        for a in range(0, len(kept), 10_000):
+            i = kept[a : a + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(key[i]), pa.array(node[i]), pa.array(node[lead[i]], mask=(lead[i] < 0) | ~led[i])], ["key", "node", "lead"])
+
+    return rows.mapInArrow(run, "key bigint, node bigint, lead bigint")
+
+
+def _apart(rows: DataFrame, percent: int) -> DataFrame:
+    """(key, node, other) of those `rows` (key, node, size, parities, label), all of a key in one partition, that may link to one of another label under the key.
+
+    `other`: the likeliest one. Rows of a key's largest label may do without it, as the others of the key have theirs; so may rows of a key that has more than `CROWD` of other labels, which are kept as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _held(batches)
+        if held is None:
+            return
+        key, node, size, parities, label = held
+        order = np.lexsort((label, key))
+        first = _runs(key[order])
+        number = np.diff(np.append(first, len(key)))
+        order = order[np.repeat(label[order[first]] != label[order[first + number - 1]], number)]
+        key, node, size, parities, label = key[order], node[order], size[order], [p[order] for p in parities], label[order]
+        first = _runs(key)
+        number = np.diff(np.append(first, len(key)))
+        alive, other = np.zeros(len(key), bool), np.full(len(key), -1)
+        few = number <= LEADS
+        for at, _ in _blocks(number[few], first[few], LEADS):
+            x, y = at[:, :, None], at[:, None, :]
+            spare = np.where(label[x] != label[y], _spare(x, y, size, parities, percent), -1)
+            best = spare.argmax(2)
+            alive[at] = np.take_along_axis(spare, best[:, :, None], 2)[:, :, 0] >= 0
+            other[at] = np.where(alive[at], np.take_along_axis(at, best, 1), -1)
+        for a, n in zip(first[~few].tolist(), number[~few].tolist(), strict=True):
+            of = label[a : a + n]
+            begins = _runs(of)
+            counts = np.diff(np.append(begins, n))
+            largest = of[begins[counts.argmax()]]
+            rest, every = a + np.flatnonzero(of != largest), np.arange(a, a + n)
+            if len(rest) > CROWD:
+                alive[every] = True
+                every = every[np.argsort(mixed(node[every].view(np.uint64)))[:LEADS]]
+            step = max(1, PACK // len(every))
+            for k in range(0, len(rest), step):
+                at = rest[k : k + step]
+                x, y = at[:, None], every[None, :]
+                spare = np.where(label[x] != label[y], _spare(x, y, size, parities, percent), -1)
+                best = spare.argmax(1)
+                fit = np.take_along_axis(spare, best[:, None], 1)[:, 0] >= 0
+                alive[at] |= fit
+                alive[every] |= (spare >= 0).any(0)
+                other[at] = np.where(fit, every[best], -1)
+        kept = np.flatnonzero(alive)
+        for a in range(0, len(kept), 10_000):
+            i = kept[a : a + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(key[i]), pa.array(node[i]), pa.array(node[other[i]], mask=other[i] < 0)], ["key", "node", "other"])
+
+    return rows.mapInArrow(run, "key bigint, node bigint, other bigint")
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of `rows` (key, node, size, parities, label), all of a key in one partition, that may link across labels. Of a key's largest label no pair is made, however large it is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _held(batches)
+        if held is None:
+            return
+        key, node, size, parities, label = held
+        order = np.lexsort((label, key))
+        key, node, size, parities, label = key[order], node[order], size[order], [p[order] for p in parities], label[order]
+        first = _runs(key)
+        number = np.diff(np.append(first, len(key)))
+        found, ready = [], 0
+        for a, n in zip(first[number > 1].tolist(), number[number > 1].tolist(), strict=True):
+            of = label[a : a + n]
+            begins = _runs(of)
+            counts = np.diff(np.append(begins, n))
+            largest = of[begins[counts.argmax()]]
+            rest, every = a + np.flatnonzero(of != largest), np.arange(a, a + n)
+            step = max(1, PACK // n)
+            for k in range(0, len(rest), step):
+                x, y = rest[k : k + step, None], every[None, :]
+                # of two rows outside the largest label the first one makes the pair
+                i, j = np.nonzero((label[x] != label[y]) & ((label[y] == largest) | (x < y)) & (_spare(x, y, size, parities, percent) >= 0))
+                x, y = node[rest[k + i]], node[every[j]]
+                found.append(np.stack((np.minimum(x, y), np.maximum(x, y)), 1))
                 ready += len(x)
-                if ready > 4 * PACK:
-                    found = [counted(np.concatenate(found))]
-                    ready = len(found[0]) // 2
-            out = counted(np.concatenate(found))
-            for a in range(0, len(out), 10_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out[a : a + 10_000].T[: schema.count(",") + 1]], schema.replace(" bigint", "").split(", "))
-
-        def counted(found: np.ndarray) -> np.ndarray:
-            found = found[np.lexsort((found[:, 1], found[:, 0]))]
-            first = np.flatnonzero(np.append(True, (found[1:, :2] != found[:-1, :2]).any(1))[: len(found)])
-            if len(first):
-                found = np.column_stack((found[first, :2], np.add.reduceat(found[:, 2], first)))
-            return found
-
-        return rows.select("key", "node", *columns).repartition(partitions, "key").mapInArrow(run, schema)
-
-    def near(x: np.ndarray, y: np.ndarray, size: np.ndarray, parities: list[np.ndarray]) -> np.ndarray:
-        apart = np.abs(size[x] - size[y])
-        changed = sum(np.bitwise_count(p[x] ^ p[y]).astype(np.int64) for p in parities)
-        edits = _edits(np.maximum(size[x], size[y]), percent)
-        return (apart <= edits) & (changed <= 2 * edits - apart)
-
-    def leaders(rows: DataFrame, turn: int) -> DataFrame:
-        def under(key: np.ndarray, node: np.ndarray, of: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            size, parities, label = of["size"].astype(np.int64), [of[p].view(np.uint64) for p in PARITIES], of["label"]
-            order = np.lexsort((node, mixed(label.view(np.uint64) + np.uint64(turn)), -of["weight"], key))
-            first = _runs(key[order])
-            number = np.diff(np.append(first, len(order)))
-            # at first each line is held against the first one of its key, then against the likeliest one of another component
-            one = np.repeat((turn == 0) | (number > CROWD), number)
-            lead = np.repeat(order[first], number)[one]
-            rest = order[one]
-            fit = (label[rest] != label[lead]) & near(rest, lead, size, parities)
-            yield lead[fit], rest[fit]
-            for n in np.unique(number[(number > 1) & (number <= CROWD)]).tolist() if turn else ():
-                begins = first[number == n]
-                step = max(1, PACK // (n * n))
-                for k in range(0, len(begins), step):
-                    at = order[begins[k : k + step, None] + np.arange(n)]
-                    at = at[(label[at] != label[at[:, :1]]).any(1)]
-                    x, y = at[:, :, None], at[:, None, :]
-                    apart = np.abs(size[x] - size[y])
-                    changed = sum(np.bitwise_count(p[x] ^ p[y]).astype(np.int64) for p in parities)
-                    edits = _edits(np.maximum(size[x], size[y]), percent)
-                    spare = np.where((apart <= edits) & (label[x] != label[y]), 2 * edits - apart - changed, -1)
-                    best = spare.argmax(2)
-                    fit = np.take_along_axis(spare, best[:, :, None], 2)[:, :, 0] >= 0
-                    yield np.take_along_axis(at, best, 1)[fit], at[fit]
-
-        return pairs(rows, "a bigint, b bigint, n bigint", under)
-
-    def across(rows: DataFrame) -> DataFrame:
-        def under(key: np.ndarray, node: np.ndarray, of: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            size, parities, label = of["size"].astype(np.int64), [of[p].view(np.uint64) for p in PARITIES], of["label"]
-            order = np.lexsort((node, key))
-            first = _runs(key[order])
-            number = np.diff(np.append(first, len(order)))
-            for n in np.unique(number[number > 1]).tolist():
-                begins = first[number == n]
-                step = max(1, PACK // (n * n))
-                i, j = np.triu_indices(n, 1)
-                for k in range(0, len(begins), step):
-                    at = order[begins[k : k + step, None] + np.arange(n)]
-                    x, y = at[:, i].ravel(), at[:, j].ravel()
-                    apart = label[x] != label[y]
-                    x, y = x[apart], y[apart]
-                    fit = near(x, y, size, parities)
-                    yield x[fit], y[fit]
-
-        return pairs(rows, "a bigint, b bigint", under)
-
-    return Meeting(leaders, across, CROWD)
+            if ready > 4 * PACK:
+                found = [np.unique(np.concatenate(found), axis=0)]
+                ready = len(found[0]) // 2
+        out = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+        for k in range(0, len(out), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in out[k : k + 10_000].T], ["a", "b"])
+
+    return rows.mapInArrow(run, "a bigint, b bigint")
+
+
+def _linked(close: DataFrame, about: DataFrame, texts: DataFrame, marks: DataFrame, percent: int, partitions: int) -> DataFrame:
+    """(node, component) of the nodes that have a link, from `close` (key, node, lead), `about` (node, size, parities) and what `_texts` and `_marks` give.
+
+    First every line is held against its lead. From then on only rows of keys under which lines of different components may link are left, and they get fewer with every round: each is
+    held against its likeliest partner, as long as one such pair in `FEW` links. At last all pairs that are left are verified, so the components are those that all pairs would give."""
+    verify = _verifier(texts, percent)
+
+    def verified(pairs: DataFrame) -> tuple[DataFrame, int]:
+        """The pairs that are linked, and how many were tried."""
+        pairs = written(pairs)
+        new, tried = written(verify(pairs)), pairs.count()
+        discard(pairs)
+        return new, tried
+
+    def rows_of(rows: DataFrame, groups: DataFrame) -> DataFrame:
+        of = about.join(groups, "node", "left").select("node", "size", *PARITIES, F.coalesce("component", "node").alias("label"))
+        return rows.join(of.hint("shuffle_hash"), "node").select("key", "node", "size", *PARITIES, "label").repartition(partitions, "key")
+
+    def best(rows: DataFrame, other: str) -> DataFrame:
+        shared = rows.where(F.col(other).isNotNull()).groupBy("node", other).agg(F.count("*").alias("n"))
+        return shared.groupBy("node").agg(F.max(F.struct("n", other)).alias("best")).select(F.least("node", f"best.{other}").alias("a"), F.greatest("node", f"best.{other}").alias("b")).distinct()
+
+    found, _ = verified(best(close, "lead"))
+    groups = components(found)
+    left = written(_apart(rows_of(close.select("key", "node"), groups), percent))
+    for _ in range(ROUNDS):
+        new, tried = verified(best(left, "other"))
+        links = new.count()
+        if links:
+            groups = components(new.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+            # labels only ever grow together, so a row that has no partner of another label never has one again
+            after = written(_apart(rows_of(left.select("key", "node"), groups), percent))
+            discard(left)
+            left = after
+        if FEW * links <= tried:
+            break
+    rows = written(left.select("key", "node").join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label")))
+    keys = written(_pairs_left(rows, CROWD))
+    pairs = _across(rows_of(rows.join(keys.where("not crowded"), "key", "left_semi").select("key", "node"), groups), percent)
+    crowd = rows.join(keys.where("crowded"), "key", "left_semi")
+    if not keys.where("crowded").isEmpty():
+        pairs = pairs.unionByName(_across(rows_of(_split(crowd, marks, []).select("key", "node"), groups), percent))
+    new, _ = verified(pairs.distinct())
+    for table in (left, rows, keys, found):
+        discard(table)
+    return groups if new.isEmpty() else components(new.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
 def edit_distance(x: list, y: list) -> int:
@@ -466,13 +541,15 @@ def _removed(docs: DataFrame, percent: int) -> DataFrame:
     kinds = lines.groupBy("h1", "h2").agg(F.min(F.struct("id", "row", "line", "size", *PARITIES)).alias("first"), F.count("*").alias("n")).join(nodes, "h1", "left")
     kinds = written(kinds.where("n > 1 or met"))
     sketches = kinds.where("met").select(F.col("h1").alias("node"), "first.size", *[f"first.{p}" for p in PARITIES]).dropDuplicates(["node"])
-    close = written(_close(met.join(sketches, "node").select("key", "node", "size", *PARITIES).repartition(partitions, "key"), percent))
+    close = written(_close(met.join(sketches.hint("shuffle_hash"), "node").select("key", "node", "size", *PARITIES).repartition(partitions, "key"), percent))
     discard(met)
-    wanted = kinds.join(close.select(F.col("node").alias("h1")).distinct(), "h1").select(F.col("h1").alias("node"), "first.row", "first.line")
+    named = written(close.select("node").distinct())
+    about = written(sketches.join(named, "node", "left_semi"))
+    wanted = kinds.join(named.withColumnRenamed("node", "h1"), "h1").select(F.col("h1").alias("node"), "first.row", "first.line")
     texts = written(_texts(docs, wanted))
-    groups = linked(close, _verifier(texts, percent), _fits(percent), ["size", *PARITIES], _marks(texts, shared, buckets, percent), meeting=_meeting(percent, partitions), about=sketches)
+    groups = _linked(close, about, texts, _marks(texts, shared, buckets, percent), percent, partitions)
     shared.destroy()
-    for table in (close, texts):
+    for table in (close, named, about, texts):
         discard(table)
 
     kinds = kinds.select("h1", "h2", "n", F.struct(*[F.col("first")[c].alias(c) for c in ("id", "row", "line")]).alias("first"))

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,21 +20,9 @@ from pyspark.sql import functions as F
 from millrace.llm.shared import discard, written
 
 ROUNDS, CROWD = 2, 64
-#: With a `Meeting` so many more rounds, as long as each links more than one node in `FEW`.
-MORE, FEW = 4, 64
 Verify = Callable[[DataFrame], DataFrame]
 
 
-class Meeting(NamedTuple):
-    """Pairs of rows (key, node, *extra, label) made by tasks that hold keys whole, for callers whose `fits` is arithmetic on a few columns."""
-
-    #: (rows with a weight, turn) to (a, b, n): each node with a node of another component that it is likely to link to, by key, and under how many keys. Any number of nodes to a key.
-    leaders: Callable[[DataFrame, int], DataFrame]
-    #: rows to (a, b): the pairs across components. Keys of `most` nodes at most.
-    across: Callable[[DataFrame], DataFrame]
-    most: int
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes of `edges` (a, b): the smallest node that can be reached. Alternates large and small stars until every component is one star."""
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -61,10 +48,7 @@ def _leaders(keyed: DataFrame, fits: Callable[[str, str], Column], extra: list[s
     rank = F.struct((-F.col("weight")).alias("w"), F.xxhash64("label", F.lit(turn)).alias("h"), *fields)
     lead = keyed.groupBy("key").agg(F.min(rank).alias("x"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key", "x")
     pairs = keyed.join(lead, "key").where("label <> x.label").withColumn("y", F.struct(*fields)).where(fits("x", "y"))
-    return _best(pairs.groupBy(F.col("node").alias("b"), F.col("x.node").alias("a")).agg(F.count("*").alias("n")))
-
-
-def _best(shared: DataFrame) -> DataFrame:
+    shared = pairs.groupBy(F.col("node").alias("b"), F.col("x.node").alias("a")).agg(F.count("*").alias("n"))
     return shared.groupBy("b").agg(F.max(F.struct("n", "a")).alias("best")).select("best.a", "b")
 
 
@@ -90,7 +74,7 @@ def _pairs_left(rows: DataFrame, crowd: int) -> DataFrame:
     """(key, crowded) of keys that more than one label has: whether its pairs across labels are more than `crowd` a node."""
     kinds = rows.groupBy("key", "label").agg(F.count("*").cast("double").alias("n"))
     left = kinds.groupBy("key").agg(F.count("*").alias("labels"), F.sum("n").alias("nodes"), F.sum(F.col("n") * F.col("n")).alias("inside"))
-    return left.where("labels > 1").select("key", "nodes", ((F.col("nodes") * F.col("nodes") - F.col("inside")) / 2 > crowd * F.col("nodes")).alias("crowded"))
+    return left.where("labels > 1").select("key", ((F.col("nodes") * F.col("nodes") - F.col("inside")) / 2 > crowd * F.col("nodes")).alias("crowded"))
 
 
 def _split(rows: DataFrame, marks: DataFrame, extra: list[str]) -> DataFrame:
@@ -107,33 +91,20 @@ def _hop(edges: DataFrame) -> DataFrame:
 
 
 def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column], extra: list[str] | None = None, marks: DataFrame | None = None, crowd: int | None = None,
-           once: Callable[[str, str], Column] | None = None, meeting: Meeting | None = None, about: DataFrame | None = None) -> DataFrame:
-    """(node, component) of the nodes that have a link. `keyed`: (key, node, *extra), or (key, node) and `about`: (node, *extra).
+           once: Callable[[str, str], Column] | None = None) -> DataFrame:
+    """(node, component) of the nodes that have a link. `keyed`: (key, node, *extra).
 
     `verify` turns pairs (a, b) into those that are linked; `fits` may rule out pairs by the `extra` columns of both sides. `marks`: (node, mark), the keys of each
     node and what else may split crowded keys; without it they are paired as they are. `once` may tell whether column `key` is the first that both sides share, so that a
-    pair is made under one of its keys only. `meeting` (with `about` and `marks`) makes the pairs of all keys but very crowded ones."""
+    pair is made under one of its keys only."""
     extra = extra or []
     weight = keyed.groupBy("node").agg(F.count("*").alias("weight"))
-    if about is None:
-        keyed = written(keyed.join(weight, "node"))
-        tables = [keyed]
-    else:
-        about = written(about.join(weight, "node"))
-        tables = [about]
+    keyed = written(keyed.join(weight, "node"))
 
-    def labelled(groups: DataFrame | None, full: bool = True) -> DataFrame:
-        each = keyed if about is None else about if full else about.select("node", "weight")
+    def labelled(groups: DataFrame | None) -> DataFrame:
         if groups is None:
-            each = each.withColumn("label", F.col("node"))
-        else:
-            each = each.join(groups, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-        return each if about is None else keyed.select("key", "node").join(each, "node")
-
-    def leaders(groups: DataFrame | None, turn: int) -> DataFrame:
-        if meeting is None:
-            return _leaders(labelled(groups), fits, extra, turn)
-        return _best(meeting.leaders(labelled(groups), turn).groupBy("b", "a").agg(F.sum("n").alias("n")))
+            return keyed.withColumn("label", F.col("node"))
+        return keyed.join(groups, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = written(pairs)
@@ -145,44 +116,23 @@ def linked(keyed: DataFrame, verify: Verify, fits: Callable[[str, str], Column],
 
     groups, found = None, []
     for turn in range(ROUNDS):
-        found.append(verified(leaders(groups, turn)))
+        found.append(verified(_leaders(labelled(groups), fits, extra, turn)))
         groups = _hop(found[0]) if turn == 0 and ROUNDS > 1 else components(reduce(DataFrame.unionByName, found))
-    # of a crowd whose members link to some others only, a few links a node make one component: cheaper than all its pairs
-    nodes, turn = (about.count() if meeting is not None else 0), ROUNDS
-    while meeting is not None and turn < ROUNDS + MORE:
-        new = verified(leaders(groups, turn))
-        links, turn = new.count(), turn + 1
-        if links:
-            found = [groups.select(F.col("node").alias("a"), F.col("component").alias("b")), new]
-            groups = components(reduce(DataFrame.unionByName, found))
-        if FEW * links <= nodes:
-            break
-    rows = written(labelled(groups, full=False).drop("weight"))
-    if about is None:
-        discard(keyed)
-        tables = []
-    tables.append(rows)
-
-    def under(keys: DataFrame) -> DataFrame:
-        found = rows.join(keys, "key", "left_semi")
-        return found if about is None else found.join(about.drop("weight"), "node").select("key", "node", *extra, "label")
-
+    rows = written(labelled(groups).drop("weight"))
+    discard(keyed)
+    tables = [rows]
     if marks is None:
         pairs = _rest(rows, fits, extra, once)
     else:
         left = written(_pairs_left(rows, CROWD if crowd is None else crowd))
         tables.append(left)
-        many = F.lit(True) if meeting is None else F.col("nodes") > meeting.most
-        parts = [] if meeting is None else [meeting.across(under(left.where(~many)))]
-        # without a `meeting` all that is left is paired here
-        if meeting is None or not left.where(many).isEmpty():
-            parts.append(_rest(under(left.where(many & ~F.col("crowded"))), fits, extra, once))
-        crowded = left.where(many & F.col("crowded"))
+        pairs = _rest(rows.join(left.where("not crowded"), "key", "left_semi"), fits, extra, once)
+        crowded = left.where("crowded")
         if not crowded.isEmpty():
-            finer = written(_split(under(crowded), marks, extra))
+            finer = written(_split(rows.join(crowded, "key", "left_semi"), marks, extra))
             tables.append(finer)
-            parts.append(_rest(finer, fits, extra))
-        pairs = reduce(DataFrame.unionByName, parts).distinct()
+            pairs = pairs.unionByName(_rest(finer, fits, extra))
+        pairs = pairs.distinct()
     new = verified(pairs)
     for table in tables:
         discard(table)
