@@ -140,6 +140,30 @@ def test_every_bit_of_the_parities_counts(spark):
     assert sorted(r.node for r in line_dedup._close(rows, 80).collect()) == [10, 11]
 
 
+def test_only_lines_of_different_groups_meet(spark):
+    """Under keys of any size: rows stay while one of another label may link to them, and pairs are made of no other rows."""
+    r = random.Random(7)
+    rows = []
+    for key, n in ((1, 2), (2, 7), (3, 60), (4, 300), (5, 9), (6, 80)):
+        for node in r.sample(range(1_000), n):
+            # one group holds most of a key; keys 5 and 6 have no other
+            rows.append((key, node, 20 + node % 3, *(r.getrandbits(3) for _ in range(4)), 7 if key > 4 or r.random() < 0.9 else node % 5))
+    table = spark.createDataFrame(rows, "key bigint, node bigint, size int, p1 bigint, p2 bigint, p3 bigint, p4 bigint, label bigint").repartition(3, "key")
+    expected, stay = set(), set()
+    for x in rows:
+        for y in rows:
+            edits, apart = max(x[2], y[2]) * 20 // 100, abs(x[2] - y[2])
+            if x[0] == y[0] and x[7] != y[7] and apart <= edits and sum((p ^ q).bit_count() for p, q in zip(x[3:7], y[3:7], strict=True)) <= 2 * edits - apart:
+                expected.add((min(x[1], y[1]), max(x[1], y[1])))
+                stay.add((x[0], x[1]))
+    assert {(p.a, p.b) for p in line_dedup._across(table, 80).collect()} == expected
+    left = line_dedup._apart(table, 80).collect()
+    assert {(p.key, p.node) for p in left} == stay and 0 < len(stay) < len(rows)
+    label = {(x[0], x[1]): x[7] for x in rows}
+    assert all(p.other is not None for p in left if label[p.key, p.node] != 7 and p.key > 2)
+    assert all((min(p.node, p.other), max(p.node, p.other)) in expected for p in left if p.other is not None)
+
+
 def test_edit_distance():
     r = np.random.default_rng(2)
     for _ in range(500):
