@@ -188,3 +188,17 @@ def test_files_are_hashed_by_piece(spark, tmp_path):
         (tmp_path / name).write_bytes(body)
     rows = readers.file_hashes(spark, str(tmp_path)).collect()
     assert sorted((r["length"], r["sha256"]) for r in rows) == sorted((len(b), hashlib.sha256(b).hexdigest()) for b in contents.values())
+
+
+def test_hashing_by_piece_reads_no_contents_into_a_cell(spark, tmp_path):
+    """A cell holds 2 GB at most; the limit is set to less here."""
+    import hashlib
+
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    (tmp_path / "large").write_bytes(b"z" * 5_000)
+    spark.conf.set(limit, "1000")
+    try:
+        rows = readers.file_hashes(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset(limit)
+    assert [(r["length"], r["sha256"]) for r in rows] == [(5_000, hashlib.sha256(b"z" * 5_000).hexdigest())]
