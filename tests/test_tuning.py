@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import splits, tuning
 from millrace.operators.curves import learning_curve
 from millrace.operators.tuning import Candidate
+from millrace.plans.catalog import QUERIES
 from millrace.sources.readers import rename_dots
 from millrace.spec import FOREST_SPACE, Spec
 
@@ -106,6 +107,22 @@ def test_random_search_then_grid(folded):
         tuning.grid_search(folded, SPEC.but(max_candidates=1), first.best_params)
 
 
+def test_registered_random_search_is_whole(spark, tmp_path, monkeypatch):
+    """Twenty candidates of the default space, with the number of trees and the depth that were drawn; fits are left out here."""
+    rows = [(i, i % 7, i % 5, i % 4, float(i % 50), 1000.0 * (i % 97), 0.05, 0.02, "ANR"[i % 3], "FO"[i % 2]) for i in range(200)]
+    names = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus"
+    spark.createDataFrame(rows, names.split()).write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen = []
+
+    def scored(df, spec, models, metrics):
+        seen.extend(models)
+        return spark.createDataFrame([(m.name, f, p, metrics[0], 0.5, 0.1) for m in models for f in range(spec.folds) for p in ("train", "test")], tuning.SCORE_SCHEMA)
+
+    monkeypatch.setattr(tuning, "cross_validate", scored)
+    assert QUERIES["random_search"](spark, str(tmp_path)).count() == 20
+    assert [m.params for m in seen] == [{**p, "class_weight": "balanced"} for p in tuning.sample_candidates(FOREST_SPACE, 20, 42)]
+
+
 def test_regression_folds_and_multiclass(spark, people):
     df = rename_dots(people)
     spec = SPEC.but(target="pdays", task="regression", metrics=("r2", "neg_mean_absolute_error"))
