@@ -1,10 +1,12 @@
 """Cluster metrics, choice of k and descriptions; published values as fixed expectations."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import clusters, lloyd
+from millrace.operators import clusters, lloyd, silhouette
 from millrace.operators.silhouette import check_method, euclidean_silhouettes
 from millrace.spec import Spec
 
@@ -345,3 +347,16 @@ def test_rows_are_dealt_by_content_and_copy(spark):
     assert dealt.exceptAll(df).count() == df.exceptAll(dealt).count() == 0
     parts = lambda d: sorted(map(tuple, d.rdd.glom().map(lambda rows: [r["x"] for r in rows]).collect()))
     assert parts(spread(df.repartition(7))) == parts(dealt)
+
+
+@pytest.mark.parametrize("away", [0.0, 1e3, 1e8])
+def test_distances_by_products_keep_their_digits(monkeypatch, away):
+    """Equal, nearly equal and far points, near the origin or not; only few pairs are done by differences."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 6)) + away
+    y = np.vstack([x[:20], x[20:40] + 1e-7, x[40:60] * (1 + 1e-12), rng.normal(size=(150, 6)) + away])
+    exact = np.array([[math.dist(p, q) for q in y] for p in x])
+    monkeypatch.setattr(silhouette, "_by_differences", lambda a, b: pytest.fail("all pairs by differences"))
+    got = silhouette.distances(x, y)
+    assert got == pytest.approx(exact, rel=1e-9, abs=0)
+    assert silhouette.distances(x[:0], y).shape == (0, len(y))
